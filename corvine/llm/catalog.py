@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import token_counts
+from . import packing, token_counts
 
-MODULES = (token_counts,)
+MODULES = (packing, token_counts)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
