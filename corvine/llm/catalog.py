@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, packing, token_counts
+from . import decontaminate, packing, simhash, token_counts
 
-MODULES = (decontaminate, packing, token_counts)
+MODULES = (decontaminate, packing, simhash, token_counts)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -1,0 +1,41 @@
+"""Connected components of a graph of long node ids, without ever gathering a node's neighbours.
+
+Alternating star contraction: in each round every node points to the smallest node it sees. All group-bys are
+plain minima (pre-aggregated before the shuffle) and the joins on hot centres can be split by AQE. Rounds are
+spooled to the shared folder, which cuts lineage.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ._spark import Spool
+
+
+def components(edges: DataFrame, spool: Spool) -> DataFrame:
+    """(node, root) for every node of `edges(a, b)`, root the smallest node that can be reached.
+
+    Large star: neighbours above a node are linked to the smallest it sees. Small star: a node and its smaller
+    neighbours are linked to the smallest of them. The edge set is a star per component when neither changes it.
+    """
+    pairs = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    now = spool.keep(pairs, "edges")
+    mark = None
+    while True:
+        both = now.select("a", "b").union(now.select("b", "a"))
+        least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
+        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        large = spool.keep(large, "large")
+        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = large.join(low, "a")
+        small = small.select("a", F.col("m").alias("b")).union(small.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))).distinct()
+        small = spool.keep(small, "small")
+        spool.drop(now, large)
+        now = small
+        seen = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        if seen == mark:
+            break
+        mark = seen
+    roots = now.select("b").distinct()
+    return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(roots.select(F.col("b").alias("node"), F.col("b").alias("root")))
