@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fm_index, packing, simhash, suffix_dedup, token_counts, toxicity
+from . import decontaminate, fm_index, lm_score, packing, simhash, suffix_dedup, token_counts, toxicity
 
-MODULES = (decontaminate, fm_index, packing, simhash, suffix_dedup, token_counts, toxicity)
+MODULES = (decontaminate, fm_index, lm_score, packing, simhash, suffix_dedup, token_counts, toxicity)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
