@@ -119,6 +119,26 @@ def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int
     return h
 
 
+class HashIndex:
+    """Places of 64-bit hashes in a sorted array, through a directory of their top bits."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.hashes = np.append(hashes, U64(0xFFFFFFFFFFFFFFFF))
+        self.shift = U64(64 - max(1, len(hashes).bit_length()))
+        count = np.bincount((hashes >> self.shift).astype(np.int64), minlength=1 << int(64 - self.shift))
+        self.first = (np.cumsum(count) - count).astype(np.int32)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The place of each key, -1 where it is not there."""
+        at = self.first[(keys >> self.shift).astype(np.int64)].astype(np.int64)
+        todo = np.flatnonzero(self.hashes[at] < keys)
+        while len(todo):
+            at[todo] += 1
+            todo = todo[self.hashes[at[todo]] < keys[todo]]
+        at[(self.hashes[at] != keys) | (at == len(self.hashes) - 1)] = -1
+        return at
+
+
 def ragged(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For rows of the given lengths laid end to end: each item's row, and its place in the row."""
     lengths = np.asarray(lengths, np.int64)

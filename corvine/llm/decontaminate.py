@@ -220,13 +220,13 @@ def _contaminated(text: Column, earlier: Column | None, shared, length: int) ->
         def first(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             yield from work((x, None) for x in batches)
 
-        return first(text)
+        return first.asNondeterministic()(text)  # so that no filter on the result makes it run twice
 
     @arrow_udf(SPANS)
     def later(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         yield from work(batches)
 
-    return later(text, earlier)
+    return later.asNondeterministic()(text, earlier)
 
 
 def without_spans(text: Column, cuts: Column) -> Column:

@@ -252,7 +252,7 @@ def repeated_spans(docs: DataFrame, text: str, scheme: Scheme, kernel: Kernel, s
     spark = docs.sparkSession
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     # 1. which anchors occur twice; the short key only narrows down where to look
-    some = spool.keep(docs.select(F.xxhash64(body).alias("k"), anchors(body, scheme).alias("anchors")).where(F.size("anchors") > 0), "anchors")
+    some = spool.keep(docs.select(F.xxhash64(body).alias("k"), anchors(body, scheme).alias("anchors")), "anchors")
     each = some.select("k", F.explode("anchors").alias("anchor"))
     twice = each.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
     # 2. candidates
