@@ -12,7 +12,9 @@ MODULES = (decontaminate, fm_index, lm_score, packing, simhash, suffix_dedup, to
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: q for m in MODULES for k, q in m.QUERIES.items()}
+    import corpus_pipeline
+
+    return {"pipeline": corpus_pipeline.run} | {k: q for m in MODULES for k, q in m.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
