@@ -21,11 +21,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from ._spark import table
-from ._text import column_pieces
+from ._text import HashIndex, column_pieces, flat, hash_spans, ragged, words
 
 MOST = 2048
 END = 1
-REMEMBERED = 800_000
+#: Distinct words, and parts of them, that each Python worker remembers.
+REMEMBERED, REMEMBERED_PARTS = 1_500_000, 500_000
 #: Marks that end a word of plain letters.
 CLOSING = ".,;:!?"
 
@@ -35,10 +36,11 @@ class WordIds:
 
     This is exact for a vocabulary whose normaliser and pattern drop white space and mark word ends: no token
     spans a blank. Closing punctuation after plain letters is a word of its own to the pattern, so it is asked
-    for apart. Plain words are asked for many at once and told apart by their end marks.
+    for apart. Plain words are asked for many at once and told apart by their end marks. Remembered words are
+    found by a 64-bit hash of their bytes.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, end: int = END):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -47,53 +49,74 @@ class WordIds:
         vocab = self.tokenizer.get_vocab()
         self.closes = np.zeros(max(vocab.values()) + 1, bool)
         self.closes[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-        self.known: dict[str, bytes] = {}
-
-    def texts(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
-        split = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
-        want = set().union(*split)
-        if len(self.known) + len(want) > REMEMBERED:
-            self.known.clear()
-        self._learn([w for w in want if w not in self.known])
-        get = self.known.__getitem__
-        return [b"".join(map(get, s)) for s in split]
-
-    def _learn(self, missing: list[str]) -> None:
-        known, plain, other, closed = self.known, [], [], []
-        cores = set()
+        self.end = end
+        self._forget()
+
+    def _forget(self) -> None:
+        self.parts: dict[str, list[int]] = {}
+        self.ids = np.array([self.end], "<u4")  # the end token lies at 0
+        self.hashes, self.first, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.index = HashIndex(self.hashes)
+
+    def rows(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all rows, each with the end token, and where each row begins."""
+        data, offsets = flat(column)
+        starts, ends, before = words(data, offsets)
+        h = hash_spans(data, starts, ends, seed=5)
+        at = self.index.find(h)
+        if len(self.hashes) > REMEMBERED and (at < 0).any():
+            self._forget()
+            at = self.index.find(h)
+        lost = np.flatnonzero(at < 0)
+        if len(lost):
+            _, one = np.unique(h[lost], return_index=True)
+            one = lost[one]
+            raw = data.tobytes()
+            ids = self._ask([raw[a:b].decode() for a, b in zip(starts[one].tolist(), ends[one].tolist(), strict=True)])
+            size = np.fromiter(map(len, ids), np.int64, len(ids))
+            first = len(self.ids) + np.cumsum(size) - size
+            self.ids = np.append(self.ids, np.array([i for x in ids for i in x], "<u4"))
+            hashes = np.append(self.hashes, h[one])
+            order = np.argsort(hashes, kind="stable")
+            self.hashes, self.first, self.size = hashes[order], np.append(self.first, first)[order], np.append(self.size, size)[order]
+            self.index = HashIndex(self.hashes)
+            at = self.index.find(h)
+        first, size = np.insert(self.first[at], before[1:], 0), np.insert(self.size[at], before[1:], 1)
+        ends = np.cumsum(size)
+        out = self.ids[np.repeat(first - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
+        return out, np.append(0, ends)[before + np.arange(len(before))]
+
+    def _ask(self, missing: list[str]) -> list[list[int]]:
+        known, plain, other, parts = self.parts, {}, {}, []
         for w in missing:
             core = w.rstrip(CLOSING)
             if core.isalpha() and max(core) < "\u0100":
-                if core is not w and len(core) < len(w):
-                    closed.append((w, core, w[len(core) :]))
-                    cores.add(core)
-                    cores.add(w[len(core) :])
-                else:
-                    plain.append(w)
+                core, mark = core.lower(), w[len(core) :]
+                parts.append((core, mark))
+                plain[core] = None
+                if mark:
+                    other[mark] = None
             else:
-                other.append(w)
-        new = cores.difference(known).difference(plain)
-        plain += [c for c in new if c.isalpha()]
-        other += [c for c in new if not c.isalpha()]
+                parts.append((w, ""))
+                other[w] = None
+        plain = [w for w in plain if w not in known]
         for at in range(0, len(plain), 5_000):
             some = plain[at : at + 5_000]
             lines = [" ".join(some[i : i + 200]) for i in range(0, len(some), 200)]
-            ids = np.array([i for e in self.encode(lines, add_special_tokens=False) for i in e.ids], "<u4")
-            ends = (np.flatnonzero(self.closes[ids]) + 1) * 4
+            ids = [i for e in self.encode(lines, add_special_tokens=False) for i in e.ids]
+            ends = (np.flatnonzero(self.closes[ids]) + 1).tolist()
             if len(ends) != len(some):
-                other += some
+                other |= dict.fromkeys(some)
                 continue
-            raw, start = ids.tobytes(), 0
-            for w, end in zip(some, ends.tolist(), strict=True):
-                known[w] = raw[start:end]
-                start = end
+            known.update((w, ids[a:b]) for w, a, b in zip(some, [0, *ends], ends, strict=False))
+        other = [w for w in other if w not in known]
         for at in range(0, len(other), 5_000):
             some = other[at : at + 5_000]
-            for w, e in zip(some, self.encode(some, add_special_tokens=False), strict=True):
-                known[w] = np.array(e.ids, "<u4").tobytes()
-        for w, core, mark in closed:
-            known[w] = known[core] + known[mark]
+            known.update((w, e.ids) for w, e in zip(some, self.encode(some, add_special_tokens=False), strict=True))
+        out = [known[core] + known[mark] if mark else known[core] for core, mark in parts]
+        if len(known) > REMEMBERED_PARTS:
+            known.clear()
+        return out
 
 
 def decompose(length: int, most: int = MOST) -> list[tuple[int, int]]:
@@ -107,6 +130,15 @@ def decompose(length: int, most: int = MOST) -> list[tuple[int, int]]:
     return out
 
 
+def _digits(most: int) -> np.ndarray:
+    """For each rest below `most` its binary digits as powers of two, longest first, then zeros."""
+    out = np.zeros((most, max(1, most.bit_length() - 1)), np.int64)
+    for n in range(most):
+        digits = [1 << k for k in reversed(range(n.bit_length())) if n >> k & 1]
+        out[n, : len(digits)] = digits
+    return out
+
+
 def pack(docs: DataFrame, vocab_path: str, text: str = "text", most: int = MOST, end: int = END) -> DataFrame:
     """One row per piece: the columns of `docs` without the text, and start, length, ids (binary, little-endian
     unsigned 32-bit), doc_tokens, bucket (the power of two), sequence_id and offset (0: a sequence has one piece).
@@ -116,27 +148,30 @@ def pack(docs: DataFrame, vocab_path: str, text: str = "text", most: int = MOST,
 
     @arrow_udf("array<struct<start:long,length:long,ids:binary,doc_tokens:long>>")
     def cut(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        words, last = WordIds(vocab_path), np.array([end], "<u4").tobytes()
+        ids_of, rest = WordIds(vocab_path, end), _digits(most)
+        kind = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("doc_tokens", pa.int64())]))
         for batch in batches:
-            rows, start, length, ids, total = [0], [], [], [], []
+            made = []
             for part in column_pieces(batch, 1 << 21):
-                for raw in words.texts(part.to_pylist()):
-                    raw += last
-                    n = len(raw) // 4
-                    for s, k in decompose(n, most):
-                        start.append(s)
-                        length.append(k)
-                        ids.append(raw[4 * s : 4 * (s + k)])
-                        total.append(n)
-                    rows.append(len(start))
-            made = [pa.array(x, t) for x, t in ((start, pa.int64()), (length, pa.int64()), (ids, pa.binary()), (total, pa.int64()))]
-            yield pa.ListArray.from_arrays(pa.array(rows, pa.int32()), pa.StructArray.from_arrays(made, ["start", "length", "ids", "doc_tokens"]))
+                ids, at = ids_of.rows(part)
+                n = np.diff(at)
+                full = n // most
+                pieces = full + (rest[n % most] > 0).sum(axis=1)
+                row, nth = ragged(pieces)
+                length = np.where(nth < full[row], most, rest[n[row] % most, np.maximum(nth - full[row], 0)])
+                ends = np.cumsum(length)
+                start = ends - length - at[row]
+                # a document's pieces lie behind one another, as their ids do
+                raw = pa.Array.from_buffers(pa.binary(), len(length), [None, pa.py_buffer(np.append(0, 4 * ends).astype(np.int32)), pa.py_buffer(ids)])
+                rows = pa.StructArray.from_arrays([pa.array(start), pa.array(length), raw, pa.array(n[row])], ["start", "length", "ids", "doc_tokens"])
+                made.append(pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(pieces)), pa.int32()), rows))
+            yield pa.concat_arrays(made) if made else pa.array([], kind)
 
     made = ("start", "length", "ids", "doc_tokens", "bucket", "sequence_id", "offset")
     keep = [F.col(f"`{c}`") for c in docs.columns if c != text and c not in made]
     cuts = docs.select(*keep, cut(F.col(text)).alias("_pieces"))
     return (
-        cuts.select(*keep, F.inline("_pieces"))
+        cuts.select(*keep, F.inline_outer("_pieces"))  # every document has a piece; plain inline would filter, and tokenise twice
         .withColumn("bucket", F.col("length"))
         .withColumn("sequence_id", F.monotonically_increasing_id())
         .withColumn("offset", F.lit(0).cast("long"))
