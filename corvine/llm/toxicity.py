@@ -32,7 +32,7 @@ MOST_FEATURES = 50_000
 THRESHOLD = 0.7
 KINDS = 4
 #: Log odds of a sentence without any evidence; the fit may only lower it.
-REST = -9.0
+REST = -12.0
 
 LETTER = np.zeros(256, bool)
 LETTER[0x30:0x3A] = LETTER[0x61:0x7B] = LETTER[0x80:] = True
@@ -85,7 +85,7 @@ class Model:
         return logit, doc, span
 
 
-def fit(texts: pa.Array, labels: np.ndarray, rounds: int = 150, rate: float = 0.15, decay: float = 1e-4) -> Model:
+def fit(texts: pa.Array, labels: np.ndarray, rounds: int = 150, rate: float = 0.2, decay: float = 0.01, init: float = 1.5) -> Model:
     """Weights by Adam on the noisy-or likelihood of document labels, over features that lean to label 1."""
     kinds, sentence, doc, _ = features(texts)
     n_docs = len(labels)
@@ -96,7 +96,7 @@ def fit(texts: pa.Array, labels: np.ndarray, rounds: int = 150, rate: float = 0.
         feature, owner = pair & np.uint64((1 << 50) - 1), (pair >> np.uint64(50)).astype(np.int64)
         f, inverse, n = np.unique(feature, return_inverse=True, return_counts=True)
         n_pos = np.bincount(inverse, positive[owner], len(f))
-        lean = (n_pos >= 4) & (n_pos >= 0.6 * n) & (f > 0)
+        lean = (n_pos >= 4) & (n_pos >= 0.8 * n) & (f > 0)
         chosen.append((f[lean], n_pos[lean]))
     f = np.concatenate([c for c, _ in chosen])
     n_pos = np.concatenate([c for _, c in chosen])
@@ -115,7 +115,7 @@ def fit(texts: pa.Array, labels: np.ndarray, rounds: int = 150, rate: float = 0.
     some, row = np.unique(where, return_inverse=True)
     owner = doc[some]
     plain = np.bincount(doc, minlength=n_docs) - np.bincount(owner, minlength=n_docs)
-    w, m, v = np.full(len(f), 0.5), np.zeros(len(f) + 1), np.zeros(len(f) + 1)
+    w, m, v = np.full(len(f), init), np.zeros(len(f) + 1), np.zeros(len(f) + 1)
     sigmoid = lambda x: 1 / (1 + np.exp(-x))
     for t in range(1, rounds + 1):
         z = bias + np.bincount(row, w[column], len(some))
@@ -125,7 +125,7 @@ def fit(texts: pa.Array, labels: np.ndarray, rounds: int = 150, rate: float = 0.
         # d(-log likelihood)/d(log odds of a sentence) = p for label 0, -p * clean / (1 - clean) for label 1
         pull = np.where(positive, -clean / np.maximum(1 - clean, 1e-9), 1.0) / n_docs
         g = pull[owner] * p
-        grad = np.append(np.bincount(column, g[row], len(f)) + decay * w, g.sum() + (pull * plain).sum() * p0)
+        grad = np.append(np.bincount(column, g[row], len(f)) + decay / n_docs * w, g.sum() + (pull * plain).sum() * p0)
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
         step = rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-9)
         w, bias = np.maximum(w - step[:-1], 0), min(REST, bias - step[-1])
