@@ -36,10 +36,10 @@ from ._text import SPACE, column_pieces, flat, hash_spans, lanes, mix, pieces, w
 #: Positions in a batch take the low bits of the ordering key, the gram's hash the rest; fixed, so that the choice
 #: of an anchor depends on a window's content alone.
 PLACE_BITS = 31
-#: More different segments than this at an anchor are dealt by window.
-CROWD = 64
 #: Segments that a shard holds on average.
 SHARD = 8192
+#: More different segments than this at an anchor are dealt by window.
+CROWD = SHARD // 16
 #: Bytes of text worked on at once.
 STEP = 1 << 19
 
@@ -106,7 +106,7 @@ def runs(u: Units, scheme: Scheme) -> tuple[np.ndarray, np.ndarray, np.ndarray,
 
 
 def anchors(text: Column, scheme: Scheme) -> Column:
-    """The anchors of a text's runs, with repeats."""
+    """The anchors of a text's runs; one that the text has more than once comes twice."""
 
     @arrow_udf("array<long>")
     def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -114,6 +114,11 @@ def anchors(text: Column, scheme: Scheme) -> Column:
             made = []
             for part in column_pieces(batch, STEP):
                 row, _, _, _, anchor = runs(units(part, scheme), scheme)
+                order = np.lexsort((anchor, row))
+                row, anchor = row[order], anchor[order]
+                third = np.zeros(len(row), bool)
+                third[2:] = (row[2:] == row[:-2]) & (anchor[2:] == anchor[:-2])
+                row, anchor = row[~third], anchor[~third]
                 cut = np.searchsorted(row, np.arange(len(part) + 1))
                 made.append(pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(anchor.view(np.int64))))
             yield pa.concat_arrays(made) if made else pa.array([], pa.list_(pa.int64()))
