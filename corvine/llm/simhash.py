@@ -194,9 +194,10 @@ def deduplicate(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", rad
     ids keeps all its rows, as nothing tells which one stays."""
     near = near_duplicates(docs.select(F.col(doc_id), F.col(text)), text, doc_id, radius, size)
     kept = near.where(F.col(doc_id) == F.col("component_id")).select(F.col(doc_id).alias("_kept")).distinct()
-    unknown = near.where(F.col("component_id").isNull())
-    out = docs.join(kept, docs[doc_id] == F.col("_kept"), "left_semi")
-    return out.dropDuplicates([doc_id]) if unknown.isEmpty() else out.dropDuplicates([doc_id]).unionByName(docs.where(F.col(doc_id).isNull()).join(unknown.select("fingerprint").distinct(), simhash(F.col(text), size) == F.col("fingerprint"), "left_semi"))
+    named = docs.join(kept, F.col(doc_id) == F.col("_kept"), "left_semi").dropDuplicates([doc_id])
+    nameless = near.where(F.col("component_id").isNull()).select(F.col("fingerprint").alias("_other")).distinct()
+    rest = docs.where(F.col(doc_id).isNull()).withColumn("_fp", simhash(F.col(text), size))
+    return named.unionByName(rest.join(nameless, F.col("_fp") == F.col("_other"), "left_semi").drop("_fp"))
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
