@@ -17,7 +17,7 @@ from ..functions import html as H
 from ..functions import scalars as S
 from ..functions import text as X
 from ..operators import checks, diff, graph, linkage, metrics, tables
-from ..sources import io
+from ..sources import crawl, io
 from ..sources.spool import Spool
 from . import evaluations
 from . import pipeline as P
@@ -750,3 +750,31 @@ def not_yet_done(spark, d):
 @query("""select user_id, date_trunc('hour', ts) as hour, count(*) as n from events group by 1, 2""")
 def hourly_counts(spark, d):
     return t(spark, d, "events").groupBy("user_id", F.date_trunc("hour", "ts").alias("hour")).agg(F.count("*").alias("n"))
+
+
+@query("""select distinct unnest(regexp_extract_all(url, '/([0-9]+)', 1)) as code from pages""")
+def season_scrape(spark, d):
+    return crawl.extract_codes(t(spark, d, "pages"), "url", "/([0-9]+)")
+
+
+@query("""select doc_id, lang from documents where doc_id % 3 <> 0 and doc_id not in (select doc_id from labels where toxic = 1)""")
+def fetch_gate(spark, d):
+    return crawl.to_fetch(t(spark, d, "documents").where("doc_id % 3 <> 0").select("doc_id", "lang"), t(spark, d, "labels").where("toxic = 1"), ["doc_id"])
+
+
+@query(f"with {_OFF} select string_agg(distinct season_code, ',' order by season_code) as seasons from off")
+def updated_seasons(spark, d):
+    return crawl.updated_seasons(offerings(spark, d))
+
+
+@query("""select l_orderkey as course_id, count(distinct l_suppkey) as sections, count(distinct l_partkey) as codes, count(*) as listings from lineitem where l_quantity > 30 group by 1 having count(distinct l_suppkey) > 1 or count(distinct l_partkey) <> count(*)""")
+def section_report(spark, d):
+    li = t(spark, d, "lineitem").where("l_quantity > 30").select(F.col("l_orderkey").alias("course_id"), F.col("l_suppkey").alias("section"), F.col("l_partkey").alias("course_code"))
+    return linkage.report_sections(li)
+
+
+@query("""select o_orderkey as course_id, o_custkey as flag_id from orders where o_orderkey % 5 = 0""")
+def flags_bridge(spark, d):
+    o = t(spark, d, "orders").where("o_orderkey % 5 = 0").select(F.col("o_orderkey").alias("course_id"), F.array(F.concat(F.lit("c"), F.col("o_custkey").cast("string")), F.concat(F.lit("c"), F.col("o_custkey").cast("string"))).alias("flags"))
+    known = t(spark, d, "customer").select(F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("key"), F.col("c_custkey").alias("id"))
+    return linkage.resolve_flags(o, known, "course_id")[1]
