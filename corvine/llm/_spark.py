@@ -1,53 +1,16 @@
-"""Shared Spark helpers: table paths and tables spooled to the folder that all executors share."""
+"""Shared Spark helpers: tables of a folder, spooled tables, partition counts."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.spool import Spool, shared_dir
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; only where none is set, as in tests on one machine, a folder of our own."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        at = getattr(spark.sparkContext, "_corvine_dir", None) or "file://" + tempfile.mkdtemp(prefix="corvine-")
-        spark.sparkContext._corvine_dir = at
-    return at.rstrip("/")
-
+__all__ = ["Spool", "partitions", "shared_dir", "table"]
 
-class Spool:
-    """Intermediate tables, written as Parquet to the shared folder and read back.
 
-    Cutting lineage this way survives lost executors and needs no second run of what was written. `drop`
-    removes a table when nothing will read it again.
-    """
-
-    def __init__(self, spark: SparkSession, what: str):
-        self.spark, self.root = spark, f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
-        self.n = 0
-
-    def path(self, name: str) -> str:
-        self.n += 1
-        return f"{self.root}/{self.n}-{name}"
-
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
-        at = self.path(name)
-        df.write.option("compression", "zstd").parquet(at)
-        out = self.spark.read.schema(df.schema).parquet(at)
-        out._spooled_at = at
-        return out
-
-    def drop(self, *tables: DataFrame) -> None:
-        jvm = self.spark._jvm
-        for t in tables:
-            at = jvm.org.apache.hadoop.fs.Path(t._spooled_at)
-            at.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def partitions(spark: SparkSession, rows: int, each: int) -> int:

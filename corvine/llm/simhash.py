@@ -22,9 +22,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+from ..operators.graph import components
 from ._spark import Spool, table
 from ._text import LOWER, SPACE, column_pieces, flat, words, xxh64_spans
-from .components import components
 
 SHINGLE = 4
 RADIUS = 4

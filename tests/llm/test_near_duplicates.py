@@ -8,7 +8,7 @@ import xxhash
 from corvine.llm import simhash
 from corvine.llm._spark import Spool
 from corvine.llm._text import xxh64_spans
-from corvine.llm.components import components
+from corvine.operators.graph import components
 
 
 def brute_print(t):
