@@ -10,6 +10,8 @@ from pyspark.sql.window import Window as W
 
 from .. import config
 from ..functions import scalars as S
+from ..sources.spool import Spool
+from . import tables
 
 
 def _on(keys: list[str]) -> Column:
@@ -89,8 +91,9 @@ def upsert_ids(new: DataFrame, old: DataFrame, keys: list[str], ident: str) -> D
         on = on & F.col(k).eqNullSafe(F.col(f"_{k}"))
     out = new.join(known, on, "left").drop(*[f"_{k}" for k in keys])
     top = old.agg(F.coalesce(F.max(ident), F.lit(0)).alias("_top"))
-    fresh = out.where("_id is null").select(*keys).distinct().withColumn("_rank", F.row_number().over(W.orderBy(*keys)))
-    fresh = fresh.crossJoin(F.broadcast(top)).select(*[F.col(k).alias(f"_{k}") for k in keys], (F.col("_top") + F.col("_rank")).alias("_new"))
+    fresh = tables.ordered(out.where("_id is null").select(*keys).distinct(), keys, "_at", Spool(new.sparkSession, "upsert"))
+    fresh = tables.row_ids(fresh, "_at", "_rank").crossJoin(F.broadcast(top))  # one row
+    fresh = fresh.select(*[F.col(k).alias(f"_{k}") for k in keys], (F.col("_top") + 1 + F.col("_rank")).alias("_new"))
     return out.join(fresh, on, "left").withColumn(ident, F.coalesce("_id", "_new")).drop("_id", "_new", *[f"_{k}" for k in keys])
 
 

@@ -253,8 +253,8 @@ def resolve_professors(courses: DataFrame, cache: DataFrame, ordinal: str, email
     rows = rows.join(latest, "email", "left").withColumn("name", F.coalesce("_latest", "name")).drop("_latest")
     rows = rows.withColumn("_key", S.cache_key(F.col("name"), F.col("email"))).withColumn("_seq", F.struct("email", "_name", "_o", "_p"))
     first = rows.groupBy("_key").agg(F.min("_seq").alias("_seq"))
-    # a dense order of keys for new ids, by first appearance
-    order = first.withColumn("_rank", F.row_number().over(W.orderBy("_seq")).cast("bigint")).drop("_seq")
+    # new ids follow the keys' first appearance
+    order = tables.ordered(first, ["_seq"], "_rank", Spool(courses.sparkSession, "professors")).drop("_seq")
     rows = tables.stable_ids(rows.join(order, "_key"), "_key", "_rank", cache, "professor_id", "name")
     people = rows.groupBy("professor_id").agg(F.max_by(F.struct("name", "email"), "_seq").alias("_r")).select("professor_id", "_r.name", S.null_if_empty(F.col("_r.email")).alias("email"))
     return people, rows.select("course_id", "professor_id")
@@ -270,7 +270,8 @@ def saved_professor_keys(professors: DataFrame) -> DataFrame:
 def resolve_flags(courses: DataFrame, cache: DataFrame, ordinal: str) -> tuple[DataFrame, DataFrame]:
     """flags (flag_id, flag_text) and course_flags (course_id, flag_id)."""
     rows = courses.select("course_id", F.col(ordinal).alias("_o"), F.posexplode("flags").alias("_p", "flag_text")).where("flag_text is not null")
-    order = rows.groupBy("flag_text").agg(F.min(F.struct("_o", "_p")).alias("_s")).withColumn("_rank", F.row_number().over(W.orderBy("_s")).cast("bigint")).drop("_s")
+    first = rows.groupBy("flag_text").agg(F.min(F.struct("_o", "_p")).alias("_s"))
+    order = tables.ordered(first, ["_s"], "_rank", Spool(courses.sparkSession, "flags")).drop("_s")
     rows = tables.stable_ids(rows.join(order, "flag_text"), "flag_text", "_rank", cache, "flag_id")
     return rows.select("flag_id", "flag_text").distinct(), rows.select("course_id", "flag_id").distinct()
 

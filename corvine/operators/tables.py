@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from ..sources.spool import Spool
+
 
 def keep_first(df: DataFrame, keys: list[str], ordinal: str) -> DataFrame:
     """Like `keep` by one ordinal; a partial aggregation instead of a sort."""
@@ -58,6 +60,13 @@ def row_ids(df: DataFrame, ordinal: str, into: str = "id", buckets: int = 1024)
     return out.withColumn(into, (F.col("_own") + F.coalesce("_before", F.lit(0))).cast("bigint")).drop("_b", "_own", "_before")
 
 
+def ordered(df: DataFrame, order: list[str], into: str, spool: Spool) -> DataFrame:
+    """Adds integers that rise with `order`, though not densely: the rows are sorted in ranges, not in one task. The
+    result is spooled, so that every reader sees the same numbers."""
+    out = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(into, F.monotonically_increasing_id())
+    return spool.keep(out, "ordered")
+
+
 def stable_ids(df: DataFrame, key: str, ordinal: str, cache: DataFrame, into: str = "id", fallback: str | None = None) -> DataFrame:
     """Ids that persist between runs: known keys keep theirs, a row's `fallback` key may lend its own, and new keys
     follow the largest known id in the order in which they first appear. `cache` has columns key, id."""
