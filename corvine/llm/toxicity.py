@@ -85,40 +85,60 @@ class Model:
         return logit, doc, span
 
 
+def _parts(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
+    """The texts in parts of bounded size, each with its first row's number."""
+    first = 0
+    for part in column_pieces(texts, 1 << 20):
+        yield first, part
+        first += len(part)
+
+
+def _leaning(texts: pa.Array, positive: np.ndarray) -> np.ndarray:
+    """Features of at least four positive documents that make up four fifths of their documents; the most frequent
+    of them if there are too many. Counts are merged part by part, so that little is held at once."""
+    f, n, n_pos = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for first, part in _parts(texts):
+        kinds, sentence, doc, _ = features(part)
+        own = doc[sentence].astype(np.uint64) << np.uint64(50)
+        pair = np.unique(np.concatenate([own | k for k in kinds]))
+        feature, owner = pair & np.uint64((1 << 50) - 1), (pair >> np.uint64(50)).astype(np.int64) + first
+        every = np.concatenate([f, feature])
+        order = np.argsort(every, kind="stable")
+        every = every[order]
+        new = np.flatnonzero(np.append(True, every[1:] != every[:-1])) if len(every) else np.zeros(0, np.int64)
+        if len(new):
+            n = np.add.reduceat(np.concatenate([n, np.ones(len(feature), np.int64)])[order], new)
+            n_pos = np.add.reduceat(np.concatenate([n_pos, positive[owner].astype(np.int64)])[order], new)
+            f = every[new]
+    lean = (n_pos >= 4) & (n_pos >= 0.8 * n) & (f > 0)
+    f, n_pos = f[lean], n_pos[lean]
+    return np.sort(f[np.argsort(-n_pos, kind="stable")[:MOST_FEATURES]])
+
+
 def fit(texts: pa.Array, labels: np.ndarray, rounds: int = 150, rate: float = 0.2, decay: float = 0.01, init: float = 1.5) -> Model:
     """Weights by Adam on the noisy-or likelihood of document labels, over features that lean to label 1."""
-    kinds, sentence, doc, _ = features(texts)
-    n_docs = len(labels)
-    positive = labels.astype(bool)
-    chosen = []
-    for k in kinds:
-        pair = np.unique((doc[sentence].astype(np.uint64) << np.uint64(50)) | k) if len(sentence) else k
-        feature, owner = pair & np.uint64((1 << 50) - 1), (pair >> np.uint64(50)).astype(np.int64)
-        f, inverse, n = np.unique(feature, return_inverse=True, return_counts=True)
-        n_pos = np.bincount(inverse, positive[owner], len(f))
-        lean = (n_pos >= 4) & (n_pos >= 0.8 * n) & (f > 0)
-        chosen.append((f[lean], n_pos[lean]))
-    f = np.concatenate([c for c, _ in chosen])
-    n_pos = np.concatenate([c for _, c in chosen])
-    f = np.unique(f[np.argsort(-n_pos, kind="stable")[:MOST_FEATURES]])
+    n_docs, positive = len(labels), labels.astype(bool)
     bias = REST
+    f = _leaning(texts, positive)
     if not len(f) or not positive.any():
         return Model(np.zeros(0, np.uint64), np.zeros(0), bias)
-    where, column = [], []
-    for k in kinds:
-        at = np.minimum(np.searchsorted(f, k), len(f) - 1)
-        hit = f[at] == k
-        where.append(sentence[hit])
-        column.append(at[hit])
-    where, column = np.concatenate(where), np.concatenate(column)
     # sentences without evidence share one probability: only those with some are kept apart
-    some, row = np.unique(where, return_inverse=True)
-    owner = doc[some]
-    plain = np.bincount(doc, minlength=n_docs) - np.bincount(owner, minlength=n_docs)
+    row, column, owner, plain, at = [], [], [], np.zeros(n_docs), 0
+    for first, part in _parts(texts):
+        kinds, sentence, doc, _ = features(part)
+        hits = [np.minimum(np.searchsorted(f, k), len(f) - 1) for k in kinds]
+        true = [f[h] == k for h, k in zip(hits, kinds, strict=True)]
+        some, own = np.unique(np.concatenate([sentence[x] for x in true]), return_inverse=True)
+        row.append(own + at)
+        column.append(np.concatenate([h[x] for h, x in zip(hits, true, strict=True)]))
+        owner.append(doc[some] + first)
+        plain += np.bincount(doc + first, minlength=n_docs) - np.bincount(doc[some] + first, minlength=n_docs)
+        at += len(some)
+    row, column, owner = np.concatenate(row), np.concatenate(column), np.concatenate(owner)
     w, m, v = np.full(len(f), init), np.zeros(len(f) + 1), np.zeros(len(f) + 1)
     sigmoid = lambda x: 1 / (1 + np.exp(-x))
     for t in range(1, rounds + 1):
-        z = bias + np.bincount(row, w[column], len(some))
+        z = bias + np.bincount(row, w[column], at)
         p, p0 = sigmoid(z), sigmoid(bias)
         off = np.bincount(owner, np.log1p(-np.minimum(p, 1 - 1e-12)), n_docs) + plain * np.log1p(-p0)
         clean = np.exp(off)  # probability that no sentence offends
