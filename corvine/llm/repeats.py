@@ -46,11 +46,19 @@ STEP = 1 << 19
 
 @dataclass(frozen=True)
 class Scheme:
-    """What a window is: `length` units of words or bytes, anchored at grams of 8 units."""
+    """What a window is: `length` units of words or bytes, anchored at grams of `gram` units.
+
+    Grams are about a quarter of a window, eight words or 32 bytes at most: long enough that chance does not repeat
+    them, short enough that anchors are few.
+    """
 
     unit: str
     length: int
-    gram: int = 8
+
+    @property
+    def gram(self) -> int:
+        quarter = 1 << max(0, (self.length // 4).bit_length() - 1)
+        return max(8, min(32, quarter)) if self.unit == "byte" else min(8, quarter)
 
 
 @dataclass
@@ -60,13 +68,16 @@ class Units:
     starts: np.ndarray | None
     ends: np.ndarray | None
 
-    def grams(self, n: int) -> np.ndarray:
+    def grams(self, gram: int) -> np.ndarray:
+        """Hashes of all grams, by doubling; the gram's size is a power of two, for bytes eight or more."""
         if self.starts is None:
-            return mix(lanes(self.data)[: max(0, n)].copy())
-        h = hash_spans(self.data, self.starts, self.ends)
-        for step in (1, 2, 4):
-            h = mix(h[:-step] * np.uint64(0x9E3779B97F4A7C15) + h[step:]) if len(h) > step else h[:0]
-        return h[: max(0, n)]
+            h, size = mix(lanes(self.data)[: max(0, len(self.data) - 7)].copy()), 8
+        else:
+            h, size = hash_spans(self.data, self.starts, self.ends), 1
+        while size < gram:
+            h = mix(h[:-size] * np.uint64(0x9E3779B97F4A7C15) + h[size:]) if len(h) > size else h[:0]
+            size *= 2
+        return h
 
 
 def units(column: pa.Array, scheme: Scheme) -> Units:
@@ -86,7 +97,7 @@ def runs(u: Units, scheme: Scheme) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     rows = np.flatnonzero(sizes >= scheme.length)
     if total <= 0 or not len(rows):
         return none, none, none, none, none.view(np.uint64)
-    grams = u.grams(n - scheme.gram + 1)
+    grams = u.grams(scheme.gram)
     low = np.uint64((1 << PLACE_BITS) - 1)
     least = (grams & ~low) | np.arange(len(grams), dtype=np.uint64)
     size = 1
