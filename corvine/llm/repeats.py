@@ -38,8 +38,8 @@ from ._text import SPACE, column_pieces, flat, hash_spans, lanes, mix, pieces, w
 PLACE_BITS = 31
 #: Segments that a shard holds on average.
 SHARD = 8192
-#: More different segments than this at an anchor are dealt by window.
-CROWD = SHARD // 16
+#: More different segments than this at an anchor are dealt by window: no anchor brings more than another shard.
+CROWD = SHARD
 #: Bytes of text worked on at once.
 STEP = 1 << 19
 
