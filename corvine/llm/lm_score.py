@@ -286,27 +286,40 @@ class Model:
     def tune(self, docs: DataFrame, text: str, shared) -> None:
         """Fits the mixture on training documents: a document's own occurrence is taken off each of its bigrams, so
         one of the lowest level counts as unseen."""
-        if not self.small:  # without the table at hand, a weight between
-            self.weights = np.where(np.arange(BUCKETS) > 0, 0.3, 0.0)
-            return
         weights = self.weights
 
+        def add(seen: np.ndarray, own: Scorer, get, column: pa.Array) -> None:
+            token, past, _ = tokens(column)
+            _, context, level, ratio = own.parts(token, past, get(token))
+            ratio[level <= 1] = 0
+            some = ratio > 0
+            place = np.zeros(len(token), np.int64)
+            place[some] = np.clip(np.floor(np.log10(ratio[some]) * 10).astype(np.int64) + 41, 1, BINS - 1)
+            seen += np.bincount(bucket_of(context) * BINS + place, minlength=len(seen))
+
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             *args, table_ = shared.value
             own, get = Scorer(*args, weights), Table(*table_).get
             seen = np.zeros(BUCKETS * BINS, np.int64)
             for batch in batches:
                 for part in pieces(batch, "text", STEP):
-                    token, past, _ = tokens(part.column("text"))
-                    uni, context, level, ratio = own.parts(token, past, get(token))
-                    ratio[level <= 1] = 0
-                    some = ratio > 0
-                    place = np.zeros(len(token), np.int64)
-                    place[some] = np.clip(np.floor(np.log10(ratio[some]) * 10).astype(np.int64) + 41, 1, BINS - 1)
-                    seen += np.bincount(bucket_of(context) * BINS + place, minlength=len(seen))
+                    add(seen, own, get, part.column("text"))
             yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(seen)), pa.array(seen[seen > 0])], ["cell", "n"])
 
-        scored = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text")).mapInArrow(count, "cell long, n long")
+        def count_block(_: tuple, some: pa.Table, answers: pa.Table) -> pa.Table:
+            *args, _table = shared.value
+            own, get = Scorer(*args, weights), _answered(answers)
+            seen = np.zeros(BUCKETS * BINS, np.int64)
+            for part in column_pieces(some.column("text").combine_chunks(), STEP):
+                add(seen, own, get, part)
+            return pa.table({"cell": pa.array(np.flatnonzero(seen)), "n": pa.array(seen[seen > 0])})
+
+        if self.small:
+            scored = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text")).mapInArrow(count, "cell long, n long")
+        else:
+            spool = Spool(self.spark, "lm-tune")
+            _, body = _blocks(docs.select(F.col(text).alias("text")), "text", spool)
+            scored = body.groupBy("block").cogroup(counts_by_block(body, self).groupBy("block")).applyInArrow(count_block, "cell long, n long")
         ratios = np.zeros(BUCKETS * BINS)
         for r in scored.groupBy("cell").agg(F.sum("n").alias("n")).collect():
             ratios[r.cell] = r.n
@@ -348,14 +361,16 @@ def score(docs: DataFrame, model: Model, shared, text: str = "text", into: str =
     return docs.withColumn(into, run(F.coalesce(F.col(text), F.lit(""))))
 
 
-def _score_by_block(docs: DataFrame, model: Model, shared, text: str, into: str) -> DataFrame:
-    """Scores without the table: blocks of documents ask the hash ranges for the counts of their distinct words."""
-    spark, ranges, weights = docs.sparkSession, model.ranges, model.weights
-    spool = Spool(spark, "lm-blocks")
-    docs = docs if into == text else docs.drop(into)
+def _blocks(docs: DataFrame, text: str, spool: Spool) -> tuple[DataFrame, DataFrame]:
+    """`docs` spooled with a row number, and of them row number, block and text."""
     rows = spool.keep(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
     blocks = max(1, -(-rows.count() // BLOCK_ROWS))
-    body = rows.select("_row", F.pmod(F.xxhash64("_row"), F.lit(blocks)).alias("block"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    return rows, rows.select("_row", F.pmod(F.xxhash64("_row"), F.lit(blocks)).alias("block"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+
+
+def counts_by_block(body: DataFrame, model: Model) -> DataFrame:
+    """The counts of each block's distinct words, fetched from the hash ranges."""
+    ranges = model.ranges
 
     def ask(key: tuple, some: pa.Table) -> pa.Table:
         column = some.column("text").combine_chunks()
@@ -373,17 +388,29 @@ def _score_by_block(docs: DataFrame, model: Model, shared, text: str, into: str)
             counts = [bytes(len(h)) for h in asked.column("hashes").to_pylist()]
         return pa.table({"block": asked.column("block"), "part": asked.column("part"), "hashes": asked.column("hashes"), "counts": pa.array(counts, pa.binary())})
 
+    asked = body.groupBy("block").applyInArrow(ask, "block long, part int, hashes binary")
+    return asked.groupBy("part").cogroup(model.words.groupBy("part")).applyInArrow(answer, "block long, part int, hashes binary, counts binary")
+
+
+def _answered(answers: pa.Table):
+    """The count lookup of a block."""
+    answers = answers.sort_by("part")
+    return Table(np.frombuffer(b"".join(answers.column("hashes").to_pylist()), U64), np.frombuffer(b"".join(answers.column("counts").to_pylist()), "<i8")).get
+
+
+def _score_by_block(docs: DataFrame, model: Model, shared, text: str, into: str) -> DataFrame:
+    """Scores without the table: blocks of documents ask the hash ranges for the counts of their distinct words."""
+    weights = model.weights
+    rows, body = _blocks(docs if into == text else docs.drop(into), text, Spool(docs.sparkSession, "lm-blocks"))
+
     def finish(_: tuple, some: pa.Table, answers: pa.Table) -> pa.Table:
-        answers = answers.sort_by("part")
-        get = Table(np.frombuffer(b"".join(answers.column("hashes").to_pylist()), U64), np.frombuffer(b"".join(answers.column("counts").to_pylist()), "<i8")).get
         *args, _table = shared.value
-        own = Scorer(*args, weights)
+        own, get = Scorer(*args, weights), _answered(answers)
         column = some.column("text").combine_chunks()
         made = pa.concat_arrays([own.score(p, get) for p in column_pieces(column, STEP)])
         return pa.table({"_row": some.column("_row"), "lm": made})
 
-    asked = body.groupBy("block").applyInArrow(ask, "block long, part int, hashes binary")
-    answers = asked.groupBy("part").cogroup(model.words.groupBy("part")).applyInArrow(answer, "block long, part int, hashes binary, counts binary")
+    answers = counts_by_block(body, model)
     scored = body.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(finish, f"_row long, lm {SCORES}")
     return rows.join(scored.withColumnRenamed("lm", into), "_row").drop("_row")
 

@@ -82,6 +82,20 @@ def test_base_scores_are_exact(spark, monkeypatch, bound):
     assert sorted((g.n_tokens, g.n_known, round(g.base_score, 6)) for g in got) == want and all(g.score <= 0 for g in got)
 
 
+def test_scores_do_not_depend_on_the_path(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "BLOCK_ROWS", 16)
+    r = random.Random(6)
+    rows = [(i, " ".join(r.choice(["a b c", "d e", "f g h a", "b d"]) for _ in range(r.randint(0, 15)))) for i in range(120)] + [(200, None), (201, ""), (202, "zzz unseen Words")]
+    docs, got, weights = spark.createDataFrame(rows, "doc_id long, text string"), [], []
+    for bound in (128 << 20, 0):
+        monkeypatch.setattr(lm_score, "MOST_TABLE", bound)
+        scored, model = lm_score.score_documents(docs)
+        got.append(sorted((x.doc_id, x.lm.n_tokens, round(x.lm.base_score, 9), round(x.lm.score, 9)) for x in scored.collect()))
+        weights.append(model.weights.tolist())
+    assert weights[0] == weights[1] and any(weights[0])
+    assert got[0] == got[1]
+
+
 def test_filter_keeps_every_level():
     r = np.random.default_rng(1)
     pair = np.unique(r.integers(0, 2**63, 4000).astype(np.uint64) * np.uint64(2))
