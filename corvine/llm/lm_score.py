@@ -5,7 +5,7 @@ count quantised to half powers of two: the keys (bigram, 1) ... (bigram, level)
 reader probes levels upward until one is missing. The filter is broadcast. A token's probability mixes the
 add-half unigram with the quantised bigram estimate (a lower bound of the count, so the mixture does not exceed
 one but for the filter's false positives); the weight depends on how often the context was seen and is fitted
-with each training document's own bigrams taken out.
+on all training documents, with each one's own bigrams taken out.
 
 Counting works on sorted hash arrays: each task packs its distinct hashes by range, and a range's packs are merged
 in one bounded group; ranges are cut by hash, so no word or bigram is hot. Unigram counts are exact. Their table
@@ -424,7 +424,7 @@ def score_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     training = docs.where(~held_out(doc_id)).select(doc_id, text)
     model = train(training, text)
     shared = model.share()
-    model.tune(training.where(F.pmod(F.xxhash64(doc_id, text), F.lit(8)) == 0), text, shared)
+    model.tune(training, text, shared)
     return score(docs, model, shared, text, into), model
 
 

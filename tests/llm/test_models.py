@@ -96,6 +96,16 @@ def test_scores_do_not_depend_on_the_path(spark, monkeypatch):
     assert got[0] == got[1]
 
 
+def test_weights_are_fitted_on_all_training_documents(spark):
+    r = random.Random(7)
+    rows = [(i, " ".join(r.choice(["a b c", "d e", "f g h a", "b d"]) for _ in range(12))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").where("pmod(xxhash64(doc_id, text), 8) <> 0")
+    _, model = lm_score.score_documents(docs)
+    whole = lm_score.train(training := docs.where(~lm_score.held_out()))
+    whole.tune(training, "text", whole.share())
+    assert any(whole.weights) and model.weights.tolist() == whole.weights.tolist()
+
+
 def test_filter_keeps_every_level():
     r = np.random.default_rng(1)
     pair = np.unique(r.integers(0, 2**63, 4000).astype(np.uint64) * np.uint64(2))
