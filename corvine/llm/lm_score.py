@@ -1,7 +1,7 @@
 """Language-model scoring with a log-frequency Bloom filter.
 
-Word and bigram counts come from every training document. A bigram that occurs twice or more is stored with its
-count quantised to half powers of two: the keys (bigram, 1) ... (bigram, level) are set in a Bloom filter, and a
+Word and bigram counts come from every training document. Every bigram is stored with its count quantised, level 1
+for once and then half powers of two: the keys (bigram, 1) ... (bigram, level) are set in a Bloom filter, and a
 reader probes levels upward until one is missing. The filter is broadcast. A token's probability mixes the
 add-half unigram with the quantised bigram estimate (a lower bound of the count, so the mixture does not exceed
 one but for the filter's false positives); the weight depends on how often the context was seen and is fitted
@@ -71,6 +71,16 @@ def count_of(levels: np.ndarray) -> np.ndarray:
     return np.where(levels > 0, np.exp2((levels.astype(float) + 1) / 2), 0.0)
 
 
+def stored_level(counts: np.ndarray) -> np.ndarray:
+    """The level in the filter: 1 for once, else one more than `level_of`."""
+    return level_of(counts) + (counts > 0).astype(np.uint8)
+
+
+def stored_count(levels: np.ndarray) -> np.ndarray:
+    """The smallest count of a level in the filter."""
+    return np.where(levels > 1, count_of(np.maximum(levels, 1) - 1), levels.astype(float))
+
+
 # packs: sorted hashes of one range, those that occur once first (7 bytes each: the top byte is the range's)
 
 
@@ -132,8 +142,8 @@ def _merging(fine: int):
         hashes, counts = _merge(np.concatenate([h for h, _ in both]), np.concatenate([c for _, c in both]))
         total = int(counts.sum())
         if kind == PAIR:
-            levels = level_of(counts)
-            hashes, values, keys = hashes[levels > 0], levels[levels > 0], int(levels.sum())
+            values = stored_level(counts)
+            keys = int(values.sum())
         else:
             values, keys = counts.astype("<i8"), len(hashes)
         return pa.table({"kind": pa.array([kind], pa.int32()), "part": pa.array([part], pa.int32()), "total": pa.array([total], pa.int64()), "keys": pa.array([keys], pa.int64()), "hashes": pa.array([hashes.tobytes()], pa.binary()), "values": pa.array([values.tobytes()], pa.binary())})
@@ -214,11 +224,12 @@ class Filter:
 class Scorer:
     """Scores batches of texts given count lookups, the filter and the mixture weights."""
 
-    def __init__(self, fields: dict[int, bytes], ranges: int, total: int, distinct: int, docs: int, weights: np.ndarray):
-        self.filter, self.norm, self.docs, self.weights = Filter(fields, ranges), total + 0.5 * (distinct + 1), docs, weights
+    def __init__(self, filter_: Filter, total: int, distinct: int, docs: int, weights: np.ndarray):
+        self.filter, self.norm, self.docs, self.weights = filter_, total + 0.5 * (distinct + 1), docs, weights
 
-    def parts(self, token: np.ndarray, past: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Unigram probability, context count, bigram level and ratio of bigram to unigram estimate, per token."""
+    def parts(self, token: np.ndarray, past: np.ndarray, counts: np.ndarray, own: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Unigram probability, context count and ratio of bigram to unigram estimate, per token; `own` occurrences
+        are taken off the bigrams."""
         uni = (counts + 0.5) / self.norm
         context = np.empty_like(counts)
         context[1:] = counts[:-1]
@@ -227,13 +238,13 @@ class Scorer:
         level[(context == 0) | (counts == 0)] = 0  # a pair of an unseen word is a false positive
         ratio = np.zeros(len(token))
         some = np.flatnonzero(level)
-        ratio[some] = np.minimum(count_of(level[some]), np.minimum(context[some], counts[some])) / context[some] / uni[some]
-        return uni, context, level, ratio
+        ratio[some] = np.maximum(np.minimum(stored_count(level[some]), np.minimum(context[some], counts[some])) - own, 0) / context[some] / uni[some]
+        return uni, context, ratio
 
     def score(self, column: pa.Array, get) -> pa.StructArray:
         token, past, before = tokens(column)
         counts = get(token)
-        uni, context, _, ratio = self.parts(token, past, counts)
+        uni, context, ratio = self.parts(token, past, counts)
         weight = self.weights[bucket_of(context)]
         base, gain = np.log10(uni), np.log10(1 - weight + weight * ratio)
         add = lambda x: np.add.reduceat(x, before[:-1]) if len(x) else x  # noqa: E731  every row has a token
@@ -268,7 +279,7 @@ class Model:
         bits = min(BITS_PER_KEY, MOST_FILTER * 8 / max(1, stored))
         pairs = counts.where(F.col("kind") == PAIR).where("keys > 0").select("part", "keys", "hashes", "values")
         made = pairs.mapInArrow(_filter_part(bits), "part int, field binary").toArrow()
-        self.fields = dict(zip(made.column("part").to_pylist(), made.column("field").to_pylist(), strict=True))
+        self.filter = Filter(dict(zip(made.column("part").to_pylist(), made.column("field").to_pylist(), strict=True)), ranges)
         self.weights = np.zeros(BUCKETS)
         self.words = counts.where(F.col("kind") == WORD).select("part", "hashes", F.col("values").alias("counts"))
         self.small = self.distinct * 16 <= MOST_TABLE  # the check of the broadcast's size
@@ -281,17 +292,16 @@ class Model:
             hashes = np.frombuffer(b"".join(got.column("hashes").to_pylist()), U64)
             counts = np.frombuffer(b"".join(got.column("counts").to_pylist()), "<i8")
             table_ = (hashes, counts)
-        return self.spark.sparkContext.broadcast((self.fields, self.ranges, self.total, self.distinct, self.docs, table_))
+        return self.spark.sparkContext.broadcast((self.filter, self.total, self.distinct, self.docs, table_))
 
     def tune(self, docs: DataFrame, text: str, shared) -> None:
         """Fits the mixture on training documents: a document's own occurrence is taken off each of its bigrams, so
-        one of the lowest level counts as unseen."""
+        one that occurs once counts as unseen."""
         weights = self.weights
 
         def add(seen: np.ndarray, own: Scorer, get, column: pa.Array) -> None:
             token, past, _ = tokens(column)
-            _, context, level, ratio = own.parts(token, past, get(token))
-            ratio[level <= 1] = 0
+            _, context, ratio = own.parts(token, past, get(token), 1)
             some = ratio > 0
             place = np.zeros(len(token), np.int64)
             place[some] = np.clip(np.floor(np.log10(ratio[some]) * 10).astype(np.int64) + 41, 1, BINS - 1)

@@ -106,6 +106,26 @@ def test_weights_are_fitted_on_all_training_documents(spark):
     assert any(whole.weights) and model.weights.tolist() == whole.weights.tolist()
 
 
+def test_bigrams_that_occur_once_are_seen(spark):
+    # "q r" occurs once, "p q" twice and "q p" never
+    rows = [(i, "a b c") for i in range(300) if zlib.crc32(str(i).encode()) % 5 != 1] + [(1000 + i, f"p{i} q{i}") for i in range(40) if zlib.crc32(str(1000 + i).encode()) % 5 != 1] + [(None, "p q"), (None, "p q r")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = lm_score.train(docs)
+    own = model.filter
+    pair = lambda t: lm_score.pair_hash(*reversed(lm_score.tokens(pa.array([t]))[:2]))[1:2]
+    once, twice, never = (int(own.levels(pair(t))[0]) for t in ("q r", "p q", "q p"))
+    assert once == 1 and twice == 2 and never == 0
+    counts = np.arange(0, 5000)
+    level = lm_score.stored_level(counts)
+    low = lm_score.stored_count(level)
+    assert level[:3].tolist() == [0, 1, 2] and (low <= counts + 1e-6).all() and (low[:3] == [0, 1, 2]).all() and (np.diff(level) >= 0).all()
+    model.weights = np.full(lm_score.BUCKETS, 0.5)
+    shared = model.share()
+    ask = spark.createDataFrame([(1, "q r"), (2, "r q")], "doc_id long, text string")
+    got = {x.doc_id: x.lm for x in lm_score.score(ask, model, shared).collect()}
+    assert got[1].base_score == pytest.approx(got[2].base_score) and got[1].score > got[2].score
+
+
 def test_filter_keeps_every_level():
     r = np.random.default_rng(1)
     pair = np.unique(r.integers(0, 2**63, 4000).astype(np.uint64) * np.uint64(2))
