@@ -25,19 +25,24 @@ from ._text import HashIndex, column_pieces, flat, hash_spans, ragged, words
 
 MOST = 2048
 END = 1
-#: Distinct words, and parts of them, that each Python worker remembers.
-REMEMBERED, REMEMBERED_PARTS = 1_500_000, 500_000
+#: Distinct words, and parts of them, that each Python worker remembers: some 40 and 15 MB.
+REMEMBERED, REMEMBERED_PARTS = 700_000, 50_000
+#: Bytes of text worked on at once.
+STEP = 1 << 20
 #: Marks that end a word of plain letters.
 CLOSING = ".,;:!?"
+#: A text whose ids must be those of its words for a vocabulary to be asked word by word.
+PROBE = "The quick, BROWN fox: it's 42 tons!\tIs it?\n(No.)  \u00c9t\u00e9 x_y"
 
 
 class WordIds:
     """Token ids of whole texts by the `tokenizers` library, asked once per distinct word.
 
-    This is exact for a vocabulary whose normaliser and pattern drop white space and mark word ends: no token
-    spans a blank. Closing punctuation after plain letters is a word of its own to the pattern, so it is asked
-    for apart. Plain words are asked for many at once and told apart by their end marks. Remembered words are
-    found by a 64-bit hash of their bytes.
+    This is exact for a vocabulary whose normaliser and pattern drop white space, write letters small and mark
+    word ends: no token spans a blank. Other vocabularies are told by `PROBE`; their texts are encoded whole.
+    Closing punctuation after plain letters is a word of its own to the pattern, so it is asked for apart. Plain
+    words are asked for many at once and told apart by their end marks. Remembered words are found by a 64-bit
+    hash of their bytes; beyond `REMEMBERED` of them all are forgotten.
     """
 
     def __init__(self, path: str, end: int = END):
@@ -51,15 +56,21 @@ class WordIds:
         self.closes[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self.end = end
         self._forget()
+        whole, by_word = self.encode([PROBE], add_special_tokens=False)[0].ids, self._ask(PROBE.split())
+        self.by_word = bool(self.closes.any()) and whole == [i for ids in by_word for i in ids]
 
     def _forget(self) -> None:
         self.parts: dict[str, list[int]] = {}
         self.ids = np.array([self.end], "<u4")  # the end token lies at 0
-        self.hashes, self.first, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.hashes, self.first, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32)
         self.index = HashIndex(self.hashes)
 
     def rows(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all rows, each with the end token, and where each row begins."""
+        if not self.by_word:
+            ids = [[*e.ids, self.end] for e in self.encode([t or "" for t in column.to_pylist()], add_special_tokens=False)]
+            size = np.fromiter(map(len, ids), np.int64, len(ids))
+            return np.array([i for x in ids for i in x], "<u4"), np.append(0, np.cumsum(size))
         data, offsets = flat(column)
         starts, ends, before = words(data, offsets)
         h = hash_spans(data, starts, ends, seed=5)
@@ -70,22 +81,29 @@ class WordIds:
         lost = np.flatnonzero(at < 0)
         if len(lost):
             _, one = np.unique(h[lost], return_index=True)
-            one = lost[one]
-            raw = data.tobytes()
-            ids = self._ask([raw[a:b].decode() for a, b in zip(starts[one].tolist(), ends[one].tolist(), strict=True)])
-            size = np.fromiter(map(len, ids), np.int64, len(ids))
-            first = len(self.ids) + np.cumsum(size) - size
-            self.ids = np.append(self.ids, np.array([i for x in ids for i in x], "<u4"))
-            hashes = np.append(self.hashes, h[one])
-            order = np.argsort(hashes, kind="stable")
-            self.hashes, self.first, self.size = hashes[order], np.append(self.first, first)[order], np.append(self.size, size)[order]
-            self.index = HashIndex(self.hashes)
+            self._learn(data, starts, ends, h, lost[one])
             at = self.index.find(h)
         first, size = np.insert(self.first[at], before[1:], 0), np.insert(self.size[at], before[1:], 1)
-        ends = np.cumsum(size)
+        ends = np.cumsum(size, dtype=np.int64)
         out = self.ids[np.repeat(first - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
         return out, np.append(0, ends)[before + np.arange(len(before))]
 
+    def _learn(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, h: np.ndarray, one: np.ndarray) -> None:
+        """Asks for the words numbered `one`, a bounded number at a time, and remembers them."""
+        made, sizes = [self.ids], [self.size]
+        for at in range(0, len(one), 20_000):
+            some = one[at : at + 20_000]
+            ids = self._ask([data[a:b].tobytes().decode() for a, b in zip(starts[some].tolist(), ends[some].tolist(), strict=True)])
+            sizes.append(np.fromiter(map(len, ids), np.int32, len(ids)))
+            made.append(np.fromiter((i for x in ids for i in x), "<u4"))
+        size = np.concatenate(sizes[1:])
+        first = (len(self.ids) + np.cumsum(size) - size).astype(np.int32)
+        self.ids = np.concatenate(made)
+        hashes = np.append(self.hashes, h[one])
+        order = np.argsort(hashes, kind="stable")
+        self.hashes, self.first, self.size = hashes[order], np.append(self.first, first)[order], np.append(self.size, size)[order]
+        self.index = HashIndex(self.hashes)
+
     def _ask(self, missing: list[str]) -> list[list[int]]:
         known, plain, other, parts = self.parts, {}, {}, []
         for w in missing:
@@ -152,7 +170,7 @@ def pack(docs: DataFrame, vocab_path: str, text: str = "text", most: int = MOST,
         kind = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("doc_tokens", pa.int64())]))
         for batch in batches:
             made = []
-            for part in column_pieces(batch, 1 << 21):
+            for part in column_pieces(batch, STEP):
                 ids, at = ids_of.rows(part)
                 n = np.diff(at)
                 full = n // most
