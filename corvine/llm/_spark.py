@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.spool import Spool, shared_dir
 
-__all__ = ["Spool", "partitions", "shared_dir", "table"]
+__all__ = ["Spool", "fresh", "partitions", "shared_dir", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,3 +16,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def partitions(spark: SparkSession, rows: int, each: int) -> int:
     """As many partitions as hold about `each` rows, no fewer than the session's cores."""
     return max(spark.sparkContext.defaultParallelism, -(-rows // each))
+
+
+def fresh(name: str, *tables: DataFrame) -> str:
+    """The name, with underlines in front until no column of the tables has it in any letter case."""
+    taken = {c.lower() for t in tables for c in t.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name

@@ -8,7 +8,8 @@ are checked by their differing bits and only a spanning forest of them is kept,
 yields fewer than n edges. Equal fingerprints are one node from the start.
 
 Nulls and texts without words have fingerprint zero and are linked like any other. A null doc_id takes part; a
-component's id is its smallest non-null doc_id.
+component's id is its smallest non-null doc_id. Repeated rows stay rows of their own, repeated ids too; an empty
+table has no components; other columns are passed on whatever their names.
 """
 
 from __future__ import annotations
@@ -23,12 +24,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from ..operators.graph import components
-from ._spark import Spool, table
+from ._spark import Spool, fresh, table
 from ._text import LOWER, SPACE, column_pieces, flat, words, xxh64_spans
 
 SHINGLE = 4
 RADIUS = 4
 SEED = 42
+#: Fingerprints of a bucket that meet in one group; a larger bucket is dealt anew.
+CROWD = 2048
 
 #: For each byte value, a 64-bit integer whose eight bytes are its bits.
 _BYTE_BITS = np.array([sum((v >> i & 1) << (8 * i) for i in range(8)) for v in range(256)], np.uint64)
@@ -126,12 +129,12 @@ def forest(fps: np.ndarray, radius: int) -> list[tuple[int, int]]:
 
 def _bucket_edges(radius: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by (mask number, masked bits); a bucket may go on in the next batch."""
+        """Rows come sorted by bucket, the columns before the fingerprint; a bucket may go on in the next batch."""
         kept: list[np.ndarray] = []
 
-        def emit(no, key, fp):
-            edge = np.append(True, (np.diff(no) != 0) | (np.diff(key) != 0))
-            at = np.append(np.flatnonzero(edge), len(no))
+        def emit(both: np.ndarray) -> pa.RecordBatch:
+            fp = both[-1].copy().view(np.uint64)
+            at = np.append(np.flatnonzero(np.append(True, (np.diff(both[:-1]) != 0).any(axis=0))), len(fp))
             size = np.diff(at)
             a, b = [], []
             two = at[:-1][size == 2]
@@ -147,33 +150,45 @@ def _bucket_edges(radius: int):
             return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
         for batch in batches:
-            no, key, fp = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-            if not len(no):
+            if not batch.num_rows:
                 continue
-            kept.append(np.stack([no.astype(np.int64), key, fp]))
-            last = kept[-1]
-            if kept[0][0, 0] == last[0, -1] and kept[0][1, 0] == last[1, -1]:
+            kept.append(np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns]))
+            last = kept[-1][:-1, -1:]
+            if (kept[0][:-1, :1] == last).all():
                 continue  # all of one bucket so far
             both = np.concatenate(kept, axis=1)
-            tail = np.flatnonzero((both[0] != both[0, -1]) | (both[1] != both[1, -1]))[-1] + 1
-            yield emit(both[0, :tail], both[1, :tail], both[2, :tail].copy().view(np.uint64))
+            tail = np.flatnonzero((both[:-1] != last).any(axis=0))[-1] + 1
+            yield emit(both[:, :tail])
             kept = [both[:, tail:]]
         if kept:
-            both = np.concatenate(kept, axis=1)
-            yield emit(both[0], both[1], both[2].copy().view(np.uint64))
+            yield emit(np.concatenate(kept, axis=1))
 
     return run
 
 
-def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
+def links(nodes: DataFrame, radius: int = RADIUS, crowd: int = CROWD) -> DataFrame:
     """Spanning edges (a, b) of the buckets of distinct fingerprints `nodes(fp)`; together they connect exactly
-    the fingerprints that chains of links connect."""
-    masks = covering_masks(radius)
-    signed = [m - (1 << 64) if m >> 63 else m for m in masks]
-    table_ = F.explode(F.array(*[F.struct(F.lit(i).alias("no"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(signed)]))
-    keyed = nodes.select("fp", table_.alias("t")).select("t.no", "t.key", "fp")
-    keyed = keyed.repartition("no", "key").sortWithinPartitions("no", "key")
-    return keyed.mapInArrow(_bucket_edges(radius), "a long, b long")
+    the fingerprints that chains of links connect. A bucket of more than `crowd` fingerprints is dealt anew by
+    masks of another seed, under which every pair within the radius meets again."""
+
+    def dealt(seed: int) -> Column:
+        signed = [m - (1 << 64) if m >> 63 else m for m in covering_masks(radius, seed=seed)]
+        return F.array(*[F.struct(F.lit(i).alias("no"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(signed)])
+
+    keyed = nodes.select("fp", F.explode(dealt(7)).alias("t")).select("t.no", "t.key", "fp")
+    crowded = keyed.groupBy("no", "key").agg(F.count("*").alias("n")).where(F.col("n") > crowd).select("no", "key", F.lit(True).alias("crowded"))
+    once = F.array(F.struct(F.lit(-1).alias("no"), F.lit(0).cast("long").alias("key")))
+    finer = keyed.join(crowded, ["no", "key"], "left").select("no", "key", "fp", F.explode(F.when(F.col("crowded"), dealt(8)).otherwise(once)).alias("t"))
+    finer = finer.select("no", "key", F.col("t.no").alias("no2"), F.col("t.key").alias("key2"), "fp")
+    order = ("no", "key", "no2", "key2")
+    return finer.repartition(*order).sortWithinPartitions(*order).mapInArrow(_bucket_edges(radius), "a long, b long")
+
+
+def _components(prints: DataFrame, doc_id: str, fp: str, radius: int, spool: Spool) -> DataFrame:
+    """(fp, root, least) of each distinct fingerprint: its component and its smallest non-null id."""
+    least = spool.keep(prints.groupBy(F.col(fp).alias("fp")).agg(F.min(doc_id).alias("least")), "nodes")
+    roots = components(links(least.select("fp"), radius), spool)
+    return least.join(roots, least.fp == roots.node, "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", radius: int = RADIUS, size: int = SHINGLE) -> DataFrame:
@@ -181,23 +196,25 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     spool = Spool(docs.sparkSession, "simhash")
     rest = [F.col(f"`{c}`") for c in docs.columns if c not in (text, "fingerprint", "component_id")]
     prints = spool.keep(docs.select(*rest, simhash(F.col(text), size).alias("fingerprint")), "prints")
-    least = spool.keep(prints.groupBy(F.col("fingerprint").alias("fp")).agg(F.min(doc_id).alias("_least")), "nodes")
-    roots = components(links(least.select("fp"), radius), spool)
-    labelled = least.join(roots, least.fp == roots.node, "left").withColumn("root", F.coalesce("root", "fp"))
-    smallest = labelled.groupBy("root").agg(F.min("_least").alias("component_id"))
-    known = labelled.join(smallest, "root").select("fp", "component_id")
-    return prints.join(known, prints.fingerprint == known.fp, "left").drop("fp")
+    labelled = _components(prints, doc_id, "fingerprint", radius, spool)
+    smallest = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
+    fp = fresh("fp", prints)
+    known = labelled.join(smallest, "root").select(F.col("fp").alias(fp), "component_id")
+    return prints.join(known, prints.fingerprint == known[fp], "left").drop(fp)
 
 
 def deduplicate(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", radius: int = RADIUS, size: int = SHINGLE) -> DataFrame:
-    """One document of each component: that with the smallest doc_id (of equal rows, one). A component without
-    ids keeps all its rows, as nothing tells which one stays."""
-    near = near_duplicates(docs.select(F.col(doc_id), F.col(text)), text, doc_id, radius, size)
-    kept = near.where(F.col(doc_id) == F.col("component_id")).select(F.col(doc_id).alias("_kept")).distinct()
-    named = docs.join(kept, F.col(doc_id) == F.col("_kept"), "left_semi").dropDuplicates([doc_id])
-    nameless = near.where(F.col("component_id").isNull()).select(F.col("fingerprint").alias("_other")).distinct()
-    rest = docs.where(F.col(doc_id).isNull()).withColumn("_fp", simhash(F.col(text), size))
-    return named.unionByName(rest.join(nameless, F.col("_fp") == F.col("_other"), "left_semi").drop("_fp"))
+    """One row of each component: that with the smallest doc_id, null ids last. Rows that share the id too, by
+    repetition or because different texts have one id, leave one of them. `docs` is spooled with its fingerprints,
+    so that rows are told apart by a number that stays."""
+    spool = Spool(docs.sparkSession, "dedup")
+    fp, row = fresh("fp", docs), fresh("row", docs)
+    rows = spool.keep(docs.withColumns({fp: simhash(F.col(text), size), row: F.monotonically_increasing_id()}), "rows")
+    first = F.min(F.struct(F.col(doc_id).isNull().alias("nameless"), F.col(doc_id).alias("id"), F.col(row).alias("row")))
+    of_print = spool.keep(rows.groupBy(F.col(fp).alias("fp")).agg(first.alias("first"), F.min(doc_id).alias("least")), "prints")
+    labelled = _components(of_print.select("fp", "least"), "least", "fp", radius, spool).select("fp", "root")
+    kept = of_print.join(labelled, "fp").groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias(row))
+    return rows.join(kept, row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

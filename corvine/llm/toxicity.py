@@ -2,15 +2,20 @@
 
 A document is a bag of sentences. A sentence's probability is a logistic function of its words (whole, and
 their first 4, 5 and 6 bytes, so that word families generalise); the document's is the noisy-or of its
-sentences, 1 - prod(1 - p). Weights are fitted to document labels through the noisy-or, so a positive document
-is explained by the few sentences that can explain it, and the same weights locate offending sentences.
-
-Fitting uses a bounded sample on the driver (`MOST_POSITIVE` + `MOST_NEGATIVE` labelled rows, smallest hashed
-ids first, texts up to `MOST_BYTES`); scoring covers every whole text. Only the weights are broadcast, of which
-there are at most `MOST_FEATURES`.
-
-Null and empty texts have no sentence and score 0. Labels of repeated ids count as the largest; null labels and
-labels without a document are ignored. Without positive labels nothing is learned and all scores are near 0.
+sentences, 1 - prod(1 - p). Weights of either sign are fitted to document labels through the noisy-or, so a
+positive document is explained by the few sentences that can explain it, and the same weights locate offending
+sentences.
+
+Fitting uses a bounded sample: `MOST_POSITIVE` + `MOST_NEGATIVE` labelled documents, smallest hashed ids first,
+with their whole texts. A feature takes part if its share among the documents of either label differs by
+`SURE` standard errors and `LEAST_DOCS` documents have it. Features are counted on the executors; the driver gets
+those that take part and the sample's sentences in terms of them, and only the weights are broadcast. Scoring
+covers every whole text.
+
+Null and empty texts have no sentence and score 0. Labels of repeated ids count as the largest, and of the texts
+of a repeated id one teaches (that of the smallest hash); every row is scored. Null labels and labels without a
+document are ignored. Without labels of both kinds, or in an empty table, nothing is learned and all scores are
+near 0. Other columns are passed on; one named like the result is replaced.
 """
 
 from __future__ import annotations
@@ -23,15 +28,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from ._spark import table
-from ._text import LOWER, column_pieces, flat, hash_spans, lanes, mix, spans
+from ._spark import Spool, table
+from ._text import LOWER, column_pieces, flat, hash_spans, lanes, mix, pieces, spans
 
 MOST_POSITIVE, MOST_NEGATIVE = 4_000, 8_000
-MOST_BYTES = 16_384
-MOST_FEATURES = 50_000
+#: Standard errors by which a feature's shares must differ, and the least documents that have it.
+SURE, LEAST_DOCS = 4.0, 4
 THRESHOLD = 0.7
 KINDS = 4
-#: Log odds of a sentence without any evidence; the fit may only lower it.
+#: Log odds of a sentence without any evidence, before the fit.
 REST = -12.0
 
 LETTER = np.zeros(256, bool)
@@ -85,60 +90,63 @@ class Model:
         return logit, doc, span
 
 
-def _parts(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
-    """The texts in parts of bounded size, each with its first row's number."""
-    first = 0
-    for part in column_pieces(texts, 1 << 20):
-        yield first, part
-        first += len(part)
-
-
-def _leaning(texts: pa.Array, positive: np.ndarray) -> np.ndarray:
-    """Features of at least four positive documents that make up four fifths of their documents; the most frequent
-    of them if there are too many. Counts are merged part by part, so that little is held at once."""
+def _counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(text, label) to (feature, documents that have it, those of label 1), folded per task."""
     f, n, n_pos = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    for first, part in _parts(texts):
-        kinds, sentence, doc, _ = features(part)
-        own = doc[sentence].astype(np.uint64) << np.uint64(50)
-        pair = np.unique(np.concatenate([own | k for k in kinds]))
-        feature, owner = pair & np.uint64((1 << 50) - 1), (pair >> np.uint64(50)).astype(np.int64) + first
-        every = np.concatenate([f, feature])
-        order = np.argsort(every, kind="stable")
-        every = every[order]
-        new = np.flatnonzero(np.append(True, every[1:] != every[:-1])) if len(every) else np.zeros(0, np.int64)
-        if len(new):
-            n = np.add.reduceat(np.concatenate([n, np.ones(len(feature), np.int64)])[order], new)
-            n_pos = np.add.reduceat(np.concatenate([n_pos, positive[owner].astype(np.int64)])[order], new)
-            f = every[new]
-    lean = (n_pos >= 4) & (n_pos >= 0.8 * n) & (f > 0)
-    f, n_pos = f[lean], n_pos[lean]
-    return np.sort(f[np.argsort(-n_pos, kind="stable")[:MOST_FEATURES]])
-
-
-def fit(texts: pa.Array, labels: np.ndarray, rounds: int = 150, rate: float = 0.2, decay: float = 0.01, init: float = 1.5) -> Model:
-    """Weights by Adam on the noisy-or likelihood of document labels, over features that lean to label 1."""
+    for batch in batches:
+        for part in pieces(batch, "text", 1 << 20):
+            positive = part.column("label").to_numpy(zero_copy_only=False) == 1
+            kinds, sentence, doc, _ = features(part.column("text"))
+            own = doc[sentence].astype(np.uint64) << np.uint64(50)
+            pair = np.unique(np.concatenate([own | k for k in kinds]))
+            feature, owner = pair & np.uint64((1 << 50) - 1), (pair >> np.uint64(50)).astype(np.int64)
+            every = np.concatenate([f, feature])
+            order = np.argsort(every, kind="stable")
+            every = every[order]
+            new = np.flatnonzero(np.append(True, every[1:] != every[:-1])) if len(every) else np.zeros(0, np.int64)
+            if len(new):
+                n = np.add.reduceat(np.concatenate([n, np.ones(len(feature), np.int64)])[order], new)
+                n_pos = np.add.reduceat(np.concatenate([n_pos, positive[owner].astype(np.int64)])[order], new)
+                f = every[new]
+            if len(f) > 2_000_000:
+                yield pa.RecordBatch.from_arrays([pa.array(f.view(np.int64)), pa.array(n), pa.array(n_pos)], ["f", "n", "n_pos"])
+                f, n, n_pos = f[:0], n[:0], n_pos[:0]
+    yield pa.RecordBatch.from_arrays([pa.array(f.view(np.int64)), pa.array(n), pa.array(n_pos)], ["f", "n", "n_pos"])
+
+
+def sureness(n: Column, n_pos: Column, positives: int, negatives: int) -> Column:
+    """Standard errors between a feature's shares among documents of label 1 and of label 0."""
+    share = n / F.lit(positives + negatives)
+    error = F.sqrt(share * (1 - share) * F.lit(1 / positives + 1 / negatives))
+    return F.when(error > 0, (n_pos / F.lit(positives) - (n - n_pos) / F.lit(negatives)) / error).otherwise(0.0)
+
+
+def bags(column: pa.Array, f: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
+    """For each text the sizes of its sentences that hold features of the sorted `f`, these features' numbers
+    sentence by sentence, and how many sentences hold none."""
+    kinds, sentence, doc, _ = features(column)
+    hits = [np.minimum(np.searchsorted(f, k), len(f) - 1) for k in kinds]
+    true = [f[h] == k for h, k in zip(hits, kinds, strict=True)]
+    own = np.concatenate([sentence[x] for x in true])
+    number = np.concatenate([h[x] for h, x in zip(hits, true, strict=True)])
+    order = np.argsort(own, kind="stable")
+    some, size = np.unique(own, return_counts=True)
+    owner = doc[some]
+    cut, at = np.searchsorted(owner, np.arange(len(column) + 1)), np.append(0, np.cumsum(size))
+    plain = np.bincount(doc, minlength=len(column)) - np.diff(cut)
+    number = number[order].astype(np.int32)
+    return [size[a:b].astype(np.int32) for a, b in zip(cut, cut[1:], strict=False)], [number[at[a] : at[b]] for a, b in zip(cut, cut[1:], strict=False)], plain
+
+
+def fit(sizes: list[np.ndarray], numbers: list[np.ndarray], plain: np.ndarray, labels: np.ndarray, f: np.ndarray, lean: np.ndarray, rounds: int = 150, rate: float = 0.2, decay: float = 0.01, init: float = 1.5) -> Model:
+    """Weights by Adam on the noisy-or likelihood of document labels; `lean` tells which features begin above zero."""
     n_docs, positive = len(labels), labels.astype(bool)
-    bias = REST
-    f = _leaning(texts, positive)
-    if not len(f) or not positive.any():
-        return Model(np.zeros(0, np.uint64), np.zeros(0), bias)
-    # sentences without evidence share one probability: only those with some are kept apart
-    row, column, owner, plain, at = [], [], [], np.zeros(n_docs), 0
-    for first, part in _parts(texts):
-        kinds, sentence, doc, _ = features(part)
-        hits = [np.minimum(np.searchsorted(f, k), len(f) - 1) for k in kinds]
-        true = [f[h] == k for h, k in zip(hits, kinds, strict=True)]
-        some, own = np.unique(np.concatenate([sentence[x] for x in true]), return_inverse=True)
-        row.append(own + at)
-        column.append(np.concatenate([h[x] for h, x in zip(hits, true, strict=True)]))
-        owner.append(doc[some] + first)
-        plain += np.bincount(doc + first, minlength=n_docs) - np.bincount(doc[some] + first, minlength=n_docs)
-        at += len(some)
-    row, column, owner = np.concatenate(row), np.concatenate(column), np.concatenate(owner)
-    w, m, v = np.full(len(f), init), np.zeros(len(f) + 1), np.zeros(len(f) + 1)
+    owner = np.repeat(np.arange(n_docs), [len(x) for x in sizes])
+    row, column, at = np.repeat(np.arange(len(owner)), np.concatenate(sizes)), np.concatenate(numbers), len(owner)
+    bias, w, m, v = REST, np.where(lean, init, 0.0), np.zeros(len(f) + 1), np.zeros(len(f) + 1)
     sigmoid = lambda x: 1 / (1 + np.exp(-x))
     for t in range(1, rounds + 1):
-        z = bias + np.bincount(row, w[column], at)
+        z = np.clip(bias + np.bincount(row, w[column], at), -60, 60)
         p, p0 = sigmoid(z), sigmoid(bias)
         off = np.bincount(owner, np.log1p(-np.minimum(p, 1 - 1e-12)), n_docs) + plain * np.log1p(-p0)
         clean = np.exp(off)  # probability that no sentence offends
@@ -148,21 +156,49 @@ def fit(texts: pa.Array, labels: np.ndarray, rounds: int = 150, rate: float = 0.
         grad = np.append(np.bincount(column, g[row], len(f)) + decay / n_docs * w, g.sum() + (pull * plain).sum() * p0)
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
         step = rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-9)
-        w, bias = np.maximum(w - step[:-1], 0), min(REST, bias - step[-1])
-    keep = w > 1e-3
+        w, bias = w - step[:-1], bias - step[-1]
+    keep = np.abs(w) > 1e-3
     return Model(f[keep], w[keep], float(bias))
 
 
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "toxic") -> Model:
     """Fits on a bounded sample of the labelled documents."""
-    known = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).groupBy(doc_id).agg(F.max(label).alias("_label"))
-    order = [F.xxhash64(doc_id), F.col(doc_id)]
-    picked = known.where("_label = 1").orderBy(*order).limit(MOST_POSITIVE).union(known.where("_label = 0").orderBy(*order).limit(MOST_NEGATIVE))
+    spark = docs.sparkSession
+    spool = Spool(spark, "toxicity")
+    known = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("id")).agg(F.max(label).cast("int").alias("label"))
+    order = [F.xxhash64("id"), F.col("id")]
+    picked = known.where("label = 1").orderBy(*order).limit(MOST_POSITIVE).union(known.where("label = 0").orderBy(*order).limit(MOST_NEGATIVE))
     # at most MOST_POSITIVE + MOST_NEGATIVE ids: a proven bound
-    rows = docs.select(doc_id, text).where(F.octet_length(text) <= MOST_BYTES).join(F.broadcast(picked), doc_id)
-    sample = rows.select(text, "_label").limit(MOST_POSITIVE + MOST_NEGATIVE).toArrow()
-    texts = sample.column(0).combine_chunks() if sample.num_rows else pa.array([], pa.string())
-    return fit(texts, sample.column(1).to_numpy())
+    body = docs.select(F.col(doc_id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    rows = body.join(F.broadcast(picked), "id")
+    sample = spool.keep(rows.groupBy("id", "label").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")), "sample")
+    size = {r.label: r.n for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    nothing = Model(np.zeros(0, np.uint64), np.zeros(0), REST)
+    if not size.get(1) or not size.get(0):
+        spool.drop(sample)
+        return nothing
+    counted = sample.select("text", "label").mapInArrow(_counting, "f long, n long, n_pos long").groupBy("f").agg(F.sum("n").alias("n"), F.sum("n_pos").alias("n_pos"))
+    sure = counted.where((F.col("f") != 0) & (F.col("n") >= LEAST_DOCS)).withColumn("sure", sureness(F.col("n"), F.col("n_pos"), size[1], size[0]))
+    chosen = sure.where(F.abs("sure") >= SURE).select("f", "sure").toArrow()
+    hashes = chosen.column("f").to_numpy().view(np.uint64)
+    order = np.argsort(hashes)
+    f, lean = hashes[order], chosen.column("sure").to_numpy()[order] > 0
+    if not len(f):
+        spool.drop(sample)
+        return nothing
+    shared = spark.sparkContext.broadcast(f)
+
+    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in pieces(batch, "text", 1 << 20):
+                sizes, numbers, plain = bags(part.column("text"), shared.value)
+                yield pa.RecordBatch.from_arrays([part.column("label"), pa.array(plain), pa.array(sizes, pa.list_(pa.int32())), pa.array(numbers, pa.list_(pa.int32()))], ["label", "plain", "sizes", "numbers"])
+
+    # of the sample only the chosen features come to the driver
+    got = sample.select("text", "label").mapInArrow(reduce, "label int, plain long, sizes array<int>, numbers array<int>").toArrow()
+    spool.drop(sample)
+    lists = lambda c: [np.asarray(x.values.to_numpy() if x.is_valid else [], np.int64) for x in got.column(c).combine_chunks()]
+    return fit(lists("sizes"), lists("numbers"), got.column("plain").to_numpy(), got.column("label").to_numpy(), f, lean)
 
 
 def toxicity(text: Column | str, model: Model, spark: SparkSession) -> Column:

@@ -25,9 +25,41 @@ def make(n, seed=0):
     return rows
 
 
-def test_noisy_or_learns_from_document_labels_and_locates_sentences():
+def plain_score(text, model):
+    """Sentence probabilities and score of a text, word by word."""
+    weight = dict(zip(model.hashes.tolist(), model.weights.tolist()))
+    low = re.sub(b"[A-Z]", lambda m: m[0].lower(), (text or "").encode())
+    probabilities = []
+    for sentence in re.split(rb"[\n!.?]", low):
+        words = re.findall(rb"[0-9a-z\x80-\xff]+", sentence)
+        if words:
+            z = model.bias
+            for w in words:
+                kinds = toxicity.features(pa.array([w], pa.binary()))[0]
+                z += sum(weight.get(int(k[0]), 0.0) for k in kinds if k[0])
+            probabilities.append(1 / (1 + math.exp(-z)))
+    return probabilities, 1 - math.prod(1 - p for p in probabilities)
+
+
+def test_toxicity_query_equals_plain_scoring(spark, sf):
+    sf = sf.replace("sf0.001", "sf0.01")  # the smallest tables have too few labels to learn from
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    model = toxicity.train(docs, labels.where(~toxicity.held_out()))
+    assert len(model.hashes)
+    got = {r.doc_id: r for r in toxicity.op1_toxicity(spark, sf).collect()}
+    rows = docs.collect()
+    assert len(got) == len(rows)
+    for r in rows:
+        each, score = plain_score(r.text, model)
+        assert got[r.doc_id].score == pytest.approx(score, abs=1e-9) and got[r.doc_id].predicted == (score >= 0.7)
+        assert got[r.doc_id].n_offending == sum(p >= 0.5 for p in each)
+        assert got[r.doc_id].held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1)
+
+
+def test_noisy_or_learns_from_document_labels_and_locates_sentences(spark):
     rows = make(800)
-    model = toxicity.fit(pa.array([t for _, t, _ in rows[:500]]), np.array([y for _, _, y in rows[:500]]))
+    model = toxicity.train(spark.createDataFrame(rows[:500], "doc_id long, text string, y int"), spark.createDataFrame([(i, y) for i, _, y in rows[:500]], "doc_id long, toxic int"))
     model.prepare()
     held = rows[500:]
     logit, doc, span = model.sentences(pa.array([t for _, t, _ in held]))
@@ -40,6 +72,35 @@ def test_noisy_or_learns_from_document_labels_and_locates_sentences():
         assert re.search("vile|scumbag|awful", text)
 
 
+def test_the_fit_cannot_be_bettered_by_small_steps(spark):
+    rows = make(300, 4)
+    f = np.unique(np.concatenate([toxicity.features(pa.array([w]))[0][0] for w in ("vile", "scumbag", "w1", "w2", "w3")]))
+    texts, y = pa.array([t for _, t, _ in rows]), np.array([y for _, _, y in rows])
+    sizes, numbers, plain = toxicity.bags(texts, f)
+    assert [len(x) + n for x, n in zip(sizes, plain)] == [t.count(".") for _, t, _ in rows]
+    model = toxicity.fit(sizes, numbers, plain, y, f, np.ones(len(f), bool), rounds=600, rate=0.1, decay=0.05)
+    w = dict(zip(model.hashes.tolist(), model.weights.tolist()))
+
+    def loss(weights, bias):
+        m = toxicity.Model(f, weights, bias)
+        off = [min(max(plain_score(t, m)[1], 1e-12), 1 - 1e-12) for _, t, _ in rows]
+        return -sum(math.log(p if k else 1 - p) for p, k in zip(off, y)) + 0.025 * sum(x * x for x in weights)
+
+    at, bias = np.array([w.get(int(h), 0.0) for h in f]), model.bias
+    best = loss(at, bias)
+    for i in range(len(f)):
+        for step in (-0.5, 0.5):
+            assert loss(at + step * (np.arange(len(f)) == i), bias) > best - 0.05
+    assert min(loss(at, bias - 0.5), loss(at, bias + 0.5)) > best - 0.05
+
+
+def test_a_word_of_clean_and_toxic_texts_counts(spark):
+    r = random.Random(5)
+    rows = [(i, " ".join(r.choice(["alpha", "beta", "gamma"]) for _ in range(6)) + (" vexing" if r.random() < (0.8 if i % 3 == 0 else 0.2) else "") + ".", int(i % 3 == 0)) for i in range(900)]
+    model = toxicity.train(spark.createDataFrame(rows, "doc_id long, text string, y int"), spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int"))
+    assert plain_score("vexing", model)[1] > 0.5 > plain_score("alpha beta", model)[1]
+
+
 def test_toxicity_cases(spark):
     rows = make(600, 1)
     docs = spark.createDataFrame([(i, t, "s") for i, t, _ in rows] + [(None, "vile", "s"), (9001, None, "s"), (9002, "", "s"), (9003, "!!! ...", None), (9004, "ok. " * 20000 + "vile scumbag.", "s")], "doc_id long, text string, score string")

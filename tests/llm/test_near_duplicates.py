@@ -61,9 +61,18 @@ def test_links_and_components(spark):
     seeds = [r.getrandbits(64) for _ in range(20)]
     fps = np.unique(np.array([s ^ sum(1 << i for i in r.sample(range(64), r.randint(0, 7))) for s in seeds for _ in range(30)], np.uint64)).view(np.int64)
     near = np.bitwise_count(fps.view(np.uint64)[:, None] ^ fps.view(np.uint64)[None]) <= 4
-    edges = simhash.links(spark.createDataFrame([(int(x),) for x in fps], "fp long"))
-    got = {x.node: x.root for x in components(edges, Spool(spark, "t")).collect()}
-    assert [got.get(int(x), int(x)) for x in fps] == closure(near, fps.tolist())
+    for crowd in (simhash.CROWD, 5):  # the second deals nearly every bucket anew
+        edges = simhash.links(spark.createDataFrame([(int(x),) for x in fps], "fp long"), crowd=crowd)
+        got = {x.node: x.root for x in components(edges, Spool(spark, "t")).collect()}
+        assert [got.get(int(x), int(x)) for x in fps] == closure(near, fps.tolist())
+
+
+def test_repeated_ids_lose_no_component(spark):
+    x, y = "one two three four five six", "an altogether different text of other words"
+    docs = spark.createDataFrame([(1, x, 1), (1, y, 2), (3, y, 3), (None, x, 4), (None, "alone", 5)], "doc_id long, text string, fp int")
+    got = sorted(((r.doc_id, r.text) for r in simhash.deduplicate(docs).collect()), key=str)
+    assert got == sorted([(1, x), (1, y), (None, "alone")], key=str)
+    assert [r.fp for r in simhash.near_duplicates(docs).orderBy("fp").collect()] == [1, 2, 3, 4, 5]
 
 
 def test_defined_cases(spark):
