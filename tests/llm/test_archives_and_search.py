@@ -41,47 +41,68 @@ def test_broken_archives_are_told():
     assert list(warc.parse_archive(io.BytesIO(b""))) == []
 
 
-def brute(ids, points, k):
+def brute(asked, queries, ids, points, k):
     out = {}
-    for q in {i for i in ids if i % 20 == 0}:
-        for v in {tuple(p) for i, p in zip(ids, points.tolist()) if i == q}:
-            s = points @ np.array(v)
-            order = sorted((int(-s[j]), ids[j]) for j in range(len(ids)) if ids[j] != q)[:k]
-            out[q] = [(i, -n) for n, i in order]
+    for n, (q, v) in enumerate(zip(asked, queries)):
+        rows = sorted((-int(p @ v), int(i)) for i, p in zip(ids, points) if i != q)
+        out[n] = [(i, -s) for s, i in rows[:k]]
     return out
 
 
-@pytest.mark.parametrize("seed", range(4))
-def test_tree_equals_brute_force(seed):
+def clustered(n, dim, seed=3, spread=0.05):
     r = np.random.default_rng(seed)
-    points = np.repeat(r.integers(-9, 9, (150, 6)), r.integers(1, 6, 150), axis=0)
-    ids = np.arange(len(points))
-    norms = (points**2).sum(axis=1)
-    most = int(norms.max())
-    tree = topk.MTree(np.column_stack([points, np.sqrt(most - norms)]).astype(float), page=8)
-    want = brute(ids.tolist(), points, 7)
-    for q in want:
-        v = points[q]
-        got = tree.best(np.append(v, 0).astype(float), lambda rows: (points[rows] @ v, ids[rows] != q, ids[rows]), float(v @ v + most), 7)
-        assert [(int(i), s) for s, i in got] == want[q]
-
-
-def test_search_computes_few_distances():
-    r = np.random.default_rng(0)
-    centers = r.normal(0, 200, (60, 16))
-    points = np.rint(np.repeat(centers, 200, axis=0) + r.normal(0, 3, (12000, 16))).astype(np.int64)
-    norms = (points**2).sum(axis=1)
-    most = int(norms.max())
-    tree = topk.MTree(np.column_stack([points, np.sqrt(most - norms)]).astype(float))
-    seen = []
-    q = points[np.argmax(norms)]
-    tree.best(np.append(q, 0).astype(float), lambda rows: (seen.append(len(rows)), (points[rows] @ q, np.ones(len(rows), bool), rows))[1], float(q @ q + most), 5)
-    assert sum(seen) < len(points) / 4
+    centers = r.normal(size=(20, dim))
+    return np.floor(64 * (centers[r.integers(0, 20, n)] + spread * r.normal(size=(n, dim)))).astype(np.int64)
+
+
+@pytest.mark.parametrize("points", [clustered(700, 5), np.random.default_rng(1).integers(-9, 10, (600, 3)), np.tile([3, 4], (500, 1)), np.zeros((40, 0), np.int64)])
+@pytest.mark.parametrize("page", [8, 128])
+def test_batched_search_equals_brute_force(points, page):
+    ids = np.random.default_rng(2).permutation(len(points))
+    tree = topk.MTree.load(topk.MTree(ids, points, page=page).dump())
+    asked, queries = ids[::9], points[::9]
+    q, row, score = tree.search(asked, queries, 7)
+    got = {n: [(int(ids[r]), int(s)) for r, s in zip(row[q == n], score[q == n])] for n in range(len(asked))}
+    want = brute(asked, queries, ids, points, 7)
+    assert got == want
+    # a known score prunes, and rows that tie with it stay
+    least = np.array([want[n][-1][1] for n in range(len(asked))])
+    q, row, score = tree.search(asked, queries, 7, least)
+    assert {n: [(int(ids[r]), int(s)) for r, s in zip(row[q == n], score[q == n])] for n in range(len(asked))} == want
+
+
+def test_clusters_spare_computations():
+    points = clustered(4000, 32)
+    tree = topk.MTree(np.arange(4000), points)
+    tree.search(np.arange(0, 4000, 20), points[::20], 20)
+    assert tree.computed < 0.5 * 200 * 4000
+
+
+def test_several_blocks_equal_brute_force(spark):
+    points = clustered(1500, 6).tolist()
+    rows = [(i, [x / 64 for x in v]) for i, v in enumerate(points)] + [(2000 + i, [1.0, 2.0]) for i in range(300)]
+    got = {}
+    for r in topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), k=5, block=50).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    by = [(i, np.array(v)) for i, v in enumerate(points)]
+    ids, all_ = np.array([i for i, _ in by]), np.array([v for _, v in by])
+    want = brute(ids[::20], all_[::20], ids, all_, 5)
+    assert all(got[20 * n] == w for n, w in want.items())
+    flat = [i for i in range(2000, 2300)]
+    assert all(got[q] == [(i, 5 * 64 * 64) for i in flat if i != q][:5] for q in flat if q % 20 == 0)
+    assert len(got) == 75 + 15
 
 
 def test_vectors_that_take_no_part(spark):
-    nan, inf = float("nan"), float("inf")
-    rows = [(0, [1.0, 2.0]), (20, [0.5, -1.0]), (3, [2.0, 2.0]), (4, [2.0, 2.0]), (5, None), (6, [nan, 1.0]), (7, [inf, 1.0]), (8, [None, 1.0]), (None, [9.0, 9.0]), (40, []), (9, [1.0])]
-    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), k=2).collect()
-    assert sorted(tuple(r) for r in got) == [(0, 1, 3, 24576), (0, 2, 4, 24576), (20, 1, 3, -4096), (20, 2, 4, -4096)]
+    rows = [(0, [1.0, 2.0], "x"), (3, [2.0, 2.0], "x"), (4, [2.0, 2.0], "y"), (5, None, None), (6, [1.0, None], "x"), (7, [float("nan"), 1.0], "x"), (8, [float("inf"), 1.0], "x"), (None, [9.0, 9.0], "x"), (20, [-1.0, 0.5], "x"), (20, [-1.0, 0.5], "x"), (40, [1.0, 1.0, 1.0], "x"), (41, [0.5, 0.0, 0.0], "x"), (60, [], "x"), (61, [], "x")]
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>, score string"), k=2).collect()
+    assert sorted(tuple(r) for r in got) == [(0, 1, 3, 24576), (0, 2, 4, 24576), (20, 1, 0, 0), (20, 2, 3, -4096), (40, 1, 41, 2048), (60, 1, 61, 0)]
     assert topk.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+    with pytest.raises(Exception, match="too large"):
+        topk.top_k(spark.createDataFrame([(0, [1e30]), (1, [1.0])], "vec_id long, embedding array<double>")).collect()
+
+
+def test_sql_twin_on_uneven_and_empty_vectors(spark, tmp_path):
+    rows = [(i, [float(i % 7), 1.0][: i % 3]) for i in range(200)] + [(300, None), (320, [None])]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").coalesce(1).write.parquet(str(tmp_path / "embeddings.parquet"))
+    assert rows_of(topk.op10_topk(spark, str(tmp_path))) == sql_rows(tmp_path, topk.ORACLE["op10_topk"])
