@@ -14,17 +14,18 @@ from pyspark.sql import functions as F
 
 from corvine.llm import decontaminate, fm_index, packing, simhash
 from corvine.llm import toxicity as toxic
-from corvine.llm._spark import Spool, table
+from corvine.llm._spark import Spool, fresh, table
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score is under the threshold; a null text scores 0 and stays."""
-    scored = toxic.score_documents(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"), into="_toxicity")
-    return scored.where(F.col("_toxicity.score") < toxic.THRESHOLD).drop("_toxicity")
+    name = fresh("toxicity", docs)
+    scored = toxic.score_documents(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"), into=name)
+    return scored.where(F.col(f"{name}.score") < toxic.THRESHOLD).drop(name)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each SimHash component the document with the smallest doc_id."""
+    """Of each SimHash component one document, that with the smallest doc_id."""
     return simhash.deduplicate(docs)
 
 

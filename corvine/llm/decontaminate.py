@@ -7,7 +7,9 @@ it occurs whole. Only stretches of words that all occur in the block are streame
 
 Normalisation: A-Z in lower case, words are maximal runs of letters, digits and bytes above 0x7F.
 Nulls have no words. Items without words match nothing; an item with a null id covers words but is not listed;
-items of equal id are one item. Documents are never shuffled; a hot passage costs each document its own scan.
+items of equal id are one item. Repeated rows are judged each on its own; an empty table of documents gives an
+empty table, one of items leaves all clean; other columns are passed on, one named like the result is replaced.
+Documents are never shuffled; a hot passage costs each document its own scan.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from ._spark import Spool, table
+from ._spark import Spool, fresh, table
 from ._text import LOWER, column_pieces, flat, hash_spans, spans
 
 LENGTH = 10
@@ -250,17 +252,19 @@ def without_spans(text: Column, cuts: Column) -> Column:
     return cut(text, cuts)
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", longest: int | None = LENGTH, coverage: float = 0.5, **names: str) -> DataFrame:
-    """`docs` without what was leaked: covered spans of `longest` words or more are cut out of the text, and
-    documents of which more than `coverage` of the words are covered go. Clean documents stay as they are."""
-    found = contamination(docs, items, text, into="_found", **names)
-    hit = F.aggregate("_found.spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
-    found = found.where(hit <= coverage * F.col("_found.n_words"))
+def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", longest: int | None = None, coverage: float = 0.5, **names: str) -> DataFrame:
+    """`docs` without what was leaked: covered spans are cut out of the text (those of `longest` words or more, if
+    it is given), and documents of which more than `coverage` of the words are covered go. Clean documents stay as
+    they are."""
+    into = fresh("found", docs)
+    found = contamination(docs, items, text, into=into, **names)
+    hit = F.aggregate(f"{into}.spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    found = found.where(hit <= coverage * F.col(f"{into}.n_words"))
     cuts = F.transform(
-        F.filter(F.arrays_zip(F.col("_found.spans").alias("w"), F.col("_found.bytes").alias("b")), lambda x: x["w"]["stop"] - x["w"]["start"] >= F.lit(longest or 1)),
+        F.filter(F.arrays_zip(F.col(f"{into}.spans").alias("w"), F.col(f"{into}.bytes").alias("b")), lambda x: x["w"]["stop"] - x["w"]["start"] >= F.lit(longest or 1)),
         lambda x: x["b"],
     )
-    return found.withColumn(text, F.when(F.size(cuts) > 0, without_spans(F.col(text), cuts)).otherwise(F.col(text))).drop("_found")
+    return found.withColumn(text, F.when(F.size(cuts) > 0, without_spans(F.col(text), cuts)).otherwise(F.col(text))).drop(into)
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

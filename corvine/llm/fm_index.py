@@ -5,7 +5,8 @@ directories) is kept. Streamed segments are searched backward, all at once: a se
 holds two occurrences or more, so where it ends gives the matching statistic. Windows of `length` words that
 match are reported as runs. See `repeats` for how windows meet in a shard.
 
-Words are maximal runs of bytes other than [\\x20\\x09-\\x0D], unchanged. Null and empty texts have no words.
+Words are maximal runs of bytes other than [\\x20\\x09-\\x0D], unchanged. Null and empty texts have no words; a
+repeated row repeats all its windows; an empty table gives an empty table; other columns are passed on.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._spark import table
+from ._spark import fresh, table
 from ._text import hash_spans
 from .repeats import Scheme, flag_runs, split_segments, without_repeats
 
@@ -147,9 +148,10 @@ def dedup_words(docs: DataFrame, text: str = "text", length: int = 35, into: str
 
 def remove_repeats(docs: DataFrame, text: str = "text", length: int = 35) -> DataFrame:
     """`docs` with repeated passages cut out of the text; texts without any stay byte for byte."""
-    out = dedup_words(docs, text, length, "_repeats")
-    kept = F.decode("_repeats.kept", "UTF-8")
-    return out.withColumn(text, F.when(F.col("_repeats.n_removed") > 0, kept).otherwise(F.col(text))).drop("_repeats")
+    name = fresh("repeats", docs)
+    out = dedup_words(docs, text, length, name)
+    kept = F.decode(f"{name}.kept", "UTF-8")
+    return out.withColumn(text, F.when(F.col(f"{name}.n_removed") > 0, kept).otherwise(F.col(text))).drop(name)
 
 
 def op7_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:

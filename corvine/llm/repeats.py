@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from ._spark import Spool, partitions
+from ._spark import Spool, fresh, partitions
 from ._text import SPACE, column_pieces, flat, hash_spans, lanes, mix, pieces, words
 
 #: Positions in a batch take the low bits of the ordering key, the gram's hash the rest; fixed, so that the choice
@@ -40,6 +40,8 @@ PLACE_BITS = 31
 SHARD = 8192
 #: More different segments than this at an anchor are dealt by window: no anchor brings more than another shard.
 CROWD = SHARD
+#: Crowded anchors (8 bytes each) that are broadcast; more of them are joined by a shuffle.
+MOST_CROWDS = 100_000
 #: Bytes of text worked on at once.
 STEP = 1 << 19
 
@@ -279,7 +281,9 @@ def repeated_spans(docs: DataFrame, text: str, scheme: Scheme, kernel: Kernel, s
     counted = occurring.groupBy("sid").agg(F.count("*").alias("n"), F.min("anchor").alias("anchor"), F.min("off").alias("off"), F.max("seg").alias("seg"))
     counted = spool.keep(counted, "distinct")
     # 3. crowded anchors
-    crowd = counted.groupBy("anchor").agg(F.count("*").alias("c")).where(F.col("c") > CROWD).select("anchor")
+    crowd = spool.keep(counted.groupBy("anchor").agg(F.count("*").alias("c")).where(F.col("c") > CROWD).select("anchor"), "crowd")
+    if crowd.count() <= MOST_CROWDS:  # a checked bound: then segments need not move to learn whether their anchor is crowded
+        crowd = F.broadcast(crowd)
     alone = counted.join(crowd, "anchor", "left_anti").select("sid", "n", "off", "seg", F.col("anchor").alias("route"))
     split = counted.join(crowd, "anchor", "left_semi").select("sid", "n", "off", "seg")
     single = spool.keep(split.mapInArrow(_windows(scheme), "sid binary, j int, wid binary, n long, off int, seg binary"), "windows")
@@ -355,12 +359,16 @@ def strip(text: Column, spans: Column, scheme: Scheme) -> Column:
 
 
 def without_repeats(docs: DataFrame, text: str, scheme: Scheme, kernel: Kernel, into: str) -> DataFrame:
-    """`docs` with a struct column of `strip`. All rows and columns stay; a null text counts as empty."""
+    """`docs` with a struct column of `strip`, which replaces one of its name. All other rows and columns stay,
+    whatever their names; a null text counts as empty; an empty table gives an empty table. Repeated rows are
+    occurrences of their own, so every window of a repeated row is repeated."""
     spool = Spool(docs.sparkSession, f"repeats-{scheme.unit}")
     spans = repeated_spans(docs.select(text), text, scheme, kernel, spool)
-    keyed = docs.withColumn("_key", text_key(F.col(text)))
-    spans = spans.select(F.col("key").alias("_key"), F.col("spans").alias("_spans"))
+    key, found = fresh("key", docs), fresh("spans", docs)
+    keyed = docs.withColumn(key, text_key(F.col(text)))
+    spans = spans.select(F.col("key").alias(key), F.col("spans").alias(found))
     empty = F.array().cast("array<struct<start:long,stop:long>>")
-    out = keyed.join(spans, "_key", "left")
+    out = keyed.join(spans, key, "left")
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    return out.withColumn(into, strip(body, F.coalesce("_spans", empty), scheme)).drop("_key", "_spans")
+    out = out.withColumn(into, strip(body, F.coalesce(found, empty), scheme))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() != into.lower()], into)

@@ -6,7 +6,8 @@ either end. Windows are equal exactly if their whole blocks are a common prefix
 ends are the same bytes, since equal windows have their anchor at the same place. See `repeats` for how windows
 meet in a shard.
 
-Null and empty texts have no bytes. Matches never cross documents.
+Null and empty texts have no bytes. Matches never cross documents. A repeated row repeats all its windows; an
+empty table gives an empty table; other columns are passed on.
 """
 
 from __future__ import annotations
