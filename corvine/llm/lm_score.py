@@ -2,18 +2,21 @@
 
 Word and bigram counts come from every training document. Every bigram is stored with its count quantised, level 1
 for once and then half powers of two: the keys (bigram, 1) ... (bigram, level) are set in a Bloom filter, and a
-reader probes levels upward until one is missing. The filter is broadcast. A token's probability mixes the
-add-half unigram with the quantised bigram estimate (a lower bound of the count, so the mixture does not exceed
-one but for the filter's false positives); the weight depends on how often the context was seen and is fitted
-on all training documents, with each one's own bigrams taken out.
+reader probes levels upward until one is missing. The probes of a bigram lie in one block of 64 bytes. A token's
+probability mixes the add-half unigram with the quantised bigram estimate (a lower bound of the count, so the
+mixture does not exceed one but for the filter's false positives); the weight depends on how often the context was
+seen and is fitted on all training documents, with each one's own bigrams taken out.
 
 Counting works on sorted hash arrays: each task packs its distinct hashes by range, and a range's packs are merged
-in one bounded group; ranges are cut by hash, so no word or bigram is hot. Unigram counts are exact. Their table
-is broadcast up to `MOST_TABLE` bytes; beyond that documents are dealt into blocks, and each block fetches the
-counts of its own words (`counts_by_block`). The filter grows with the stored bigrams up to `MOST_FILTER` bytes;
-beyond that it gets fewer bits a key, and more false positives, but no bigram is dropped.
-
-Null texts are empty: their only token is the end. A null doc_id is in the training part.
+in one bounded group; ranges are cut by hash, as many as the volume of text asks for, so no word or bigram is hot.
+Unigram counts are exact. The filter has `BITS_PER_KEY` bits for every key at every size. Filter and unigram table
+are broadcast while they keep within `MOST_FILTER` and `MOST_TABLE` bytes, fetched range by range; beyond that each
+hash range keeps its part, and documents in blocks ask the ranges for the counts and levels of their own words and
+bigrams (`answers_by_block`). Both ways give the same weights and scores.
+
+Null texts are empty: their only token is the end. A null doc_id is in the training part. Repeated rows are counted
+and scored each on its own. Without training documents, or in an empty table, all counts are zero. Other columns
+are passed on; one named like the result is replaced.
 """
 
 from __future__ import annotations
@@ -22,20 +25,25 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from ._spark import Spool, table
+from ._spark import Spool, fresh, table
 from ._text import LOWER, HashIndex, column_pieces, flat, hash_spans, mix, pieces, words
 
 U64 = np.uint64
-MOST_TABLE = 128 << 20
-MOST_FILTER = 1 << 30
+#: Bytes of the unigram table and of the filter that are broadcast at most.
+MOST_TABLE, MOST_FILTER = 128 << 20, 256 << 20
 BITS_PER_KEY, PROBES = 12, 6
-FLUSH = 3_000_000
-STEP = 1 << 20
-#: Rows of a document block in the path beyond MOST_TABLE.
+#: Bits of a block of the filter, which holds all probes of a bigram.
+LINE = 512
+#: More than any count's level.
+MOST_LEVEL = 128
+#: Tokens held before a task packs them, bytes of text scored at once, and bytes of text for each hash range.
+FLUSH, STEP, RANGE_BYTES = 2_000_000, 2 << 20, 32 << 20
+#: Rows of a document block in the path beyond the bounds.
 BLOCK_ROWS = 4096
 END, START = U64(0x5851F42D4C957F2D), U64(0x14057B7EF767814F)
 WORD, PAIR = 0, 1
@@ -152,26 +160,39 @@ def _merging(fine: int):
 
 
 class Table:
-    """Exact counts by hash."""
+    """Values by hash, from a sorted array of hashes."""
 
-    def __init__(self, hashes: np.ndarray, counts: np.ndarray):
-        self.index, self.counts = HashIndex(hashes), np.append(counts, 0)
+    def __init__(self, hashes: np.ndarray, values: np.ndarray):
+        self.index, self.values = HashIndex(hashes), np.append(values, values.dtype.type(0))
 
     def get(self, keys: np.ndarray) -> np.ndarray:
-        return self.counts[self.index.find(keys)]
+        return self.values[self.index.find(keys)]
+
 
+def _lines(keys: np.ndarray | int, bits: float) -> np.ndarray | int:
+    """Blocks of the filter for so many keys."""
+    return -(-(keys * bits).astype(np.int64) // LINE) + 1 if isinstance(keys, np.ndarray) else -(-int(keys * bits) // LINE) + 1
 
-def _filter_size(keys: int, bits: float) -> int:
-    return max(64, -(-int(keys * bits) // 64) * 64)
 
+def _line_of(pair: np.ndarray, lines: np.ndarray | int) -> np.ndarray:
+    """The block of a bigram among the `lines` of its range."""
+    return ((pair & U64(0xFFFFFFFF)) * (lines.astype(U64) if isinstance(lines, np.ndarray) else U64(lines)) >> U64(32)).astype(np.int64)
 
-def _positions(key: np.ndarray, i: int, size: np.ndarray | int) -> np.ndarray:
-    step = (key >> U64(17)) | U64(1)
-    return ((key + U64(i) * step) ^ ((key + U64(i) * step) >> U64(29))) % (size.astype(U64) if isinstance(size, np.ndarray) else U64(size))
 
+def _bits_of(pair: np.ndarray, level: int) -> np.ndarray:
+    """The probes of a bigram's level: a row of places in its block."""
+    key = mix(pair ^ U64((level * 0xD1B54A32D192ED03) & 0xFFFFFFFFFFFFFFFF))
+    return np.stack([(key >> U64(9 * i)).astype(np.int64) & (LINE - 1) for i in range(PROBES)], axis=1)
 
-def _level_key(pair: np.ndarray, level: int) -> np.ndarray:
-    return mix(pair ^ U64((level * 0xD1B54A32D192ED03) & 0xFFFFFFFFFFFFFFFF))
+
+def _field(pair: np.ndarray, level: np.ndarray, keys: int, bits: float) -> np.ndarray:
+    """The part of the filter of one range."""
+    lines = _lines(keys, bits)
+    out = np.zeros(lines * LINE, bool)
+    for j in range(1, int(level.max(initial=0)) + 1):
+        some = pair[level >= j]
+        out[(_line_of(some, lines) * LINE)[:, None] + _bits_of(some, j)] = True
+    return np.packbits(out, bitorder="little")
 
 
 def _filter_part(bits: float):
@@ -181,70 +202,64 @@ def _filter_part(bits: float):
         for batch in batches:
             parts, made = [], []
             for part, keys, h, v in zip(*(batch.column(c).to_pylist() for c in ("part", "keys", "hashes", "values")), strict=True):
-                pair, level = np.frombuffer(h, U64), np.frombuffer(v, np.uint8)
-                size = _filter_size(keys, bits)
-                field = np.zeros(size, bool)
-                for j in range(1, int(level.max(initial=0)) + 1):
-                    key = _level_key(pair[level >= j], j)
-                    for i in range(PROBES):
-                        field[_positions(key, i, size).astype(np.int64)] = True
                 parts.append(part)
-                made.append(np.packbits(field, bitorder="little").tobytes())
+                made.append(_field(np.frombuffer(h, U64), np.frombuffer(v, np.uint8), keys, bits).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array(made, pa.binary())], ["part", "field"])
 
     return run
 
 
 class Filter:
-    """The log-frequency Bloom filter: one stretch of bits for each hash range."""
+    """The log-frequency Bloom filter: for each hash range its first block and how many it has, and the bits."""
 
-    def __init__(self, fields: dict[int, bytes], ranges: int):
-        self.ranges = ranges
-        size = np.array([len(fields.get(i, b"")) * 8 for i in range(ranges)], np.int64)
-        self.size, self.first = size, np.cumsum(size) - size
-        self.bits = np.frombuffer(b"".join(fields[i] for i in sorted(fields)), np.uint8)
+    def __init__(self, first: np.ndarray, lines: np.ndarray, bits: np.ndarray):
+        self.first, self.lines, self.bits = first, lines, bits
 
     def levels(self, pair: np.ndarray) -> np.ndarray:
+        part = (pair >> U64(32)).astype(np.int64) * len(self.lines) >> 32
         out = np.zeros(len(pair), np.uint8)
-        part = (pair >> U64(32)).astype(np.int64) * self.ranges >> 32
-        live = np.flatnonzero(self.size[part] > 0)
-        level = 0
-        while len(live):
-            level += 1
-            key = _level_key(pair[live], level)
-            for i in range(PROBES):
-                own = part[live]
-                at = _positions(key, i, self.size[own]).astype(np.int64) + self.first[own]
-                hit = (self.bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
-                live, key = live[hit], key[hit]
+        live = np.flatnonzero(self.lines[part] > 0)
+        own = part[live]
+        base = (self.first[own] + _line_of(pair[live], self.lines[own])) * (LINE // 8)
+        for level in range(1, MOST_LEVEL):
+            if not len(live):
+                break
+            at = _bits_of(pair[live], level)
+            hit = (self.bits[base[:, None] + (at >> 3)] >> (at & 7).astype(np.uint8) & 1).all(axis=1)
+            live, base = live[hit], base[hit]
             out[live] = level
         return out
 
+    def get(self, pair: np.ndarray) -> np.ndarray:
+        """Levels, asked once for each distinct bigram."""
+        some, where = np.unique(pair, return_inverse=True)
+        return self.levels(some)[where]
+
 
 class Scorer:
-    """Scores batches of texts given count lookups, the filter and the mixture weights."""
+    """Scores batches of texts given lookups of word counts and bigram levels, and the mixture weights."""
 
-    def __init__(self, filter_: Filter, total: int, distinct: int, docs: int, weights: np.ndarray):
-        self.filter, self.norm, self.docs, self.weights = filter_, total + 0.5 * (distinct + 1), docs, weights
+    def __init__(self, total: int, distinct: int, docs: int, weights: np.ndarray):
+        self.norm, self.docs, self.weights = total + 0.5 * (distinct + 1), docs, weights
 
-    def parts(self, token: np.ndarray, past: np.ndarray, counts: np.ndarray, own: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def parts(self, token: np.ndarray, past: np.ndarray, counts: np.ndarray, levels, own: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Unigram probability, context count and ratio of bigram to unigram estimate, per token; `own` occurrences
         are taken off the bigrams."""
         uni = (counts + 0.5) / self.norm
         context = np.empty_like(counts)
         context[1:] = counts[:-1]
         context[past == START] = self.docs
-        level = self.filter.levels(pair_hash(past, token))
+        level = levels(pair_hash(past, token))
         level[(context == 0) | (counts == 0)] = 0  # a pair of an unseen word is a false positive
         ratio = np.zeros(len(token))
         some = np.flatnonzero(level)
         ratio[some] = np.maximum(np.minimum(stored_count(level[some]), np.minimum(context[some], counts[some])) - own, 0) / context[some] / uni[some]
         return uni, context, ratio
 
-    def score(self, column: pa.Array, get) -> pa.StructArray:
+    def score(self, column: pa.Array, get, levels) -> pa.StructArray:
         token, past, before = tokens(column)
-        counts = get(token)
-        uni, context, ratio = self.parts(token, past, counts)
+        counts = get(token).astype(np.int64)
+        uni, context, ratio = self.parts(token, past, counts, levels)
         weight = self.weights[bucket_of(context)]
         base, gain = np.log10(uni), np.log10(1 - weight + weight * ratio)
         add = lambda x: np.add.reduceat(x, before[:-1]) if len(x) else x  # noqa: E731  every row has a token
@@ -271,158 +286,186 @@ def fit_weights(ratios: np.ndarray) -> np.ndarray:
 
 
 class Model:
-    def __init__(self, spark: SparkSession, counts: DataFrame, ranges: int, docs: int):
-        self.spark, self.counts, self.ranges, self.docs = spark, counts, ranges, docs
-        sums = {r.kind: r for r in counts.groupBy("kind").agg(F.sum("total").alias("total"), F.sum("keys").alias("keys")).collect()}
-        self.total, self.distinct = (int(sums[WORD].total), int(sums[WORD].keys)) if WORD in sums else (0, 0)
-        stored = int(sums[PAIR].keys) if PAIR in sums else 0
-        bits = min(BITS_PER_KEY, MOST_FILTER * 8 / max(1, stored))
+    """Counts by hash range and what is derived from them; `small` tells whether filter and table are broadcast."""
+
+    def __init__(self, counts: DataFrame, ranges: int, docs: int, spool: Spool, bits: float):
+        self.spark, self.ranges, self.docs, self.spool = counts.sparkSession, ranges, docs, spool
+        sums = {(r.kind, r.part): r for r in counts.select("kind", "part", "total", "keys").collect()}
+        self.total = sum(r.total for (k, _), r in sums.items() if k == WORD)
+        keys = {kind: np.array([sums[kind, i].keys if (kind, i) in sums else 0 for i in range(ranges)], np.int64) for kind in (WORD, PAIR)}
+        self.own_words, self.distinct = keys[WORD], int(keys[WORD].sum())
+        self.lines = np.where(keys[PAIR] > 0, _lines(keys[PAIR], bits), 0)
+        self.words = counts.where(F.col("kind") == WORD).select("part", F.col("hashes"), "values")
         pairs = counts.where(F.col("kind") == PAIR).where("keys > 0").select("part", "keys", "hashes", "values")
-        made = pairs.mapInArrow(_filter_part(bits), "part int, field binary").toArrow()
-        self.filter = Filter(dict(zip(made.column("part").to_pylist(), made.column("field").to_pylist(), strict=True)), ranges)
+        self.fields = spool.keep(pairs.mapInArrow(_filter_part(bits), "part int, field binary"), "filter")
         self.weights = np.zeros(BUCKETS)
-        self.words = counts.where(F.col("kind") == WORD).select("part", "hashes", F.col("values").alias("counts"))
-        self.small = self.distinct * 16 <= MOST_TABLE  # the check of the broadcast's size
+        # the check of what is broadcast: hashes with counts of 8 bytes, and the filter
+        self.small = self.distinct * 16 <= MOST_TABLE and int(self.lines.sum()) * (LINE // 8) <= MOST_FILTER
 
     def share(self):
-        """Broadcasts what a scorer needs; the exact table only if it is small."""
-        table_ = None
-        if self.small:
-            got = self.words.toArrow().sort_by("part")
-            hashes = np.frombuffer(b"".join(got.column("hashes").to_pylist()), U64)
-            counts = np.frombuffer(b"".join(got.column("counts").to_pylist()), "<i8")
-            table_ = (hashes, counts)
-        return self.spark.sparkContext.broadcast((self.filter, self.total, self.distinct, self.docs, table_))
+        """Broadcasts what a scorer needs, gathered range by range into arrays of known size; beyond the bounds
+        nothing is gathered."""
+        if not self.small:
+            return None
+        at = np.cumsum(self.own_words) - self.own_words
+        hashes, counts = np.empty(self.distinct, U64), np.empty(self.distinct, np.int64)
+        for r in self.words.toLocalIterator():
+            place = slice(at[r.part], at[r.part] + self.own_words[r.part])
+            hashes[place], counts[place] = np.frombuffer(r.hashes, U64), np.frombuffer(r["values"], "<i8")
+        if counts.max(initial=0) < 1 << 32:
+            counts = counts.astype(np.uint32)
+        first = np.cumsum(self.lines) - self.lines
+        bits = np.zeros(int(self.lines.sum()) * (LINE // 8), np.uint8)
+        for r in self.fields.toLocalIterator():
+            begin = first[r.part] * (LINE // 8)
+            bits[begin : begin + len(r.field)] = np.frombuffer(r.field, np.uint8)
+        return self.spark.sparkContext.broadcast((Table(hashes, counts), Filter(first, self.lines, bits)))
+
+    def scorer(self) -> Scorer:
+        return Scorer(self.total, self.distinct, self.docs, self.weights)
 
     def tune(self, docs: DataFrame, text: str, shared) -> None:
         """Fits the mixture on training documents: a document's own occurrence is taken off each of its bigrams, so
         one that occurs once counts as unseen."""
-        weights = self.weights
+        own = self.scorer()
 
-        def add(seen: np.ndarray, own: Scorer, get, column: pa.Array) -> None:
+        def add(seen: np.ndarray, get, levels, column: pa.Array) -> None:
             token, past, _ = tokens(column)
-            _, context, ratio = own.parts(token, past, get(token), 1)
+            _, context, ratio = own.parts(token, past, get(token).astype(np.int64), levels, 1)
             some = ratio > 0
             place = np.zeros(len(token), np.int64)
             place[some] = np.clip(np.floor(np.log10(ratio[some]) * 10).astype(np.int64) + 41, 1, BINS - 1)
             seen += np.bincount(bucket_of(context) * BINS + place, minlength=len(seen))
 
+        def cells(seen: np.ndarray) -> list[pa.Array]:
+            return [pa.array(np.flatnonzero(seen)), pa.array(seen[seen > 0])]
+
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            *args, table_ = shared.value
-            own, get = Scorer(*args, weights), Table(*table_).get
+            table_, filter_ = shared.value
             seen = np.zeros(BUCKETS * BINS, np.int64)
             for batch in batches:
                 for part in pieces(batch, "text", STEP):
-                    add(seen, own, get, part.column("text"))
-            yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(seen)), pa.array(seen[seen > 0])], ["cell", "n"])
+                    add(seen, table_.get, filter_.get, part.column("text"))
+            yield pa.RecordBatch.from_arrays(cells(seen), ["cell", "n"])
 
         def count_block(_: tuple, some: pa.Table, answers: pa.Table) -> pa.Table:
-            *args, _table = shared.value
-            own, get = Scorer(*args, weights), _answered(answers)
+            get, levels = _answered(answers)
             seen = np.zeros(BUCKETS * BINS, np.int64)
             for part in column_pieces(some.column("text").combine_chunks(), STEP):
-                add(seen, own, get, part)
-            return pa.table({"cell": pa.array(np.flatnonzero(seen)), "n": pa.array(seen[seen > 0])})
+                add(seen, get, levels, part)
+            return pa.table(cells(seen), ["cell", "n"])
 
         if self.small:
             scored = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text")).mapInArrow(count, "cell long, n long")
         else:
-            spool = Spool(self.spark, "lm-tune")
-            _, body = _blocks(docs.select(F.col(text).alias("text")), "text", spool)
-            scored = body.groupBy("block").cogroup(counts_by_block(body, self).groupBy("block")).applyInArrow(count_block, "cell long, n long")
+            body = _blocks(docs.select(F.col(text).alias("text")), "text", self.spool)[1]
+            scored = body.groupBy("block").cogroup(answers_by_block(body, self).groupBy("block")).applyInArrow(count_block, "cell long, n long")
         ratios = np.zeros(BUCKETS * BINS)
         for r in scored.groupBy("cell").agg(F.sum("n").alias("n")).collect():
             ratios[r.cell] = r.n
         self.weights = fit_weights(ratios.reshape(BUCKETS, BINS))
 
 
-def _ranges(docs: DataFrame) -> int:
-    """Fineness of the hash ranges, a power of two: a group merges one pack per task, so ranges grow with the
-    input's partitions."""
-    return 1 << (docs._jdf.queryExecution().toRdd().getNumPartitions() // 1024).bit_length()
-
-
-def train(docs: DataFrame, text: str = "text") -> Model:
-    """Counts of all of `docs` and the filter made of them; the counts are spooled."""
-    spark = docs.sparkSession
-    spool = Spool(spark, "lm")
+def train(docs: DataFrame, text: str = "text", bits: float | None = None) -> Model:
+    """Counts of all of `docs` and the filter made of them; both are spooled."""
+    spool = Spool(docs.sparkSession, "lm")
     body = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text"))
-    fine = _ranges(body)
+    size = body.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
+    fine = 1 << (int(size.bytes) // (256 * RANGE_BYTES)).bit_length()
     packs = body.mapInArrow(_counting(fine), "kind int, part int, pack binary")
     schema = "kind int, part int, total long, keys long, hashes binary, values binary"
     counts = spool.keep(packs.groupBy("kind", "part").applyInArrow(_merging(fine), schema), "counts")
-    return Model(spark, counts, 256 * fine, body.count())
+    return Model(counts, 256 * fine, size.n, spool, bits or BITS_PER_KEY)
 
 
 def score(docs: DataFrame, model: Model, shared, text: str = "text", into: str = "lm") -> DataFrame:
     """`docs` with a struct column: n_tokens, n_known, base_score, score."""
     if not model.small:
-        return _score_by_block(docs, model, shared, text, into)
-    weights = model.weights
+        return _score_by_block(docs, model, text, into)
+    own = model.scorer()
 
     @arrow_udf(SCORES)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        *args, table_ = shared.value
-        own, get = Scorer(*args, weights), Table(*table_).get
+        table_, filter_ = shared.value
         for batch in batches:
-            made = [own.score(p, get) for p in column_pieces(batch, STEP)]
+            made = [own.score(p, table_.get, filter_.get) for p in column_pieces(batch, STEP)]
             yield pa.concat_arrays(made) if made else pa.array([], pa.struct([("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())]))
 
     return docs.withColumn(into, run(F.coalesce(F.col(text), F.lit(""))))
 
 
-def _blocks(docs: DataFrame, text: str, spool: Spool) -> tuple[DataFrame, DataFrame]:
-    """`docs` spooled with a row number, and of them row number, block and text."""
-    rows = spool.keep(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+def _blocks(docs: DataFrame, text: str, spool: Spool) -> tuple[DataFrame, DataFrame, str]:
+    """`docs` spooled with a row number, of them row number, block and text, and the number's name."""
+    row = fresh("row", docs)
+    rows = spool.keep(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
     blocks = max(1, -(-rows.count() // BLOCK_ROWS))
-    return rows, rows.select("_row", F.pmod(F.xxhash64("_row"), F.lit(blocks)).alias("block"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    return rows, rows.select(F.col(row).alias("row"), F.pmod(F.xxhash64(row), F.lit(blocks)).alias("block"), F.coalesce(F.col(text), F.lit("")).alias("text")), row
 
 
-def counts_by_block(body: DataFrame, model: Model) -> DataFrame:
-    """The counts of each block's distinct words, fetched from the hash ranges."""
+def answers_by_block(body: DataFrame, model: Model) -> DataFrame:
+    """The counts of each block's distinct words and the levels of its distinct bigrams, fetched from the ranges."""
     ranges = model.ranges
 
     def ask(key: tuple, some: pa.Table) -> pa.Table:
         column = some.column("text").combine_chunks()
-        hashes = np.unique(np.concatenate([np.unique(tokens(p)[0]) for p in column_pieces(column, STEP)]))
-        part = (hashes >> U64(32)).astype(np.int64) * ranges >> 32
-        cut = np.searchsorted(part, np.arange(ranges + 1))
-        full = np.flatnonzero(np.diff(cut))
-        return pa.table({"block": pa.array([key[0].as_py()] * len(full), pa.int64()), "part": pa.array(full.astype(np.int32)), "hashes": pa.array([hashes[cut[i] : cut[i + 1]].tobytes() for i in full], pa.binary())})
-
-    def answer(_: tuple, asked: pa.Table, known: pa.Table) -> pa.Table:
-        if known.num_rows:
-            table_ = Table(np.frombuffer(known.column("hashes")[0].as_py(), U64), np.frombuffer(known.column("counts")[0].as_py(), "<i8"))
-            counts = [table_.get(np.frombuffer(h, U64)).astype("<i8").tobytes() for h in asked.column("hashes").to_pylist()]
+        both: tuple[list, list] = ([], [])
+        for p in column_pieces(column, STEP):
+            token, past, _ = tokens(p)
+            both[WORD].append(np.unique(token))
+            both[PAIR].append(np.unique(pair_hash(past, token)))
+        kinds, parts, asked = [], [], []
+        for kind, x in enumerate(both):
+            hashes = np.unique(np.concatenate(x))
+            cut = np.searchsorted((hashes >> U64(32)).astype(np.int64) * ranges >> 32, np.arange(ranges + 1))
+            full = np.flatnonzero(np.diff(cut)).tolist()
+            kinds += [kind] * len(full)
+            parts += full
+            asked += [hashes[cut[i] : cut[i + 1]].tobytes() for i in full]
+        return pa.table({"block": pa.array([key[0].as_py()] * len(parts), pa.int64()), "kind": pa.array(kinds, pa.int32()), "part": pa.array(parts, pa.int32()), "hashes": pa.array(asked, pa.binary())})
+
+    def answer(key: tuple, asked: pa.Table, known: pa.Table) -> pa.Table:
+        wanted = [np.frombuffer(h, U64) for h in asked.column("hashes").to_pylist()]
+        if not known.num_rows:
+            got = [bytes(len(h) * (8 if key[0].as_py() == WORD else 1)) for h in wanted]
+        elif key[0].as_py() == WORD:
+            table_ = Table(np.frombuffer(known.column("hashes")[0].as_py(), U64), np.frombuffer(known.column("values")[0].as_py(), "<i8"))
+            got = [table_.get(h).astype("<i8").tobytes() for h in wanted]
         else:
-            counts = [bytes(len(h)) for h in asked.column("hashes").to_pylist()]
-        return pa.table({"block": asked.column("block"), "part": asked.column("part"), "hashes": asked.column("hashes"), "counts": pa.array(counts, pa.binary())})
+            bits = np.frombuffer(known.column("values")[0].as_py(), np.uint8)
+            lines = np.zeros(ranges, np.int64)
+            lines[key[1].as_py()] = len(bits) // (LINE // 8)
+            part = Filter(np.zeros(ranges, np.int64), lines, bits)
+            got = [part.levels(h).tobytes() for h in wanted]
+        return pa.table({"block": asked.column("block"), "kind": asked.column("kind"), "part": asked.column("part"), "hashes": asked.column("hashes"), "values": pa.array(got, pa.binary())})
 
-    asked = body.groupBy("block").applyInArrow(ask, "block long, part int, hashes binary")
-    return asked.groupBy("part").cogroup(model.words.groupBy("part")).applyInArrow(answer, "block long, part int, hashes binary, counts binary")
+    asked = body.groupBy("block").applyInArrow(ask, "block long, kind int, part int, hashes binary")
+    known = model.words.select(F.lit(WORD).alias("kind"), "part", "hashes", "values").union(model.fields.select(F.lit(PAIR), "part", F.lit(b""), "field"))
+    return asked.groupBy("kind", "part").cogroup(known.groupBy("kind", "part")).applyInArrow(answer, "block long, kind int, part int, hashes binary, values binary")
 
 
 def _answered(answers: pa.Table):
-    """The count lookup of a block."""
+    """The lookups of a block: counts of words and levels of bigrams."""
     answers = answers.sort_by("part")
-    return Table(np.frombuffer(b"".join(answers.column("hashes").to_pylist()), U64), np.frombuffer(b"".join(answers.column("counts").to_pylist()), "<i8")).get
+    out = []
+    for kind, type_ in ((WORD, "<i8"), (PAIR, np.uint8)):
+        some = answers.filter(pc.equal(answers.column("kind"), kind))
+        out.append(Table(np.frombuffer(b"".join(some.column("hashes").to_pylist()), U64), np.frombuffer(b"".join(some.column("values").to_pylist()), type_)).get)
+    return out
 
 
-def _score_by_block(docs: DataFrame, model: Model, shared, text: str, into: str) -> DataFrame:
-    """Scores without the table: blocks of documents ask the hash ranges for the counts of their distinct words."""
-    weights = model.weights
-    rows, body = _blocks(docs if into == text else docs.drop(into), text, Spool(docs.sparkSession, "lm-blocks"))
+def _score_by_block(docs: DataFrame, model: Model, text: str, into: str) -> DataFrame:
+    """Scores without broadcasts: blocks of documents ask the hash ranges."""
+    own = model.scorer()
+    rows, body, row = _blocks(docs if into == text else docs.drop(into), text, model.spool)
 
     def finish(_: tuple, some: pa.Table, answers: pa.Table) -> pa.Table:
-        *args, _table = shared.value
-        own, get = Scorer(*args, weights), _answered(answers)
+        get, levels = _answered(answers)
         column = some.column("text").combine_chunks()
-        made = pa.concat_arrays([own.score(p, get) for p in column_pieces(column, STEP)])
-        return pa.table({"_row": some.column("_row"), "lm": made})
+        made = pa.concat_arrays([own.score(p, get, levels) for p in column_pieces(column, STEP)])
+        return pa.table({"row": some.column("row"), "lm": made})
 
-    answers = counts_by_block(body, model)
-    scored = body.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(finish, f"_row long, lm {SCORES}")
-    return rows.join(scored.withColumnRenamed("lm", into), "_row").drop("_row")
+    scored = body.groupBy("block").cogroup(answers_by_block(body, model).groupBy("block")).applyInArrow(finish, f"row long, lm {SCORES}")
+    return rows.join(scored.select(F.col("row").alias(row), F.col("lm").alias(into)), row).drop(row)
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

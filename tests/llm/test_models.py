@@ -148,13 +148,52 @@ def test_scores_do_not_depend_on_the_path(spark, monkeypatch):
     r = random.Random(6)
     rows = [(i, " ".join(r.choice(["a b c", "d e", "f g h a", "b d"]) for _ in range(r.randint(0, 15)))) for i in range(120)] + [(200, None), (201, ""), (202, "zzz unseen Words")]
     docs, got, weights = spark.createDataFrame(rows, "doc_id long, text string"), [], []
-    for bound in (128 << 20, 0):
-        monkeypatch.setattr(lm_score, "MOST_TABLE", bound)
+    for name, bound in (("MOST_TABLE", 128 << 20), ("MOST_TABLE", 0), ("MOST_FILTER", 0)):
+        monkeypatch.setattr(lm_score, "MOST_TABLE", 128 << 20)
+        monkeypatch.setattr(lm_score, name, bound)
         scored, model = lm_score.score_documents(docs)
+        assert model.small == (bound > 0)
         got.append(sorted((x.doc_id, x.lm.n_tokens, round(x.lm.base_score, 9), round(x.lm.score, 9)) for x in scored.collect()))
         weights.append(model.weights.tolist())
-    assert weights[0] == weights[1] and any(weights[0])
-    assert got[0] == got[1]
+    assert weights[0] == weights[1] == weights[2] and any(weights[0])
+    assert got[0] == got[1] == got[2]
+
+
+def test_query_equals_exact_quantised_counts(spark, sf, monkeypatch):
+    """Every score of the whole table by plain counting; bits enough that the filter has no false positives."""
+    monkeypatch.setattr(lm_score, "BITS_PER_KEY", 96)
+    docs = [(r.doc_id, find(r.text)) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    held = lambda i: zlib.crc32(str(i).encode()) % 5 == 1
+    training = [w for i, w in docs if not held(i)]
+    one, two = Counter(t for w in training for t in w), Counter(p for w in training for p in zip(["start", *w], w))
+    n, v = sum(one.values()), len(one)
+    quantised = lambda c: 2 ** (math.floor(2 * math.log2(c) + 1e-9) / 2) if c > 1 else c
+
+    def parts(words, own):
+        for past, t in zip(["start", *words], words):
+            uni, context = (one[t] + 0.5) / (n + 0.5 * (v + 1)), len(training) if past == "start" else one[past]
+            seen = min(quantised(two[past, t]), context, one[t]) if context and one[t] else 0
+            yield uni, context, max(seen - own, 0) / context / uni if seen else 0.0
+
+    cells = Counter()
+    for w in training:
+        for _, context, ratio in parts(w, 1):
+            cells[context.bit_length(), min(max(math.floor(math.log10(ratio) * 10) + 41, 1), 120) if ratio else 0] += 1
+    weights = []
+    for b in range(lm_score.BUCKETS):
+        own = {k[1]: m for k, m in cells.items() if k[0] == b}
+        grid = [0.0, *(1e-4 * (0.999 / 1e-4) ** (i / 199) for i in range(200))]
+        gain = lambda g: sum(m * math.log(1 - g + g * (10 ** ((k - 40.5) / 10) if k else 0)) for k, m in own.items())  # noqa: E731, B023
+        weights.append(max(grid, key=gain) if own else 0.0)
+    got = {r.doc_id: r for r in lm_score.op3_lm_score(spark, sf).collect()}
+    for i, w in docs:
+        base = sum(math.log10(u) for u, _, _ in parts(w, 0))
+        score = sum(math.log10(u) + math.log10(1 - weights[c.bit_length()] + weights[c.bit_length()] * r) for u, c, r in parts(w, 0))
+        g = got[i]
+        assert (g.n_tokens, g.n_known, g.train_tokens, g.held_out) == (len(w), sum(one[t] > 0 for t in w), n, held(i))
+        assert g.base_score == pytest.approx(base, rel=1e-9) and g.score == pytest.approx(score, rel=1e-6)
+    out = [got[i] for i, _ in docs if held(i)]
+    assert sum(g.score for g in out) > sum(g.base_score for g in out)  # held-out texts are likelier under the model
 
 
 def test_weights_are_fitted_on_all_training_documents(spark):
@@ -172,7 +211,8 @@ def test_bigrams_that_occur_once_are_seen(spark):
     rows = [(i, "a b c") for i in range(300) if zlib.crc32(str(i).encode()) % 5 != 1] + [(1000 + i, f"p{i} q{i}") for i in range(40) if zlib.crc32(str(1000 + i).encode()) % 5 != 1] + [(None, "p q"), (None, "p q r")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     model = lm_score.train(docs)
-    own = model.filter
+    shared = model.share()
+    own = shared.value[1]
     pair = lambda t: lm_score.pair_hash(*reversed(lm_score.tokens(pa.array([t]))[:2]))[1:2]
     once, twice, never = (int(own.levels(pair(t))[0]) for t in ("q r", "p q", "q p"))
     assert once == 1 and twice == 2 and never == 0
@@ -181,7 +221,6 @@ def test_bigrams_that_occur_once_are_seen(spark):
     low = lm_score.stored_count(level)
     assert level[:3].tolist() == [0, 1, 2] and (low <= counts + 1e-6).all() and (low[:3] == [0, 1, 2]).all() and (np.diff(level) >= 0).all()
     model.weights = np.full(lm_score.BUCKETS, 0.5)
-    shared = model.share()
     ask = spark.createDataFrame([(1, "q r"), (2, "r q")], "doc_id long, text string")
     got = {x.doc_id: x.lm for x in lm_score.score(ask, model, shared).collect()}
     assert got[1].base_score == pytest.approx(got[2].base_score) and got[1].score > got[2].score
@@ -195,10 +234,11 @@ def test_filter_keeps_every_level():
     assert (level[counts < 2] == 0).all() and (lm_score.count_of(level)[level > 0] <= counts[level > 0] + 1e-6).all()
     assert (lm_score.count_of(level + 1)[counts >= 2] > counts[counts >= 2]).all()
     part = (pair >> np.uint64(32)).astype(np.int64) * 256 >> 32
-    rows = [(p, int(level[part == p].sum()), pair[(part == p) & (level > 0)].tobytes(), level[(part == p) & (level > 0)].tobytes()) for p in range(256) if level[part == p].sum()]
-    batch = pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows)], ["part", "keys", "hashes", "values"])
-    made = next(iter(lm_score._filter_part(12)(iter([batch]))))
-    f = lm_score.Filter(dict(zip(made.column(0).to_pylist(), made.column(1).to_pylist())), 256)
+    keys = np.bincount(part, level, 256).astype(np.int64)
+    lines = np.where(keys > 0, lm_score._lines(keys, 12), 0)
+    fields = [lm_score._field(pair[part == p], level[part == p], int(keys[p]), 12) for p in range(256) if keys[p]]
+    f = lm_score.Filter(np.cumsum(lines) - lines, lines, np.concatenate(fields))
+    assert len(f.bits) == lines.sum() * 64
     found = f.levels(pair)
     assert (found >= level).all() and (found > level).mean() < 0.03
     assert (f.levels(pair + np.uint64(1)) > 0).mean() < 0.03
