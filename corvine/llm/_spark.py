@@ -4,12 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.spool import Spool, shared_dir
+from ..sources import spool
+from ..sources.spool import shared_dir
 
-__all__ = ["Spool", "fresh", "partitions", "shared_dir", "table"]
+__all__ = ["Spool", "bounded_batches", "fresh", "partitions", "shared_dir", "table"]
+
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded_batches(spark: SparkSession, most: int = 4 << 20) -> None:
+    """Lowers the session's limit on the bytes of an Arrow batch, so that long texts do not fill Python workers."""
+    if int(spark.conf.get(BATCH_BYTES, "67108864b").removesuffix("b")) > most:
+        spark.conf.set(BATCH_BYTES, f"{most}b")
+
+
+class Spool(spool.Spool):
+    """Spooled tables of an operator whose Python workers get texts in small batches."""
+
+    def __init__(self, spark: SparkSession, what: str):
+        bounded_batches(spark)
+        super().__init__(spark, what)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from ._spark import Spool, fresh, table
+from ._spark import Spool, bounded_batches, fresh, table
 from ._text import LOWER, column_pieces, flat, hash_spans, spans
 
 LENGTH = 10
@@ -178,6 +178,7 @@ def _intervals(mask: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.nda
 def contamination(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", length: int = LENGTH, into: str = "contamination") -> DataFrame:
     """`docs` with a struct column: n_words, covered word spans, the same as byte spans, and the sorted ids of
     the items that occur. With several blocks of items, what was found so far is spooled after each block."""
+    bounded_batches(docs.sparkSession)
     out, spool = docs, None
     for n, block in enumerate(blocks(items, item_id, item_text)):
         if n:

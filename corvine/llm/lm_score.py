@@ -37,12 +37,12 @@ U64 = np.uint64
 #: Bytes of the unigram table and of the filter that are broadcast at most.
 MOST_TABLE, MOST_FILTER = 128 << 20, 256 << 20
 BITS_PER_KEY, PROBES = 12, 6
-#: Bits of a block of the filter, which holds all probes of a bigram.
+#: Bits of a block of the filter, which holds all probes of a bigram, those of a level in two of its words.
 LINE = 512
 #: More than any count's level.
 MOST_LEVEL = 128
 #: Tokens held before a task packs them, bytes of text scored at once, and bytes of text for each hash range.
-FLUSH, STEP, RANGE_BYTES = 2_000_000, 2 << 20, 32 << 20
+FLUSH, STEP, RANGE_BYTES = 2_000_000, 1 << 20, 32 << 20
 #: Rows of a document block in the path beyond the bounds.
 BLOCK_ROWS = 4096
 END, START = U64(0x5851F42D4C957F2D), U64(0x14057B7EF767814F)
@@ -174,28 +174,41 @@ def _lines(keys: np.ndarray | int, bits: float) -> np.ndarray | int:
     return -(-(keys * bits).astype(np.int64) // LINE) + 1 if isinstance(keys, np.ndarray) else -(-int(keys * bits) // LINE) + 1
 
 
-def _line_of(pair: np.ndarray, lines: np.ndarray | int) -> np.ndarray:
-    """The block of a bigram among the `lines` of its range."""
-    return ((pair & U64(0xFFFFFFFF)) * (lines.astype(U64) if isinstance(lines, np.ndarray) else U64(lines)) >> U64(32)).astype(np.int64)
+def _line_of(pair: np.ndarray, ranges: int, lines: np.ndarray | int) -> np.ndarray:
+    """The block of a bigram among the `lines` of its range; sorted bigrams ask for blocks in order."""
+    inside = (pair >> U64(32)) * U64(ranges) & U64(0xFFFFFFFF)
+    return (inside * (lines.astype(U64) if isinstance(lines, np.ndarray) else U64(lines)) >> U64(32)).astype(np.int64)
 
 
-def _bits_of(pair: np.ndarray, level: int) -> np.ndarray:
-    """The probes of a bigram's level: a row of places in its block."""
-    key = mix(pair ^ U64((level * 0xD1B54A32D192ED03) & 0xFFFFFFFFFFFFFFFF))
-    return np.stack([(key >> U64(9 * i)).astype(np.int64) & (LINE - 1) for i in range(PROBES)], axis=1)
+def _level_key(pair: np.ndarray, level: int) -> np.ndarray:
+    return mix(pair ^ U64((level * 0xD1B54A32D192ED03) & 0xFFFFFFFFFFFFFFFF))
 
 
-def _field(pair: np.ndarray, level: np.ndarray, keys: int, bits: float) -> np.ndarray:
+def _word_and_mask(key: np.ndarray, half: int) -> tuple[np.ndarray, np.ndarray]:
+    """One of a key's two words in its block, and the probes that lie there."""
+    word = key & U64(7)
+    if half:
+        word = (word + U64(1) + ((key >> U64(3)) & U64(3))) & U64(7)
+    mask = np.zeros(len(key), U64)
+    for i in range(PROBES // 2):
+        mask |= U64(1) << ((key >> U64(6 + 6 * i + 6 * half * (PROBES // 2))) & U64(63))
+    return word.astype(np.int64), mask
+
+
+def _field(pair: np.ndarray, level: np.ndarray, keys: int, ranges: int, bits: float) -> np.ndarray:
     """The part of the filter of one range."""
     lines = _lines(keys, bits)
-    out = np.zeros(lines * LINE, bool)
+    out = np.zeros(lines * (LINE // 64), U64)
     for j in range(1, int(level.max(initial=0)) + 1):
         some = pair[level >= j]
-        out[(_line_of(some, lines) * LINE)[:, None] + _bits_of(some, j)] = True
-    return np.packbits(out, bitorder="little")
+        key, base = _level_key(some, j), _line_of(some, ranges, lines) * (LINE // 64)
+        for half in (0, 1):
+            word, mask = _word_and_mask(key, half)
+            np.bitwise_or.at(out, base + word, mask)
+    return out
 
 
-def _filter_part(bits: float):
+def _filter_part(ranges: int, bits: float):
     """A range's stored bigrams to its own stretch of the filter."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,7 +216,7 @@ def _filter_part(bits: float):
             parts, made = [], []
             for part, keys, h, v in zip(*(batch.column(c).to_pylist() for c in ("part", "keys", "hashes", "values")), strict=True):
                 parts.append(part)
-                made.append(_field(np.frombuffer(h, U64), np.frombuffer(v, np.uint8), keys, bits).tobytes())
+                made.append(_field(np.frombuffer(h, U64), np.frombuffer(v, np.uint8), keys, ranges, bits).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array(made, pa.binary())], ["part", "field"])
 
     return run
@@ -219,14 +232,16 @@ class Filter:
         part = (pair >> U64(32)).astype(np.int64) * len(self.lines) >> 32
         out = np.zeros(len(pair), np.uint8)
         live = np.flatnonzero(self.lines[part] > 0)
-        own = part[live]
-        base = (self.first[own] + _line_of(pair[live], self.lines[own])) * (LINE // 8)
+        own, pair = part[live], pair[live]
+        base = (self.first[own] + _line_of(pair, len(self.lines), self.lines[own])) * (LINE // 64)
         for level in range(1, MOST_LEVEL):
             if not len(live):
                 break
-            at = _bits_of(pair[live], level)
-            hit = (self.bits[base[:, None] + (at >> 3)] >> (at & 7).astype(np.uint8) & 1).all(axis=1)
-            live, base = live[hit], base[hit]
+            key = _level_key(pair, level)
+            for half in (0, 1):
+                word, mask = _word_and_mask(key, half)
+                hit = np.flatnonzero(self.bits[base + word] & mask == mask)
+                live, base, pair, key = live[hit], base[hit], pair[hit], key[hit]
             out[live] = level
         return out
 
@@ -297,7 +312,7 @@ class Model:
         self.lines = np.where(keys[PAIR] > 0, _lines(keys[PAIR], bits), 0)
         self.words = counts.where(F.col("kind") == WORD).select("part", F.col("hashes"), "values")
         pairs = counts.where(F.col("kind") == PAIR).where("keys > 0").select("part", "keys", "hashes", "values")
-        self.fields = spool.keep(pairs.mapInArrow(_filter_part(bits), "part int, field binary"), "filter")
+        self.fields = spool.keep(pairs.mapInArrow(_filter_part(ranges, bits), "part int, field binary"), "filter")
         self.weights = np.zeros(BUCKETS)
         # the check of what is broadcast: hashes with counts of 8 bytes, and the filter
         self.small = self.distinct * 16 <= MOST_TABLE and int(self.lines.sum()) * (LINE // 8) <= MOST_FILTER
@@ -315,10 +330,10 @@ class Model:
         if counts.max(initial=0) < 1 << 32:
             counts = counts.astype(np.uint32)
         first = np.cumsum(self.lines) - self.lines
-        bits = np.zeros(int(self.lines.sum()) * (LINE // 8), np.uint8)
+        bits = np.zeros(int(self.lines.sum()) * (LINE // 64), U64)
         for r in self.fields.toLocalIterator():
-            begin = first[r.part] * (LINE // 8)
-            bits[begin : begin + len(r.field)] = np.frombuffer(r.field, np.uint8)
+            begin = first[r.part] * (LINE // 64)
+            bits[begin : begin + len(r.field) // 8] = np.frombuffer(r.field, U64)
         return self.spark.sparkContext.broadcast((Table(hashes, counts), Filter(first, self.lines, bits)))
 
     def scorer(self) -> Scorer:
@@ -431,9 +446,9 @@ def answers_by_block(body: DataFrame, model: Model) -> DataFrame:
             table_ = Table(np.frombuffer(known.column("hashes")[0].as_py(), U64), np.frombuffer(known.column("values")[0].as_py(), "<i8"))
             got = [table_.get(h).astype("<i8").tobytes() for h in wanted]
         else:
-            bits = np.frombuffer(known.column("values")[0].as_py(), np.uint8)
+            bits = np.frombuffer(known.column("values")[0].as_py(), U64)
             lines = np.zeros(ranges, np.int64)
-            lines[key[1].as_py()] = len(bits) // (LINE // 8)
+            lines[key[1].as_py()] = len(bits) // (LINE // 64)
             part = Filter(np.zeros(ranges, np.int64), lines, bits)
             got = [part.levels(h).tobytes() for h in wanted]
         return pa.table({"block": asked.column("block"), "kind": asked.column("kind"), "part": asked.column("part"), "hashes": asked.column("hashes"), "values": pa.array(got, pa.binary())})

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from ._spark import table
+from ._spark import bounded_batches, table
 from ._text import HashIndex, column_pieces, flat, hash_spans, ragged, words
 
 MOST = 2048
@@ -161,6 +161,7 @@ def pack(docs: DataFrame, vocab_path: str, text: str = "text", most: int = MOST,
     """One row per piece: the columns of `docs` without the text, and start, length, ids (binary, little-endian
     unsigned 32-bit), doc_tokens, bucket (the power of two), sequence_id and offset (0: a sequence has one piece).
     Columns of those names in `docs` are replaced."""
+    bounded_batches(docs.sparkSession)
     if most & (most - 1):
         raise ValueError("the longest sequence must be a power of two")
 

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from ._spark import table
+from ._spark import bounded_batches, table
 from ._text import column_pieces
 
 #: Fixed value: the vocabulary's published pre-token pattern.
@@ -162,6 +162,7 @@ def token_count(text: Column | str, vocab_path: str) -> Column:
 
 def count_tokens(docs: DataFrame, vocab_path: str, text: str = "text", into: str = "n_tokens") -> DataFrame:
     """`docs` with one more column, the tokens of `text`. Rows stay where they are: no shuffle."""
+    bounded_batches(docs.sparkSession)
     return docs.withColumn(into, token_count(F.col(text), vocab_path))
 
 

@@ -236,9 +236,9 @@ def test_filter_keeps_every_level():
     part = (pair >> np.uint64(32)).astype(np.int64) * 256 >> 32
     keys = np.bincount(part, level, 256).astype(np.int64)
     lines = np.where(keys > 0, lm_score._lines(keys, 12), 0)
-    fields = [lm_score._field(pair[part == p], level[part == p], int(keys[p]), 12) for p in range(256) if keys[p]]
+    fields = [lm_score._field(pair[part == p], level[part == p], int(keys[p]), 256, 12) for p in range(256) if keys[p]]
     f = lm_score.Filter(np.cumsum(lines) - lines, lines, np.concatenate(fields))
-    assert len(f.bits) == lines.sum() * 64
+    assert len(f.bits) == lines.sum() * 8
     found = f.levels(pair)
     assert (found >= level).all() and (found > level).mean() < 0.03
     assert (f.levels(pair + np.uint64(1)) > 0).mean() < 0.03
