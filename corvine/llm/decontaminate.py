@@ -299,4 +299,19 @@ def brute(text: str | None, items: list[tuple[str, str | None]], length: int = L
 
 
 QUERIES = {"op6_decontaminate": op6_decontaminate}
-ORACLE: dict[str, str] = {}
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words"""
+ORACLE = {
+    "op6_decontaminate": f"""
+with b as (select cast(item_id as varchar) as item, {_WORDS} from benchmark),
+i as (select item, words, least(10, len(words)) as size, unnest(range(1, greatest(len(words) - 9, 1) + 1)) as pos from b where len(words) > 0),
+m as (select distinct item, size, array_to_string(words[pos:pos + size - 1], ' ') as win from i),
+d as (select row_number() over () as rid, doc_id, {_WORDS} from documents),
+p as (select d.rid, d.words, z.size, unnest(range(1, len(d.words) - z.size + 2)) as pos from d, (select distinct size from m) z where len(d.words) >= z.size),
+h as (select p.rid, p.pos, p.size, m.item from p join m on p.size = m.size and array_to_string(p.words[p.pos:p.pos + p.size - 1], ' ') = m.win),
+c as (select rid, count(distinct word) as n_hit from (select rid, unnest(range(pos, pos + size)) as word from h) group by rid),
+n as (select rid, count(*) as n_items, string_agg(item, ',' order by item) as items from (select distinct rid, item from h where item is not null) group by rid)
+select d.doc_id, cast(len(d.words) as bigint) as n_words, cast(coalesce(c.n_hit, 0) as bigint) as n_hit, cast(coalesce(n.n_items, 0) as bigint) as n_items,
+       sha256(coalesce(n.items, '')) as items_sha256, coalesce(c.n_hit, 0) > 0 as contaminated
+from d left join c on d.rid = c.rid left join n on d.rid = n.rid
+"""
+}

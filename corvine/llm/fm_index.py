@@ -160,4 +160,19 @@ def op7_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op7_fm_index": op7_fm_index}
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op7_fm_index": r"""
+with d as (select row_number() over () as rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents),
+p as (select rid, words, unnest(range(1, len(words) - 33)) as pos from d where len(words) >= 35),
+h as (select rid, pos, md5(array_to_string(words[pos:pos + 34], ' ')) as h from p),
+s as (select rid, pos from h where h in (select h from h group by h having count(*) > 1)),
+w as (select rid, unnest(words) as word, generate_subscripts(words, 1) as pos from d),
+c as (
+  select w.rid, w.word, w.pos, max(s.pos) over (partition by w.rid order by w.pos rows between 34 preceding and current row) is not null as gone
+  from w left join s on w.rid = s.rid and w.pos = s.pos
+),
+k as (select rid, count(*) filter (gone) as removed, string_agg(word, ' ' order by pos) filter (not gone) as kept from c group by rid)
+select d.doc_id, cast(len(d.words) as bigint) as n_words, cast(coalesce(k.removed, 0) as bigint) as n_removed, sha256(coalesce(k.kept, '')) as kept_sha256
+from d left join k on d.rid = k.rid
+"""
+}

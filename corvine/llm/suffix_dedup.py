@@ -88,4 +88,21 @@ def op9_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op9_suffix_array": op9_suffix_array}
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op9_suffix_array": """
+with d as (select row_number() over () as rid, doc_id, encode(coalesce(text, '')) as raw, octet_length(encode(coalesce(text, ''))) as n from documents),
+p as (select rid, raw, unnest(range(1, n - 198)) as pos from d where n >= 200),
+h as (select rid, pos, md5_number(raw[pos:pos + 199]) as h from p),
+s as (select rid, pos from h where h in (select h from h group by h having count(*) > 1)),
+b as (select rid, unnest(range(1, n + 1)) as pos, raw from d where n > 0),
+c as (
+  select b.rid, b.pos, hex(b.raw[b.pos:b.pos]) as byte, max(s.pos) over (partition by b.rid order by b.pos rows between 199 preceding and current row) is not null as gone
+  from b left join s on b.rid = s.rid and b.pos = s.pos where b.rid in (select rid from s)
+),
+e as (select *, gone and not coalesce(lag(gone) over (partition by rid order by pos), false) as begins from c),
+k as (select rid, count(*) filter (gone) as removed, count(*) filter (begins) as spans, string_agg(byte, '' order by pos) filter (not gone) as kept from e group by rid)
+select d.doc_id, cast(d.n as bigint) as n_bytes, cast(coalesce(k.removed, 0) as bigint) as n_removed, cast(coalesce(k.spans, 0) as bigint) as n_spans,
+       sha256(case when k.rid is null then d.raw else unhex(coalesce(k.kept, '')) end) as kept_sha256
+from d left join k on d.rid = k.rid
+"""
+}

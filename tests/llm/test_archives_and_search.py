@@ -4,13 +4,13 @@ import io
 import numpy as np
 import pytest
 
-from corvine.llm import topk, warc
+from corvine.llm import decontaminate, fm_index, suffix_dedup, topk, warc
 from corvine.llm._spark import Spool
 
 from ..twins import rows_of, sql_rows
 
 
-@pytest.mark.parametrize("module,name", [(warc, "op5_warc"), (topk, "op10_topk")])
+@pytest.mark.parametrize("module,name", [(warc, "op5_warc"), (topk, "op10_topk"), (decontaminate, "op6_decontaminate"), (fm_index, "op7_fm_index"), (suffix_dedup, "op9_suffix_array")])
 def test_query_equals_sql(spark, sf, module, name):
     assert rows_of(module.QUERIES[name](spark, sf)) == sql_rows(sf, module.ORACLE[name])
 
