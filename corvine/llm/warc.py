@@ -9,7 +9,8 @@ Reading splits archives by content length, joins the records of a transaction th
 identifiers, and emits one nested row per capture. Payloads are told apart by length and SHA-256.
 
 A null html is an empty payload; a null url an empty one. A capture with a null page_id is stored without one:
-it is a response unless a capture with an id has the same payload. Repeated rows are captures of their own.
+it is a response unless a capture with an id has the same payload. Repeated rows are captures of their own. An
+empty table makes archives without records; other columns of the pages do not matter.
 """
 
 from __future__ import annotations
@@ -25,8 +26,8 @@ from pyspark.sql import functions as F
 from ._spark import Spool, table
 
 LEAST_BYTES = 1000
-#: Captures in an archive file; bounds what a reader holds at once.
-PER_FILE = 2000
+#: Captures in an archive file at most, and bytes of payload in one on average; a reader holds a file at once.
+PER_FILE, FILE_BYTES = 2000, 64 << 20
 CRLF = "\r\n"
 
 
@@ -86,9 +87,12 @@ def records(caps: DataFrame) -> DataFrame:
     return caps.select(F.explode(rows).alias("value"))
 
 
-def write_archives(pages: DataFrame, path: str, per_file: int = PER_FILE, **names: str) -> None:
-    """Writes gzipped WARC files below `path`, of about `per_file` captures each."""
-    records(captures(pages, **names)).write.option("lineSep", CRLF).option("compression", "gzip").option("maxRecordsPerFile", 3 * per_file).text(path)
+def write_archives(pages: DataFrame, path: str, per_file: int | None = None, html: str = "html", **names: str) -> None:
+    """Writes gzipped WARC files below `path`, of `per_file` captures each, else of about `FILE_BYTES` of payload."""
+    if per_file is None:
+        mean = pages.agg(F.avg(F.coalesce(F.octet_length(html), F.lit(0)))).first()[0]
+        per_file = max(1, min(PER_FILE, int(FILE_BYTES / max(1.0, mean or 0.0))))
+    records(captures(pages, html=html, **names)).write.option("lineSep", CRLF).option("compression", "gzip").option("maxRecordsPerFile", 3 * per_file).text(path)
 
 
 FIELDS = ("type", "id", "concurrent", "uri", "digest", "refers", "length", "block")
@@ -149,11 +153,12 @@ def assemble(recs: DataFrame) -> DataFrame:
     """One nested row per capture: its id and structs request, response and metadata, null where missing.
 
     A transaction's key is the id that its records are concurrent to; that of a response or revisit is its own.
+    Of several records of one kind in a transaction the one with the smallest record id is taken.
     """
     key = F.coalesce("concurrent", "id")
     parts = {"request": F.col("type") == "request", "response": F.col("type").isin("response", "revisit"), "metadata": F.col("type") == "metadata"}
     record = F.struct("type", "id", "uri", "digest", "refers", "length", "block")
-    return recs.groupBy(key.alias("capture")).agg(*[F.first(F.when(cond, record), ignorenulls=True).alias(k) for k, cond in parts.items()])
+    return recs.groupBy(key.alias("capture")).agg(*[F.min_by(record, F.when(cond, F.col("id"))).alias(k) for k, cond in parts.items()])
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,7 +171,9 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     begin = F.instr(head, CRLF + CRLF) + 3
     body = F.expr("substring(block, instr(decode(substring(block, 1, 512), 'ISO-8859-1'), '\r\n\r\n') + 4)")
     recs = recs.withColumn("length", F.when(F.col("type") == "response", F.col("length") - begin).when(F.col("type") == "revisit", F.regexp_extract(head, r"Content-Length: (\d+)", 1).cast("long")).otherwise(F.col("length")))
-    recs = recs.withColumn("digest", F.when(F.col("type") == "response", F.sha1(body)).otherwise(F.regexp_replace("digest", "^sha1:", "")))
+    told = F.regexp_replace("digest", "^sha1:", "")
+    checked = F.when(F.sha1(body) == told, told).otherwise(F.raise_error(F.concat(F.lit("payload and digest differ in "), F.col("id"))))
+    recs = recs.withColumn("digest", F.when(F.col("type") == "response", checked).otherwise(told))
     small = F.when(F.col("type") == "metadata", F.col("block")).alias("block")
     rows = assemble(recs.select("type", "id", "concurrent", "uri", "digest", "refers", "length", small))
     page = F.regexp_extract(F.decode("metadata.block", "UTF-8"), r"page_id: (\d+|-\d+)", 1)
