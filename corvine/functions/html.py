@@ -243,9 +243,17 @@ def description_of(html: Column) -> Column:
 
 
 def meetings_of(html: Column, group: Column) -> Column:
-    @F.pandas_udf(MEETING)
-    def one(values: pd.Series, groups: pd.Series) -> pd.Series:
-        return pd.Series([meetings(h, g) for h, g in zip(values, groups, strict=True)], dtype=object)
+    """A struct: the meetings, or what kept them from being read."""
+
+    def read(h: str | None, g: list | None) -> dict:
+        try:
+            return {"meetings": meetings(h, g), "error": None}
+        except Exception as e:
+            return {"meetings": None, "error": f"meetings cannot be read: {e!r}"}
+
+    @F.pandas_udf(f"meetings {MEETING}, error string")
+    def one(values: pd.Series, groups: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([read(h, g) for h, g in zip(values, groups, strict=True)], columns=["meetings", "error"])
 
     return one(html, group)
 

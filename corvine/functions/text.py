@@ -6,6 +6,7 @@ import re
 import unicodedata
 
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
 
@@ -89,6 +90,8 @@ def repair(text: str, runs: bool = False) -> str:
     return re.sub(r"[\xc2-\xf4][\x80-\xbf]+", decode, text) if runs else text
 
 
-@F.pandas_udf(StringType())
-def mojibake_repair(text: pd.Series) -> pd.Series:
-    return text.map(lambda t: None if t is None else repair(t))
+def mojibake_repair(text: Column) -> Column:
+    """The same as nested built-in replacements."""
+    for bad, good in config.MOJIBAKE.items():
+        text = F.replace(text, F.lit(bad), F.lit(good))
+    return text

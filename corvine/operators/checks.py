@@ -47,6 +47,12 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, key: str) -> DataF
     return refs.join(parent.select(F.col(key).alias("_p")), F.col("_r") == F.col("_p"), "left_anti").withColumnRenamed("_r", column)
 
 
+def without_places(courses: DataFrame) -> DataFrame:
+    """One row if no meeting of any course has a place: the places were not delivered."""
+    n = F.coalesce(F.sum(F.size(F.filter("meetings", lambda m: F.coalesce(m["location"], F.lit("")) != ""))), F.lit(0))
+    return courses.agg(n.alias("located")).where("located = 0")
+
+
 def foreign_key_orphans(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {f"{c}.{col}": orphans(tables[c], col, tables[p], key) for c, col, p, key in config.FOREIGN_KEYS if c in tables and p in tables}
 
@@ -56,6 +62,7 @@ def assertions(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
         "listing season equals course season": season_mismatches(tables["listings"], tables["courses"]),
         "every course has a listing": courses_without_listing(tables["courses"], tables["listings"]),
         "options are missing exactly for narratives": option_violations(tables["evaluation_questions"]),
+        **{f"{k} refers to a row": v for k, v in foreign_key_orphans(tables).items()},
         **{f"{t} has unique keys": duplicate_keys(tables[t], k) for t, k in config.PRIMARY_KEYS.items() if t in tables},
     }
 

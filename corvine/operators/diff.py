@@ -32,6 +32,13 @@ def table_diff(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return both.select(*pick, op.alias("op"), F.when(is_old & is_new, changed).otherwise(F.array().cast("array<string>")).alias("columns_changed")).where("op is not null")
 
 
+def schema_violations(old: DataFrame, new: DataFrame) -> list[str]:
+    """Columns that one version lacks, and columns of another type, audit columns and types of nulls aside."""
+    a, b = ({f.name: f.dataType.simpleString() for f in df.schema if f.name not in config.AUDIT_COLUMNS} for df in (old, new))
+    out = [f"column {c} is only in the {side} version" for side, x, y in (("old", a, b), ("new", b, a)) for c in x if c not in y]
+    return out + [f"column {c} was {a[c]} and is {b[c]}" for c in a if c in b and a[c] != b[c] and "void" not in (a[c], b[c])]
+
+
 def diff_summary(diffs: dict[str, DataFrame]) -> DataFrame:
     out = None
     for name, d in diffs.items():
@@ -186,6 +193,12 @@ def junction_lines(old: DataFrame, new: DataFrame, names: DataFrame, key: str, n
     return both.where(~F.col("_old").eqNullSafe(F.col("_new"))).select("course_id", F.concat(F.lit(f"\n  - {title}: "), text_of(F.col("_old")), F.lit(" → "), text_of(F.col("_new"))).alias("line"))
 
 
+def text_lines(old: DataFrame, new: DataFrame, title: str, courses: DataFrame) -> DataFrame:
+    """(course_id, line) for courses of both versions whose texts (course_id, text) differ."""
+    both = old.select("course_id", F.col("text").alias("_old")).join(new.select("course_id", F.col("text").alias("_new")), "course_id", "full_outer").join(courses.select("course_id"), "course_id", "left_semi")
+    return both.where(~F.col("_old").eqNullSafe(F.col("_new"))).select("course_id", F.concat(F.lit(f"\n  - {title}: "), text_of(F.col("_old")), F.lit(" → "), text_of(F.col("_new"))).alias("line"))
+
+
 def meeting_text(meetings: DataFrame, locations: DataFrame) -> DataFrame:
     """(course_id, text): days, times and place of each meeting, joined."""
     places = locations.select("location_id", F.concat_ws(" ", "building_code", "room").alias("place"))

@@ -205,17 +205,20 @@ def split_labels(labelled: DataFrame, codes: DataFrame, specs: DataFrame) -> tup
     return placed.select("course_id", new.alias("label")), bad
 
 
-def same_courses(courses: DataFrame, listings: DataFrame, professors: DataFrame, ordinal: str, spool: Spool, specs: DataFrame | None = None) -> DataFrame:
-    """(course_id, same_course_id). Discussions are courses of their own."""
+def same_courses(courses: DataFrame, listings: DataFrame, professors: DataFrame, ordinal: str, spool: Spool, specs: DataFrame | None = None) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """(course_id, same_course_id), and violations. Discussions are courses of their own; a course whose listings
+    are of both kinds is a discussion here, and told as a violation."""
     data, codes, talks = course_groups(courses, listings, professors, ordinal)
     data, codes = spool.keep(data, "data"), spool.keep(codes, "codes")
     titles = spool.keep(title_labels(data, codes, spool), "titles")
     texts = text_labels(data, codes, titles, spool)
+    bad = {"courses are discussions or not": talks.join(codes.select("course_id"), "course_id", "left_semi")}
     if specs is not None:
-        texts = split_labels(spool.keep(texts, "texts"), codes, specs)[0]
+        texts, bad["split specs are unambiguous"] = split_labels(spool.keep(texts, "texts"), codes, specs)
     else:
         texts = texts.withColumn("label", F.min("course_id").over(W.partitionBy("label")))
-    return texts.select("course_id", F.col("label").alias("same_course_id")).union(talks.select("course_id", F.col("course_id").alias("same_course_id")))
+    alone = talks.select("course_id", F.col("course_id").alias("same_course_id"))
+    return texts.join(talks, "course_id", "left_anti").select("course_id", F.col("label").alias("same_course_id")).union(alone), bad
 
 
 def split_by_professors(same: DataFrame, professors: DataFrame) -> DataFrame:
@@ -235,7 +238,8 @@ def resolve_professors(courses: DataFrame, cache: DataFrame, ordinal: str, email
 
     Emails are renamed (old, new); an empty email is filled with the first one of its name; rows of one email take
     the name last in use (ties: the name seen later); ids come from the cache by `name <email>`, else by name.
-    A professor's row is the last of the bridge, whose order is email, then name, then input.
+    A professor's row is the last of the bridge, whose order is email, then name, then input. Courses whose lists
+    differ in length are padded here and told by `uneven_professors`.
     """
     each = courses.select("course_id", "season_code", F.col(ordinal).alias("_o"), F.posexplode(F.arrays_zip("professors", "professor_emails")).alias("_p", "_x"))
     rows = each.select("course_id", "season_code", "_o", "_p", F.col("_x.professors").alias("name"), F.coalesce("_x.professor_emails", F.lit("")).alias("email")).where("name is not null")
@@ -252,14 +256,22 @@ def resolve_professors(courses: DataFrame, cache: DataFrame, ordinal: str, email
     latest = used.groupBy("email").agg(F.max_by("name", F.struct("_s", "_f")).alias("_latest"))
     rows = rows.join(latest, "email", "left").withColumn("name", F.coalesce("_latest", "name")).drop("_latest")
     rows = rows.withColumn("_key", S.cache_key(F.col("name"), F.col("email"))).withColumn("_seq", F.struct("email", "_name", "_o", "_p"))
+    spool = Spool(courses.sparkSession, "professors")
+    rows = spool.keep(rows, "rows")  # read three times from here on
     first = rows.groupBy("_key").agg(F.min("_seq").alias("_seq"))
     # new ids follow the keys' first appearance
-    order = tables.ordered(first, ["_seq"], "_rank", Spool(courses.sparkSession, "professors")).drop("_seq")
+    order = tables.ordered(first, ["_seq"], "_rank", spool).drop("_seq")
     rows = tables.stable_ids(rows.join(order, "_key"), "_key", "_rank", cache, "professor_id", "name")
     people = rows.groupBy("professor_id").agg(F.max_by(F.struct("name", "email"), "_seq").alias("_r")).select("professor_id", "_r.name", S.null_if_empty(F.col("_r.email")).alias("email"))
     return people, rows.select("course_id", "professor_id")
 
 
+def uneven_professors(courses: DataFrame) -> DataFrame:
+    """Courses with more names than emails, or the other way round."""
+    size = lambda c: F.coalesce(F.size(c), F.lit(0))
+    return courses.where(size("professors") != size("professor_emails")).select("course_id")
+
+
 def saved_professor_keys(professors: DataFrame) -> DataFrame:
     """(key, id) to remember; a name alone is left out where a key with an email has the same name."""
     keys = professors.select("name", "email", S.cache_key(F.col("name"), F.col("email")).alias("key"), F.col("professor_id").alias("id"))

@@ -1,4 +1,7 @@
-"""Raw course details to parsed course records; rows that cannot be parsed go to a rejects table."""
+"""Raw course details to parsed course records; rows that cannot be parsed go to a rejects table.
+
+A course without number, title or code is rejected, and one whose meetings or clocks are malformed.
+"""
 
 from __future__ import annotations
 
@@ -9,17 +12,22 @@ from .. import config
 from ..functions import html as H
 from ..functions import scalars as S
 from ..operators.linkage import primary_crn
+from ..sources.spool import Spool
 
 
 def parse_courses(raw: DataFrame, season: str, second: DataFrame | None = None, first_year: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Parsed courses and rejects (crn, code, error). `second` (crn, subjectNumber, sectionNumber, primXLst) gives
     primary listings, `first_year` (crn) the seminars that the search service names."""
     empty = lambda c: F.coalesce(F.col(c), F.lit(""))
-    bad = raw.where(F.col("code").isNull() | ~F.contains("code", F.lit(" ")) | F.col("crn").isNull() | F.col("title").isNull())
-    rejects = bad.select("crn", "code", F.lit("course without number, title or code").alias("error"))
-    df = raw.where(F.col("code").isNotNull() & F.contains("code", F.lit(" ")) & F.col("crn").isNotNull() & F.col("title").isNotNull())
+    whole = F.col("code").isNotNull() & F.contains("code", F.lit(" ")) & F.col("crn").isNotNull() & F.col("title").isNotNull()
+    missing = F.when(~F.coalesce(whole, F.lit(False)), F.lit("course without number, title or code"))
+    spool = Spool(raw.sparkSession, "parse")
+    read = raw.withColumn("_m", H.meetings_of(empty("meeting_html"), F.col("allInGroup"))).withColumn("_error", F.coalesce(missing, "_m.error"))
+    read = spool.keep(read.withColumn("_m", F.col("_m.meetings")), "read")
+    rejects = read.where("_error is not null").select("crn", "code", F.col("_error").alias("error"))
+    df = read.where("_error is null").drop("_error")
     df = df.withColumn("_d", H.description_of(empty("description"))).withColumn("_p", H.instructors_of(empty("instructordetail_html")))
-    df = df.withColumn("_x", H.cross_listings_of(empty("xlist"))).withColumn("_m", H.meetings_of(empty("meeting_html"), F.col("allInGroup")))
+    df = df.withColumn("_x", H.cross_listings_of(empty("xlist")))
     if second is not None:
         rows = second.select("crn", F.col("subjectNumber").alias("code"), F.col("sectionNumber").alias("section"), F.col("primXLst").alias("primary_code"))
         df = df.join(primary_crn(rows).withColumnRenamed("primary", "_primary"), "crn", "left")

@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import datetime
 import os
 import sys
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config
+from ..functions import html as H
 from ..functions import scalars as S
 from ..operators import checks, diff, linkage, metrics, tables
 from ..sources import io
-from ..sources.spool import Spool
-from . import evaluations
+from ..sources.spool import Spool, exists
+from . import evaluations, parse
 
 
 def seasons_table(seasons: DataFrame) -> DataFrame:
@@ -66,7 +69,9 @@ def transform(spark: SparkSession, data_dir: str, identical: DataFrame | None =
     people = people.join(rated, "professor_id", "left").withColumn("courses_taught", F.coalesce("courses_taught", F.lit(0)))
     people = spool.keep(people, "professors")
     once = taught.distinct()
-    same = linkage.split_by_professors(linkage.same_courses(courses, listings, once, "_ordinal", spool, specs), once)
+    same, odd = linkage.same_courses(courses, listings, once, "_ordinal", spool, specs)
+    bad |= odd | {"professors and emails are as many": linkage.uneven_professors(courses)}
+    same = linkage.split_by_professors(same, once)
     courses = spool.keep(metrics.compute_courses(courses, same, people, once, statistics), "computed")
     out = {
         "seasons": seasons_table(listings), "courses": courses, "listings": listings, "professors": people, "course_professors": once, "flags": flags, "course_flags": flagged,
@@ -78,37 +83,61 @@ def transform(spark: SparkSession, data_dir: str, identical: DataFrame | None =
     return out, bad
 
 
-def sync(spark: SparkSession, new: dict[str, DataFrame], warehouse: io.Warehouse, freeze: bool = False) -> tuple[int, list[str]]:
-    """Merges a transform's tables into the warehouse as its next version; returns the version and the changelog."""
+def rewritten(spark: SparkSession, new: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """A transform's tables as a first version holds them: places with ids, meetings with these, audit columns."""
+    now = F.current_timestamp()
+    none = spark.createDataFrame([], "building_code string, room string, location_id long")
+    placed = Spool(spark, "places").keep(diff.upsert_ids(new["locations"].drop("location_id"), none, ["building_code", "room"], "location_id"), "locations")
+    first = {**new, "locations": placed, "course_meetings": diff.dedup_meetings(diff.resolve_locations(new["course_meetings"], placed))}
+    return {t: df if t == "course_meetings" else df.withColumns(dict.fromkeys(config.AUDIT_COLUMNS, now)) for t, df in first.items()}
+
+
+def sync(spark: SparkSession, new: dict[str, DataFrame], warehouse: io.Warehouse, freeze: bool = False) -> tuple[int, DataFrame]:
+    """Merges a transform's tables into the warehouse as its next version; returns the version and the changelog as
+    rows (at, line) to be read in the order of `at`."""
     old, now = warehouse.read(), F.current_timestamp()
     if not old:
-        placed = diff.upsert_ids(new["locations"].drop("location_id"), spark.createDataFrame([], "building_code string, room string, location_id long"), ["building_code", "room"], "location_id")
-        first = {**new, "locations": placed, "course_meetings": diff.dedup_meetings(diff.resolve_locations(new["course_meetings"], placed))}
-        stamped = {t: df if t == "course_meetings" else df.withColumns(dict.fromkeys(config.AUDIT_COLUMNS, now)) for t, df in first.items()}
-        return warehouse.write(stamped), ["## Summary", "", "First version"]
+        return warehouse.write(rewritten(spark, new)), in_order(spark, ["## Summary", "", "First version"])
     bare = {t: df.drop(*config.AUDIT_COLUMNS) for t, df in old.items()}
+    helpers = ("_building_code", "_room")
+    odd = {t: x for t in new if t in bare and (x := diff.schema_violations(bare[t], new[t].drop(*helpers)))} | {t: ["table is missing"] for t in new if t not in bare}
+    if odd:
+        raise checks.InvariantError(f"tables of the two versions differ in shape: {odd}")
     if freeze:
         places, meetings = bare["locations"], diff.freeze_locations(bare["course_meetings"], new["course_meetings"].drop("_building_code", "_room"))
     else:
         places = diff.upsert_ids(new["locations"].drop("location_id"), bare["locations"], ["building_code", "room"], "location_id")
         places = bare["locations"].join(places.select("location_id"), "location_id", "left_anti").unionByName(places.select(*bare["locations"].columns))
+        gone = bare["buildings"].select("code").join(new["buildings"].select("code"), "code", "left_anti")
         meetings = diff.resolve_locations(new["course_meetings"], places)
-    new = {**new, "locations": places}
+        places, meetings = diff.cascade_delete(gone, places, meetings)
+    known = Spool(spark, "sync").keep(new["locations"].select("building_code", "room").join(places, ["building_code", "room"]).select("location_id"), "known")
+    new = {**new, "locations": places, "course_meetings": meetings}
     diffs = {t: diff.table_diff(bare[t], new[t], config.PRIMARY_KEYS[t]) for t in config.LOAD_ORDER if t in new and t in config.PRIMARY_KEYS and t in bare}
     log = changelog(bare, new, diffs)
     merged = diff.merge_all(old, new, now)
+    # places that were met again are touched, those of buildings that are gone go
+    merged["locations"] = diff.touch_parents(merged["locations"].join(places.select("location_id"), "location_id", "left_semi"), "location_id", known, now)
     merged["course_meetings"] = diff.sync_meetings(bare["course_meetings"], meetings.select(*bare["course_meetings"].columns))
+    log = Spool(spark, "log").keep(log, "lines")
     return warehouse.write(merged), log
 
 
-def changelog(old: dict[str, DataFrame], new: dict[str, DataFrame], diffs: dict[str, DataFrame], link: str = "{season}-{crn}") -> list[str]:
-    """Markdown lines: a summary, then the changes of each table; junction changes are told with their courses."""
-    out = ["## Summary", "", *(diff.summary_lines(diffs) or ["No changes"]), ""]
+def in_order(spark: SparkSession, lines: list[str]) -> DataFrame:
+    """A few fixed lines as rows (at, line)."""
+    return spark.createDataFrame([([0, 0, n], line) for n, line in enumerate(lines)], "at array<long>, line string").select(F.struct(F.col("at")[0].alias("table"), F.col("at")[1].alias("section"), F.lpad(F.col("at")[2].cast("string"), 9, "0").alias("text")).alias("at"), "line")
+
+
+def changelog(old: dict[str, DataFrame], new: dict[str, DataFrame], diffs: dict[str, DataFrame], link: str = "{season}-{crn}") -> DataFrame:
+    """Markdown lines (at, line): a summary, then the changes of each table; junction changes are told with their
+    courses. Lines stay on the executors; they are read in the order of `at`."""
+    spark = new["courses"].sparkSession
+    out = in_order(spark, ["## Summary", "", *(diff.summary_lines(diffs) or ["No changes"]), ""])
     naming = {
         "seasons": lambda a: F.col(f"{a}.season_code"), "listings": lambda a: F.concat_ws(" ", f"{a}.season_code", f"{a}.course_code", f"{a}.section"), "courses": None,
         "professors": lambda a: F.col(f"{a}.name"), "flags": lambda a: F.col(f"{a}.flag_text"), "locations": lambda a: F.concat_ws(" ", f"{a}.building_code", f"{a}.room"), "buildings": lambda a: F.col(f"{a}.code"),
     }
-    for name, who in naming.items():
+    for number, (name, who) in enumerate(naming.items(), 1):
         if name not in old or name not in new:
             continue
         if name == "courses":
@@ -118,12 +147,14 @@ def changelog(old: dict[str, DataFrame], new: dict[str, DataFrame], diffs: dict[
             lines = diff.change_lines(old[name], new[name], config.PRIMARY_KEYS[name], computed, who)
             if name == "listings":
                 lines = lines.where("section = 'Updates'")
-        told = False
-        for section in ("Additions", "Removals", "Updates"):
-            some = [r.line for r in lines.where(F.col("section") == section).select("line").orderBy("line").toLocalIterator()]
-            if some:
-                out += ([] if told else [f"## {name.capitalize()} changes", ""]) + [f"### {section}", "", *some, ""]
-                told = True
+        place = F.when(F.col("section") == "Additions", 1).when(F.col("section") == "Removals", 2).otherwise(3).cast("long")
+        lines = lines.where("section is not null").withColumn("place", place)
+        at = lambda p, text: F.struct(F.lit(number).cast("long").alias("table"), p.alias("section"), text.alias("text"))  # noqa: B023, E731
+        # headings stand before the lines of their part: they sort by the empty text
+        heads = lines.select("section", "place").distinct()
+        title = heads.agg(F.count("*").alias("n")).where("n > 0").select(at(F.lit(0).cast("long"), F.lit("")).alias("at"), F.lit(f"## {name.capitalize()} changes\n").alias("line"))
+        heads = heads.select(at(F.col("place"), F.lit("")).alias("at"), F.concat(F.lit("### "), "section", F.lit("\n")).alias("line"))
+        out = out.union(title).union(heads).union(lines.select(at(F.col("place"), F.col("line")).alias("at"), "line"))
     return out
 
 
@@ -142,6 +173,9 @@ def course_lines(old: dict[str, DataFrame], new: dict[str, DataFrame], changes:
         if table in old and table in new:
             known = tables.combine_first(new[names].select(key, name), old[names].select(key, name), [key])
             own = own.unionByName(diff.junction_lines(old[table], new[table], known, key, name, title, both))
+    if "course_meetings" in old and "course_meetings" in new:
+        texts = [diff.meeting_text(x["course_meetings"], x["locations"]) for x in (old, new)]
+        own = own.unionByName(diff.text_lines(*texts, "Meetings", both))
     merged = own.groupBy("course_id").agg(F.array_join(F.array_sort(F.collect_list("line")), "").alias("lines"))
     updates = head(new["courses"], new).join(merged, "course_id").select(F.lit("Updates").alias("section"), F.concat("head", "lines").alias("line"))
     return parts[0].unionByName(parts[1]).unionByName(updates)
@@ -157,25 +191,96 @@ def save_caches(spark: SparkSession, tables_: dict[str, DataFrame], data_dir: st
         merged.write.mode("overwrite").parquet(at)
 
 
-def run(spark: SparkSession, cfg: io.RunConfig) -> None:
-    """The stages that the configuration asks for, in order."""
+def parse_season(spark: SparkSession, data_dir: str, season: str) -> tuple[DataFrame, DataFrame]:
+    """Parsed courses and rejects of a season's raw details, second-source rows and first-year list, as landed."""
+    raw = io.read_json(spark, f"{data_dir}/raw_courses/{season}.json", io.RAW_COURSE).drop("_season", "_ordinal")
+    more = [f"{data_dir}/{kind}/{season}.json" for kind in ("second_source", "first_year")]
+    second = io.read_json(spark, more[0], io.SECOND_SOURCE) if exists(spark, more[0]) else None
+    first_year = io.read_json(spark, more[1], "crn string") if exists(spark, more[1]) else None
+    return parse.parse_courses(raw, season, second, first_year)
+
+
+def parse_stage(spark: SparkSession, cfg: io.RunConfig) -> list[str]:
+    """Parses the seasons asked for (with the cache, those not parsed yet) and the landed evaluation pages; writes
+    records sorted by number, rejects, and the list of seasons; returns it."""
+    raw, done = f"{cfg.data_dir}/raw_courses", io.list_seasons(spark, f"{cfg.data_dir}/parsed_courses")
+    landed = io.list_seasons(spark, raw)
+    todo = [s for s in io.resolve_seasons(cfg.seasons, landed or None) if not (cfg.use_cache and s in done)]
+    for season in todo:
+        parsed, rejects = parse_season(spark, cfg.data_dir, season)
+        if cfg.require_locations:
+            checks.enforce({f"places of {season} were delivered": checks.without_places(parsed)})
+        io.write_json(parsed, f"{cfg.data_dir}/parsed_courses/{season}.json", ["crn"])
+        rejects.write.mode("overwrite").parquet(f"{cfg.data_dir}/rejects/{season}")
+    pages = f"{cfg.data_dir}/evaluation_pages"
+    if exists(spark, pages):
+        records = H.parse_evaluations(spark.read.schema("crn string, season string, page string").parquet(pages))
+        records = Spool(spark, "evaluations").keep(records, "records")
+        extras = F.to_json(F.struct("title", "not_viewable"))
+        for season in io.resolve_seasons(cfg.seasons, [r.season for r in records.select("season").distinct().collect()]):  # a few seasons
+            own = records.where((F.col("season") == season) & F.col("error").isNull())
+            io.write_json(own.select("crn", "season", "enrolled", "responses", "ratings", "narratives", extras.alias("extras")), f"{cfg.data_dir}/parsed_evaluations/{season}.json", ["crn"])
+    if todo:
+        spark.createDataFrame([(",".join(todo),)], "value string").coalesce(1).write.mode("overwrite").text(f"{cfg.data_dir}/updated_seasons")
+    return todo
+
+
+def summarize_stage(spark: SparkSession, cfg: io.RunConfig, complete: Callable[[list[dict]], str]) -> None:
+    """Summaries of the seasons asked for: courses that have none yet, the first `max_courses_per_season` of them, are
+    summarised, and all of a season's summaries are written again, sorted by number."""
+    landed = io.list_seasons(spark, f"{cfg.data_dir}/parsed_evaluations")
+    for season in io.resolve_seasons(cfg.seasons, landed or None):
+        if season not in landed:
+            continue
+        at = f"{cfg.data_dir}/evaluation_summaries/{season}.json"
+        evals = io.read_json(spark, f"{cfg.data_dir}/parsed_evaluations/{season}.json", io.PARSED_EVALUATION)
+        before = io.read_json(spark, at, io.SUMMARY).select("crn", "season", "narrative_summaries")
+        asked = evaluations.prompts(evals, before, most_courses=cfg.max_courses_per_season)
+        made = evaluations.summarize(asked, complete, cfg.fetch_concurrency).select("crn", "season", "narrative_summaries")
+        io.write_json(before.unionByName(made), at, ["crn"])
+
+
+RULES = {"identical": "season_code string, keep int, drop int", "email_changes": "old string, new string", "name_changes": "email string, old string, new string", "specs": "spec int, part int, code string, season string"}
+
+
+def run(spark: SparkSession, cfg: io.RunConfig, complete: Callable[[list[dict]], str] | None = None) -> None:
+    """The stages that the configuration asks for, in order: parse, transform, snapshot, sync, summaries. Hand-written
+    rules are read from `rules/` below the data folder; without split specs there the default ones hold."""
+    if cfg.debug:
+        spark.sparkContext.setLogLevel("DEBUG")
     if cfg.save_config:
         io.save_args(cfg, cfg.save_config)
-    if not cfg.transform:
-        return
-    out, bad = transform(spark, cfg.data_dir)
-    checks.enforce(bad)
-    save_caches(spark, out, cfg.data_dir)
-    if cfg.snapshot_tables:
-        io.write_csv(out, f"{cfg.data_dir}/importer_dumps")
-    warehouse = io.Warehouse(spark, cfg.warehouse or f"{cfg.data_dir}/warehouse")
-    if cfg.rewrite:
-        warehouse.write(out)
-    elif cfg.sync_db_courses:
-        _, log = sync(spark, out, warehouse, cfg.freeze_locations)
-        spark.createDataFrame([(line,) for line in log], "value string").coalesce(1).write.mode("overwrite").text(f"{cfg.data_dir}/change_log")
-    if cfg.sync_db_evals:
-        warehouse.write(out, only="evaluation_")
+    if cfg.parse:
+        parse_stage(spark, cfg)
+    if cfg.transform:
+        rules = {k: io.read_rules(spark, f"{cfg.data_dir}/rules/{k}.json", schema) for k, schema in RULES.items()}
+        if rules["specs"] is None:
+            rules["specs"] = linkage.split_specs(spark)
+        out, bad = transform(spark, cfg.data_dir, **rules)
+        checks.enforce(bad)
+        held = Spool(spark, "tables")  # the id caches that they were made with are replaced below
+        out = {name: held.keep(df, name) for name, df in out.items()}
+        listed = out["listings"].select("course_id", "section", "course_code")
+        places = out["locations"].join(out["buildings"].select(F.col("code").alias("building_code"), "building_name", "url"), "building_code", "left")
+        for name, report in (("sections", linkage.report_sections(listed)), ("names", linkage.report_names(places.withColumnRenamed("building_code", "code")))):
+            report.write.mode("overwrite").parquet(f"{cfg.data_dir}/reports/{name}")  # for review, not errors
+        if cfg.save_cache:
+            save_caches(spark, out, cfg.data_dir)
+        if cfg.snapshot_tables:
+            io.write_csv(out, f"{cfg.data_dir}/importer_dumps")
+        warehouse = io.Warehouse(spark, cfg.warehouse or f"{cfg.data_dir}/warehouse")
+        if cfg.sync_db_courses and cfg.rewrite:
+            warehouse.write(rewritten(spark, out))
+        elif cfg.sync_db_courses:
+            _, log = sync(spark, out, warehouse, cfg.freeze_locations)
+            stamp = datetime.datetime.now(datetime.timezone.utc).strftime("%Y-%m-%dT%H-%M-%SZ")
+            log.orderBy("at").select(F.col("line").alias("value")).write.text(f"{cfg.data_dir}/change_log/{stamp}")
+        if cfg.sync_db_evals:
+            warehouse.write(out, only="evaluation_")
+    if cfg.summarize_evals:
+        if complete is None:
+            raise ValueError("summaries need a function that completes messages")
+        summarize_stage(spark, cfg, complete)
 
 
 def main(argv: list[str] | None = None) -> None:

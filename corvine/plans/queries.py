@@ -19,6 +19,7 @@ from ..functions import text as X
 from ..operators import checks, diff, graph, linkage, metrics, tables
 from ..sources import crawl, io
 from ..sources.spool import Spool
+from ..streaming.incremental import windowed_counts
 from . import evaluations
 from . import pipeline as P
 
@@ -86,12 +87,11 @@ def filters_compound(spark, d):
     return o.where(~S.is_summer(F.col("season_code")) & (F.length("o_orderpriority") > 5) & (F.col("season_code").cast("int") > 199601)).select("course_id", "season_code")
 
 
-@query("""select l_orderkey, l_linenumber, l_partkey, (not regexp_full_match(l_returnflag || cast(l_linenumber as varchar), '[0-9]+') or l_linestatus like '%O') as talk from lineitem where l_quantity > 40""")
+@query("""select l_orderkey, l_linenumber, l_partkey, (l_returnflag <> 'N' or l_linestatus = 'O') as talk from lineitem""")
 def discussion_filter(spark, d):
-    li = t(spark, d, "lineitem").where("l_quantity > 40")
-    section = F.concat("l_returnflag", F.col("l_linenumber").cast("string"))
-    talk = ~section.rlike("^[0-9]+$") | F.col("l_linestatus").endswith("O")
-    return li.select("l_orderkey", "l_linenumber", "l_partkey", talk.alias("talk"))
+    section = F.when(F.col("l_returnflag") == "N", F.col("l_linenumber").cast("string")).otherwise(F.concat("l_returnflag", F.col("l_linenumber").cast("string")))
+    code = F.concat(F.lit("AB 10"), F.when(F.col("l_linestatus") == "O", "D").otherwise(""))
+    return t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", S.is_discussion(section, code).alias("talk"))
 
 
 @query(f"with {_OFF}, s as (select distinct season_code from off order by season_code desc limit 4) select season_code, count(*) as n from off where season_code in (select season_code from s) group by 1")
@@ -172,12 +172,12 @@ def self_join_last(spark, d):
     return h.join(o, F.col("last_enrollment_course_id") == F.col("_id")).select("course_id", (F.col("enrolled") - F.col("_old")).alias("change"))
 
 
-@query("""with m as (select l_orderkey, l_linenumber, l_shipdate, l_suppkey % 7 as code, case when l_linenumber % 3 <> 0 then l_linenumber end as room from lineitem where l_quantity < 3),
+@query("""with m as (select l_orderkey, l_linenumber, l_shipdate, l_suppkey % 7 as code, case when l_linenumber % 3 <> 0 then l_linenumber end as room from lineitem),
 p as (select code, room, row_number() over (order by code, room nulls first) as location_id from (select distinct code, room from m where code < 5))
 select l_orderkey, l_linenumber, l_shipdate, location_id from m left join p on m.code = p.code and m.room is not distinct from p.room""")
 def null_safe_join(spark, d):
     room = F.when(F.col("l_linenumber") % 3 != 0, F.col("l_linenumber"))
-    m = t(spark, d, "lineitem").where("l_quantity < 3").select("l_orderkey", "l_linenumber", "l_shipdate", (F.col("l_suppkey") % 7).alias("_building_code"), room.alias("_room"), F.lit(None).cast("long").alias("location_id"))
+    m = t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", (F.col("l_suppkey") % 7).alias("_building_code"), room.alias("_room"), F.lit(None).cast("long").alias("location_id"))
     p = m.where("_building_code < 5").select(F.col("_building_code").alias("building_code"), F.col("_room").alias("room")).distinct()
     p = p.withColumn("location_id", F.row_number().over(W.orderBy("building_code", "room")).cast("long"))  # a few dozen places
     return diff.resolve_locations(m, p)
@@ -269,9 +269,9 @@ def collect_sets(spark, d):
     return g.agg(join(F.array_sort(F.collect_set("l_suppkey"))).alias("suppliers"), join(F.array_sort(F.collect_list("l_partkey"))).alias("parts"), F.count_distinct("l_suppkey").alias("n"))
 
 
-@query("select l_suppkey, string_agg(distinct l_orderkey, ',' order by l_orderkey) as orders from lineitem where l_quantity = 1 group by 1")
+@query("select l_suppkey, string_agg(distinct l_orderkey, ',' order by l_orderkey) as orders from lineitem group by 1")
 def reverse_map(spark, d):
-    per = t(spark, d, "lineitem").where("l_quantity = 1").groupBy("l_orderkey").agg(F.collect_set("l_suppkey").alias("s"))
+    per = t(spark, d, "lineitem").groupBy("l_orderkey").agg(F.collect_set("l_suppkey").alias("s"))
     each = per.select("l_orderkey", F.explode("s").alias("l_suppkey"))
     return each.groupBy("l_suppkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list("l_orderkey")), lambda x: x.cast("string")), ",").alias("orders"))
 
@@ -383,12 +383,12 @@ def latest_name(spark, d):
 
 # strings and other scalars
 
-_ASK = "q as (select item_id, '<b>How would you rate the professor?</b>\n' || left(text, 40) || ' course or module for ? Ratings:' as s from benchmark)"
+_ASK = "q as (select item_id, '<b>How would you rate the professor?</b>\n' || text || ' course or module for ? Ratings:' as s from benchmark)"
 
 
 @query(f"""with {_ASK} select item_id, trim(replace(replace(regexp_replace(replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(s, '[ \\t\\r\\n]+', ' ', 'g'), '</?[a-z]+>', '', 'g'), ' *(Comments|Ratings):$', ''), 'course or module', 'course or workshop'), 'the professor?', 'the professor(s)?'), 'professor''s', 'professor(s)''s'), 'YSE', 'F&ES'), 'Behavioral & Inst Economics\\s?', '', 'g'), ' for ?', '?'), ' in ?', '?')) as question from q""")
 def question_normalise(spark, d):
-    raw = F.concat(F.lit("<b>How would you rate the professor?</b>\n"), F.left("text", F.lit(40)), F.lit(" course or module for ? Ratings:"))
+    raw = F.concat(F.lit("<b>How would you rate the professor?</b>\n"), "text", F.lit(" course or module for ? Ratings:"))
     return t(spark, d, "benchmark").select("item_id", S.normalize_question(raw).alias("question"))
 
 
@@ -406,15 +406,16 @@ _TAGGED = """(values ('YC401', 'What is your overall assessment of this course?'
 ('YC404', 'How would you evaluate the instructor?', true), ('DR113', 'I would recommend this instructor', true), ('YC405', 'Would you recommend this?', true), ('YC406', 'Workload relative to others', false), ('YC407', 'workload', true), ('YC408', 'skills you gained and feedback', true), ('YC409', 'strengths and weaknesses of the course', true), ('YC410', 'Summarize', true))"""
 
 
-@query(f"""select code, case when n = 0 then null else tags end as tags from (select code, concat_ws(', ', case when lower(s) like '%engagement%' then 'Engagement' end, case when lower(s) like '%feedback%' and code <> 'DR464' then 'Feedback' end,
+@query(f"""select p_partkey, tags from (select p_partkey, concat_ws(', ', case when lower(s) like '%engagement%' then 'Engagement' end, case when lower(s) like '%feedback%' and code <> 'DR464' then 'Feedback' end,
 case when regexp_matches(lower(s), 'rating|assessment|evaluate') and lower(s) like '%instructor%' and code not in ('DR113', 'DR316') then 'Professor' end, case when lower(s) like '%overall assessment%' and lower(s) not like '%instructor%' and not narrative then 'Overall' end,
 case when lower(s) like '%recommend%' and code not in ('DR113', 'DR316') then 'Recommend' end, case when lower(s) like '%skills%' and code not in ('SU122', 'FS1003', 'DR464') then 'Skills' end, case when lower(s) like '%strengths and weaknesses%' and lower(s) like '%course%' and lower(s) not like '%instructor%' then 'Strengths/weaknesses' end,
-case when lower(s) like '%summarize%' and lower(s) not like '%recommend%' then 'Summary' end, case when lower(s) like '%workload%' and not narrative then 'Workload' end) as tags, 1 as n from {_TAGGED} q(code, s, narrative)) where tags <> ''""")
+case when lower(s) like '%summarize%' and lower(s) not like '%recommend%' then 'Summary' end, case when lower(s) like '%workload%' and not narrative then 'Workload' end) as tags from part join (select *, row_number() over (order by code) - 1 as k from {_TAGGED} q(code, s, narrative)) on p_partkey % 12 = k) where tags <> ''""")
 def question_tags(spark, d):
     rows = [("YC401", "What is your overall assessment of this course?", False), ("YC402", "What is your overall assessment of this course?", True), ("YC403", "Your level of engagement", True), ("DR464", "feedback on skills", True),
             ("YC404", "How would you evaluate the instructor?", True), ("DR113", "I would recommend this instructor", True), ("YC405", "Would you recommend this?", True), ("YC406", "Workload relative to others", False), ("YC407", "workload", True), ("YC408", "skills you gained and feedback", True), ("YC409", "strengths and weaknesses of the course", True), ("YC410", "Summarize", True)]
-    q = spark.createDataFrame(rows, "code string, s string, n boolean")
-    return q.select("code", F.array_join(S.question_tags(F.col("s"), F.col("code"), F.col("n")), ", ").alias("tags")).where("tags <> ''")
+    q = spark.createDataFrame([(k, *r) for k, r in enumerate(sorted(rows))], "k int, code string, s string, n boolean")
+    asked = t(spark, d, "part").join(F.broadcast(q), F.col("p_partkey") % 12 == F.col("k"))  # a dozen questions
+    return asked.select("p_partkey", F.array_join(S.question_tags(F.col("s"), F.col("code"), F.col("n")), ", ").alias("tags")).where("tags <> ''")
 
 
 @query("""select p_partkey, case when p_partkey % 4 = 0 then cast(p_size + 0.5 as double) when p_partkey % 4 = 1 then cast(p_size as double) else cast(1 as double) end as credits, case when ltrim(repeat('0', cast(p_partkey % 3 as integer)) || cast(p_size % 4 as varchar), '0') = '' then '0' else ltrim(repeat('0', cast(p_partkey % 3 as integer)) || cast(p_size % 4 as varchar), '0') end as section, split_part(p_name, ' ', 1) as subject, nullif(split_part(p_name, ' ', 2), '') as number from part""")
@@ -471,9 +472,9 @@ def json_extract(spark, d):
     return t(spark, d, "events").select("event_id", F.from_json("props", "k long")["k"].alias("k"))
 
 
-@query("""select l_orderkey, '[' || string_agg(l_partkey, ',' order by l_partkey) || ']' as parts from lineitem where l_quantity > 45 group by 1""")
+@query("""select l_orderkey, '[' || string_agg(l_partkey, ',' order by l_partkey) || ']' as parts from lineitem group by 1""")
 def json_emit(spark, d):
-    g = t(spark, d, "lineitem").where("l_quantity > 45").groupBy("l_orderkey").agg(F.array_sort(F.collect_list("l_partkey")).alias("p"))
+    g = t(spark, d, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list("l_partkey")).alias("p"))
     return g.select("l_orderkey", F.to_json("p").alias("parts"))
 
 
@@ -603,14 +604,14 @@ def _catalog(spark, d):
     season = F.concat((F.lit(2000) + F.col("p_partkey") % 20).cast("string"), F.lit("0"), (F.col("p_partkey") % 3 + 1).cast("string"))
     courses = p.select(F.col("p_partkey").alias("course_id"), season.alias("season_code"), F.concat("p_name", F.when(F.col("p_size") > 45, F.lit(" x")).otherwise("")).alias("title"), F.col("p_type").alias("description"))
     listings = p.select(F.col("p_partkey").alias("course_id"), season.alias("season_code"), F.concat(F.upper(F.split("p_name", " ")[0]), F.lit(" "), (F.col("p_size") + 100).cast("string")).alias("course_code"), F.lit("1").alias("section"), F.col("p_partkey").alias("_ordinal"))
-    taught = t(spark, d, "lineitem").where("l_linenumber = 1").select(F.col("l_partkey").alias("course_id"), F.col("l_suppkey").alias("professor_id"))
+    taught = t(spark, d, "lineitem").select(F.col("l_partkey").alias("course_id"), F.col("l_suppkey").alias("professor_id"))
     return courses, listings, taught
 
 
 @query()
 def same_course_greedy(spark, d):
     courses, listings, taught = _catalog(spark, d)
-    return linkage.same_courses(courses, listings, taught, "_ordinal", Spool(spark, "same"), linkage.split_specs(spark))
+    return linkage.same_courses(courses, listings, taught, "_ordinal", Spool(spark, "same"), linkage.split_specs(spark))[0]
 
 
 @query("""with e as (select event_id, user_id, case when event_type = 'click' then '' else 'u' || cast(user_id % 40 as varchar) || '@x' end as email, 'n' || cast(user_id % 60 as varchar) as name, strftime(ts, '%Y%m') as season from events),
@@ -660,11 +661,11 @@ def merge_apply(spark, d):
     return diff.merge(old, new, ["c_custkey"], ["c_acctbal"], F.lit("2024-01-02").cast("timestamp_ntz"))
 
 
-_MEET = "m as (select l_orderkey as course_id, cast(l_linenumber % 2 as varchar) as start_time, 'x' as end_time, case when l_suppkey % 3 <> 0 then l_suppkey % 4 end as location_id, l_linenumber as days_of_week from lineitem where l_quantity < 20)"
+_MEET = "m as (select l_orderkey as course_id, cast(l_linenumber % 2 as varchar) as start_time, 'x' as end_time, case when l_suppkey % 3 <> 0 then l_suppkey % 4 end as location_id, l_linenumber as days_of_week from lineitem)"
 
 
 def _meetings(spark, d):
-    return t(spark, d, "lineitem").where("l_quantity < 20").select(F.col("l_orderkey").alias("course_id"), (F.col("l_linenumber") % 2).cast("string").alias("start_time"), F.lit("x").alias("end_time"), F.when(F.col("l_suppkey") % 3 != 0, F.col("l_suppkey") % 4).alias("location_id"), F.col("l_linenumber").alias("days_of_week"))
+    return t(spark, d, "lineitem").select(F.col("l_orderkey").alias("course_id"), (F.col("l_linenumber") % 2).cast("string").alias("start_time"), F.lit("x").alias("end_time"), F.when(F.col("l_suppkey") % 3 != 0, F.col("l_suppkey") % 4).alias("location_id"), F.col("l_linenumber").alias("days_of_week"))
 
 
 @query(f"""with {_MEET}, p as (select course_id, start_time, end_time, location_id, min(days_of_week) as days_of_week from m where location_id is not null group by 1, 2, 3, 4)
@@ -683,11 +684,11 @@ def meeting_changes(spark, d):
     return diff.changed_meeting_courses(m, new)
 
 
-@query("""select l_orderkey, l_linenumber, l_partkey, l_suppkey as location_id from lineitem where l_suppkey not in (select s_suppkey from supplier where s_nationkey in (select n_nationkey from nation where n_regionkey = 1)) and l_quantity < 5""")
+@query("""select l_orderkey, l_linenumber, l_partkey, l_suppkey as location_id from lineitem where l_suppkey not in (select s_suppkey from supplier where s_nationkey in (select n_nationkey from nation where n_regionkey = 1))""")
 def cascade_delete(spark, d):
     gone = t(spark, d, "nation").where("n_regionkey = 1").select(F.col("n_nationkey").alias("code"))
     places = t(spark, d, "supplier").select(F.col("s_nationkey").alias("building_code"), F.col("s_suppkey").alias("location_id"))
-    meetings = t(spark, d, "lineitem").where("l_quantity < 5").select("l_orderkey", "l_linenumber", "l_partkey", F.col("l_suppkey").alias("location_id"))
+    meetings = t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.col("l_suppkey").alias("location_id"))
     return diff.cascade_delete(gone, places, meetings)[1]
 
 
@@ -698,9 +699,9 @@ def changelog_lines(spark, d):
     return diff.change_lines(old, new, ["c_custkey"], ["c_acctbal"], lambda a: F.col(f"{a}.c_name"))
 
 
-@query("select l_orderkey as course_id, string_agg('[' || l_returnflag || ' ' || cast(l_linenumber as varchar) || '](1-' || cast(l_partkey as varchar) || ')', ' / ' order by l_partkey, l_returnflag, l_linenumber) as links from lineitem where l_quantity > 48 group by 1")
+@query("select l_orderkey as course_id, string_agg('[' || l_returnflag || ' ' || cast(l_linenumber as varchar) || '](1-' || cast(l_partkey as varchar) || ')', ' / ' order by l_partkey, l_returnflag, l_linenumber) as links from lineitem group by 1")
 def listing_links(spark, d):
-    li = t(spark, d, "lineitem").where("l_quantity > 48")
+    li = t(spark, d, "lineitem")
     rows = li.select(F.col("l_orderkey").alias("course_id"), F.struct("l_partkey", "l_returnflag", "l_linenumber").alias("listing_id"), F.col("l_returnflag").alias("course_code"), F.col("l_linenumber").cast("string").alias("section"), F.lit("1").alias("season_code"), F.col("l_partkey").alias("crn"))
     return diff.listing_links(rows)
 
@@ -749,7 +750,7 @@ def not_yet_done(spark, d):
 
 @query("""select user_id, date_trunc('hour', ts) as hour, count(*) as n from events group by 1, 2""")
 def hourly_counts(spark, d):
-    return t(spark, d, "events").groupBy("user_id", F.date_trunc("hour", "ts").alias("hour")).agg(F.count("*").alias("n"))
+    return windowed_counts(t(spark, d, "events"), "ts", ["user_id"]).select("user_id", F.col("window.start").alias("hour"), "n")
 
 
 @query("""select distinct unnest(regexp_extract_all(url, '/([0-9]+)', 1)) as code from pages""")
@@ -757,9 +758,9 @@ def season_scrape(spark, d):
     return crawl.extract_codes(t(spark, d, "pages"), "url", "/([0-9]+)")
 
 
-@query("""select doc_id, lang from documents where doc_id % 3 <> 0 and doc_id not in (select doc_id from labels where toxic = 1)""")
+@query("""select doc_id, lang from documents where doc_id not in (select doc_id from labels where toxic = 1)""")
 def fetch_gate(spark, d):
-    return crawl.to_fetch(t(spark, d, "documents").where("doc_id % 3 <> 0").select("doc_id", "lang"), t(spark, d, "labels").where("toxic = 1"), ["doc_id"])
+    return crawl.to_fetch(t(spark, d, "documents").select("doc_id", "lang"), t(spark, d, "labels").where("toxic = 1"), ["doc_id"])
 
 
 @query(f"with {_OFF} select string_agg(distinct season_code, ',' order by season_code) as seasons from off")
@@ -767,14 +768,14 @@ def updated_seasons(spark, d):
     return crawl.updated_seasons(offerings(spark, d))
 
 
-@query("""select l_orderkey as course_id, count(distinct l_suppkey) as sections, count(distinct l_partkey) as codes, count(*) as listings from lineitem where l_quantity > 30 group by 1 having count(distinct l_suppkey) > 1 or count(distinct l_partkey) <> count(*)""")
+@query("""select l_orderkey as course_id, count(distinct l_suppkey) as sections, count(distinct l_partkey) as codes, count(*) as listings from lineitem group by 1 having count(distinct l_suppkey) > 1 or count(distinct l_partkey) <> count(*)""")
 def section_report(spark, d):
-    li = t(spark, d, "lineitem").where("l_quantity > 30").select(F.col("l_orderkey").alias("course_id"), F.col("l_suppkey").alias("section"), F.col("l_partkey").alias("course_code"))
+    li = t(spark, d, "lineitem").select(F.col("l_orderkey").alias("course_id"), F.col("l_suppkey").alias("section"), F.col("l_partkey").alias("course_code"))
     return linkage.report_sections(li)
 
 
-@query("""select o_orderkey as course_id, o_custkey as flag_id from orders where o_orderkey % 5 = 0""")
+@query("""select o_orderkey as course_id, o_custkey as flag_id from orders""")
 def flags_bridge(spark, d):
-    o = t(spark, d, "orders").where("o_orderkey % 5 = 0").select(F.col("o_orderkey").alias("course_id"), F.array(F.concat(F.lit("c"), F.col("o_custkey").cast("string")), F.concat(F.lit("c"), F.col("o_custkey").cast("string"))).alias("flags"))
+    o = t(spark, d, "orders").select(F.col("o_orderkey").alias("course_id"), F.array(F.concat(F.lit("c"), F.col("o_custkey").cast("string")), F.concat(F.lit("c"), F.col("o_custkey").cast("string"))).alias("flags"))
     known = t(spark, d, "customer").select(F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("key"), F.col("c_custkey").alias("id"))
     return linkage.resolve_flags(o, known, "course_id")[1]

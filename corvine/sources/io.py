@@ -4,15 +4,18 @@ from __future__ import annotations
 
 import argparse
 import json
+import uuid
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from pathlib import Path
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config
-from .spool import exists
+from .spool import Spool, exists
 
 MEETING = "array<struct<days_of_week:int,start_time:string,end_time:string,location:string,location_url:string>>"
 PARSED_COURSE = (
@@ -35,18 +38,19 @@ CACHE = "key string, id long"
 
 
 def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Records of JSON array files; no file gives an empty table. Adds `_season` (the file's name) and `_ordinal`.
+    """Records of JSON array files; no file gives an empty table. Adds `_season` (the name of the file, or of the
+    folder that `write_json` made of it) and `_ordinal`. Empty files have no records.
 
     The ordinal follows file names and the position in the file: the order of the partitions of a sorted scan.
     """
     try:
-        df = spark.read.schema(schema).option("multiLine", True).json(path)
+        df = spark.read.schema(schema).option("multiLine", True).option("recursiveFileLookup", True).json(path)
     except Exception as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise
         df = spark.createDataFrame([], schema)
         return df.withColumns({"_season": F.lit(None).cast("string"), "_ordinal": F.lit(None).cast("long")})
-    season = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.json$", 1)
+    season = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\.json(?:/[^/]*)?$", 1)
     df = df.withColumn("_season", season).withColumn("_pos", F.monotonically_increasing_id())
     files = df.select("_season").distinct()
     # one row per landing file: seasons, of which there are a few per year
@@ -55,18 +59,38 @@ def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return df.withColumn("_ordinal", order.cast("long") * F.lit(1 << 48) + F.col("_pos") % F.lit(1 << 48)).drop("_pos")
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A table without its audit columns."""
-    return spark.read.parquet(path).drop(*config.AUDIT_COLUMNS)
-
-
 def read_cache(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(CACHE).parquet(path) if exists(spark, path) else spark.createDataFrame([], CACHE)
 
 
-def write_json(df: DataFrame, path: str, by: str | None = None) -> None:
-    w = df.write.mode("overwrite")
-    (w.partitionBy(by) if by else w).json(path)
+def write_json(df: DataFrame, path: str, order: list[str]) -> None:
+    """Records as JSON arrays, one a part file, sorted by `order` within and across the files. What lay at the path
+    is replaced; it may have been read for `df`, which is spooled first."""
+    rows = Spool(df.sparkSession, "json").keep(df, "rows")
+
+    def array(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        some = [x for b in batches for x in b["value"]]
+        if some:
+            yield pd.DataFrame({"value": ["[" + ",\n".join(some) + "]"]})
+
+    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    text = ranged.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
+    text.mapInPandas(array, "value string").write.mode("overwrite").text(path)
+
+
+def list_seasons(spark: SparkSession, path: str) -> list[str]:
+    """Seasons that have a landing file or folder, without hidden ones."""
+    if not exists(spark, path):
+        return []
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).listStatus(at)
+    names = [f.getPath().getName() for f in found]
+    return sorted(n.removesuffix(".json") for n in names if n.endswith(".json") and n[0] not in "._")
+
+
+def read_rules(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+    """A table of hand-written rules (JSON lines), if there is one."""
+    return spark.read.schema(schema).json(path) if exists(spark, path) else None
 
 
 def write_csv(tables: dict[str, DataFrame], path: str) -> None:
@@ -82,33 +106,49 @@ def without_returns(df: DataFrame) -> DataFrame:
 
 
 class Warehouse:
-    """Versioned table sets: a new version is written aside, then a pointer file is switched, so readers see either
-    all of a version or none of it. The version that is read is never written to."""
+    """Versioned table sets: a new version is written aside, then a line that names the folder of each of its tables
+    is appended, so readers see either all of a version or none of it. Tables that are carried over are named, not
+    copied, and what is read is never written to."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    def versions(self) -> list[int]:
+    def _manifests(self) -> list:
+        """A row per version, of which there are as many as syncs."""
         at = f"{self.root}/_versions"
-        return sorted(r.v for r in self.spark.read.schema("v int").json(at).collect()) if exists(self.spark, at) else []
-
-    def read(self) -> dict[str, DataFrame]:
-        found = self.versions()
-        if not found:
-            return {}
-        at = f"{self.root}/v{found[-1]}"
-        return {t: self.spark.read.parquet(f"{at}/{t}") for t in config.LOAD_ORDER if exists(self.spark, f"{at}/{t}")}
-
-    def write(self, tables: dict[str, DataFrame], only: str = "") -> int:
-        """Writes a version of the tables whose names begin with `only`; the others are carried over."""
-        old = self.read()
-        new = (self.versions() or [0])[-1] + 1
-        for name in {**old, **tables}:
-            df = without_returns(tables[name]) if name in tables and name.startswith(only) else old.get(name)
-            if df is not None:
-                df.write.parquet(f"{self.root}/v{new}/{name}")
-        stamp = self.spark.range(1).select(F.lit(new).alias("v"), F.current_timestamp().cast("string").alias("last_update"))
-        stamp.coalesce(1).write.mode("append").json(f"{self.root}/_versions")
+        rows = self.spark.read.schema("v int, last_update string, batch string, tables map<string,string>").json(at).collect() if exists(self.spark, at) else []
+        return sorted(rows, key=lambda r: r.v)
+
+    def versions(self) -> list[int]:
+        return [r.v for r in self._manifests()]
+
+    def batches(self) -> set[str]:
+        """The names of the batches that versions were made of."""
+        return {r.batch for r in self._manifests() if r.batch}
+
+    def read(self, version: int | None = None) -> dict[str, DataFrame]:
+        """The tables of a version, else of the last."""
+        found = [r for r in self._manifests() if version in (None, r.v)]
+        return {t: self.spark.read.parquet(f"{self.root}/{found[-1].tables[t]}") for t in config.LOAD_ORDER if t in found[-1].tables} if found else {}
+
+    def missing(self) -> list[str]:
+        """Expected tables that the last version lacks."""
+        return [t for t in config.LOAD_ORDER if t not in self.read()]
+
+    def write(self, tables: dict[str, DataFrame], only: str = "", batch: str | None = None) -> int:
+        """Writes a version of the tables whose names begin with `only`; the others are carried over. A batch that
+        is named is written once: a retry gives the version it made."""
+        past = self._manifests()
+        if batch and (done := [r.v for r in past if r.batch == batch]):
+            return done[0]
+        new = (past[-1].v if past else 0) + 1
+        places = dict(past[-1].tables) if past else {}
+        for name, df in tables.items():
+            if name.startswith(only):
+                places[name] = f"v{new}-{uuid.uuid4().hex[:8]}/{name}"
+                without_returns(df).write.parquet(f"{self.root}/{places[name]}")
+        line = self.spark.createDataFrame([(new, batch, places)], "v int, batch string, tables map<string,string>")
+        line.withColumn("last_update", F.current_timestamp().cast("string")).coalesce(1).write.mode("append").json(f"{self.root}/_versions")
         return new
 
 
@@ -138,6 +178,9 @@ def resolve_seasons(wanted: list[str] | None, known: list[str] | None) -> list[s
     return wanted
 
 
+FLAGS = ("transform", "snapshot-tables", "sync-db-courses", "sync-db-evals", "rewrite", "parse", "summarize-evals", "freeze-locations", "use-cache", "save-cache", "require-locations", "release", "debug")
+
+
 @dataclass
 class RunConfig:
     data_dir: str = "data"
@@ -147,10 +190,16 @@ class RunConfig:
     sync_db_courses: bool = False
     sync_db_evals: bool = False
     rewrite: bool = False
+    parse: bool = False
     summarize_evals: bool = False
     freeze_locations: bool = False
     use_cache: bool = True
+    save_cache: bool = True
+    require_locations: bool = False
     release: bool = False
+    debug: bool = False
+    fetch_concurrency: int = 10
+    max_courses_per_season: int | None = None
     warehouse: str | None = None
     save_config: str | None = None
     extra: dict = field(default_factory=dict)
@@ -170,7 +219,9 @@ def parse_args(argv: list[str] | None = None, env: dict[str, str] | None = None)
     p.add_argument("--data-dir")
     p.add_argument("--warehouse")
     p.add_argument("--save-config")
-    for flag in ("transform", "snapshot-tables", "sync-db-courses", "sync-db-evals", "rewrite", "summarize-evals", "freeze-locations", "use-cache", "release"):
+    p.add_argument("--fetch-concurrency", type=int)
+    p.add_argument("--max-courses-per-season", type=int)
+    for flag in FLAGS:
         p.add_argument(f"--{flag}", action=argparse.BooleanOptionalAction)
     given = {k: v for k, v in vars(p.parse_args(argv)).items() if v is not None}
     loaded: dict = {}
@@ -189,4 +240,10 @@ def parse_args(argv: list[str] | None = None, env: dict[str, str] | None = None)
 
 
 def save_args(cfg: RunConfig, path: str) -> None:
-    Path(path).write_text(json.dumps({k: v for k, v in vars(cfg).items() if k not in ("extra", "save_config")}, indent=2))
+    """The configuration as YAML or JSON, by the file's name."""
+    kept = {k: v for k, v in vars(cfg).items() if k not in ("extra", "save_config")}
+    if path.endswith((".yml", ".yaml")):
+        # a JSON value is a YAML value
+        Path(path).write_text("".join(f"{k}: {json.dumps(v)}\n" for k, v in kept.items()))
+    else:
+        Path(path).write_text(json.dumps(kept, indent=2))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,19 +10,23 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; only where none is set, as in tests on one machine, a folder of our own."""
+    """The cluster's shared folder; only in local mode, where one machine does all, a folder of our own if none is set."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         at = getattr(spark.sparkContext, "_corvine_dir", None) or "file://" + tempfile.mkdtemp(prefix="corvine-")
         spark.sparkContext._corvine_dir = at
     return at.rstrip("/")
 
 
 class Spool:
-    """Tables written as Parquet and read back. `drop` removes those that nothing will read again."""
+    """Tables written as Parquet and read back. `drop` removes those that nothing will read again; the rest goes
+    when the application ends."""
 
     def __init__(self, spark: SparkSession, what: str):
         self.spark, self.root, self.n = spark, f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}", 0
+        self.marked = False
 
     def path(self, name: str) -> str:
         self.n += 1
@@ -30,6 +35,9 @@ class Spool:
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         at = self.path(name)
         df.write.option("compression", "zstd").parquet(at)
+        if not self.marked:
+            folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+            self.marked = folder.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(folder)
         out = self.spark.read.schema(df.schema).parquet(at)
         out._spooled_at = at
         return out

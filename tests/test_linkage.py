@@ -14,7 +14,7 @@ TAUGHT = "course_id long, professor_id long"
 
 
 def same(spark, courses, listings, taught, specs=None):
-    out = linkage.same_courses(spark.createDataFrame(courses, COURSE), spark.createDataFrame(listings, LISTING), spark.createDataFrame(taught, TAUGHT), "o", Spool(spark, "t"), specs)
+    out = linkage.same_courses(spark.createDataFrame(courses, COURSE), spark.createDataFrame(listings, LISTING), spark.createDataFrame(taught, TAUGHT), "o", Spool(spark, "t"), specs)[0]
     return {r.course_id: r.same_course_id for r in out.collect()}
 
 

@@ -62,14 +62,22 @@ def test_sync_and_changelog(spark, tables, tmp_path):
     changed = {**tables, "courses": tables["courses"].where("course_id = 230300020").withColumn("title", F.lit("Renamed")), "listings": tables["listings"].where("course_id = 230300020")}
     changed["course_professors"] = tables["course_professors"].where("course_id < 0")
     second, log = pipeline.sync(spark, changed, w)
-    text = "\n".join(log)
+    text = "\n".join(r.line for r in log.orderBy("at").collect())
     assert (version, second) == (1, 2) and w.versions() == [1, 2]
     assert "title: Intro → Renamed" in text and "Professors: Ann → N/A" in text and "### Removals" in text
     now = w.read()
     assert now["courses"].count() == 2 and now["listings"].count() == 1  # courses are never deleted
     assert {r.location_id for r in now["course_meetings"].collect()} == {1}
     same, log = pipeline.sync(spark, {t: df.drop("time_added", "last_updated") for t, df in changed.items()}, w)
-    assert "- listings" not in "\n".join(log)
+    assert "- listings" not in "\n".join(r.line for r in log.collect())
+
+
+def test_rewrite_resolves_places(spark, tables, tmp_path):
+    w = io.Warehouse(spark, f"file://{tmp_path}/w")
+    w.write(pipeline.rewritten(spark, tables))
+    now = w.read()
+    assert {r.location_id for r in now["course_meetings"].collect()} == {1} and "_room" not in now["course_meetings"].columns
+    assert now["courses"].where("time_added is null").count() == 0
 
 
 def test_id_caches_are_stable(spark, landing, tables):
@@ -121,3 +129,59 @@ def test_streaming_merge(spark, tmp_path):
         merge_into(w, "buildings", ["code"], stream, f"file://{tmp_path}/cp").awaitTermination()
         (tmp_path / "in/b.json").write_text('{"code": "B", "building_name": "z"}\n')
     assert sorted(tuple(r) for r in w.read()["buildings"].collect()) == [("A", "x"), ("B", "z")]
+
+
+def page(enrolled, comments):
+    rows = "".join(f"<tr><td>{n}</td><td>{c}</td></tr>" for n, c in enumerate(comments, 1))
+    return (
+        f'<div id="courseHeader"><div class="row"><div>x</div><div><span>a</span><span>Title</span></div><div><div class="row"><div>e</div><div>{enrolled}</div></div><div class="row"><div>r</div><div>3</div></div></div></div></div>'
+        '<table id="questions"><tbody><tr id="questionRow0"><td>1</td><td class="Question">Summarize this</td><td>YC409</td><td class="Responses"><span class="show-for-print">Narrative</span></td></tr></tbody></table>'
+        f'<table id="answers0"><tbody>{rows}</tbody></table>'
+    )
+
+
+def test_run_from_landing_files_to_warehouse(spark, tmp_path):
+    raw = {"crn": "5", "code": "AB 101", "title": "Intro", "description": "<p>Hi</p>", "col": "YC", "credit_html": "", "hours": "1", "stat": "A", "instructordetail_html": '<div class="instructor-detail"><div class="instructor-name">Ann</div><div class="instructor-email">a@x</div></div>', "xlist": "", "section": "01",
+           "meeting_html": '<div class="meet">MW 1pm-2pm in <a href="u">WLH 201</a></div>', "allInGroup": None, "yc_attrs": "", "ci_attrs": "", "regnotes": "", "rp_attr": "", "clssnotes": None, "final_exam": "", "resources": ""}
+    (tmp_path / "raw_courses").mkdir()
+    (tmp_path / "rules").mkdir()
+    broken = raw | {"crn": "7", "code": "AB 103", "meeting_html": '<div class="meet">MW</div>'}
+    (tmp_path / "raw_courses/202401.json").write_text(json.dumps([raw, raw | {"crn": "6", "code": "AB 102", "title": "Other"}, raw | {"crn": "8", "code": "AB 104"}, broken]))
+    (tmp_path / "raw_courses/202403.json").write_text(json.dumps([raw]))
+    (tmp_path / "rules/identical.json").write_text(json.dumps({"season_code": "202401", "keep": 5, "drop": 8}))
+    pages = [("5", "202401", page(12, ["good one", "bad one", "so so"])), ("6", "202401", None)]
+    spark.createDataFrame(pages, "crn string, season string, page string").write.parquet(f"file://{tmp_path}/evaluation_pages")
+    base = ["--data-dir", f"file://{tmp_path}"]
+    asked = []
+
+    def complete(messages):
+        asked.append(1)
+        return "short"
+
+    with pytest.raises(ValueError, match="function"):
+        pipeline.run(spark, io.parse_args([*base, "--summarize-evals", "--seasons", "202401"]))
+    pipeline.run(spark, io.parse_args([*base, "--parse", "--seasons", "202401"]))
+    assert io.list_seasons(spark, f"file://{tmp_path}/parsed_courses") == ["202401"]
+    assert [r.crn for r in spark.read.parquet(f"file://{tmp_path}/rejects/202401").collect()] == ["7"]
+    pipeline.run(spark, io.parse_args([*base, "--parse", "--sync-db-courses", "--summarize-evals", "--save-config", str(tmp_path / "used.yml")]), complete)
+    assert spark.read.text(f"file://{tmp_path}/updated_seasons").first().value == "202403"  # the other one was parsed before
+    w = io.Warehouse(spark, f"file://{tmp_path}/warehouse")
+    now = w.read()
+    assert w.missing() == [] and sorted(r.crn for r in now["listings"].collect()) == [5, 5, 6]
+    assert {(r.days_of_week, r.location_id) for r in now["course_meetings"].collect()} == {(10, 1)} and now["evaluation_narratives"].count() == 3
+    kept = io.read_json(spark, f"file://{tmp_path}/evaluation_summaries", io.SUMMARY).collect()
+    assert [(r.crn, r._season, r.narrative_summaries[0].summary) for r in kept] == [("5", "202401", "short")]
+    assert "data_dir:" in (tmp_path / "used.yml").read_text()
+    pipeline.run(spark, io.parse_args([*base, "--sync-db-courses"]))
+    log = [r.value for f in sorted((tmp_path / "change_log").iterdir()) for r in spark.read.text(f"file://{f}").collect()]
+    assert "## Summary" in log and w.versions() == [1, 2]
+    assert w.read()["evaluation_narrative_summaries"].count() == 1
+    assert w.read(1)["evaluation_narrative_summaries"].count() == 0
+
+
+def test_versions_share_tables_and_batches_are_written_once(spark, tmp_path):
+    w = io.Warehouse(spark, f"file://{tmp_path}/w")
+    a = spark.createDataFrame([("A", "x")], "code string, building_name string")
+    assert w.write({"buildings": a, "flags": spark.createDataFrame([(1, "f")], "flag_id long, flag_text string")}) == 1
+    assert w.write({"buildings": a}, batch="b#0") == 2 and w.write({"buildings": a}, batch="b#0") == 2
+    assert len(list((tmp_path / "w").glob("v*/flags"))) == 1 and set(w.read()) == {"buildings", "flags"}
