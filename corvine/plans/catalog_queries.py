@@ -11,10 +11,10 @@ from ..functions import scalars as S
 from ..operators import checks, diff, linkage, metrics, tables
 from ..sources import crawl, io
 from ..sources.spool import Spool
-from . import evaluations, parse
+from . import evaluations, parse, queries
 from .queries import _OFF, ORACLE, QUERIES, offerings, query, t
 
-__all__ = ["ORACLE", "QUERIES"]
+__all__ = ["ORACLE", "QUERIES", "queries"]
 
 # cross-listings and courses
 
