@@ -4,7 +4,9 @@ The distinct pre-tokens of a batch are laid end to end in one array of symbol id
 sequence finds the lowest rank among its adjacent pairs and merges all occurrences of that pair, left to
 right; sequences without a known pair retire. The symbols that survive are the tokens.
 
-Nulls count as empty text (zero tokens). The special token's string inside a text is one token.
+Nulls count as empty text (zero tokens). The special token's string inside a text is one token. Repeated rows are
+counted each on its own; an empty table stays empty; other columns are passed on, one named like the result is
+replaced. Vocabularies of another kind are refused, since the pattern is fixed.
 """
 
 from __future__ import annotations
@@ -42,6 +44,9 @@ class RankMerger:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         vocab, merges = spec["model"]["vocab"], spec["model"]["merges"]
+        before = spec.get("pre_tokenizer") or {}
+        if spec.get("normalizer") or before.get("type") != "ByteLevel" or before.get("add_prefix_space") or not before.get("use_regex", True) or spec["model"].get("ignore_merges"):
+            raise ValueError("the vocabulary is not a byte-level one with the usual pattern")
         self.width = len(vocab) + 1
         self.byte_id = np.array([vocab[c] for c in byte_symbols()], np.int64)
         pairs = [m.split(" ") if isinstance(m, str) else m for m in merges]

@@ -100,3 +100,17 @@ def test_queries(spark, sf):
     assert all(zlib.crc32(ids[r.doc_id][r.start : r.start + r.length].tobytes()) == r.ids_crc32 and r.doc_tokens == len(ids[r.doc_id]) for r in got)
     assert sum(r.length for r in got) == sum(map(len, ids.values()))
     assert packing.op4_packing(spark, sf).where(F.expr("length & (length - 1)") != 0).count() == 0
+
+
+def test_vocabularies_of_another_kind(tmp_path):
+    """Packing encodes them whole; token counts refuse them."""
+    from tokenizers import Tokenizer
+
+    path = P.path("byte_bpe_50k.json")
+    texts = ["Plain words, twice; plain words.", None, "", "Zoë's  42\n\ttabs"]
+    ids, at = packing.WordIds(path).rows(pa.array(texts))
+    tok = Tokenizer.from_file(path)
+    want = [[*tok.encode(t or "", add_special_tokens=False).ids, 1] for t in texts]
+    assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == want
+    with pytest.raises(ValueError, match="byte-level"):
+        token_counts.RankMerger(P.path("word_bpe_49k.json"))
