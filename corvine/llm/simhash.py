@@ -32,6 +32,8 @@ RADIUS = 4
 SEED = 42
 #: Fingerprints of a bucket that meet in one group; a larger bucket is dealt anew.
 CROWD = 2048
+#: Crowded buckets (some 20 bytes each) that are broadcast; more of them are joined by a shuffle.
+MOST_CROWDS = 100_000
 
 #: For each byte value, a 64-bit integer whose eight bytes are its bits.
 _BYTE_BITS = np.array([sum((v >> i & 1) << (8 * i) for i in range(8)) for v in range(256)], np.uint64)
@@ -177,6 +179,9 @@ def links(nodes: DataFrame, radius: int = RADIUS, crowd: int = CROWD) -> DataFra
 
     keyed = nodes.select("fp", F.explode(dealt(7)).alias("t")).select("t.no", "t.key", "fp")
     crowded = keyed.groupBy("no", "key").agg(F.count("*").alias("n")).where(F.col("n") > crowd).select("no", "key", F.lit(True).alias("crowded"))
+    crowded = Spool(nodes.sparkSession, "links").keep(crowded, "crowded")
+    if crowded.count() <= MOST_CROWDS:  # a checked bound: then no row moves to learn whether its bucket is crowded
+        crowded = F.broadcast(crowded)
     once = F.array(F.struct(F.lit(-1).alias("no"), F.lit(0).cast("long").alias("key")))
     finer = keyed.join(crowded, ["no", "key"], "left").select("no", "key", "fp", F.explode(F.when(F.col("crowded"), dealt(8)).otherwise(once)).alias("t"))
     finer = finer.select("no", "key", F.col("t.no").alias("no2"), F.col("t.key").alias("key2"), "fp")
