@@ -12,10 +12,11 @@ from ..functions import scalars as S
 
 def histogram_sum(ratings: DataFrame, keys: list[str], rating: str = "rating") -> DataFrame:
     """Element-wise sums of count arrays per key, cut to the key's shortest array: rows (keys, pos, weight)."""
-    size = ratings.groupBy(*keys).agg(F.min(F.size(rating)).alias("_n"))
-    each = ratings.select(*keys, F.posexplode(rating).alias("pos", "_w"))
-    sums = each.groupBy(*keys, "pos").agg(F.sum("_w").cast("bigint").alias("weight"))
-    return sums.join(size, keys).where("pos < _n").drop("_n")
+    each = ratings.where(F.col(rating).isNotNull()).select(*keys, F.posexplode_outer(rating).alias("pos", "_w"))
+    sums = each.groupBy(*keys, "pos").agg(F.sum("_w").cast("bigint").alias("weight"), F.count("*").alias("_n"))
+    # an array counts once, at its first place or as an empty one; places that all arrays have are kept
+    arrays = F.sum(F.when(F.coalesce("pos", F.lit(0)) == 0, F.col("_n"))).over(W.partitionBy(*keys))
+    return sums.withColumn("_all", arrays).where("pos is not null and _n = _all").drop("_n", "_all")
 
 
 def weighted_average(sums: DataFrame, keys: list[str]) -> DataFrame:
