@@ -25,18 +25,34 @@ BLOCK = 8
 
 
 def sa_kernel(segs: list[bytes], counts: np.ndarray, offs: np.ndarray, scheme: Scheme) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of windows that occur at least twice in the shard."""
+    """Runs of windows that occur at least twice in the shard: those of segments that occur twice, and those that
+    the suffix array finds in several places. All whole blocks of the latter occur twice, so only stretches of such
+    blocks that are long enough for a window are sorted."""
     u = split_segments(segs, scheme)
     size, base, length = np.diff(u.before), u.before[:-1], scheme.length
+    windows = size - length + 1
+    bounds = np.append(0, np.cumsum(windows))
+    seg, j = ragged(windows)
+    flags = (counts >= 2)[seg]
+    # blocks that occur twice, in stretches
     lane = lanes(u.data)
     skip = offs % BLOCK
     blocks = (size - skip) // BLOCK
     row, nth = ragged(blocks)
-    _, symbol = np.unique(lane[base[row] + skip[row] + BLOCK * nth], return_inverse=True)
-    begin = np.cumsum(blocks + 1) - (blocks + 1)
-    text = np.ones(int((blocks + 1).sum()) + 1, np.int64)
-    text[begin[row] + nth] = symbol + 2
+    ahead = np.cumsum(blocks) - blocks
+    _, symbol, often = np.unique(lane[base[row] + skip[row] + BLOCK * nth], return_inverse=True, return_counts=True)
+    of, begin, end = flag_runs(often[symbol] > 1, ahead)
+    good = end - begin >= (length - BLOCK + 1) // BLOCK
+    begin, end = ahead[of[good]] + begin[good], ahead[of[good]] + end[good]
+    if not len(begin):
+        return flag_runs(flags, bounds[:-1])
+    stretch, nth = ragged(end - begin)
+    text = np.ones(len(stretch) + len(begin) + 1, np.int64)
+    spot = np.arange(len(stretch)) + stretch
+    text[spot] = symbol[begin[stretch] + nth] + 2
     text[-1] = 0
+    place, room = np.full(len(row), -1), np.zeros(len(row), np.int64)  # of a block: its place in the text, blocks to its stretch's end
+    place[begin[stretch] + nth], room[begin[stretch] + nth] = spot, (end - begin)[stretch] - nth
     order = np.array(suffix_array(text.tolist()), np.int64)
     rank = np.empty(len(order), np.int64)
     rank[order] = np.arange(len(order))
@@ -51,27 +67,23 @@ def sa_kernel(segs: list[bytes], counts: np.ndarray, offs: np.ndarray, scheme: S
             differs[same] = False
             classes[k] = np.cumsum(differs)
         same = same[padded[order[same] + k] == padded[order[same - 1] + k]]
-    windows = size - length + 1
-    bounds = np.append(0, np.cumsum(windows))
-    seg, j = ragged(windows)
+    # windows whose whole blocks lie in one stretch
     head = (offs[seg] - j) % BLOCK
-    first = j + head
     whole = (length - head) // BLOCK
-    tail = (length - head) % BLOCK
-    at = rank[begin[seg] + (first - skip[seg]) // BLOCK]
-    group = np.zeros(len(seg), np.int64)
+    block = ahead[seg] + (j + head - skip[seg]) // BLOCK
+    some = np.flatnonzero(room[np.minimum(block, len(room) - 1)] >= whole)
+    seg, j, head, whole, block = seg[some], j[some], head[some], whole[some], block[some]
+    tail, at, group = (length - head) % BLOCK, rank[place[block]], np.zeros(len(some), np.int64)
     for k, number in classes.items():
-        some = whole == k
-        group[some] = number[at[some]]
+        own = whole == k
+        group[own] = number[at[own]]
     left = lane[base[seg] + j] & np.where(head > 0, _TAIL[head], np.uint64(0))
-    right = lane[base[seg] + first + BLOCK * whole] & np.where(tail > 0, _TAIL[tail], np.uint64(0))
+    right = lane[base[seg] + j + head + BLOCK * whole] & np.where(tail > 0, _TAIL[tail], np.uint64(0))
     group = group * BLOCK + head
     turn = np.lexsort((right, left, group))
     new = np.append(True, (np.diff(group[turn]) != 0) | (left[turn][1:] != left[turn][:-1]) | (right[turn][1:] != right[turn][:-1])) if len(turn) else np.zeros(0, bool)
     label = np.cumsum(new) - 1
-    total = np.bincount(label, np.minimum(counts, 2)[seg[turn]]) if len(turn) else np.zeros(0)
-    flags = np.zeros(len(seg), bool)
-    flags[turn] = total[label] >= 2
+    flags[some[turn]] |= (np.bincount(label) >= 2)[label] if len(turn) else flags[:0]
     return flag_runs(flags, bounds[:-1])
 
 
