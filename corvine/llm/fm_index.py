@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._spark import fresh, table
-from ._text import hash_spans
+from ._text import hash_spans, ragged
 from .repeats import Scheme, flag_runs, split_segments, without_repeats
 
 WORDS = Scheme("word", 35)
@@ -86,32 +86,50 @@ class FMIndex:
 
 
 def fm_kernel(segs: list[bytes], counts: np.ndarray, offs: np.ndarray, scheme: Scheme) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of windows that occur at least twice in the shard; a segment that occurs more than once is indexed twice."""
+    """Runs of windows that occur at least twice in the shard: those of segments that occur twice, and those that
+    the index finds in several places. All grams of the latter occur twice, so only stretches of such grams that are
+    long enough for a window are indexed and searched."""
     u = split_segments(segs, scheme)
-    length = scheme.length
-    _, word = np.unique(hash_spans(u.data, u.starts, u.ends), return_inverse=True)
+    length, gram = scheme.length, scheme.gram
+    every = np.diff(u.before) - length + 1
+    place = np.append(0, np.cumsum(every))
+    known = np.repeat(counts >= 2, every)
+    total = int(u.before[-1])
+    _, number, often = np.unique(u.grams(gram), return_inverse=True, return_counts=True)
+    twice = np.append(often[number] > 1, np.zeros(gram - 1, bool))
+    twice[np.minimum((u.before[1:, None] - np.arange(1, gram)).ravel(), total - 1)] = False  # grams that leave their segment
+    of, first, last = flag_runs(twice, u.before[:-1])
+    good = last - first >= length - gram + 1
+    of, first, last = of[good], first[good], last[good] + gram - 1
+    if not len(of):
+        return flag_runs(known, place[:-1])
+    size = last - first
+    stretch, spot = ragged(size)
+    _, word = np.unique(hash_spans(u.data, u.starts, u.ends)[u.before[of][stretch] + first[stretch] + spot], return_inverse=True)
     word = word.astype(np.int64) + 2
-    size = np.diff(u.before)
-    copies = np.repeat(np.arange(len(segs)), np.minimum(counts, 2))
-    long = size[copies] + 1
-    text = np.ones(int(long.sum()) + 1, np.int64)
-    begin = np.cumsum(long) - long
-    spot = np.arange(int(size[copies].sum()))
-    ahead = np.cumsum(size[copies]) - size[copies]
-    row = np.repeat(np.arange(len(copies)), size[copies])
-    text[begin[row] + spot - ahead[row]] = word[u.before[copies][row] + spot - ahead[row]]
+    before = np.cumsum(size) - size
+    text = np.ones(int(size.sum()) + len(size) + 1, np.int64)
+    text[np.arange(len(word)) + stretch] = word
     text[-1] = 0
     index = FMIndex(text, int(word.max()) + 1)
+    flags = _search_all(index, word, before, size, length)
+    windows = size - length + 1
+    row, nth = ragged(windows)
+    known[place[of][row] + first[row] + nth] |= flags
+    return flag_runs(known, place[:-1])
+
 
+def _search_all(index: FMIndex, word: np.ndarray, before: np.ndarray, size: np.ndarray, length: int) -> np.ndarray:
+    """Which windows of the stretches (words from `before` on, `size` of them) occur twice in the index."""
     windows = size - length + 1
     bounds = np.append(0, np.cumsum(windows))
     flags = np.zeros(int(bounds[-1]), bool)
     limit = windows.copy()
-    # whole segments from their ends: the matching statistic of the last word settles its windows
-    seg = np.arange(len(segs))
-    pos, lo, hi = size.copy(), np.zeros(len(segs), np.int64), np.full(len(segs), index.n)
+    # whole stretches from their ends: the matching statistic of the last word settles its windows
+    seg = np.arange(len(size))
+    pos, lo, hi = size.copy(), np.zeros(len(size), np.int64), np.full(len(size), index.n)
     while len(seg):
-        a, b = index.back(word[u.before[seg] + pos - 1], lo, hi)
+        a, b = index.back(word[before[seg] + pos - 1], lo, hi)
         ok = b - a >= 2
         pos = pos - ok
         over = ~ok | (pos == 0)
@@ -128,7 +146,7 @@ def fm_kernel(segs: list[bytes], counts: np.ndarray, offs: np.ndarray, scheme: S
     start = np.zeros(len(seg), np.int64)
     pos, lo, hi = start + length, np.zeros(len(seg), np.int64), np.full(len(seg), index.n)
     while len(seg):
-        a, b = index.back(word[u.before[seg] + pos - 1], lo, hi)
+        a, b = index.back(word[before[seg] + pos - 1], lo, hi)
         ok = b - a >= 2
         pos = pos - ok
         done = ok & (pos == start)
@@ -138,7 +156,7 @@ def fm_kernel(segs: list[bytes], counts: np.ndarray, offs: np.ndarray, scheme: S
         pos, lo, hi = np.where(reset, start + length, pos), np.where(reset, 0, a), np.where(reset, index.n, b)
         go = start < limit[seg]
         seg, start, pos, lo, hi = seg[go], start[go], pos[go], lo[go], hi[go]
-    return flag_runs(flags, bounds[:-1])
+    return flags
 
 
 def dedup_words(docs: DataFrame, text: str = "text", length: int = 35, into: str = "repeats") -> DataFrame:
