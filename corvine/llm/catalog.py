@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import alignment, ball_kmeans, decontaminate, fm_index, lm_score, packing, simhash, suffix_dedup, token_counts, topk, toxicity, warc
+from . import alignment, ball_kmeans, decontaminate, edit_prints, fm_index, lm_score, packing, simhash, suffix_dedup, token_counts, topk, toxicity, warc
 
-MODULES = (alignment, ball_kmeans, decontaminate, fm_index, lm_score, packing, simhash, suffix_dedup, token_counts, topk, toxicity, warc)
+MODULES = (alignment, ball_kmeans, decontaminate, edit_prints, fm_index, lm_score, packing, simhash, suffix_dedup, token_counts, topk, toxicity, warc)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
