@@ -40,12 +40,15 @@ from ._text import pieces, ragged
 from .token_counts import byte_symbols
 
 #: Bytes of text whose links are one packed row.
-BLOCK = 8 << 20
+BLOCK = 4 << 20
 #: Distinct words remembered in each Python worker.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 #: Words that are encoded in one call, behind a word that is dropped.
 TOGETHER, GUARD = 64, " a"
 COUNTS, SUMS = ("n_a", "n_b", "n_groups", "n_links", "groups_sha256"), ("n_best", "count_sum")
+#: A block: its documents, its distinct pairs and how many links hold each; and of each document and pair in it the
+#: document's number, the pair's place among the block's, and the number of links.
+PACKED = ("docs", "pairs", "every", "owner", "place", "times")
 
 
 class ByteLevel:
@@ -317,10 +320,9 @@ def _packing(text: str, a_path: str, b_path: str, block: int):
             owner, pairs, times = (np.concatenate(x) for x in zip(*held, strict=True))
             distinct, place = np.unique(pairs, return_inverse=True)
             every = np.diff(np.append(0, np.cumsum(times[np.argsort(place, kind="stable")]))[np.append(0, np.cumsum(np.bincount(place, minlength=len(distinct))))])
-            asked = pa.StructArray.from_arrays([pa.array(distinct), pa.array(every)], ["pair", "times"])
-            links = pa.StructArray.from_arrays([pa.array(x.astype(np.int32)) for x in (owner, place, times)], ["owner", "place", "times"])
-            lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (pa.concat_arrays(docs), asked, links)]
-            return pa.RecordBatch.from_arrays([pa.array([task + number]), *lists], ["block", "docs", "asked", "links"])
+            packed = (pa.concat_arrays(docs), pa.array(distinct), pa.array(every), *(pa.array(x.astype(np.int32)) for x in (owner, place, times)))
+            lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in packed]
+            return pa.RecordBatch.from_arrays([pa.array([task + number]), *lists], ["block", *PACKED])
 
         for batch in batches:
             rest = [c for c in batch.schema.names if c != text]
@@ -345,8 +347,7 @@ def _packing(text: str, a_path: str, b_path: str, block: int):
 def _answered(blocks: pa.Table, answers: pa.Table) -> pa.Table:
     """A block's documents with the sums over their links; the answers are of exactly the block's pairs."""
     docs = blocks.column("docs").combine_chunks().flatten()
-    links = blocks.column("links").combine_chunks().flatten()
-    owner, place, times = (links.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(3))
+    owner, place, times = (blocks.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.int64) for c in PACKED[3:])
     order = np.argsort(answers.column("pair").to_numpy())
     cuts = np.searchsorted(owner, np.arange(len(docs) + 1))
     sums = [np.diff(np.append(0, np.cumsum(answers.column(c).to_numpy().astype(np.int64)[order][place] * times))[cuts]) for c in ("best", "count")]
@@ -355,7 +356,7 @@ def _answered(blocks: pa.Table, answers: pa.Table) -> pa.Table:
 
 def link_counts(blocks: DataFrame, width: int) -> DataFrame:
     """(pair, count, best): how many links of all blocks hold a pair, and whether no pair of its B id has more."""
-    counts = blocks.select(F.inline("asked")).groupBy("pair").agg(F.sum("times").alias("count"))
+    counts = blocks.select(F.inline(F.arrays_zip("pairs", "every"))).groupBy(F.col("pairs").alias("pair")).agg(F.sum("every").alias("count"))
     counts = Spool(blocks.sparkSession, "links").keep(counts, "counts")
     most = counts.groupBy((F.col("pair") % width).alias("b")).agg(F.max("count").alias("most"))
     # at most one row per id of B's vocabulary
@@ -370,12 +371,13 @@ def align_documents(docs: DataFrame, a_path: str, b_path: str, text: str = "text
     plain = docs.select(F.col(f"`{text}`"), *[F.col(f"`{c}`") for c in rest])
     one = F.struct(*[F.col(f"`{c}`") for c in rest], *[F.lit(0).cast("long").alias(c) for c in COUNTS[:4]], F.lit("").alias(COUNTS[4]))
     doc = plain.select(one.alias("doc")).schema["doc"].dataType
-    made = T.StructType([T.StructField("block", T.LongType()), T.StructField("docs", T.ArrayType(doc)), T.StructField("asked", T._parse_datatype_string("array<struct<pair:long,times:long>>")), T.StructField("links", T._parse_datatype_string("array<struct<owner:int,place:int,times:int>>"))])
+    types = dict.fromkeys(PACKED[1:3], T.LongType()) | dict.fromkeys(PACKED[3:], T.IntegerType()) | {"docs": doc}
+    made = T.StructType([T.StructField("block", T.LongType()), *[T.StructField(c, T.ArrayType(types[c])) for c in PACKED]])
     blocks = spool.keep(plain.mapInArrow(_packing(text, a_path, b_path, block), made), "blocks")
-    asked = blocks.select(F.col("block").alias("of"), F.inline("asked")).select("of", "pair")
+    asked = blocks.select(F.col("block").alias("of"), F.explode("pairs").alias("pair"))
     answers = asked.join(link_counts(blocks, Pieces(b_path).library.vocab_size()), "pair")
     out = T.StructType([*doc.fields, *[T.StructField(c, T.LongType()) for c in SUMS]])
-    return blocks.select("block", "docs", "links").groupBy("block").cogroup(answers.groupBy("of")).applyInArrow(_answered, out)
+    return blocks.drop("pairs", "every").groupBy("block").cogroup(answers.groupBy("of")).applyInArrow(_answered, out)
 
 
 def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
