@@ -8,6 +8,8 @@ from pyspark.sql.window import Window as W
 
 from .. import config
 from ..functions import scalars as S
+from ..sources.spool import Spool
+from .running import running_last
 
 
 def histogram_sum(ratings: DataFrame, keys: list[str], rating: str = "rating") -> DataFrame:
@@ -40,12 +42,17 @@ def category_violations(ratings: DataFrame, questions: DataFrame, tag: str, n: i
     return g.where((F.col("options") != n) & ~F.col("six")).select("course_id", "options")
 
 
-def history(courses: DataFrame, group: str, season: str, ident: str, enrolled: str) -> DataFrame:
+def history(courses: DataFrame, group: str, season: str, ident: str, enrolled: str, spool: Spool | None = None) -> DataFrame:
     """Adds last_offered_course_id (the smallest id of the nearest earlier season of the group) and
-    last_enrollment_course_id (the latest earlier course with enrolment, by season and id, same season included)."""
+    last_enrollment_course_id (the latest earlier course with enrolment, by season and id, same season included).
+    With a spool, groups may have any size: the latest one is a scan over ranges instead of a window over a group."""
     firsts = courses.groupBy(group, season).agg(F.min(ident).alias("_first"))
     before = F.lag("_first").over(W.partitionBy(group).orderBy(season))
     firsts = firsts.select(group, season, before.alias("last_offered_course_id"))
+    if spool is not None:
+        marked = courses.withColumn("_taken", F.when(F.col(enrolled).isNotNull(), F.col(ident)))
+        scanned = running_last(marked, [group], [season, ident], "_taken", "last_enrollment_course_id", spool)
+        return scanned.drop("_taken").join(firsts, [group, season], "left")
     frame = W.partitionBy(group).orderBy(season, ident).rowsBetween(W.unboundedPreceding, -1)
     last = F.last(F.when(F.col(enrolled).isNotNull(), F.col(ident)), ignorenulls=True).over(frame)
     return courses.withColumn("last_enrollment_course_id", last).join(firsts, [group, season], "left")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from ..sources.spool import Spool
+from .running import running_count
 
 
 def keep_first(df: DataFrame, keys: list[str], ordinal: str) -> DataFrame:
@@ -41,23 +42,10 @@ def numbered(keys: list[str], *order: str | Column) -> Column:
     return F.row_number().over(W.partitionBy(*keys).orderBy(*order)) - 1
 
 
-def row_ids(df: DataFrame, ordinal: str, into: str = "id", buckets: int = 1024) -> DataFrame:
-    """Consecutive ids from 0 in the order of `ordinal`, without gathering all rows in one task.
-
-    The ordinal's range is cut into `buckets`; a row's id is its place in its bucket plus the rows before that.
-    The ordinal must be an integer.
-    """
-    low, high = df.agg(F.min(ordinal), F.max(ordinal)).first()
-    if low is None:
-        return df.withColumn(into, F.lit(None).cast("bigint"))
-    width = max(1, (int(high) - int(low)) // buckets + 1)
-    df = df.withColumn("_b", F.floor((F.col(ordinal) - F.lit(low)) / F.lit(width)))
-    counts = df.groupBy("_b").agg(F.count("*").alias("_n"))
-    # at most `buckets` + 1 rows: a proven bound
-    before = counts.withColumn("_before", F.sum("_n").over(W.orderBy("_b").rowsBetween(W.unboundedPreceding, -1))).drop("_n")
-    own = F.row_number().over(W.partitionBy("_b").orderBy(ordinal)) - 1
-    out = df.withColumn("_own", own).join(F.broadcast(before), "_b")
-    return out.withColumn(into, (F.col("_own") + F.coalesce("_before", F.lit(0))).cast("bigint")).drop("_b", "_own", "_before")
+def row_ids(df: DataFrame, ordinal: str, into: str = "id") -> DataFrame:
+    """Consecutive ids from 0 in the order of `ordinal`, without gathering all rows in one task. A table without
+    rows stays so."""
+    return running_count(df, [], [ordinal], into, Spool(df.sparkSession, "ids"))
 
 
 def ordered(df: DataFrame, order: list[str], into: str, spool: Spool) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .. import config
 from ..functions import html as H
 from ..functions import scalars as S
-from ..operators import checks, diff, linkage, metrics, tables
+from ..operators import checks, diff, linkage, metrics, running, tables
 from ..sources import crawl, io
 from ..sources.spool import Spool
 from . import evaluations, parse, queries
@@ -305,11 +305,12 @@ def sink_round_trip(spark, d):
 
 @query("""select cast(p_partkey as varchar) as crn, '202' || cast(p_size % 3 as varchar) || '01' as season, p_name as title, cast(row_number() over (partition by p_size % 3 order by lpad(cast(p_partkey as varchar), 9, '0')) as bigint) as place from part""")
 def landing_files(spark, d):
-    """Records written as one JSON array folder a season, sorted by number, and scanned again in their order."""
+    """Records written as a folder of JSON arrays a season, several and unequal files each, sorted by number, and
+    scanned again in their order."""
     at = Spool(spark, "landing").path("parsed_courses")
     p = t(spark, d, "part").select(F.lpad(F.col("p_partkey").cast("string"), 9, "0").alias("crn"), F.col("p_name").alias("title"), F.concat(F.lit("202"), (F.col("p_size") % 3).cast("string"), F.lit("01")).alias("season"))
     for season in ("202001", "202101", "202201"):
-        io.write_json(p.where(F.col("season") == season).select("crn", "title"), f"{at}/{season}.json", ["crn"])
+        io.write_json(p.where(F.col("season") == season).select("crn", "title"), f"{at}/{season}.json", ["crn"], 8000)
     back = io.read_json(spark, at, "crn string, title string")
     if io.list_seasons(spark, at) != ["202001", "202101", "202201"]:
         raise AssertionError("seasons were not found again")
@@ -317,6 +318,18 @@ def landing_files(spark, d):
     return back.select(F.regexp_replace("crn", r"^0+(?=.)", "").alias("crn"), F.col("_season").alias("season"), "title", F.col("place").cast("long").alias("place"))
 
 
+@query("""select l_orderkey, l_linenumber, row_number() over w - 1 as place, sum(l_quantity) over (w rows between unbounded preceding and 1 preceding) as before,
+last_value(case when l_linenumber = 1 then l_suppkey end ignore nulls) over (w rows between unbounded preceding and 1 preceding) as latest from lineitem window w as (partition by l_returnflag order by l_orderkey, l_linenumber)""")
+def running_values(spark, d):
+    """Place, sum and last non-null value over three groups, one of half of all rows: scans over ranges."""
+    li = t(spark, d, "lineitem").withColumn("first", F.when(F.col("l_linenumber") == 1, F.col("l_suppkey")))
+    spool, order = Spool(spark, "running"), ["l_orderkey", "l_linenumber"]
+    out = running.running_count(li.select("l_returnflag", *order, "l_quantity", "first"), ["l_returnflag"], order, "place", spool)
+    out = running.running_sum(out, ["l_returnflag"], order, "l_quantity", "before", spool)
+    out = running.running_last(out, ["l_returnflag"], order, "first", "latest", spool)
+    return out.select(*order, "place", "before", "latest")
+
+
 # ingestion
 
 

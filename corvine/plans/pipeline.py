@@ -187,8 +187,7 @@ def save_caches(spark: SparkSession, tables_: dict[str, DataFrame], data_dir: st
         at = f"{data_dir}/id_cache/{name}"
         cache = io.read_cache(spark, at)
         checks.enforce({f"{name} cache is stable": tables.cache_conflicts(cache, found)})
-        merged = Spool(spark, "cache").keep(tables.merged_cache(cache, found), name)
-        merged.write.mode("overwrite").parquet(at)
+        io.write_cache(tables.merged_cache(cache, found), at)
 
 
 def parse_season(spark: SparkSession, data_dir: str, season: str) -> tuple[DataFrame, DataFrame]:

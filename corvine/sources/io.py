@@ -10,12 +10,13 @@ from dataclasses import dataclass, field
 from pathlib import Path
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config
-from .spool import Spool, exists
+from ..operators.running import running_count
+from .spool import Spool, beside, exists, replace, settle
 
 MEETING = "array<struct<days_of_week:int,start_time:string,end_time:string,location:string,location_url:string>>"
 PARSED_COURSE = (
@@ -37,45 +38,81 @@ SECOND_SOURCE = "crn string, subjectNumber string, sectionNumber string, primXLs
 CACHE = "key string, id long"
 
 
+#: Bytes of a part file of `write_json`, and files of which a table of ranks may be broadcast.
+PART_BYTES, MOST_FILES = 16 << 20, 100_000
+#: Records of a file that its ordinals can tell apart.
+PLACES = 1 << 33
+
+
+def landed_files(spark: SparkSession, path: str) -> DataFrame:
+    """(file, season, bytes, modified) of the landing files at or below a path, contents unread. A path without files
+    has none. The season is the name of the file, or of the folder that `write_json` made of it."""
+    settle(spark, path)
+    if not exists(spark, path):
+        return spark.createDataFrame([], "file string, season string, bytes long, modified timestamp")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.select(F.col("_metadata.file_path").alias("file"), _season_of("_metadata.file_path"), F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"))
+
+
+def _season_of(file: str) -> Column:
+    return F.regexp_extract(F.col(file), r"([^/]+)\.json(?:/[^/]*)?$", 1).alias("season")
+
+
 def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Records of JSON array files; no file gives an empty table. Adds `_season` (the name of the file, or of the
     folder that `write_json` made of it) and `_ordinal`. Empty files have no records.
 
-    The ordinal follows file names and the position in the file: the order of the partitions of a sorted scan.
+    The ordinal follows season, file name and the place in the file, however many files a season has and however
+    Spark deals them out: a file is read by one task in its order, and files are ranked by a scan over ranges.
     """
-    try:
-        df = spark.read.schema(schema).option("multiLine", True).option("recursiveFileLookup", True).json(path)
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
+    settle(spark, path)
+    if not exists(spark, path):
         df = spark.createDataFrame([], schema)
         return df.withColumns({"_season": F.lit(None).cast("string"), "_ordinal": F.lit(None).cast("long")})
-    season = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\.json(?:/[^/]*)?$", 1)
-    df = df.withColumn("_season", season).withColumn("_pos", F.monotonically_increasing_id())
-    files = df.select("_season").distinct()
-    # one row per landing file: seasons, of which there are a few per year
-    rank = {r._season: i for i, r in enumerate(files.orderBy("_season").collect())}
-    order = F.coalesce(*[F.when(F.col("_season") == s, F.lit(i)) for s, i in rank.items()], F.lit(0)) if rank else F.lit(0)
-    return df.withColumn("_ordinal", order.cast("long") * F.lit(1 << 48) + F.col("_pos") % F.lit(1 << 48)).drop("_pos")
+    df = spark.read.schema(schema).option("multiLine", True).option("recursiveFileLookup", True).json(path)
+    df = df.withColumns({"_file": F.col("_metadata.file_path"), "_place": F.monotonically_increasing_id() % PLACES})
+    ranks = running_count(landed_files(spark, path).select("file", "season"), [], ["season", "file"], "_rank", Spool(spark, "files"))
+    ranks = ranks.select(F.col("file").alias("_file"), F.col("season").alias("_season"), "_rank")
+    if ranks.count() <= MOST_FILES:  # a checked bound; more are joined by a shuffle
+        ranks = F.broadcast(ranks)
+    out = df.join(ranks, "_file").withColumn("_ordinal", F.col("_rank") * PLACES + F.col("_place"))
+    return out.select(*[F.col(f"`{c}`") for c in df.columns[:-2]], "_season", "_ordinal")
 
 
 def read_cache(spark: SparkSession, path: str) -> DataFrame:
+    settle(spark, path)
     return spark.read.schema(CACHE).parquet(path) if exists(spark, path) else spark.createDataFrame([], CACHE)
 
 
-def write_json(df: DataFrame, path: str, order: list[str]) -> None:
-    """Records as JSON arrays, one a part file, sorted by `order` within and across the files. What lay at the path
-    is replaced; it may have been read for `df`, which is spooled first."""
-    rows = Spool(df.sparkSession, "json").keep(df, "rows")
+def write_cache(cache: DataFrame, path: str) -> None:
+    """Replaces a cache by one that may have been read from it."""
+    new = beside(path)
+    cache.write.parquet(new)
+    replace(cache.sparkSession, new, path)
+
+
+def write_json(df: DataFrame, path: str, order: list[str], part_bytes: int = PART_BYTES) -> None:
+    """Records as JSON arrays, sorted by `order` within and across the part files, each of about `part_bytes` or one
+    longer record. Files are written beside the path and take its place when all are there, so a failure leaves what
+    was, and what lay there may have been read for `df`."""
 
-    def array(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        some = [x for b in batches for x in b["value"]]
+    def arrays(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        some, size = [], 0
+        for b in batches:
+            for x in b["value"]:
+                if some and size + len(x) > part_bytes:
+                    yield pd.DataFrame({"value": ["[" + ",\n".join(some) + "]"]})
+                    some, size = [], 0
+                some.append(x)
+                size += len(x)
         if some:
             yield pd.DataFrame({"value": ["[" + ",\n".join(some) + "]"]})
 
-    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
     text = ranged.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
-    text.mapInPandas(array, "value string").write.mode("overwrite").text(path)
+    new = beside(path)
+    text.mapInPandas(arrays, "value string").write.option("maxRecordsPerFile", 1).text(new)
+    replace(df.sparkSession, new, path)
 
 
 def list_seasons(spark: SparkSession, path: str) -> list[str]:

@@ -55,3 +55,40 @@ def delete(spark: SparkSession, at: str) -> None:
 def exists(spark: SparkSession, at: str) -> bool:
     path = spark._jvm.org.apache.hadoop.fs.Path(at)
     return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(path)
+
+
+def replace(spark: SparkSession, new: str, at: str) -> None:
+    """Puts the folder `new` in the place `at`. What lay there is set aside first and deleted last, so that a failure
+    leaves the one or the other; `settle` finds it."""
+    fs, old, to, came = _aside(spark, at, new)
+    settle(spark, at)
+    if not fs.exists(came):
+        raise OSError(f"{new} is not there")
+    if fs.exists(to):
+        fs.rename(to, old)
+    if not fs.rename(came, to):
+        raise OSError(f"{new} could not be moved to {at}")
+    fs.delete(old, True)
+
+
+def settle(spark: SparkSession, at: str) -> None:
+    """Ends a replacement that was cut off: without a new folder in its place the old one comes back."""
+    fs, old, to, _ = _aside(spark, at, at)
+    if fs.exists(old):
+        if fs.exists(to):
+            fs.delete(old, True)
+        else:
+            fs.rename(old, to)
+
+
+def _aside(spark: SparkSession, at: str, new: str) -> tuple:
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    to = path(at.rstrip("/"))
+    fs = to.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return fs, path(to.getParent(), f".{to.getName()}.old"), to, path(new)
+
+
+def beside(at: str) -> str:
+    """A new hidden folder next to the place."""
+    parent, _, name = at.rstrip("/").rpartition("/")
+    return f"{parent}/.{name}.{uuid.uuid4().hex}" if parent else f".{name}.{uuid.uuid4().hex}"
