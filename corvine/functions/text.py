@@ -59,8 +59,13 @@ def text_distance(a: str | None, b: str | None, most: float = config.MAX_TEXT_DI
 
 
 @F.pandas_udf(DoubleType())
-def infix_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([text_distance(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
+def _similarity(a: pd.Series, b: pd.Series, most: pd.Series) -> pd.Series:
+    return pd.Series([text_distance(*x) for x in zip(a, b, most, strict=True)], dtype="float64")
+
+
+def infix_similarity(a: Column, b: Column, most: Column | None = None) -> Column:
+    """`text_distance` as a column."""
+    return _similarity(a, b, F.lit(config.MAX_TEXT_DISTANCE) if most is None else most)
 
 
 _FOLDED = {"ß": "ss", "æ": "ae", "Æ": "AE", "ø": "o", "Ø": "O", "đ": "d", "ł": "l", "Ł": "L", "œ": "oe", "Œ": "OE", "’": "'", "‘": "'", "–": "-", "—": "-"}

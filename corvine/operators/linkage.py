@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from .. import config
 from ..functions import scalars as S
-from ..functions.text import text_distance
 from ..sources.spool import Spool
-from . import graph, tables
+from . import graph, merges, similarity, tables
+from .running import running_last
 
 # cross-listings
 
@@ -80,107 +79,43 @@ def title_labels(data: DataFrame, codes: DataFrame, spool: Spool, generic: list[
     return found.select(F.col("node").alias("course_id"), F.col("root").alias("label"))
 
 
-class _Sets:
-    """Union-find over a few ids that knows each set's seasons."""
-
-    def __init__(self, seasons: dict[int, str]):
-        self.up = {i: i for i in seasons}
-        self.seasons = {i: {s} for i, s in seasons.items()}
-
-    def find(self, i: int) -> int:
-        while self.up[i] != i:
-            self.up[i] = self.up[self.up[i]]
-            i = self.up[i]
-        return i
-
-    def merge(self, a: int, b: int) -> None:
-        a, b = self.find(a), self.find(b)
-        if a != b:
-            a, b = min(a, b), max(a, b)
-            self.up[b] = a
-            self.seasons[a] |= self.seasons.pop(b)
-
-    def merge_apart(self, a: int, b: int) -> None:
-        """Merges only sets without a common season."""
-        x, y = self.find(a), self.find(b)
-        if x != y and not self.seasons[x] & self.seasons[y]:
-            self.merge(x, y)
-
-    def one(self, ids: list[int]) -> bool:
-        return len({self.find(i) for i in ids}) <= 1
-
-
-def replay_text_merges(members: pd.DataFrame, codes: pd.DataFrame, changes: dict[str, str], exact_only: list[str], most: float) -> dict[int, int]:
-    """Labels after merging courses of one code by similar titles, then by equal or similar descriptions.
-
-    Merges are refused between sets that share a season, so their order counts: codes ascending; within a code
-    pairs of distinct texts ascending. members: course_id, season_code, title, description, label; codes: course_id,
-    code, course_code, ordinal.
-    """
-    rows = {r.course_id: r for r in members.itertuples()}
-    sets = _Sets({i: r.season_code for i, r in rows.items()})
-    for _, same in members.groupby("label"):
-        ids = same["course_id"].tolist()
-        for i in ids[1:]:
-            sets.merge(ids[0], i)
-    codes = codes.sort_values("ordinal")
-    by_raw = codes.groupby("course_code")["course_id"].apply(list).to_dict()
-
-    def by_text(ids: list[int], field: str) -> dict[str, list[int]]:
-        out: dict[str, list[int]] = {}
-        for i in ids:
-            text = getattr(rows[i], field)
-            if text is not None:
-                out.setdefault(text, []).append(i)
-        return dict(sorted(out.items()))
-
-    def similar(texts: dict[str, list[int]]) -> None:
-        groups = list(texts.items())
-        for n, (a, first) in enumerate(groups):
-            for b, second in groups[n + 1 :]:
-                if sets.find(first[0]) != sets.find(second[0]) and text_distance(a, b, most) >= 0:
-                    sets.merge_apart(first[0], second[0])
-
-    for code, group in codes.groupby("code", sort=True):
-        ids = group["course_id"].tolist() + by_raw.get(changes.get(code, ""), [])
-        if code in exact_only or sets.one(ids):
-            continue
-        similar(by_text(ids, "title"))
-        if sets.one(ids):
-            continue
-        texts = by_text(ids, "description")
-        for same in texts.values():
-            for a, b in zip(same, same[1:], strict=False):
-                sets.merge_apart(a, b)
-        if not sets.one(ids):
-            similar(texts)
-    return {i: sets.find(i) for i in rows}
+def text_merges(data: DataFrame, codes: DataFrame, titles: DataFrame, spool: Spool, changes: dict[str, str], exact_only: list[str], most: float) -> tuple[DataFrame, DataFrame]:
+    """The sets (label, seasons) that equal titles make, and the ordered merges of them: codes ascending, of the two
+    terms apart; within a code first pairs of similar titles, then each next course of an equal description, then
+    pairs of similar descriptions, texts ascending. A text stands for its first course. `codes` gives the order of
+    courses in a code; courses of a code's new name come behind."""
+    spark = data.sparkSession
+    term = F.when(F.col("summer"), F.lit("s")).otherwise(F.lit("t"))
+    labelled = spool.keep(data.join(titles, "course_id").select("course_id", "season_code", "title", "description", "label", term.alias("term")), "members")
+    sets = spool.keep(labelled.groupBy("label").agg(F.collect_set("season_code").alias("seasons")), "sets")
+    listed = codes.select("course_id", "code", "course_code", F.col("ordinal").cast("long").alias("o")).join(labelled.select("course_id", "term"), "course_id")
+    own = listed.select("course_id", F.concat("term", "code").alias("g"), F.lit(0).alias("e"), "o", "code")
+    renamed = spark.createDataFrame(list(changes.items()) or [("", "")], "old string, new string")  # a constant table
+    also = listed.join(F.broadcast(renamed), F.col("course_code") == F.col("new")).select("course_id", F.concat("term", "old").alias("g"), F.lit(1).alias("e"), "o", F.col("old").alias("code"))
+    also = also.join(own.select("g").distinct(), "g", "left_semi")
+    placed = own.unionByName(also).where(~F.col("code").isin(exact_only) if exact_only else F.lit(True))
+    placed = placed.join(labelled.join(sets, "label"), "course_id").select("g", "e", "o", "course_id", "title", "description", "label", "seasons")
+    # a code whose courses are one set has nothing to merge
+    several = placed.groupBy("g").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a < b").select("g")
+    placed = spool.keep(placed.join(several, "g", "left_semi"), "placed")
+
+    def similar(field: str, phase: int) -> DataFrame:
+        texts = placed.where(F.col(field).isNotNull()).groupBy("g", F.col(field).alias("t")).agg(F.min_by(F.struct("label", "seasons"), F.struct("e", "o")).alias("first")).select("g", "t", "first.*")
+        found = similarity.similar_pairs(texts, ["g"], "t", spool, most, ("label", "seasons"), "label_a <> label_b and not arrays_overlap(seasons_a, seasons_b)")
+        return found.select("g", F.struct(F.lit(phase).alias("phase"), "a").alias("s"), F.struct("b", F.lit(0).alias("e"), F.lit(0).cast("long").alias("o")).alias("r"), F.col("label_a").alias("x"), F.col("label_b").alias("y"))
+
+    each = placed.where(F.col("description").isNotNull()).select("g", "e", "o", F.col("description").alias("a"), "label")
+    chain = running_last(each, ["g", "a"], ["e", "o"], "label", "before", spool).where("before is not null and before <> label")
+    equal = chain.select("g", F.struct(F.lit(1).alias("phase"), "a").alias("s"), F.struct(F.lit("").alias("b"), "e", "o").alias("r"), F.col("before").alias("x"), F.col("label").alias("y"))
+    return sets, similar("title", 0).unionByName(equal).unionByName(similar("description", 2))
 
 
 def text_labels(data: DataFrame, codes: DataFrame, titles: DataFrame, spool: Spool, changes: dict[str, str] = config.CODE_CHANGES, exact_only: list[str] = config.EXACT_TEXT_CODES, most: float = config.MAX_TEXT_DISTANCE) -> DataFrame:
-    """(course_id, label) after the order-dependent merges, replayed in one task per set of courses that titles,
-    codes or code changes connect: merges never leave such a set. Sets of one label are left out."""
-    term = F.when(F.col("summer"), F.lit("s")).otherwise(F.lit("t"))
-    spark = data.sparkSession
-    listed = codes.join(data.select("course_id", "summer"), "course_id")
-    own = listed.select("course_id", F.concat(term, F.lit("c"), "code").alias("key"))
-    renamed = spark.createDataFrame(list(changes.items()) or [("", "")], "old string, new string")
-    also = listed.join(F.broadcast(renamed), F.col("course_code") == F.col("new")).select("course_id", F.concat(term, F.lit("c"), "old").alias("key"))
-    by_title = titles.select("course_id", F.concat(F.lit("l"), F.col("label").cast("string")).alias("key"))
-    tied = own.union(also).union(by_title)
-    edges = graph.star_edges(tied, "course_id", ["key"])
-    whole = graph.labels(data.select(F.col("course_id").alias("node")), edges, spool).select(F.col("node").alias("course_id"), F.col("root").alias("part"))
-    placed = spool.keep(data.join(titles, "course_id").join(whole, "course_id").select("part", "course_id", "season_code", "title", "description", "label"), "members")
-    open_parts = placed.groupBy("part").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a < b").select("part")
-    busy = placed.join(open_parts, "part", "left_semi")
-    listed = listed.join(whole, "course_id").join(open_parts, "part", "left_semi").select("part", "course_id", "code", "course_code", "ordinal")
-
-    def run(members: pd.DataFrame, own_codes: pd.DataFrame) -> pd.DataFrame:
-        found = replay_text_merges(members, own_codes, changes, exact_only, most)
-        return pd.DataFrame({"course_id": list(found), "label": list(found.values())})
-
-    merged = busy.groupBy("part").cogroup(listed.groupBy("part")).applyInPandas(run, "course_id long, label long")
-    return placed.join(open_parts, "part", "left_anti").select("course_id", "label").union(merged)
+    """(course_id, label) after merging courses of one code by similar titles, then by equal or similar descriptions.
+    Merges are refused between sets that share a season, so their order counts."""
+    sets, ops = text_merges(data, codes, titles, spool, changes, exact_only, most)
+    merged = merges.merge_apart(sets, ops, spool)
+    return titles.join(merged, "label").select("course_id", F.col("merged").alias("label"))
 
 
 def split_specs(spark: SparkSession, specs: list = config.SPLIT_SPECS) -> DataFrame:

@@ -318,13 +318,15 @@ def landing_files(spark, d):
     return back.select(F.regexp_replace("crn", r"^0+(?=.)", "").alias("crn"), F.col("_season").alias("season"), "title", F.col("place").cast("long").alias("place"))
 
 
-@query("""select l_orderkey, l_linenumber, row_number() over w - 1 as place, sum(l_quantity) over (w rows between unbounded preceding and 1 preceding) as before,
-last_value(case when l_linenumber = 1 then l_suppkey end ignore nulls) over (w rows between unbounded preceding and 1 preceding) as latest from lineitem window w as (partition by l_returnflag order by l_orderkey, l_linenumber)""")
+@query("""select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, row_number() over w - 1 as place, sum(l_quantity) over (w rows between unbounded preceding and 1 preceding) as before,
+last_value(case when l_linenumber = 1 then l_suppkey end ignore nulls) over (w rows between unbounded preceding and 1 preceding) as latest from lineitem
+window w as (partition by l_returnflag order by l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice)""")
 def running_values(spark, d):
     """Place, sum and last non-null value over three groups, one of half of all rows: scans over ranges."""
-    li = t(spark, d, "lineitem").withColumn("first", F.when(F.col("l_linenumber") == 1, F.col("l_suppkey")))
-    spool, order = Spool(spark, "running"), ["l_orderkey", "l_linenumber"]
-    out = running.running_count(li.select("l_returnflag", *order, "l_quantity", "first"), ["l_returnflag"], order, "place", spool)
+    order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+    li = t(spark, d, "lineitem").select("l_returnflag", *order, "l_quantity", F.when(F.col("l_linenumber") == 1, F.col("l_suppkey")).alias("first"))
+    spool = Spool(spark, "running")
+    out = running.running_count(li, ["l_returnflag"], order, "place", spool)
     out = running.running_sum(out, ["l_returnflag"], order, "l_quantity", "before", spool)
     out = running.running_last(out, ["l_returnflag"], order, "first", "latest", spool)
     return out.select(*order, "place", "before", "latest")

@@ -16,7 +16,7 @@ from .. import config
 from ..functions import html as H
 from ..functions import scalars as S
 from ..functions import text as X
-from ..operators import checks, diff, graph, linkage, metrics, tables
+from ..operators import checks, diff, graph, linkage, metrics, similarity, tables
 from ..sources import crawl, io
 from ..sources.spool import Spool
 from ..streaming.incremental import windowed_counts
@@ -536,13 +536,34 @@ def mojibake(spark, d):
     return t(spark, d, "customer").select("c_custkey", X.mojibake_repair(F.concat("c_name", F.lit(" \u00c3\u00a9 \u00c3\u00a7 \u201cq\u201d"))).alias("fixed"))
 
 
-@query()
+def _infix(pairs: str, most: float = config.MAX_TEXT_DISTANCE) -> str:
+    """SQL of (a, b, distance) for `pairs` (a, b), distinct and a < b: the classical table of edits, a column of it for
+    each character of the longer text."""
+    return f"""with recursive pr as materialized ({pairs}),
+pw as materialized (select a, b, case when length(trim(a)) <= length(trim(b)) then trim(a) else trim(b) end as p, case when length(trim(a)) <= length(trim(b)) then trim(b) else trim(a) end as w from pr),
+d as (select a, b, p, w, 0 as j, range(length(p) + 1) as col, cast(length(p) as bigint) as best from pw union all
+select a, b, p, w, j + 1, c2, least(best, c2[len(c2)]) from (select a, b, p, w, j, best, list_reduce(list_prepend([0::bigint], list_transform(range(1, length(p) + 1), lambda i: [i])),
+lambda acc, i: list_append(acc, least(acc[len(acc)] + 1, col[i[1] + 1] + 1, col[i[1]] + case when p[i[1]] = w[j + 1] then 0 else 1 end))) as c2 from d where j < length(w))),
+dist as (select a, b, case when length(p) > 0 and best <= floor({most} * length(p)) then best / length(p) else -1.0 end as distance from d where j = length(w))
+"""
+
+
+@query(_infix("select distinct x.p_name as a, y.p_name as b from part x join part y on x.p_brand = y.p_brand and x.p_size = y.p_size and x.p_partkey <> y.p_partkey")
++ """select x.p_partkey as a, y.p_partkey as b, distance from part x join part y on x.p_brand = y.p_brand and x.p_size = y.p_size and x.p_partkey < y.p_partkey join dist on x.p_name = dist.a and y.p_name = dist.b""")
 def infix_similar(spark, d):
     p = t(spark, d, "part").select("p_partkey", "p_name", "p_brand", "p_size")
     a, b = p.select(F.col("p_partkey").alias("a"), F.col("p_name").alias("x"), "p_brand", "p_size"), p.select(F.col("p_partkey").alias("b"), F.col("p_name").alias("y"), "p_brand", "p_size")
     return a.join(b, ["p_brand", "p_size"]).where("a < b").select("a", "b", X.infix_similarity(F.col("x"), F.col("y")).alias("distance"))
 
 
+@query("""with recursive t as (select distinct p_brand, lower(p_name || ' ' || p_type) as t from part), """ + _infix("select distinct x.t as a, y.t as b from t x join t y on x.p_brand = y.p_brand and x.t < y.t").removeprefix("with ").replace("recursive ", "", 1)
++ """select x.p_brand, dist.a, dist.b, distance from t x join t y on x.p_brand = y.p_brand join dist on x.t = dist.a and y.t = dist.b where distance >= 0""")
+def similar_titles(spark, d):
+    """All similar titles of a brand, by pieces that must occur unchanged."""
+    titles = t(spark, d, "part").select("p_brand", F.lower(F.concat("p_name", F.lit(" "), "p_type")).alias("t")).distinct()
+    return similarity.similar_pairs(titles, ["p_brand"], "t", Spool(spark, "similar"))
+
+
 # graph and linkage
 
 

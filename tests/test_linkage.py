@@ -4,10 +4,12 @@ import pandas as pd
 import pytest
 
 from corvine.functions.text import text_distance
-from corvine.operators import graph, linkage
+from corvine.operators import graph, linkage, merges, similarity
 from corvine.sources.io import CACHE
 from corvine.sources.spool import Spool
 
+from . import replay
+
 COURSE = "course_id long, season_code string, title string, description string"
 LISTING = "course_id long, season_code string, course_code string, section string, o long"
 TAUGHT = "course_id long, professor_id long"
@@ -110,10 +112,75 @@ def test_replay_equals_model(seed):
         members.append({"course_id": i, "season_code": str(r.randint(1, 6)), "title": r.choice(titles), "description": r.choice(texts), "label": i if r.random() < 0.8 else 1})
         for c in r.sample(["A 1", "A 2", "B 1"], r.randint(1, 2)):
             codes.append({"course_id": i, "code": c, "course_code": c, "ordinal": len(codes)})
-    got = linkage.replay_text_merges(pd.DataFrame(members), pd.DataFrame(codes), {}, [], 0.25)
+    got = replay.replay_text_merges(pd.DataFrame(members), pd.DataFrame(codes), {}, [], 0.25)
     assert got == model(members, codes)
 
 
+def replayed(data, codes, titles, changes, exact):
+    """The labels by one replay for each of the two terms."""
+    label = {r.course_id: r.label for r in titles.collect()}
+    rows = {r.course_id: r for r in data.collect()}
+    listed = [r for r in codes.collect() if r.course_id in rows]
+    out = {}
+    for summer in (False, True):
+        own = [i for i in rows if rows[i].summer == summer]
+        members = [{"course_id": i, "season_code": rows[i].season_code, "title": rows[i].title, "description": rows[i].description, "label": label[i]} for i in own]
+        some = [{"course_id": r.course_id, "code": r.code, "course_code": r.course_code, "ordinal": r.ordinal} for r in listed if rows[r.course_id].summer == summer]
+        if members:
+            out |= replay.replay_text_merges(pd.DataFrame(members), pd.DataFrame(some), changes, exact, 0.25)
+    least = {}
+    for i, x in out.items():
+        least[x] = min(least.get(x, i), i)
+    return {i: least[x] for i, x in out.items()}
+
+
+@pytest.mark.parametrize("most", [2, 50_000])
+def test_rounds_of_merges_equal_the_replay(spark, most, monkeypatch):
+    titles, texts = ["intro to art", "intro to arts", " modern art", "late modern art", "modern arts", "x", "", None], ["long text a", "long text b", "other", "", None]
+    data, codes, labels, n = [], [], [], 0
+    for seed in range(60):
+        r, ids = random.Random(seed), []
+        for _ in range(r.randint(3, 25)):
+            n += 1
+            ids.append(n)
+            data.append((n, str(r.randint(1, 9)), r.choice(titles), r.choice(texts), seed % 7 == 0))
+            labels.append((n, n if r.random() < 0.8 else ids[0]))
+            codes += [(n, f"{seed:03d} {c}", f"{seed:03d} {c}", len(codes) + i) for i, c in enumerate(r.sample(["A 1", "A 2", "B 1", "C 1", "D 1"], r.randint(1, 3)))]
+    changes, exact = {"001 A 1": "001 B 1", "002 Z": "002 A 1", "010 C 1": "010 D 1"}, ["003 A 1"]
+    data = spark.createDataFrame(data, "course_id long, season_code string, title string, description string, summer boolean")
+    codes = spark.createDataFrame(codes, "course_id long, code string, course_code string, ordinal long")
+    titled = spark.createDataFrame(labels, "course_id long, label long")
+    monkeypatch.setattr(merges.merge_apart, "__defaults__", (most,))
+    got = linkage.text_labels(data, codes, titled, Spool(spark, "t"), changes, exact)
+    got = {r.course_id: r.label for r in got.collect()}
+    want = replayed(data, codes, titled, changes, exact)
+    assert got == want and len(set(want.values())) < len(set(x for _, x in labels)) - 100
+
+
+def test_one_component_of_all_parts(spark):
+    """Every course shares a code with the next one, so all are one component."""
+    parts = spark.read.parquet("/root/testdata/sf0.001/part.parquet").collect()
+    r = random.Random(2)
+    data = [(p.p_partkey, str(2000 + p.p_partkey % 9), f"{p.p_name} {p.p_type}".lower(), p.p_type, False) for p in parts]
+    codes = [(p.p_partkey, f"A {k}", f"A {k}", 2 * i + j) for i, p in enumerate(parts) for j, k in enumerate((i // 9, (i // 9 + 1 + r.randrange(2)) % 23))]
+    data = spark.createDataFrame(data, "course_id long, season_code string, title string, description string, summer boolean")
+    codes = spark.createDataFrame(codes, "course_id long, code string, course_code string, ordinal long")
+    titled = data.selectExpr("course_id", "course_id as label")
+    got = {x.course_id: x.label for x in linkage.text_labels(data, codes, titled, Spool(spark, "t"), {}, []).collect()}
+    assert got == replayed(data, codes, titled, {}, []) and len(set(got.values())) < len(got)
+
+
+def test_similar_pairs_equal_all_pairs(spark):
+    r = random.Random(4)
+    texts = {(g, "".join(r.choice("abcd ") for _ in range(r.randrange(0, 14)))) for g in "xy" for _ in range(60)} | {("x", "\x1c padded\u00a0"), ("x", "padded"), ("y", "é\U0001f600中"), ("y", "é\U0001f600中x")}
+    df = spark.createDataFrame([(g, t) for g, t in texts] + [("x", None)], "g string, t string")
+    for crowd in (2, 512):
+        got = {(p.g, p.a, p.b): p.distance for p in similarity.similar_pairs(df, ["g"], "t", Spool(spark, "t"), crowd=crowd).collect()}
+        want = {(g, a, b): d for g, a in texts for h, b in texts if g == h and a < b and (d := text_distance(a, b)) >= 0}
+        assert got == want and len(want) > 20
+    assert similarity.similar_pairs(df.limit(0), ["g"], "t", Spool(spark, "t")).count() == 0
+
+
 def test_cliques(spark):
     kind = "season_code string, crn int, crns array<int>"
     good = [("1", 1, [1, 2]), ("1", 2, [2, 1]), ("2", 1, [1])]
