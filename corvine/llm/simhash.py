@@ -23,7 +23,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from ..operators.graph import components
+from ..operators.graph import components, labels
+from . import similar
 from ._spark import Spool, fresh, table
 from ._text import LOWER, SPACE, column_pieces, flat, words, xxh64_spans
 
@@ -39,8 +40,8 @@ MOST_CROWDS = 100_000
 _BYTE_BITS = np.array([sum((v >> i & 1) << (8 * i) for i in range(8)) for v in range(256)], np.uint64)
 
 
-def fingerprints(column: pa.Array, size: int = SHINGLE) -> np.ndarray:
-    """SimHash of each text: bit set where over half of the shingles' XXH64 have it."""
+def shingle_hashes(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """XXH64 of all shingles of the texts, behind one another, the text of each, and how many each text has."""
     data, offsets = flat(column)
     data = LOWER[data]
     starts, ends, before = words(data, offsets)
@@ -59,12 +60,17 @@ def fingerprints(column: pa.Array, size: int = SHINGLE) -> np.ndarray:
     row = np.repeat(np.arange(len(n_words)), shingles)
     a = before[row] + np.arange(len(row)) - first[row]
     b = a + np.minimum(size, n_words[row]) - 1
-    h = xxh64_spans(joined, starts[a], ends[b], SEED) if len(a) else np.zeros(0, np.uint64)
+    return xxh64_spans(joined, starts[a], ends[b], SEED) if len(a) else np.zeros(0, np.uint64), row, shingles
+
+
+def fingerprints(column: pa.Array, size: int = SHINGLE) -> np.ndarray:
+    """SimHash of each text: bit set where over half of the shingles' XXH64 have it."""
+    h, row, shingles = shingle_hashes(column, size)
     # bit counts: eight packed byte counters per byte of h, summed over at most 255 shingles at a time
-    out = np.zeros(len(n_words), np.uint64)
+    out = np.zeros(len(shingles), np.uint64)
     if not len(h):
         return out
-    cut = np.arange(len(row)) - first[row]
+    cut = np.arange(len(row)) - (np.cumsum(shingles) - shingles)[row]
     block = np.flatnonzero(cut % 255 == 0)
     owner = row[block]
     new = np.flatnonzero(np.append(True, np.diff(owner) != 0))
@@ -199,7 +205,7 @@ def _components(prints: DataFrame, doc_id: str, fp: str, radius: int, spool: Spo
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", radius: int = RADIUS, size: int = SHINGLE) -> DataFrame:
     """`docs` without the text, with fingerprint (long) and component_id. Columns of those names are replaced."""
     spool = Spool(docs.sparkSession, "simhash")
-    rest = [F.col(f"`{c}`") for c in docs.columns if c not in (text, "fingerprint", "component_id")]
+    rest = [F.col(f"`{c}`") for c in docs.columns if c != text and c.lower() not in ("fingerprint", "component_id")]
     prints = spool.keep(docs.select(*rest, simhash(F.col(text), size).alias("fingerprint")), "prints")
     labelled = _components(prints, doc_id, "fingerprint", radius, spool)
     smallest = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
@@ -208,17 +214,38 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     return prints.join(known, prints.fingerprint == known[fp], "left").drop(fp)
 
 
-def deduplicate(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", radius: int = RADIUS, size: int = SHINGLE) -> DataFrame:
+def _kept(of_node: DataFrame, roots: DataFrame, node: str, row: str) -> DataFrame:
+    return of_node.join(roots, node).groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias(row))
+
+
+def deduplicate(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", radius: int = RADIUS, size: int = SHINGLE, least: float | None = None) -> DataFrame:
     """One row of each component: that with the smallest doc_id, null ids last. Rows that share the id too, by
     repetition or because different texts have one id, leave one of them. `docs` is spooled with its fingerprints,
-    so that rows are told apart by a number that stays."""
+    so that rows are told apart by a number that stays. With `least`, texts whose sets of shingles have that Jaccard
+    similarity or more are linked as well, of which a fingerprint's radius catches few below 0.95 (see `similar`)."""
     spool = Spool(docs.sparkSession, "dedup")
-    fp, row = fresh("fp", docs), fresh("row", docs)
-    rows = spool.keep(docs.withColumns({fp: simhash(F.col(text), size), row: F.monotonically_increasing_id()}), "rows")
-    first = F.min(F.struct(F.col(doc_id).isNull().alias("nameless"), F.col(doc_id).alias("id"), F.col(row).alias("row")))
-    of_print = spool.keep(rows.groupBy(F.col(fp).alias("fp")).agg(first.alias("first"), F.min(doc_id).alias("least")), "prints")
-    labelled = _components(of_print.select("fp", "least"), "least", "fp", radius, spool).select("fp", "root")
-    kept = of_print.join(labelled, "fp").groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias(row))
+    fp, row, sets = fresh("fp", docs), fresh("row", docs), fresh("sets", docs)
+    made = {fp: simhash(F.col(f"`{text}`"), size), row: F.monotonically_increasing_id()}
+    if least is not None:
+        made[sets] = similar.signature(f"`{text}`", size)
+    rows = spool.keep(docs.withColumns(made), "rows")
+    first = F.min(F.struct(F.col(f"`{doc_id}`").isNull().alias("nameless"), F.col(f"`{doc_id}`").alias("id"), F.col(row).alias("row")))
+    if least is None:
+        of_print = spool.keep(rows.groupBy(F.col(fp).alias("fp")).agg(first.alias("first"), F.min(f"`{doc_id}`").alias("least")), "prints")
+        labelled = _components(of_print.select("fp", "least"), "least", "fp", radius, spool).select("fp", "root")
+        kept = _kept(of_print, labelled, "fp", row)
+    else:
+        nodes = rows.groupBy(F.col(fp).alias("fp"), F.col(f"{sets}.digest").alias("digest")).agg(first.alias("first"), F.min(row).alias("sample"), F.min(f"{sets}.keys").alias("keys"))
+        nodes = spool.keep(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
+        # a node speaks for its fingerprint, and the others of that fingerprint hang on it
+        speaks = spool.keep(nodes.groupBy("fp").agg(F.min("node").alias("node")), "speaks")
+        near = links(speaks.select("fp"), radius)
+        name = lambda c: speaks.select(F.col("fp").alias(c), F.col("node").alias(f"n{c}"))
+        edges = near.join(name("a"), "a").join(name("b"), "b").select(F.col("na").alias("a"), F.col("nb").alias("b"))
+        hung = nodes.select("fp", F.col("node").alias("a")).join(speaks.select("fp", F.col("node").alias("b")), "fp").select("a", "b")
+        alike = similar.links(nodes.select("node", "sample", "keys"), rows.select(F.col(row).alias("sample"), F.col(f"`{text}`").alias("text")), least, size, spool)
+        roots = labels(nodes.select("node"), edges.union(hung).union(alike), spool)
+        kept = _kept(nodes.select("node", "first"), roots, "node", row)
     return rows.join(kept, row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

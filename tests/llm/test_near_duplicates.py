@@ -5,15 +5,24 @@ import numpy as np
 import pytest
 import xxhash
 
-from corvine.llm import simhash
+from corvine.llm import similar, simhash
 from corvine.llm._spark import Spool
 from corvine.llm._text import xxh64_spans
 from corvine.operators.graph import components
 
 
-def brute_print(t):
+def brute_shingles(t, size=4):
     w = re.findall("[^\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
-    shingles = [" ".join(w[i : i + 4]) for i in range(len(w) - 3)] or ([" ".join(w)] if w else [])
+    return [" ".join(w[i : i + size]) for i in range(len(w) - size + 1)] or ([" ".join(w)] if w else [])
+
+
+def brute_alike(texts, least=0.8, size=5):
+    sets = [set(brute_shingles(t, size)) for t in texts]
+    return np.array([[bool(a and b) and len(a & b) >= least * len(a | b) - 1e-9 for b in sets] for a in sets])
+
+
+def brute_print(t, size=4):
+    shingles = brute_shingles(t, size)
     h = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
     return sum((sum(x >> i & 1 for x in h) * 2 > len(h)) << i for i in range(64))
 
@@ -67,6 +76,27 @@ def test_links_and_components(spark):
         assert [got.get(int(x), int(x)) for x in fps] == closure(near, fps.tolist())
 
 
+@pytest.mark.parametrize("crowd", [3, 2048])
+def test_similar_sets_equal_all_pairs(spark, sf, crowd, monkeypatch):
+    """One of each component of the two kinds of links stays; no pair of similarity 0.8 is missed."""
+    r = random.Random(6)
+    texts = [x.text for x in spark.read.parquet(f"{sf}/documents.parquet").collect()] + [None, "", "lone", "lone word"]
+    for _ in range(12):  # chains of copies with more and more words changed
+        w = [f"w{r.randrange(4000)}" for _ in range(r.randrange(30, 400))]
+        for _ in range(r.randrange(2, 7)):
+            texts.append(" ".join(w))
+            for _ in range(max(1, len(w) // 90)):
+                w[r.randrange(len(w))] = "new"
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").selectExpr("*", "'kept' as node", "'kept' as `KEY`", "'kept' as sample", "'kept' as sets")
+    monkeypatch.setattr(similar.links, "__defaults__", (crowd,))
+    out = simhash.deduplicate(docs.repartition(3), size=5, least=0.8).collect()
+    prints = np.array([brute_print(t, 5) for t in texts], np.uint64)
+    near = brute_alike(texts) | (np.bitwise_count(prints[:, None] ^ prints[None]) <= 4)
+    assert sorted(x.doc_id for x in out) == sorted(set(closure(near, list(range(len(texts))))))
+    assert all(x.node == x.KEY == x.sample == x.sets == "kept" for x in out)
+    assert near.sum() > len(texts) + 60 and simhash.deduplicate(docs.limit(0), size=5, least=0.8).count() == 0
+
+
 def test_repeated_ids_lose_no_component(spark):
     x, y = "one two three four five six", "an altogether different text of other words"
     docs = spark.createDataFrame([(1, x, 1), (1, y, 2), (3, y, 3), (None, x, 4), (None, "alone", 5)], "doc_id long, text string, fp int")

@@ -11,7 +11,7 @@ import corpus_pipeline as pipe
 from corvine.llm import toxicity
 
 from .test_models import plain_score
-from .test_near_duplicates import brute_print, closure
+from .test_near_duplicates import brute_alike, brute_print, closure
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 WORDS = re.compile("[^\x20\x09-\x0d]+")
@@ -99,8 +99,9 @@ def test_run_equals_brute_force(spark, folder):
     model = toxicity.train(made, spark.read.parquet(f"{folder}/labels.parquet").where(~toxicity.held_out()))
     now = [(i, t) for i, t in rows if plain_score(t, model)[1] < 0.7]
     assert 180 < len(now) < len(rows) - 40
-    prints = np.array([brute_print(t) for _, t in now], np.uint64)
-    root = closure(np.bitwise_count(prints[:, None] ^ prints[None]) <= 4, list(range(len(now))))
+    prints = np.array([brute_print(t, 5) for _, t in now], np.uint64)
+    near = (np.bitwise_count(prints[:, None] ^ prints[None]) <= 4) | brute_alike([t for _, t in now])
+    root = closure(near, list(range(len(now))))
     kept = {}
     for k, (i, t) in sorted(enumerate(now), key=lambda x: (x[1][0] is None, x[1][0] or 0, x[0])):
         kept.setdefault(root[k], (i, t))
