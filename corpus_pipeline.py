@@ -25,8 +25,9 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each SimHash component one document, that with the smallest doc_id."""
-    return simhash.deduplicate(docs)
+    """Of each component one document, that with the smallest doc_id. Links: SimHash of five-word shingles within
+    its radius, and sets of them with a Jaccard similarity of 0.8 or more."""
+    return simhash.deduplicate(docs, size=5, least=0.8)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
