@@ -22,6 +22,10 @@ LOWER[0x41:0x5B] += 32
 _TAIL = np.array([(1 << (8 * i)) - 1 for i in range(8)] + [0xFFFFFFFFFFFFFFFF], dtype=U64)
 
 
+#: Rows of a slice at most; row numbers in a slice are packed into few bits.
+ROWS = 8192
+
+
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of a string or binary column; a null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -43,7 +47,7 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def pieces(batch: pa.RecordBatch, column: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with about `most` bytes of the column each, at least one row."""
+    """Slices of a batch with about `most` bytes of the column each, of one row to `ROWS`."""
     for start, rows in _cuts(batch.column(column), most):
         yield batch.slice(start, rows)
 
@@ -59,7 +63,7 @@ def _cuts(column: pa.Array, most: int) -> Iterator[tuple[int, int]]:
     start, n = 0, len(column)
     while start < n:
         stop = int(np.searchsorted(offsets, offsets[start] + most, "right")) - 1
-        stop = min(n, max(stop, start + 1))
+        stop = min(n, start + ROWS, max(stop, start + 1))
         yield start, stop - start
         start = stop
 

@@ -11,6 +11,7 @@ remembered per Python worker; nothing is shuffled, so neither hot sources nor lo
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Iterator
 
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from ._spark import bounded_batches, table
+from ._spark import bounded_batches, fresh, table
 from ._text import HashIndex, column_pieces, flat, hash_spans, ragged, words
 
 MOST = 2048
@@ -31,15 +32,30 @@ REMEMBERED, REMEMBERED_PARTS = 700_000, 50_000
 STEP = 1 << 20
 #: Marks that end a word of plain letters.
 CLOSING = ".,;:!?"
-#: A text whose ids must be those of its words for a vocabulary to be asked word by word.
-PROBE = "The quick, BROWN fox: it's 42 tons!\tIs it?\n(No.)  \u00c9t\u00e9 x_y"
+#: Fixed value: the pattern of vocabularies with word ends. It takes no white space, so no token spans any.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def by_word(spec: dict) -> bool:
+    """Whether a vocabulary's file says that the ids of a text are those of its words: nothing but letter case, NFC and
+    runs of white space is normalised, the pattern is the one above, and merges begin and end with a word."""
+    n, p, m = spec.get("normalizer") or {}, spec.get("pre_tokenizer") or {}, spec["model"]
+    steps = n.get("normalizers", []) if n.get("type") == "Sequence" else [n] if n else []
+    blanks = {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}
+    plain = all(x.get("type") in ("NFC", "Lowercase") or x == blanks for x in steps)
+    cuts = p.get("pretokenizers", []) if p.get("type") == "Sequence" else []
+    split = len(cuts) == 2 and cuts[0] == {"type": "Split", "pattern": {"Regex": PATTERN}, "behavior": "Removed", "invert": True}
+    split = split and cuts[1]["type"] == "ByteLevel" and not cuts[1]["add_prefix_space"] and not cuts[1].get("use_regex", True)
+    merges = m.get("type") == "BPE" and m.get("end_of_word_suffix") == "</w>" and not m.get("continuing_subword_prefix") and not m.get("ignore_merges") and not m.get("dropout")
+    added = all(not t["lstrip"] and not t["rstrip"] and not t["single_word"] and t["content"].split() == [t["content"]] for t in spec.get("added_tokens", []))
+    return bool(plain and split and merges and added and not spec.get("truncation"))
 
 
 class WordIds:
     """Token ids of whole texts by the `tokenizers` library, asked once per distinct word.
 
     This is exact for a vocabulary whose normaliser and pattern drop white space, write letters small and mark
-    word ends: no token spans a blank. Other vocabularies are told by `PROBE`; their texts are encoded whole.
+    word ends: no token spans a blank. Other vocabularies are told by their files; their texts are encoded whole.
     Closing punctuation after plain letters is a word of its own to the pattern, so it is asked for apart. Plain
     words are asked for many at once and told apart by their end marks. Remembered words are found by a 64-bit
     hash of their bytes; beyond `REMEMBERED` of them all are forgotten.
@@ -56,8 +72,8 @@ class WordIds:
         self.closes[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self.end = end
         self._forget()
-        whole, by_word = self.encode([PROBE], add_special_tokens=False)[0].ids, self._ask(PROBE.split())
-        self.by_word = bool(self.closes.any()) and whole == [i for ids in by_word for i in ids]
+        with open(path, encoding="utf-8") as f:
+            self.by_word = by_word(json.load(f))
 
     def _forget(self) -> None:
         self.parts: dict[str, list[int]] = {}
@@ -160,7 +176,7 @@ def _digits(most: int) -> np.ndarray:
 def pack(docs: DataFrame, vocab_path: str, text: str = "text", most: int = MOST, end: int = END) -> DataFrame:
     """One row per piece: the columns of `docs` without the text, and start, length, ids (binary, little-endian
     unsigned 32-bit), doc_tokens, bucket (the power of two), sequence_id and offset (0: a sequence has one piece).
-    Columns of those names in `docs` are replaced."""
+    Columns of those names in any letter case are replaced. An empty table has no pieces."""
     bounded_batches(docs.sparkSession)
     if most & (most - 1):
         raise ValueError("the longest sequence must be a power of two")
@@ -187,10 +203,11 @@ def pack(docs: DataFrame, vocab_path: str, text: str = "text", most: int = MOST,
             yield pa.concat_arrays(made) if made else pa.array([], kind)
 
     made = ("start", "length", "ids", "doc_tokens", "bucket", "sequence_id", "offset")
-    keep = [F.col(f"`{c}`") for c in docs.columns if c != text and c not in made]
-    cuts = docs.select(*keep, cut(F.col(text)).alias("_pieces"))
+    keep = [F.col(f"`{c}`") for c in docs.columns if c != text and c.lower() not in made]
+    cuts_ = fresh("cuts", docs)
+    cuts = docs.select(*keep, cut(F.col(f"`{text}`")).alias(cuts_))
     return (
-        cuts.select(*keep, F.inline_outer("_pieces"))  # every document has a piece; plain inline would filter, and tokenise twice
+        cuts.select(*keep, F.inline_outer(cuts_))  # every document has a piece; plain inline would filter, and tokenise twice
         .withColumn("bucket", F.col("length"))
         .withColumn("sequence_id", F.monotonically_increasing_id())
         .withColumn("offset", F.lit(0).cast("long"))

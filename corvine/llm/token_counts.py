@@ -5,7 +5,7 @@ sequence finds the lowest rank among its adjacent pairs and merges all occurrenc
 right; sequences without a known pair retire. The symbols that survive are the tokens.
 
 Nulls count as empty text (zero tokens). The special token's string inside a text is one token. Repeated rows are
-counted each on its own; an empty table stays empty; other columns are passed on, one named like the result is
+counted each on its own; a word of millions of letters is cut where no token has its two letters side by side; an empty table stays empty; other columns are passed on, one named like the result is
 replaced. Vocabularies of another kind are refused, since the pattern is fixed.
 """
 
@@ -54,6 +54,12 @@ class RankMerger:
         made = np.array([vocab[a + b] for a, b in pairs], np.int64)
         order = np.argsort(key, kind="stable")
         self.keys, self.ranks, self.made = key[order], order.astype(np.int64), made
+        # byte pairs that no token has inside: no merge ever reaches across them
+        byte_of = {c: b for b, c in enumerate(byte_symbols())}
+        self.inside = np.zeros(1 << 16, bool)
+        for token in vocab:
+            raw = [byte_of[c] for c in token if c in byte_of]
+            self.inside[[a << 8 | b for a, b in zip(raw, raw[1:], strict=False)]] = True
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
         self.pattern = regex.compile(PATTERN)
         self.split = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
@@ -61,8 +67,15 @@ class RankMerger:
     def counts(self, tokens: list[bytes]) -> np.ndarray:
         """Symbols that survive in each pre-token."""
         lengths = np.fromiter(map(len, tokens), np.int64, len(tokens))
-        sym = self.byte_id[np.frombuffer(b"".join(tokens), np.uint8)]
-        out, seq = lengths.copy(), np.repeat(np.arange(len(tokens)), lengths)
+        data = np.frombuffer(b"".join(tokens), np.uint8)
+        sym = self.byte_id[data]
+        # a sequence is a pre-token's stretch without a pair that cannot merge: long words become many short ones
+        token = np.repeat(np.arange(len(tokens)), lengths)
+        apart = (token[1:] != token[:-1]) | ~self.inside[data[:-1].astype(np.int64) << 8 | data[1:]]
+        seq = np.cumsum(np.append(False, apart)) if len(data) else token
+        begin = np.flatnonzero(np.append(True, apart)) if len(data) else token
+        owner = token[begin]
+        out = np.diff(np.append(begin, len(data)))
         none = np.int64(len(self.keys))
         while len(sym) > 1:
             same = seq[1:] == seq[:-1]
@@ -85,7 +98,7 @@ class RankMerger:
             out -= np.bincount(seq[hit], minlength=len(out))
             live[hit + 1] = False
             sym, seq = sym[live], seq[live]
-        return out
+        return np.bincount(owner, out, len(tokens)).astype(np.int64)
 
 
 class TokenCounter:

@@ -10,7 +10,9 @@ identifiers, and emits one nested row per capture. Payloads are told apart by le
 
 A null html is an empty payload; a null url an empty one. A capture with a null page_id is stored without one:
 it is a response unless a capture with an id has the same payload. Repeated rows are captures of their own. An
-empty table makes archives without records; other columns of the pages do not matter.
+empty table makes archives without records; other columns of the pages do not matter. Archives of others: a response's
+payload is its block behind the HTTP head, however long that is, as stored (chunked or compressed bodies too); a block
+without the end of a head is payload as a whole.
 """
 
 from __future__ import annotations
@@ -28,6 +30,8 @@ from ._spark import Spool, table
 LEAST_BYTES = 1000
 #: Captures in an archive file at most, and bytes of payload in one on average; a reader holds a file at once.
 PER_FILE, FILE_BYTES = 2000, 64 << 20
+#: Payloads that are laid out apart, so that no file holds more than `PER_FILE` of this size or a few larger ones.
+LARGE = 512 << 10
 CRLF = "\r\n"
 
 
@@ -88,18 +92,35 @@ def records(caps: DataFrame) -> DataFrame:
 
 
 def write_archives(pages: DataFrame, path: str, per_file: int | None = None, html: str = "html", **names: str) -> None:
-    """Writes gzipped WARC files below `path`, of `per_file` captures each, else of about `FILE_BYTES` of payload."""
+    """Writes gzipped WARC files below `path`, of `per_file` captures each, else of about `FILE_BYTES` of payload:
+    small payloads by their mean, those of `LARGE` bytes and more apart by their largest, so that no file outgrows
+    what a reader takes at once."""
+    size = F.coalesce(F.octet_length(html), F.lit(0))
+    large = F.coalesce(F.octet_length("payload"), F.lit(0)) >= LARGE
+    stats = pages.agg(F.avg(F.when(size < LARGE, size)), F.max(size)).first()
+    caps = captures(pages, html=html, **names)
+    sets = [(caps, per_file)]
     if per_file is None:
-        mean = pages.agg(F.avg(F.coalesce(F.octet_length(html), F.lit(0)))).first()[0]
-        per_file = max(1, min(PER_FILE, int(FILE_BYTES / max(1.0, mean or 0.0))))
-    records(captures(pages, html=html, **names)).write.option("lineSep", CRLF).option("compression", "gzip").option("maxRecordsPerFile", 3 * per_file).text(path)
+        sets = [(caps.where(~large), max(1, min(PER_FILE, int(FILE_BYTES / max(1.0, stats[0] or 0.0)))))]
+        if (stats[1] or 0) >= LARGE:
+            sets.append((caps.where(large), max(1, FILE_BYTES // stats[1])))
+    for some, n in sets:
+        records(some).write.mode("append").option("lineSep", CRLF).option("compression", "gzip").option("maxRecordsPerFile", 3 * n).text(path)
 
 
-FIELDS = ("type", "id", "concurrent", "uri", "digest", "refers", "length", "block")
-RECORD = "type string, id string, concurrent string, uri string, digest string, refers string, length long, block binary"
+FIELDS = ("type", "id", "concurrent", "uri", "digest", "refers", "length", "head", "block")
+#: `head`: bytes of the block up to the end of its HTTP head, 0 where the block is not HTTP or has no such end.
+RECORD = "type string, id string, concurrent string, uri string, digest string, refers string, length long, head long, block binary"
 _NAMES = {b"warc-type": 0, b"warc-record-id": 1, b"warc-concurrent-to": 2, b"warc-target-uri": 3, b"warc-payload-digest": 4, b"warc-refers-to": 5}
 
 
+def head_end(block: bytes) -> int:
+    """Where an HTTP head of any length ends, its blank line included; 0 if it does not."""
+    crlf = block.find(b"\r\n\r\n")
+    lf = block.find(b"\n\n", 0, crlf if crlf >= 0 else len(block))
+    return lf + 2 if lf >= 0 else crlf + 4 if crlf >= 0 else 0
+
+
 def parse_archive(stream: io.BufferedIOBase) -> Iterator[tuple]:
     """Records of one archive, in its order; blocks are taken by their length, whatever they contain."""
     while True:
@@ -111,22 +132,24 @@ def parse_archive(stream: io.BufferedIOBase) -> Iterator[tuple]:
         if not line.startswith(b"WARC/"):
             raise ValueError(f"not a WARC record: {line[:40]!r}")
         row: list = [None] * 6
-        size = 0
+        size, http = 0, False
         while (line := stream.readline()) not in (b"\r\n", b"\n", b""):
             name, _, value = line.partition(b":")
             name, value = name.strip().lower(), value.strip()
             if name == b"content-length":
                 size = int(value)
+            elif name == b"content-type":
+                http = value.lower().startswith(b"application/http")
             elif name in _NAMES:
                 row[_NAMES[name]] = value.decode("utf-8", "replace")
         block = stream.read(size)
         if len(block) != size:
             raise ValueError("the archive ends inside a record")
-        yield (*row, size, block)
+        yield (*row, size, head_end(block) if http else 0, block)
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    types = (*[pa.string()] * 6, pa.int64(), pa.binary())
+    types = (*[pa.string()] * 6, pa.int64(), pa.int64(), pa.binary())
     for batch in batches:
         for content in batch.column(0):
             raw = pa.py_buffer(content.as_buffer())
@@ -157,7 +180,7 @@ def assemble(recs: DataFrame) -> DataFrame:
     """
     key = F.coalesce("concurrent", "id")
     parts = {"request": F.col("type") == "request", "response": F.col("type").isin("response", "revisit"), "metadata": F.col("type") == "metadata"}
-    record = F.struct("type", "id", "uri", "digest", "refers", "length", "block")
+    record = F.struct("type", "id", "uri", "digest", "refers", "length", "head", "block")
     return recs.groupBy(key.alias("capture")).agg(*[F.min_by(record, F.when(cond, F.col("id"))).alias(k) for k, cond in parts.items()])
 
 
@@ -167,15 +190,14 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_archives(pages, at)
     # digest payloads before records meet, so that no payload is shuffled
     recs = read_records(spark, at)
-    head = F.decode(F.substring("block", 1, 512), "ISO-8859-1")
-    begin = F.instr(head, CRLF + CRLF) + 3
-    body = F.expr("substring(block, instr(decode(substring(block, 1, 512), 'ISO-8859-1'), '\r\n\r\n') + 4)")
-    recs = recs.withColumn("length", F.when(F.col("type") == "response", F.col("length") - begin).when(F.col("type") == "revisit", F.regexp_extract(head, r"Content-Length: (\d+)", 1).cast("long")).otherwise(F.col("length")))
+    head = F.decode(F.expr("substring(block, 1, cast(head as int))"), "ISO-8859-1")
+    body = F.expr("substring(block, cast(head as int) + 1)")
+    recs = recs.withColumn("length", F.when(F.col("type") == "response", F.col("length") - F.col("head")).when(F.col("type") == "revisit", F.regexp_extract(head, r"Content-Length: (\d+)", 1).cast("long")).otherwise(F.col("length")))
     told = F.regexp_replace("digest", "^sha1:", "")
     checked = F.when(F.sha1(body) == told, told).otherwise(F.raise_error(F.concat(F.lit("payload and digest differ in "), F.col("id"))))
     recs = recs.withColumn("digest", F.when(F.col("type") == "response", checked).otherwise(told))
     small = F.when(F.col("type") == "metadata", F.col("block")).alias("block")
-    rows = assemble(recs.select("type", "id", "concurrent", "uri", "digest", "refers", "length", small))
+    rows = assemble(recs.select("type", "id", "concurrent", "uri", "digest", "refers", "length", "head", small))
     page = F.regexp_extract(F.decode("metadata.block", "UTF-8"), r"page_id: (\d+|-\d+)", 1)
     return rows.select(
         F.when(page != "", page).cast("long").alias("page_id"),

@@ -106,3 +106,31 @@ def test_sql_twin_on_uneven_and_empty_vectors(spark, tmp_path):
     rows = [(i, [float(i % 7), 1.0][: i % 3]) for i in range(200)] + [(300, None), (320, [None])]
     spark.createDataFrame(rows, "vec_id long, embedding array<float>").coalesce(1).write.parquet(str(tmp_path / "embeddings.parquet"))
     assert rows_of(topk.op10_topk(spark, str(tmp_path))) == sql_rows(tmp_path, topk.ORACLE["op10_topk"])
+
+
+def test_archives_of_others_with_long_heads(spark, tmp_path):
+    import gzip
+
+    def record(kind, ident, block, http=True):
+        head = [f"WARC/1.0", f"WARC-Type: {kind}", f"WARC-Record-ID: <{ident}>", f"Content-Length: {len(block)}"]
+        head += ["Content-Type: application/http; msgtype=response"] if http else []
+        return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+    long = b"HTTP/1.1 200 OK\r\n" + b"".join(b"X-Header-%d: %s\r\n" % (i, b"v" * 90) for i in range(45)) + b"\r\n"
+    assert len(long) > 4096
+    bodies = {"a": (long, b"body\n\nof a\r\n\r\nmore"), "b": (b"HTTP/1.0 200 OK\nA: b\n\n", b"\r\n\r\n"), "c": (b"", b"no head at all"), "d": (long, b"")}
+    (tmp_path / "x.warc.gz").write_bytes(gzip.compress(b"".join(record("response", k, h + x) for k, (h, x) in bodies.items()) + record("metadata", "m", b"k: v\r\n\r\n", False)))
+    rows = {r.id: r for r in warc.read_records(spark, f"file://{tmp_path}").collect()}
+    for k, (head, body) in bodies.items():
+        r = rows[f"<{k}>"]
+        assert r.head == len(head) and bytes(r.block)[r.head :] == body, k
+    assert rows["<m>"].head == 0
+
+
+def test_large_payloads_are_laid_out_apart(spark, tmp_path):
+    rows = [(i, "http://a", "x" * (700_000 if i % 50 == 0 else 10)) for i in range(200)]
+    pages = spark.createDataFrame([(i, u, h + str(i)) for i, u, h in rows], "page_id long, url string, html string")
+    at = f"file://{tmp_path}/out"
+    warc.write_archives(pages.repartition(2), at)
+    got = warc.assemble(warc.read_records(spark, at)).collect()
+    assert len(got) == 200 and {int(r.metadata.block.decode().split()[1]) for r in got} == set(range(200))

@@ -1,14 +1,15 @@
 """Nulls, empty and very long texts, repeated rows and ids, empty tables and clashing names, for every operator."""
 
 import random
+import time
 
 import pytest
 
-from corvine.llm import decontaminate, fm_index, lm_score, packing, simhash, suffix_dedup, token_counts, topk, toxicity, warc
+from corvine.llm import alignment, ball_kmeans, decontaminate, edit_prints, fm_index, lm_score, packing, simhash, suffix_dedup, token_counts, topk, toxicity, warc
 from corvine.llm._spark import Spool
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
-CLASHES = ("fp", "row", "key", "spans", "found", "pieces", "block", "kind", "part", "label", "id", "least", "root", "node", "a", "b", "no", "n", "anchor", "sid", "text_", "words", "first")
+CLASHES = ("fp", "row", "KEY", "_pieces", "Cuts", "speaks", "digest", "sets", "spans", "found", "pieces", "block", "kind", "part", "label", "id", "least", "root", "node", "a", "b", "no", "n", "anchor", "sid", "text_", "words", "first")
 
 
 def labels(docs):
@@ -30,6 +31,9 @@ OPERATORS = {
     "dedup_words": fm_index.dedup_words,
     "remove_repeats": fm_index.remove_repeats,
     "dedup_bytes": suffix_dedup.dedup_bytes,
+    "deduplicate_similar": lambda d: simhash.deduplicate(d, size=5, least=0.8),
+    "alignment": lambda d: alignment.align_documents(d, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")),
+    "edit_prints": edit_prints.near_duplicates,
     "token_counts": lambda d: token_counts.count_tokens(d, public_tokenizers.path("byte_bpe_50k.json")),
 }
 
@@ -53,13 +57,43 @@ def test_every_row_and_column_is_accounted_for(spark, docs, name):
     want = [1, 2, 3, 4, 5, 5, 5, 6, 7, None]
     if name == "packing":
         assert {r.doc_id for r in rows} == set(want)
-    elif name == "deduplicate":  # texts without words are one group, equal texts another
+    elif name in ("deduplicate", "deduplicate_similar"):  # texts without words are one group, equal texts another
         assert sorted(r.doc_id or 0 for r in rows) == sorted([1, 4, 5, 5, 6, 7, 0])
     else:
         assert sorted(str(r.doc_id) for r in rows) == sorted(map(str, want))
     assert OPERATORS[name](docs.limit(0)).count() == 0
 
 
+#: Names of each operator's results, and of columns that it makes on its way.
+MADE = {
+    "toxicity": ["toxicity"], "simhash": ["fingerprint", "component_id"], "deduplicate": ["fp"], "deduplicate_similar": ["sets"], "lm_score": ["lm"],
+    "packing": ["start", "length", "ids", "doc_tokens", "bucket", "sequence_id", "offset", "_pieces"], "contamination": ["found"], "decontaminate": ["spans"],
+    "dedup_words": ["repeats"], "remove_repeats": ["repeats"], "dedup_bytes": ["repeats"], "alignment": ["n_a", "n_best", "groups_sha256", "pairs", "place"],
+    "edit_prints": ["fingerprint", "component_id"], "token_counts": ["n_tokens"],
+}
+
+
+@pytest.mark.parametrize("case", [str.lower, str.upper, str.title])
+@pytest.mark.parametrize("name", OPERATORS)
+def test_names_in_any_letter_case(spark, name, case):
+    docs = spark.createDataFrame([(1, "some words of one text"), (2, None)], "doc_id long, text string").selectExpr("*", *[f"'x' as `{case(c)}`" for c in MADE[name]])
+    out = OPERATORS[name](docs)
+    names = [c.lower() for c in out.columns]
+    assert out.collect() and len(names) == len(set(names))
+
+
+def test_a_word_of_millions_of_letters(spark):
+    from tokenizers import Tokenizer
+
+    r = random.Random(9)
+    text = "".join(r.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", k=5_000_000))
+    start = time.time()
+    got = token_counts.TokenCounter(public_tokenizers.path("byte_bpe_50k.json")).texts([text, text[:100_000] + "the" * 50_000])
+    assert time.time() - start < 60  # 10 s on an idle machine
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert got[1] == len(tok.encode(text[:100_000] + "the" * 50_000).ids) and got[0] == len(tok.encode(text).ids)
+
+
 def test_no_training_documents(spark):
     held = spark.createDataFrame([(i, "some words") for i in range(60)], "doc_id long, text string").where(lm_score.held_out())
     rows = lm_score.score_documents(held)[0].collect()
