@@ -50,7 +50,7 @@ MOJIBAKE = {
 NOTICE = "(Your anonymous response to this question may be viewed by Yale College students, faculty, and advisers to aid in course selection and evaluating teaching.)"
 SIX_CATEGORY_QUESTION = "DR359"
 
-#: Rows of the default split specs: codes (or code and season) that stay apart although their texts link them.
+# The default split specs, codes (or code and season) that stay apart although their texts link them.
 SPLIT_SPECS: list[list[list[str | tuple[str, str]]]] = [
     [["ARBC 110", ("ARBC 501", "201403"), ("ARBC 500", "202303"), "ARBC 1100"], ["ARBC 120", "ARBC 1200"]],
     [["ARBC 130", ("ARBC 502", "202103"), "ARBC 1300"], ["ARBC 140", "ARBC 1400"]],
@@ -58,7 +58,7 @@ SPLIT_SPECS: list[list[list[str | tuple[str, str]]]] = [
     [["ARBC 136", "ARBC 156", "ARBC 1560", "ARBC 5110"], ["ARBC 146", "ARBC 166", "ARBC 1660", "ARBC 5120"]],
     [["ARBC 158"], ["ARBC 159"]],
     [["BENG 355L", "BENG 3100"], ["BENG 356L", "BENG 3110"]],
-    [["CHNS 112", "CHNS 1120"], ["CHNS 122", *[("CHNS 132", f"201{y}03") for y in range(2, 8)], "CHNS 1220"]],
+    [["CHNS 112", "CHNS 1120"], ["CHNS 122", ("CHNS 132", "201203"), ("CHNS 132", "201303"), ("CHNS 132", "201403"), ("CHNS 132", "201503"), ("CHNS 132", "201603"), ("CHNS 132", "201703"), "CHNS 1220"]],
     [["CHNS 132", "CHNS 1320"], ["CHNS 142", "CHNS 1420"]],
     [["CHNS 152", "CHNS 1520"], ["CHNS 153", "CHNS 1530"]],
     [["CHNS 154", "CHNS 158", "CHNS 1580"], ["CHNS 155", "CHNS 159", "CHNS 1590"]],
@@ -69,6 +69,14 @@ SPLIT_SPECS: list[list[list[str | tuple[str, str]]]] = [
     [["PHIL 742", "PHIL 271", "LING 671", "LING 271", "LING 2710", "PHIL 2271", "LING 6710"], ["PHIL 703"]],
 ]
 
+# Course codes in texts; wordings of one question, in order; codes that a tag's words do not apply to.
+COURSE_CODES = r"[A-Z]+ \d+(?: \d+)?(?:/[A-Z]+ \d+(?: \d+)?)*"
+QUESTION_MARKUP = [(r"[ \t\r\n]+", " "), (r"</?[a-z]+>", ""), (r" *(Comments|Ratings):$", "")]
+QUESTION_WORDINGS = [("course or module", "course or workshop"), ("the professor?", "the professor(s)?"), ("professor's", "professor(s)'s"), ("YSE", "F&ES")]
+QUESTION_NAMES = r"Behavioral & Inst Economics\s?"
+QUESTION_ENDS = [(" for ?", "?"), (" in ?", "?")]
+NO_FEEDBACK, RECOMMENDATIONS, NO_SKILLS = ["DR464"], ["DR113", "DR316"], ["SU122", "FS1003", "DR464"]
+
 PRIMARY_KEYS = {
     "seasons": ["season_code"], "courses": ["course_id"], "listings": ["listing_id"], "course_professors": ["course_id", "professor_id"],
     "professors": ["professor_id"], "flags": ["flag_id"], "course_flags": ["course_id", "flag_id"], "buildings": ["code"],

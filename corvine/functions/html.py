@@ -198,7 +198,7 @@ def evaluation(page: str | None) -> dict | None:
         if len(cells) < 3 or text is None:
             continue
         code, number_ = cells[2].text().strip(), (row.attrs.get("id") or "").replace("questionRow", "")
-        text = re.sub(r"[A-Z]+ \d+(?: \d+)?(?:/[A-Z]+ \d+(?: \d+)?)*", "this course", text.strip())
+        text = re.sub(config.COURSE_CODES, "this course", text.strip())
         kind = row.first("td", "Responses").first("span", "show-for-print").first_string() or ""
         answers = tree.first("table", id="answers" + number_)
         rows = answers.first("tbody") if answers else None

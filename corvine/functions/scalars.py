@@ -40,13 +40,13 @@ def is_summer(season: Column) -> Column:
 def normalize_question(text: Column) -> Column:
     """Question text without notices, markup and known variants, so that one code has one text."""
     text = F.replace(text, F.lit(config.NOTICE), F.lit(""))
-    for pattern, to in ((r"[ \t\r\n]+", " "), (r"</?[a-z]+>", ""), (r" *(Comments|Ratings):$", "")):
+    for pattern, to in config.QUESTION_MARKUP:
         text = F.regexp_replace(text, pattern, to)
-    for old, new in (("course or module", "course or workshop"), ("the professor?", "the professor(s)?"), ("professor's", "professor(s)'s"), ("YSE", "F&ES")):
+    for old, new in config.QUESTION_WORDINGS:
+        text = F.replace(text, F.lit(old), F.lit(new))
+    text = F.regexp_replace(text, config.QUESTION_NAMES, "")
+    for old, new in config.QUESTION_ENDS:
         text = F.replace(text, F.lit(old), F.lit(new))
-    text = F.regexp_replace(text, r"Behavioral & Inst Economics\s?", "")
-    for old in (" for ?", " in ?"):
-        text = F.replace(text, F.lit(old), F.lit("?"))
     return F.regexp_replace(text, r"^\s+|\s+$", "")
 
 
@@ -63,18 +63,18 @@ def question_tags(text: Column, code: Column, narrative: Column) -> Column:
     t = F.lower(text)
     has = lambda *words: [F.contains(t, F.lit(w)) for w in words]
     (instructor, recommend, skills) = has("instructor", "recommend", "skills")
-    recommends = code.isin("DR113", "DR316")
+    recommends = code.isin(config.RECOMMENDATIONS)
     rules = {
         "Available resources": has("resources")[0],
         "Engagement": has("engagement")[0],
-        "Feedback": has("feedback")[0] & (code != "DR464"),
+        "Feedback": has("feedback")[0] & ~code.isin(config.NO_FEEDBACK),
         "Intellectual challenge": has("intellectual challenge")[0],
         "Major": has("major")[0],
         "Organization": has("organize")[0],
         "Professor": t.rlike("rating|assessment|evaluate") & instructor & ~recommends,
         "Overall": has("overall assessment")[0] & ~instructor & ~narrative,
         "Recommend": recommend & ~recommends,
-        "Skills": skills & ~code.isin("SU122", "FS1003", "DR464"),
+        "Skills": skills & ~code.isin(config.NO_SKILLS),
         "Strengths/weaknesses": has("strengths and weaknesses")[0] & has("course")[0] & ~has("teaching assistant")[0] & ~instructor,
         "Summary": has("summarize")[0] & ~recommend,
         "Workload": has("workload")[0] & ~narrative,
@@ -155,7 +155,7 @@ def right_strip(text: Column) -> Column:
 
 
 def hide_course_codes(text: Column) -> Column:
-    return F.regexp_replace(text, r"[A-Z]+ \d+(?: \d+)?(?:/[A-Z]+ \d+(?: \d+)?)*", "this course")
+    return F.regexp_replace(text, config.COURSE_CODES, "this course")
 
 
 def cache_key(name: Column, email: Column) -> Column:

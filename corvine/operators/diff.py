@@ -32,6 +32,41 @@ def table_diff(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return both.select(*pick, op.alias("op"), F.when(is_old & is_new, changed).otherwise(F.array().cast("array<string>")).alias("columns_changed")).where("op is not null")
 
 
+#: Key ranges of a table whose digests are compared.
+RANGES = 256
+
+
+def key_range(keys: list[str], ranges: int = RANGES) -> Column:
+    """The range of a row, by its key's hash: about as many rows in each, wherever keys lie."""
+    return F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in keys]), F.lit(ranges)).cast("int")
+
+
+def range_digests(df: DataFrame, keys: list[str], columns: list[str] | None = None, ranges: int = RANGES) -> DataFrame:
+    """(range, n, digest): rows of a key range, and the sum of the hashes of their columns, in whatever order they lie.
+    At most one row a range."""
+    columns = sorted(set(columns or df.columns) - set(keys))
+    whole = F.xxhash64(*[F.col(f"`{k}`") for k in keys], *[F.col(f"`{c}`") for c in columns]).cast("decimal(20,0)")
+    return df.groupBy(key_range(keys, ranges).alias("range")).agg(F.count("*").alias("n"), F.sum(whole).alias("digest"))
+
+
+def differing_ranges(old: DataFrame, new: DataFrame) -> list[int]:
+    """Ranges whose digests differ, of which there are at most as many as ranges."""
+    both = old.alias("o").join(new.alias("n"), "range", "full_outer")
+    same = F.col("o.n").eqNullSafe(F.col("n.n")) & F.col("o.digest").eqNullSafe(F.col("n.digest"))
+    return sorted(r.range for r in both.where(~same).select("range").collect())
+
+
+def digest_diff(old: DataFrame, new: DataFrame, keys: list[str], digests: DataFrame | None = None, ranges: int = RANGES) -> tuple[DataFrame, list[int]]:
+    """`table_diff` of the key ranges whose digests differ, and these ranges; rows of all others are not compared.
+    `digests` may hold those of `old` over the columns that it shares with `new`; a table that was stored in the order
+    of its ranges is then read in those ranges only."""
+    shared = [c for c in new.columns if c in old.columns]
+    had = range_digests(old, keys, shared, ranges) if digests is None else digests
+    some = differing_ranges(had, range_digests(new, keys, shared, ranges))
+    own = lambda df: df.where(key_range(keys, ranges).isin(some)) if some else df.limit(0)
+    return table_diff(own(old), own(new), keys), some
+
+
 def schema_violations(old: DataFrame, new: DataFrame) -> list[str]:
     """Columns that one version lacks, and columns of another type, audit columns and types of nulls aside."""
     a, b = ({f.name: f.dataType.simpleString() for f in df.schema if f.name not in config.AUDIT_COLUMNS} for df in (old, new))
@@ -73,8 +108,9 @@ def touch_parents(parent: DataFrame, key: str, changed: DataFrame, now: Column)
     return parent.join(some, F.col(key) == F.col("_k"), "left").withColumn("last_updated", F.when(F.col("_hit"), now).otherwise(F.col("last_updated"))).drop("_k", "_hit")
 
 
-def merge_all(old: dict[str, DataFrame], new: dict[str, DataFrame], now: Column) -> dict[str, DataFrame]:
-    """The next version of all tables, parents first. Meetings keep changed courses' rows whole."""
+def merge_all(old: dict[str, DataFrame], new: dict[str, DataFrame], now: Column, diffs: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    """The next version of all tables, parents first. Meetings keep changed courses' rows whole. `diffs` are changes
+    that are known already."""
     out: dict[str, DataFrame] = {}
     for name in config.LOAD_ORDER:
         if name == "course_meetings" or name not in new:
@@ -82,7 +118,8 @@ def merge_all(old: dict[str, DataFrame], new: dict[str, DataFrame], now: Column)
         out[name] = merge(old[name], new[name], config.PRIMARY_KEYS[name], config.COMPUTED_COLUMNS.get(name, []), now, name in config.KEPT_ON_DELETE)
     for name, key in config.JUNCTIONS.items():
         if name in out:
-            changed = table_diff(old[name], new[name], config.PRIMARY_KEYS[name])
+            changed = (diffs or {}).get(name)
+            changed = table_diff(old[name], new[name], config.PRIMARY_KEYS[name]) if changed is None else changed
             out["courses"] = touch_parents(out["courses"], key, changed, now)
     return out
 

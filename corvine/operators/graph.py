@@ -42,6 +42,25 @@ def labels(nodes: DataFrame, edges: DataFrame, spool: Spool) -> DataFrame:
     return nodes.select("node").distinct().join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
+def updated_labels(known: DataFrame, edges: DataFrame, added: DataFrame, removed: DataFrame, spool: Spool) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """`known(node, root)` of the edges `edges(a, b)`, after some are added and removed: the new labels, the new edges,
+    and the edges that were contracted again, which are those of components with an end of an edge that came or went.
+    Nodes stay, those of removed edges too; nodes of added edges may be new. The smallest node is the root.
+    """
+    both = lambda e: e.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
+    added, removed = both(added), both(removed)
+    now = spool.keep(both(edges).join(removed, ["a", "b"], "left_anti").unionByName(added).distinct(), "edges")
+    came = added.unionByName(removed)
+    ends = spool.keep(came.select(F.col("a").alias("node")).union(came.select(F.col("b").alias("node"))).distinct(), "ends")
+    touched = spool.keep(known.join(ends, "node", "left_semi").select("root").distinct(), "touched")
+    members = known.join(touched, "root", "left_semi").select("node")
+    members = spool.keep(members.union(ends.join(known.select("node"), "node", "left_anti")), "members")
+    # an edge lies in one component, so one end tells
+    again = spool.keep(now.join(members.select(F.col("node").alias("a")), "a", "left_semi").select("a", "b"), "again")
+    found = labels(members, again, spool)
+    return known.join(touched, "root", "left_anti").select("node", "root").unionByName(found.select("node", "root")), now, again
+
+
 def star_edges(members: DataFrame, node: str, keys: list[str]) -> DataFrame:
     """Edges from each member of a group to the group's smallest: as connected as all pairs, one row a member."""
     least = members.groupBy(*keys).agg(F.min(node).alias("b"))

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+import os
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -11,11 +15,15 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 from ..operators import checks, tables
 from ..operators.metrics import compute_narratives, compute_questions
+from ..operators.running import running_count
+from ..sources.crawl import RateLimited
+from ..sources.spool import Spool
 
 
 def match(evals: DataFrame, listings: DataFrame) -> DataFrame:
-    """Evaluations of known listings with their course; others are left out."""
-    known = listings.select(F.col("season_code").alias("season"), F.col("crn").cast("int").alias("_crn"), "course_id").dropDuplicates(["season", "_crn"])
+    """Evaluations of known listings with their course; others are left out. A listing that is there more than once
+    stands for the smallest of its courses."""
+    known = listings.groupBy(F.col("season_code").alias("season"), F.col("crn").cast("int").alias("_crn")).agg(F.min("course_id").alias("course_id"))
     return evals.withColumn("_crn", F.expr("try_cast(crn as int)")).join(known, ["season", "_crn"]).drop("_crn")
 
 
@@ -78,31 +86,74 @@ def summary_prompt(question: Column, comments: Column) -> Column:
 
 
 def prompts(evals: DataFrame, done: DataFrame | None = None, least: int = 3, most_courses: int | None = None) -> DataFrame:
-    """(season, crn, question_code, question_text, prompt) of questions with enough comments; courses that are done
-    or have none are left out; of each season the first `most_courses` by number."""
-    todo = evals.where(F.size("narratives") > 0)
+    """(season, crn, question_code, question_text, prompt) of questions with enough comments that have no summary in
+    `done`; of each season those of the first `most_courses` courses with such questions, by number."""
+    each = evals.select("season", "crn", F.explode("narratives").alias("n")).select("season", "crn", "n.*")
+    each = each.where(F.size("comments") >= least)
     if done is not None:
-        todo = todo.join(done.select("season", "crn"), ["season", "crn"], "left_anti")
+        known = done.select("season", "crn", F.explode("narrative_summaries.question_code").alias("question_code"))
+        each = each.join(known, ["season", "crn", "question_code"], "left_anti")
     if most_courses is not None:
-        todo = todo.withColumn("_n", tables.numbered(["season"], "crn")).where(F.col("_n") < most_courses).drop("_n")
-    each = todo.select("season", "crn", F.explode("narratives").alias("n")).select("season", "crn", "n.*")
-    each = each.where(F.size("comments") >= least)
+        # of a season's courses some are picked: first numbers from ranges of the distinct ones, not from a window
+        spool = Spool(evals.sparkSession, "prompts")
+        first = running_count(each.select("season", "crn").distinct(), ["season"], ["crn"], "_n", spool).where(F.col("_n") < most_courses)
+        each = each.join(first.drop("_n"), ["season", "crn"], "left_semi")
     return each.select("season", "crn", "question_code", "question_text", summary_prompt(F.col("question_text"), F.col("comments")).alias("prompt"))
 
 
-def summarize(asked: DataFrame, complete: Callable[[list[dict]], str], in_flight: int = 10) -> DataFrame:
-    """Calls `complete(messages)` for each prompt, `in_flight` tasks at most; a call that fails leaves its question out."""
+class CallLedger:
+    """Answers by the digest of what was asked, a file each in a folder that all executors share. An answer is written
+    under another name and moved, so that it is there whole or not at all."""
+
+    def __init__(self, uri: str):
+        from pyarrow import fs
+
+        self.fs, self.at = fs.FileSystem.from_uri(uri if "://" in uri else "file://" + os.path.abspath(uri))
+        self.fs.create_dir(self.at, recursive=True)
+
+    def ask(self, messages: list[dict], complete: Callable[[list[dict]], str]) -> str:
+        from pyarrow import fs
+
+        digest = hashlib.sha256(json.dumps(messages, sort_keys=True).encode()).hexdigest()
+        at = f"{self.at}/{digest}"
+        if self.fs.get_file_info(at).type == fs.FileType.File:
+            with self.fs.open_input_stream(at) as f:
+                return f.read().decode()
+        text = complete(messages)
+        own = f"{at}.{uuid.uuid4().hex}"
+        with self.fs.open_output_stream(own) as f:
+            f.write(text.encode())
+        self.fs.move(own, at)
+        return text
+
+
+def summarize(asked: DataFrame, complete: Callable[[list[dict]], str], in_flight: int = 10, ledger: str | None = None) -> DataFrame:
+    """(season, crn, question_code, question_text, summary, error) of one call of `complete(messages)` a prompt, by
+    `in_flight` tasks at most. With a ledger a call is made only if its answer is not there yet. A call that is put
+    off (`RateLimited`) after its own retries gives an error; any other exception fails the job."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        calls = CallLedger(ledger) if ledger else None
         for b in batches:
             out = []
             for r in b.itertuples(index=False):
+                messages = [{"role": "system", "content": SYSTEM}, {"role": "user", "content": r.prompt}]
+                text = error = None
                 try:
-                    text = complete([{"role": "system", "content": SYSTEM}, {"role": "user", "content": r.prompt}])
-                except Exception:
-                    continue
-                out.append((r.season, r.crn, r.question_code, r.question_text, text))
-            yield pd.DataFrame(out, columns=["season", "crn", "question_code", "question_text", "summary"])
-
-    each = asked.repartition(in_flight, "season", "crn").mapInPandas(run, "season string, crn string, question_code string, question_text string, summary string")
-    return each.groupBy("season", "crn").agg(F.array_sort(F.collect_list(F.struct("question_code", "question_text", "summary"))).alias("narrative_summaries"))
+                    text = calls.ask(messages, complete) if calls else complete(messages)
+                except RateLimited as e:
+                    error = repr(e)
+                out.append((r.season, r.crn, r.question_code, r.question_text, text, error))
+            yield pd.DataFrame(out, columns=["season", "crn", "question_code", "question_text", "summary", "error"])
+
+    return asked.repartition(in_flight, "season", "crn").mapInPandas(run, "season string, crn string, question_code string, question_text string, summary string, error string")
+
+
+def with_summaries(before: DataFrame, made: DataFrame) -> DataFrame:
+    """(season, crn, narrative_summaries): what each course had, and what was made for it."""
+    one = F.struct("question_code", "question_text", "summary")
+    had = before.select("season", "crn", F.explode("narrative_summaries").alias("s"))
+    each = had.unionByName(made.select("season", "crn", one.alias("s")))
+    some = each.groupBy("season", "crn").agg(F.array_sort(F.collect_list("s")).alias("narrative_summaries"))
+    empty = before.where(F.size("narrative_summaries") == 0).select("season", "crn", "narrative_summaries").join(made.select("season", "crn"), ["season", "crn"], "left_anti")
+    return some.unionByName(empty)

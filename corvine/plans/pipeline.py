@@ -92,10 +92,14 @@ def rewritten(spark: SparkSession, new: dict[str, DataFrame]) -> dict[str, DataF
     return {t: df if t == "course_meetings" else df.withColumns(dict.fromkeys(config.AUDIT_COLUMNS, now)) for t, df in first.items()}
 
 
-def sync(spark: SparkSession, new: dict[str, DataFrame], warehouse: io.Warehouse, freeze: bool = False) -> tuple[int, DataFrame]:
+def sync(spark: SparkSession, new: dict[str, DataFrame], warehouse: io.Warehouse, freeze: bool = False, evaluations: bool = True) -> tuple[int, DataFrame]:
     """Merges a transform's tables into the warehouse as its next version; returns the version and the changelog as
-    rows (at, line) to be read in the order of `at`."""
+    rows (at, line) to be read in the order of `at`. Without `evaluations` the evaluation tables stay as they are, and
+    in a first version they are absent. Key ranges whose digests are equal are not compared, and tables in which
+    nothing differs are carried over unread."""
     old, now = warehouse.read(), F.current_timestamp()
+    if not evaluations:
+        new = {t: df for t, df in new.items() if not t.startswith("evaluation_")}
     if not old:
         return warehouse.write(rewritten(spark, new)), in_order(spark, ["## Summary", "", "First version"])
     bare = {t: df.drop(*config.AUDIT_COLUMNS) for t, df in old.items()}
@@ -113,9 +117,17 @@ def sync(spark: SparkSession, new: dict[str, DataFrame], warehouse: io.Warehouse
         places, meetings = diff.cascade_delete(gone, places, meetings)
     known = Spool(spark, "sync").keep(new["locations"].select("building_code", "room").join(places, ["building_code", "room"]).select("location_id"), "known")
     new = {**new, "locations": places, "course_meetings": meetings}
-    diffs = {t: diff.table_diff(bare[t], new[t], config.PRIMARY_KEYS[t]) for t in config.LOAD_ORDER if t in new and t in config.PRIMARY_KEYS and t in bare}
+    spool, diffs, same = Spool(spark, "diffs"), {}, set()
+    for t in config.LOAD_ORDER:
+        if t in new and t in config.PRIMARY_KEYS and t in bare:
+            found, ranges = diff.digest_diff(bare[t], new[t], config.PRIMARY_KEYS[t])
+            diffs[t] = spool.keep(found, t)
+            same |= set() if ranges else {t}
     log = changelog(bare, new, diffs)
-    merged = diff.merge_all(old, new, now)
+    merged = diff.merge_all(old, new, now, diffs)
+    touched = {"courses"} if {t for t in config.JUNCTIONS if t in new} - same else set()
+    for t in same - touched - {"locations", "buildings"}:
+        merged.pop(t, None)  # carried over by name
     # places that were met again are touched, those of buildings that are gone go
     merged["locations"] = diff.touch_parents(merged["locations"].join(places.select("location_id"), "location_id", "left_semi"), "location_id", known, now)
     merged["course_meetings"] = diff.sync_meetings(bare["course_meetings"], meetings.select(*bare["course_meetings"].columns))
@@ -200,11 +212,17 @@ def parse_season(spark: SparkSession, data_dir: str, season: str) -> tuple[DataF
 
 
 def parse_stage(spark: SparkSession, cfg: io.RunConfig) -> list[str]:
-    """Parses the seasons asked for (with the cache, those not parsed yet) and the landed evaluation pages; writes
-    records sorted by number, rejects, and the list of seasons; returns it."""
+    """Parses the seasons asked for (with the cache, those not parsed yet or whose landed files changed since) and the
+    landed evaluation pages; writes records sorted by number, rejects, the ledger of landed files and the list of
+    seasons; returns it."""
     raw, done = f"{cfg.data_dir}/raw_courses", io.list_seasons(spark, f"{cfg.data_dir}/parsed_courses")
     landed = io.list_seasons(spark, raw)
-    todo = [s for s in io.resolve_seasons(cfg.seasons, landed or None) if not (cfg.use_cache and s in done)]
+    wanted = io.resolve_seasons(cfg.seasons, landed or None)
+    ledger = io.read_ledger(spark, f"{cfg.data_dir}/ledger")
+    files = Spool(spark, "ledger").keep(io.landed_now(spark, [f"{cfg.data_dir}/{kind}" for kind in ("raw_courses", "second_source", "first_year")], ledger), "files")
+    recorded = {r.season for r in ledger.select("season").distinct().collect()}  # a few
+    changed = io.changed_seasons(files, ledger) & recorded
+    todo = [s for s in wanted if not (cfg.use_cache and s in done and s not in changed)]
     for season in todo:
         parsed, rejects = parse_season(spark, cfg.data_dir, season)
         if cfg.require_locations:
@@ -220,13 +238,20 @@ def parse_stage(spark: SparkSession, cfg: io.RunConfig) -> list[str]:
             own = records.where((F.col("season") == season) & F.col("error").isNull())
             io.write_json(own.select("crn", "season", "enrolled", "responses", "ratings", "narratives", extras.alias("extras")), f"{cfg.data_dir}/parsed_evaluations/{season}.json", ["crn"])
     if todo:
+        # seasons that were not parsed keep what the ledger said of them
+        fresh = F.col("season").isin(todo) | ~F.col("season").isin(sorted(recorded))
+        kept = ledger.where(~F.col("season").isin(todo)).unionByName(files.where(fresh))
+        io.write_ledger(kept, f"{cfg.data_dir}/ledger")
         spark.createDataFrame([(",".join(todo),)], "value string").coalesce(1).write.mode("overwrite").text(f"{cfg.data_dir}/updated_seasons")
     return todo
 
 
 def summarize_stage(spark: SparkSession, cfg: io.RunConfig, complete: Callable[[list[dict]], str]) -> None:
-    """Summaries of the seasons asked for: courses that have none yet, the first `max_courses_per_season` of them, are
-    summarised, and all of a season's summaries are written again, sorted by number."""
+    """Summaries of the seasons asked for: questions that have none yet, of the first `max_courses_per_season` courses
+    with such, are summarised, and all of a season's summaries are written again, sorted by number. Every answer is in
+    the ledger of calls before it is used, so a task or a run that is tried again asks for nothing twice. Questions
+    that the service put off for good are listed in `summary_failures` and asked in the next run; any other error
+    stops the run, with the answers so far in the ledger."""
     landed = io.list_seasons(spark, f"{cfg.data_dir}/parsed_evaluations")
     for season in io.resolve_seasons(cfg.seasons, landed or None):
         if season not in landed:
@@ -235,8 +260,10 @@ def summarize_stage(spark: SparkSession, cfg: io.RunConfig, complete: Callable[[
         evals = io.read_json(spark, f"{cfg.data_dir}/parsed_evaluations/{season}.json", io.PARSED_EVALUATION)
         before = io.read_json(spark, at, io.SUMMARY).select("crn", "season", "narrative_summaries")
         asked = evaluations.prompts(evals, before, most_courses=cfg.max_courses_per_season)
-        made = evaluations.summarize(asked, complete, cfg.fetch_concurrency).select("crn", "season", "narrative_summaries")
-        io.write_json(before.unionByName(made), at, ["crn"])
+        made = evaluations.summarize(asked, complete, cfg.fetch_concurrency, f"{cfg.data_dir}/summary_calls")
+        made = Spool(spark, "summaries").keep(made, "made")
+        made.where("error is not null").select("season", "crn", "question_code", "error").write.mode("overwrite").parquet(f"{cfg.data_dir}/summary_failures/{season}")
+        io.write_json(evaluations.with_summaries(before, made.where("error is null")), at, ["crn"])
 
 
 RULES = {"identical": "season_code string, keep int, drop int", "email_changes": "old string, new string", "name_changes": "email string, old string, new string", "specs": "spec int, part int, code string, season string"}
@@ -271,7 +298,7 @@ def run(spark: SparkSession, cfg: io.RunConfig, complete: Callable[[list[dict]],
         if cfg.sync_db_courses and cfg.rewrite:
             warehouse.write(rewritten(spark, out))
         elif cfg.sync_db_courses:
-            _, log = sync(spark, out, warehouse, cfg.freeze_locations)
+            _, log = sync(spark, out, warehouse, cfg.freeze_locations, evaluations=False)
             stamp = datetime.datetime.now(datetime.timezone.utc).strftime("%Y-%m-%dT%H-%M-%SZ")
             log.orderBy("at").select(F.col("line").alias("value")).write.text(f"{cfg.data_dir}/change_log/{stamp}")
         if cfg.sync_db_evals:

@@ -79,6 +79,44 @@ def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return out.select(*[F.col(f"`{c}`") for c in df.columns[:-2]], "_season", "_ordinal")
 
 
+LEDGER = "file string, season string, bytes long, modified timestamp, digest string"
+
+
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """The landed files of which parsed seasons were made."""
+    settle(spark, path)
+    return spark.read.schema(LEDGER).parquet(path) if exists(spark, path) else spark.createDataFrame([], LEDGER)
+
+
+def write_ledger(ledger: DataFrame, path: str) -> None:
+    new = beside(path)
+    ledger.write.parquet(new)
+    replace(ledger.sparkSession, new, path)
+
+
+def landed_now(spark: SparkSession, paths: list[str], ledger: DataFrame) -> DataFrame:
+    """The files that lie at or below the paths, in the ledger's columns. Of files with the size and time that the
+    ledger has the digest is taken from there; only the others are read."""
+    out = spark.createDataFrame([], LEDGER)
+    for path in paths:
+        files = landed_files(spark, path)
+        known = ledger.select("file", "bytes", "modified", "digest")
+        found = files.join(known, ["file", "bytes", "modified"], "left").select("file", "season", "bytes", "modified", "digest")
+        out = out.unionByName(found.where("digest is not null"))
+        if exists(spark, path):
+            read = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+            read = read.select(F.col("_metadata.file_path").alias("file"), F.sha2("content", 256).alias("digest"))
+            out = out.unionByName(found.where("digest is null").drop("digest").join(read, "file").select("file", "season", "bytes", "modified", "digest"))
+    return out
+
+
+def changed_seasons(files: DataFrame, ledger: DataFrame) -> set[str]:
+    """Seasons with a file that came, went or has other contents than the ledger says; a few."""
+    both = files.select("season", "file", "digest").alias("n").join(ledger.select("season", "file", "digest").alias("o"), "file", "full_outer")
+    rows = both.where(~F.col("n.digest").eqNullSafe(F.col("o.digest"))).select(F.coalesce("n.season", "o.season").alias("season")).distinct()
+    return {r.season for r in rows.collect()}
+
+
 def read_cache(spark: SparkSession, path: str) -> DataFrame:
     settle(spark, path)
     return spark.read.schema(CACHE).parquet(path) if exists(spark, path) else spark.createDataFrame([], CACHE)
@@ -248,6 +286,22 @@ class RunConfig:
         return self
 
 
+def typed(name: str, text: str) -> bool | int | list[str] | str | None:
+    """A value of the environment in its field's type: switches by the usual words, lists by commas or blanks."""
+    kind = str(RunConfig.__dataclass_fields__[name].type)
+    if kind == "bool":
+        if text.strip().lower() in ("1", "true", "yes", "on"):
+            return True
+        if text.strip().lower() in ("", "0", "false", "no", "off"):
+            return False
+        raise ValueError(f"{name.upper()}={text}: neither yes nor no")
+    if kind.startswith("int"):
+        return int(text) if text.strip() or "None" not in kind else None
+    if kind.startswith("list"):
+        return [x for x in text.replace(",", " ").split()] or None
+    return text
+
+
 def parse_args(argv: list[str] | None = None, env: dict[str, str] | None = None) -> RunConfig:
     """Command line over configuration file over environment over defaults."""
     p = argparse.ArgumentParser(prog="corvine")
@@ -271,7 +325,7 @@ def parse_args(argv: list[str] | None = None, env: dict[str, str] | None = None)
         else:
             loaded = json.loads(text)
     names = {f for f in RunConfig.__dataclass_fields__ if f != "extra"}
-    from_env = {k.lower(): v for k, v in (env or {}).items() if k.lower() in names}
+    from_env = {k.lower(): typed(k.lower(), v) for k, v in (env or {}).items() if k.lower() in names}
     merged = from_env | {k: v for k, v in loaded.items() if k in names} | given
     return RunConfig(**merged, extra={k: v for k, v in loaded.items() if k not in names}).derived()
 

@@ -1,9 +1,13 @@
 import json
+import os
+import uuid
 
 import pytest
+from pyspark.sql import functions as F
 
 from corvine.plans import evaluations, parse, pipeline
 from corvine.sources import io
+from corvine.sources.crawl import RateLimited
 
 
 def course(crn, crns, code, title, **more):
@@ -111,12 +115,70 @@ def test_seasons_and_args(tmp_path):
 
 def test_prompts_and_summaries(spark):
     evals = spark.createDataFrame([("1", "s", [("Q", "Why?", ["aaa", "bbb", "ccc"]), ("R", "How?", ["x"])]), ("2", "s", []), ("3", "s", [("Q", "Why?", ["a", "b", "c"])])], "crn string, season string, narratives array<struct<question_code:string,question_text:string,comments:array<string>>>")
-    done = spark.createDataFrame([("s", "3")], "season string, crn string")
+    done = spark.createDataFrame([("s", "3", [("Q", "Why?", "said")]), ("s", "9", [])], "season string, crn string, narrative_summaries array<struct<question_code:string,question_text:string,summary:string>>")
     asked = evaluations.prompts(evals, done)
     assert [r.prompt for r in asked.collect()] == ["Evaluation question: Why?\n\nStudent comments (3 total):\naaa\n---\nbbb\n---\nccc"]
-    out = evaluations.summarize(asked, lambda m: m[1]["content"][:10]).first()
-    assert (out.crn, out.narrative_summaries[0].summary) == ("1", "Evaluation")
-
+    made = evaluations.summarize(asked, lambda m: m[1]["content"][:10])
+    assert [(r.crn, r.summary, r.error) for r in made.collect()] == [("1", "Evaluation", None)]
+    out = {r.crn: [s.summary for s in r.narrative_summaries] for r in evaluations.with_summaries(done, made).collect()}
+    assert out == {"1": ["Evaluation"], "3": ["said"], "9": []}
+
+
+def test_calls_are_made_once_over_failures_and_runs(spark, tmp_path):
+    """A task that fails and is run again, and a second run, ask only for what is not in the ledger."""
+    said = [("Q", "Why?", ["aaa", "bbb", "ccc"]), ("R", "How?", ["a", "b", "c"])]
+    evals = spark.createDataFrame([(str(i), "s", said) for i in range(6)], "crn string, season string, narratives array<struct<question_code:string,question_text:string,comments:array<string>>>")
+    evals = evals.withColumn("narratives", F.transform("narratives", lambda n: n.withField("question_text", F.concat(n.question_text, F.lit(" of "), F.col("crn")))))
+    calls = tmp_path / "calls"
+    calls.mkdir()
+    ledger = f"file://{tmp_path}/ledger"
+
+    def complete(messages, failing=True):
+        text = messages[1]["content"]
+        number = len(list(calls.iterdir()))
+        (calls / f"{number}-{uuid.uuid4().hex}").write_text(text)
+        if failing and "Why? of 3" in text:
+            raise KeyError("lost")
+        if failing and "How? of 2" in text:
+            raise RateLimited("later")
+        return text[:30]
+
+    asked = evaluations.prompts(evals)
+    with pytest.raises(Exception, match="lost"):
+        evaluations.summarize(asked, complete, 2, ledger).collect()
+    before = [f.read_text() for f in calls.iterdir()]
+    made = evaluations.summarize(asked, lambda m: complete(m, False), 2, ledger).collect()
+    assert len(made) == 12 and all(r.error is None for r in made)
+    after = [f.read_text() for f in calls.iterdir()]
+    answered = [t for t in before if "Why? of 3" not in t and "How? of 2" not in t]
+    assert all(after.count(t) == 1 for t in answered) and answered
+    many = len(after)
+    evaluations.summarize(asked, complete, 2, ledger).collect()
+    assert len(list(calls.iterdir())) == many
+    put_off = evaluations.summarize(asked.where("crn = '2'"), complete, 1).collect()
+    assert sorted((r.question_code, r.error is None) for r in put_off) == [("Q", True), ("R", False)]
+
+
+def test_environment_values_have_types():
+    cfg = io.parse_args([], {"RELEASE": "0", "DEBUG": "false", "PARSE": "no", "TRANSFORM": "yes", "SEASONS": "202401,202403", "FETCH_CONCURRENCY": "3", "MAX_COURSES_PER_SEASON": ""})
+    assert (cfg.release, cfg.debug, cfg.parse, cfg.transform, cfg.seasons, cfg.fetch_concurrency, cfg.max_courses_per_season) == (False, False, False, True, ["202401", "202403"], 3, None)
+    with pytest.raises(ValueError, match="neither"):
+        io.parse_args([], {"DEBUG": "perhaps"})
+
+
+def test_changed_files_are_told_by_the_ledger(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    for s in ("202401", "202402", "202403"):
+        (raw / f"{s}.json").write_text(f'[{{"crn": "{s}"}}]')
+    at, path = f"file://{tmp_path}/ledger", f"file://{raw}"
+    assert io.changed_seasons(io.landed_now(spark, [path], io.read_ledger(spark, at)), io.read_ledger(spark, at)) == {"202401", "202402", "202403"}
+    io.write_ledger(io.landed_now(spark, [path, f"file://{tmp_path}/absent"], io.read_ledger(spark, at)), at)
+    assert io.changed_seasons(io.landed_now(spark, [path], io.read_ledger(spark, at)), io.read_ledger(spark, at)) == set()
+    os.utime(raw / "202401.json", (1, 1))  # another time, the same contents
+    (raw / "202402.json").write_text('[{"crn": "new"}]')
+    (raw / "202403.json").unlink()
+    assert io.changed_seasons(io.landed_now(spark, [path], io.read_ledger(spark, at)), io.read_ledger(spark, at)) == {"202402", "202403"}
 
 def test_streaming_merge(spark, tmp_path):
     from corvine.streaming.incremental import merge_into, read_landing
@@ -163,7 +225,7 @@ def test_run_from_landing_files_to_warehouse(spark, tmp_path):
     pipeline.run(spark, io.parse_args([*base, "--parse", "--seasons", "202401"]))
     assert io.list_seasons(spark, f"file://{tmp_path}/parsed_courses") == ["202401"]
     assert [r.crn for r in spark.read.parquet(f"file://{tmp_path}/rejects/202401").collect()] == ["7"]
-    pipeline.run(spark, io.parse_args([*base, "--parse", "--sync-db-courses", "--summarize-evals", "--save-config", str(tmp_path / "used.yml")]), complete)
+    pipeline.run(spark, io.parse_args([*base, "--parse", "--sync-db-courses", "--sync-db-evals", "--summarize-evals", "--save-config", str(tmp_path / "used.yml")]), complete)
     assert spark.read.text(f"file://{tmp_path}/updated_seasons").first().value == "202403"  # the other one was parsed before
     w = io.Warehouse(spark, f"file://{tmp_path}/warehouse")
     now = w.read()
@@ -172,11 +234,19 @@ def test_run_from_landing_files_to_warehouse(spark, tmp_path):
     kept = io.read_json(spark, f"file://{tmp_path}/evaluation_summaries", io.SUMMARY).collect()
     assert [(r.crn, r._season, r.narrative_summaries[0].summary) for r in kept] == [("5", "202401", "short")]
     assert "data_dir:" in (tmp_path / "used.yml").read_text()
+    (tmp_path / "raw_courses/202403.json").write_text(json.dumps([raw, raw | {"crn": "9", "code": "AB 109", "title": "New"}]))
+    pipeline.run(spark, io.parse_args([*base, "--parse"]))
+    assert spark.read.text(f"file://{tmp_path}/updated_seasons").first().value == "202403"  # its file changed
     pipeline.run(spark, io.parse_args([*base, "--sync-db-courses"]))
+    # the evaluation tables are those of the version before, by name
+    assert sorted(r.crn for r in w.read()["listings"].collect()) == [5, 5, 6, 9]
+    assert w.read()["evaluation_narrative_summaries"].count() == 0 and len(list((tmp_path / "warehouse").glob("v*/evaluation_narratives"))) == 1
+    assert len(list((tmp_path / "warehouse").glob("v*/flags"))) == 1  # nothing differs: not written again
+    pipeline.run(spark, io.parse_args([*base, "--sync-db-evals"]))
     log = [r.value for f in sorted((tmp_path / "change_log").iterdir()) for r in spark.read.text(f"file://{f}").collect()]
-    assert "## Summary" in log and w.versions() == [1, 2]
+    assert "## Summary" in log and w.versions() == [1, 2, 3, 4]
     assert w.read()["evaluation_narrative_summaries"].count() == 1
-    assert w.read(1)["evaluation_narrative_summaries"].count() == 0
+    assert "evaluation_narrative_summaries" not in w.read(1) and w.read(3)["evaluation_narrative_summaries"].count() == 0
 
 
 def test_versions_share_tables_and_batches_are_written_once(spark, tmp_path):
