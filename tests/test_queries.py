@@ -1,6 +1,6 @@
 import pytest
 
-from corvine.plans import catalog_queries as Q
+from corvine.plans import mechanism_queries as Q
 
 from .twins import rows_of, sql_rows
 
