@@ -83,9 +83,8 @@ def served_pages(spark, d):
         mine = lambda r: f"20240{r['page_id'] % 4}" == asked["season"] and asked.get("school") in (None, f"S{r['page_id'] % 3}")
         return [{**r, "school": f"S{r['page_id'] % 3}"} for r in rows if mine(r)]
 
-    served.register(spark, served.course_source(fetch, "season string, school string, page_id long, size long", "served_pages"))
-    pages = spark.read.format("served_pages").option("seasons", "202400,202401,202402,202403").load()
-    return pages.where("season in ('202401', '202403') and school = 'S2' and size > 100")
+    source = served.course_source(fetch, "season string, school string, page_id long, size long", "served_pages")
+    return served.load(spark, source, ["202400", "202401", "202402", "202403"]).where("season in ('202401', '202403') and school = 'S2' and size > 100")
 
 
 # the SQL surface

@@ -116,9 +116,9 @@ def inner_lookup(spark, d):
     return li.join(o, li.l_orderkey == o.o_orderkey).select("l_orderkey", "l_linenumber", "l_quantity", "o_custkey")
 
 
-@query("select c_custkey, n_name, r_name from customer left join nation on c_nationkey = n_nationkey and n_nationkey % 2 = 0 left join region on n_regionkey = r_regionkey")
+@query("select c_custkey, n_name, r_name from customer left join nation on c_nationkey = n_nationkey and n_regionkey <> 1 left join region on n_regionkey = r_regionkey")
 def left_lookup(spark, d):
-    n = t(spark, d, "nation").where("n_nationkey % 2 = 0")
+    n = t(spark, d, "nation").where("n_regionkey <> 1")
     r = t(spark, d, "region")
     c = t(spark, d, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left")
     return c.join(r, F.col("n_regionkey") == F.col("r_regionkey"), "left").select("c_custkey", "n_name", "r_name")
@@ -130,9 +130,9 @@ def theta_residual_join(spark, d):
     return checks.season_mismatches(li, offerings(spark, d))
 
 
-@query("select o_orderkey as course_id from orders where o_orderkey in (select l_orderkey from lineitem where l_quantity >= 50)")
+@query("select o_orderkey as course_id from orders where o_orderkey in (select l_orderkey from lineitem)")
 def semi_courses(spark, d):
-    li = t(spark, d, "lineitem").where("l_quantity >= 50").select(F.col("l_orderkey").alias("course_id"))
+    li = t(spark, d, "lineitem").select(F.col("l_orderkey").alias("course_id"))
     return offerings(spark, d).join(li, "course_id", "left_semi").select("course_id")
 
 
@@ -362,9 +362,9 @@ def stable_ids(spark, d):
     return tables.stable_ids(p, "p_brand", "p_partkey", cache).select("p_partkey", "id")
 
 
-@query("select event_id, row_number() over (order by event_id) - 1 as id from events where event_type = 'click'")
+@query("select event_id, row_number() over (order by event_id) - 1 as id from events")
 def row_ids(spark, d):
-    return tables.row_ids(t(spark, d, "events").where("event_type = 'click'").select("event_id"), "event_id")
+    return tables.row_ids(t(spark, d, "events").select("event_id"), "event_id")
 
 
 @query("""with x as (select user_id, event_id, case when event_type = 'click' then cast(event_id as varchar) else '' end as email from events)
@@ -392,13 +392,13 @@ def question_normalise(spark, d):
     return t(spark, d, "benchmark").select("item_id", S.normalize_question(raw).alias("question"))
 
 
-@query("""with q as (select p_brand as code, case when p_partkey % 5 = 0 then '' when p_size < 25 then 'Ratings' else 'Why? Ratings' end as s from part where p_partkey % 3 <> 0
-union all select 'B#' || cast(p_size as varchar), case when p_partkey % 2 = 0 then p_name else '' end from part where p_size < 4)
+@query("""with q as (select p_brand as code, case when p_partkey % 5 = 0 then '' when p_size < 25 then 'Ratings' else 'Why? Ratings' end as s from part
+union all select 'B#' || cast(p_size as varchar), case when p_partkey % 2 = 0 then p_name else '' end from part)
 select code, case when count(distinct nullif(s, '')) = 0 then '' when count(distinct nullif(s, '')) = 2 and (suffix(max(s), min(nullif(s, ''))) or starts_with(max(s), min(nullif(s, ''))) or suffix(min(nullif(s, '')), max(s)) or starts_with(min(nullif(s, '')), max(s))) then case when length(max(s)) >= length(min(nullif(s, ''))) then max(s) else min(nullif(s, '')) end else string_agg(distinct nullif(s, ''), '|' order by nullif(s, '')) end as texts from q group by 1""")
 def question_text_by_code(spark, d):
     k = F.col("p_partkey")
-    a = t(spark, d, "part").where("p_partkey % 3 <> 0").select(F.col("p_brand").alias("code"), F.when(k % 5 == 0, "").when(F.col("p_size") < 25, "Ratings").otherwise("Why? Ratings").alias("s"))
-    b = t(spark, d, "part").where("p_size < 4").select(F.concat(F.lit("B#"), F.col("p_size").cast("string")).alias("code"), F.when(k % 2 == 0, F.col("p_name")).otherwise("").alias("s"))
+    a = t(spark, d, "part").select(F.col("p_brand").alias("code"), F.when(k % 5 == 0, "").when(F.col("p_size") < 25, "Ratings").otherwise("Why? Ratings").alias("s"))
+    b = t(spark, d, "part").select(F.concat(F.lit("B#"), F.col("p_size").cast("string")).alias("code"), F.when(k % 2 == 0, F.col("p_name")).otherwise("").alias("s"))
     return a.union(b).groupBy("code").agg(F.array_join(S.merge_question_texts(F.collect_set("s")), "|").alias("texts"))
 
 
@@ -409,12 +409,13 @@ _TAGGED = """(values ('YC401', 'What is your overall assessment of this course?'
 @query(f"""select p_partkey, tags from (select p_partkey, concat_ws(', ', case when lower(s) like '%engagement%' then 'Engagement' end, case when lower(s) like '%feedback%' and code <> 'DR464' then 'Feedback' end,
 case when regexp_matches(lower(s), 'rating|assessment|evaluate') and lower(s) like '%instructor%' and code not in ('DR113', 'DR316') then 'Professor' end, case when lower(s) like '%overall assessment%' and lower(s) not like '%instructor%' and not narrative then 'Overall' end,
 case when lower(s) like '%recommend%' and code not in ('DR113', 'DR316') then 'Recommend' end, case when lower(s) like '%skills%' and code not in ('SU122', 'FS1003', 'DR464') then 'Skills' end, case when lower(s) like '%strengths and weaknesses%' and lower(s) like '%course%' and lower(s) not like '%instructor%' then 'Strengths/weaknesses' end,
-case when lower(s) like '%summarize%' and lower(s) not like '%recommend%' then 'Summary' end, case when lower(s) like '%workload%' and not narrative then 'Workload' end) as tags from part join (select *, row_number() over (order by code) - 1 as k from {_TAGGED} q(code, s, narrative)) on p_partkey % 12 = k) where tags <> ''""")
+case when lower(s) like '%summarize%' and lower(s) not like '%recommend%' then 'Summary' end, case when lower(s) like '%workload%' and not narrative then 'Workload' end) as tags from (select p_partkey, code, p_name || ' ' || q || ' ' || p_type as s, narrative from part join (select *, row_number() over (order by code) - 1 as k from {_TAGGED} q(code, q, narrative)) on p_partkey % 12 = k)) where tags <> ''""")
 def question_tags(spark, d):
     rows = [("YC401", "What is your overall assessment of this course?", False), ("YC402", "What is your overall assessment of this course?", True), ("YC403", "Your level of engagement", True), ("DR464", "feedback on skills", True),
             ("YC404", "How would you evaluate the instructor?", True), ("DR113", "I would recommend this instructor", True), ("YC405", "Would you recommend this?", True), ("YC406", "Workload relative to others", False), ("YC407", "workload", True), ("YC408", "skills you gained and feedback", True), ("YC409", "strengths and weaknesses of the course", True), ("YC410", "Summarize", True)]
     q = spark.createDataFrame([(k, *r) for k, r in enumerate(sorted(rows))], "k int, code string, s string, n boolean")
     asked = t(spark, d, "part").join(F.broadcast(q), F.col("p_partkey") % 12 == F.col("k"))  # a dozen questions
+    asked = asked.withColumn("s", F.concat_ws(" ", "p_name", "s", "p_type"))
     return asked.select("p_partkey", F.array_join(S.question_tags(F.col("s"), F.col("code"), F.col("n")), ", ").alias("tags")).where("tags <> ''")
 
 
@@ -531,9 +532,11 @@ def accent_fold(spark, d):
     return t(spark, d, "customer").select("c_custkey", X.accent_fold(F.concat("c_name", F.lit(" Zoë Núñez Ångström François"))).alias("folded"))
 
 
-@query("select c_custkey, c_name || ' é ç \"q\"' as fixed from customer")
+@query("select c_custkey, c_mktsegment || {} || c_name || {} as fixed from customer".format(*["'" + " ".join(x).replace("'", "''") + "'" for x in (list(config.MOJIBAKE.values())[:6], list(config.MOJIBAKE.values())[6:])]))
 def mojibake(spark, d):
-    return t(spark, d, "customer").select("c_custkey", X.mojibake_repair(F.concat("c_name", F.lit(" \u00c3\u00a9 \u00c3\u00a7 \u201cq\u201d"))).alias("fixed"))
+    """Every known sequence, between texts of the table."""
+    bad = list(config.MOJIBAKE)
+    return t(spark, d, "customer").select("c_custkey", X.mojibake_repair(F.concat("c_mktsegment", F.lit(" ".join(bad[:6])), "c_name", F.lit(" ".join(bad[6:])))).alias("fixed"))
 
 
 def _infix(pairs: str, most: float = config.MAX_TEXT_DISTANCE) -> str:
@@ -764,9 +767,9 @@ def summary_prompts(spark, d):
     return evaluations.prompts(evals).select(F.col("crn").alias("conv_id"), F.col("question_code").alias("role"), "prompt")
 
 
-@query("""select doc_id, n_chars, source from documents where doc_id not in (select doc_id from labels) and n_chars > 100""")
+@query("""select doc_id, n_chars, source from documents where doc_id not in (select doc_id from labels)""")
 def not_yet_done(spark, d):
-    return t(spark, d, "documents").join(t(spark, d, "labels"), "doc_id", "left_anti").where("n_chars > 100").select("doc_id", "n_chars", "source")
+    return crawl.to_fetch(t(spark, d, "documents"), t(spark, d, "labels"), ["doc_id"]).select("doc_id", "n_chars", "source")
 
 
 @query("""select user_id, date_trunc('hour', ts) as hour, count(*) as n from events group by 1, 2""")
