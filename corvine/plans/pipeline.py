@@ -16,7 +16,7 @@ from ..functions import scalars as S
 from ..operators import checks, diff, linkage, metrics, tables
 from ..sources import io
 from ..sources.spool import Spool, exists
-from . import evaluations, parse
+from . import crawling, evaluations, parse
 
 
 def seasons_table(seasons: DataFrame) -> DataFrame:
@@ -269,13 +269,17 @@ def summarize_stage(spark: SparkSession, cfg: io.RunConfig, complete: Callable[[
 RULES = {"identical": "season_code string, keep int, drop int", "email_changes": "old string, new string", "name_changes": "email string, old string, new string", "specs": "spec int, part int, code string, season string"}
 
 
-def run(spark: SparkSession, cfg: io.RunConfig, complete: Callable[[list[dict]], str] | None = None) -> None:
-    """The stages that the configuration asks for, in order: parse, transform, snapshot, sync, summaries. Hand-written
+def run(spark: SparkSession, cfg: io.RunConfig, complete: Callable[[list[dict]], str] | None = None, fetch: crawling.Fetch | None = None) -> None:
+    """The stages that the configuration asks for, in order: crawl, parse, transform, snapshot, sync, summaries. Hand-written
     rules are read from `rules/` below the data folder; without split specs there the default ones hold."""
     if cfg.debug:
         spark.sparkContext.setLogLevel("DEBUG")
     if cfg.save_config:
         io.save_args(cfg, cfg.save_config)
+    if cfg.crawl_seasons or cfg.crawl_classes or cfg.crawl_evals:
+        if fetch is None:
+            raise ValueError("a crawl needs a function that fetches")
+        crawling.crawl_stage(spark, cfg, fetch)
     if cfg.parse:
         parse_stage(spark, cfg)
     if cfg.transform:

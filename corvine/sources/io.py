@@ -253,13 +253,16 @@ def resolve_seasons(wanted: list[str] | None, known: list[str] | None) -> list[s
     return wanted
 
 
-FLAGS = ("transform", "snapshot-tables", "sync-db-courses", "sync-db-evals", "rewrite", "parse", "summarize-evals", "freeze-locations", "use-cache", "save-cache", "require-locations", "release", "debug")
+FLAGS = ("crawl-seasons", "crawl-classes", "crawl-evals", "transform", "snapshot-tables", "sync-db-courses", "sync-db-evals", "rewrite", "parse", "summarize-evals", "freeze-locations", "use-cache", "save-cache", "require-locations", "release", "debug")
 
 
 @dataclass
 class RunConfig:
     data_dir: str = "data"
     seasons: list[str] | None = None
+    crawl_seasons: bool = False
+    crawl_classes: bool = False
+    crawl_evals: bool = False
     transform: bool = False
     snapshot_tables: bool = False
     sync_db_courses: bool = False

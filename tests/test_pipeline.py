@@ -249,6 +249,41 @@ def test_run_from_landing_files_to_warehouse(spark, tmp_path):
     assert "evaluation_narrative_summaries" not in w.read(1) and w.read(3)["evaluation_narrative_summaries"].count() == 0
 
 
+def test_run_from_an_empty_folder(spark, tmp_path):
+    raw = {"crn": "5", "code": "AB 101", "title": "Intro", "description": "<p>Hi</p>", "col": "YC", "credit_html": "", "hours": "1", "stat": "A", "instructordetail_html": "", "xlist": "", "section": "01",
+           "meeting_html": '<div class="meet">MW 1pm-2pm in <a href="u">WLH 201</a></div>', "allInGroup": None, "yc_attrs": "", "ci_attrs": "", "regnotes": "", "rp_attr": "", "clssnotes": None, "final_exam": "", "resources": ""}
+    log = tmp_path / "asked"
+    log.mkdir()
+
+    def fetch(kind, request):
+        (log / uuid.uuid4().hex).write_text(f"{kind} {request.get('season', request.get('season_code'))} {request.get('crn')} {request.get('first_year')}")
+        if kind == "seasons":
+            return '<option value="999999">all</option><option value="202401">x</option><option value="202403">y</option>'
+        if kind == "courses":
+            both = [raw, raw | {"crn": "6", "code": "AB 102", "title": "Other"}]
+            return both[:1] if request.get("first_year") else both
+        if kind == "school":
+            return request["crn"] == "5"
+        return page(7, ["good one", "bad one", "so so"])
+
+    def asked(kind):
+        return sorted(f.read_text() for f in log.iterdir() if f.read_text().startswith(kind))
+
+    base = ["--data-dir", f"file://{tmp_path}/data", "--seasons", "202401"]
+    with pytest.raises(ValueError, match="fetches"):
+        pipeline.run(spark, io.parse_args([*base, "--crawl-classes"]))
+    flags = ["--crawl-classes", "--crawl-evals", "--parse", "--sync-db-courses", "--sync-db-evals"]
+    pipeline.run(spark, io.parse_args([*base, *flags]), fetch=fetch)
+    now = io.Warehouse(spark, f"file://{tmp_path}/data/warehouse").read()
+    assert sorted((r.crn, r.season_code) for r in now["listings"].collect()) == [(5, "202401"), (6, "202401")]
+    assert now["evaluation_narratives"].count() == 3
+    assert asked("courses") == ["courses 202401 None None", "courses 202401 None True"]
+    assert asked("school") == ["school 202401 5 None", "school 202401 6 None"] and asked("evaluation") == ["evaluation 202401 5 None"]
+    many = len(list(log.iterdir()))
+    pipeline.run(spark, io.parse_args([*base, "--crawl-classes", "--crawl-evals"]), fetch=fetch)
+    assert len(list(log.iterdir())) == many  # all of it has landed
+
+
 def test_versions_share_tables_and_batches_are_written_once(spark, tmp_path):
     w = io.Warehouse(spark, f"file://{tmp_path}/w")
     a = spark.createDataFrame([("A", "x")], "code string, building_name string")
