@@ -75,10 +75,11 @@ def merge_apart(sets: DataFrame, ops: DataFrame, spool: Spool, most: int = MOST)
         n = open_.count()
         if not n:
             break
+        if n <= most:  # what is left fits one task, which decides all of it
+            last = open_.withColumns({"own_x": F.lit(True), "own_y": F.lit(True)}).groupBy(F.lit(0).alias("key")).applyInPandas(decide, "label long, merged long")
+            return whole.join(last.select(F.col("label").alias("merged"), F.col("merged").alias("_to")), "merged", "left").select("label", F.coalesce("_to", "merged").alias("merged"))
         large = open_.groupBy("g").agg(F.count("*").alias("n")).where(F.col("n") > most).select("g", F.lit(True).alias("large"))
         keyed = open_.join(large, "g", "left").withColumn("key", F.struct("g", F.when(F.col("large"), F.col("s")).alias("s"))).drop("large")
-        if n <= most:  # what is left fits one task
-            keyed = open_.withColumn("key", F.lit(0))
         first = keyed.select(F.explode(F.array("x", "y")).alias("label"), "key").groupBy("label").agg(F.min("key").alias("first"))
         first = spool.keep(first, "first")
         for c in "xy":

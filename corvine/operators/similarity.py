@@ -8,6 +8,8 @@ meets is checked on distinct bigrams, of which k edits destroy 2k at most, and o
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,8 +19,6 @@ from ..sources.spool import Spool
 
 #: Longer texts that meet a piece in one group.
 CROWD = 512
-#: Crowded pieces that are broadcast; more of them are joined by a shuffle.
-MOST_CROWDS = 100_000
 #: What Python's `strip` takes away.
 BLANKS = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 
@@ -42,14 +42,13 @@ def similar_pairs(texts: DataFrame, keys: list[str], text: str, spool: Spool, mo
     places = F.sequence(F.lit(0), F.col("_limit"))
     pieces = F.array_distinct(F.transform(places, lambda i: F.substring(F.col("_t"), i * F.col("_step") + 1, F.col("_step"))))
     short = short.select(*keys, "_raw", "_n", "_id", "_step", F.explode(pieces).alias("_piece"))
-    # a step is shorter than 1 / most, so there are few lengths of pieces; without edits a piece is the whole text
-    steps = spool.keep(short.select("_step").distinct(), "steps")
-    grams = F.array_distinct(_substrings(F.col("_t"), F.col("_step"), F.col("_n")))
-    # at most one row for each length that a piece can have, all of them at most the longest text
-    long = rows.crossJoin(F.broadcast(steps)).select(*keys, "_raw", "_n", "_id", "_step", F.explode(grams).alias("_piece"))
+    # a piece is shorter than 1 / most characters, or the whole text if no edits are allowed
+    steps = F.sequence(F.lit(1), F.lit(max(1, math.ceil(1 / most) - 1))) if most > 0 else F.sequence(F.lit(1), F.col("_n"))
+    long = rows.select(*keys, "_raw", "_t", "_n", "_id", F.explode(steps).alias("_step"))
+    long = long.select(*keys, "_raw", "_n", "_id", "_step", F.explode(F.array_distinct(_substrings(F.col("_t"), F.col("_step"), F.col("_n")))).alias("_piece"))
     on = [*keys, "_step", "_piece"]
-    crowds = spool.keep(long.groupBy(*on).agg(F.count("*").alias("_c")).where(F.col("_c") > crowd).select(*on, F.ceil(F.col("_c") / crowd).cast("int").alias("_parts")), "crowds")
-    known = F.broadcast(crowds) if crowds.count() <= MOST_CROWDS else crowds  # a checked bound
+    # the few crowded pieces are broadcast or not by their size, which Spark sees once they are counted
+    known = long.groupBy(*on).agg(F.count("*").alias("_c")).where(F.col("_c") > crowd).select(*on, F.ceil(F.col("_c") / crowd).cast("int").alias("_parts"))
     parts = F.coalesce("_parts", F.lit(1))
     a = short.join(known, on, "left").select(*on, F.col("_raw").alias("_ra"), F.col("_n").alias("_na"), F.col("_id").alias("_ia"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("_part"))
     b = long.join(known, on, "left").select(*on, F.col("_raw").alias("_rb"), F.col("_n").alias("_nb"), F.col("_id").alias("_ib"), F.pmod(F.xxhash64("_id"), parts).cast("int").alias("_part"))
