@@ -63,7 +63,9 @@ def digest_diff(old: DataFrame, new: DataFrame, keys: list[str], digests: DataFr
     shared = [c for c in new.columns if c in old.columns]
     had = range_digests(old, keys, shared, ranges) if digests is None else digests
     some = differing_ranges(had, range_digests(new, keys, shared, ranges))
-    own = lambda df: df.where(key_range(keys, ranges).isin(some)) if some else df.limit(0)
+    if not some:
+        return old.sparkSession.createDataFrame([], table_diff(old, new, keys).schema), some
+    own = lambda df: df.where(key_range(keys, ranges).isin(some))
     return table_diff(own(old), own(new), keys), some
 
 

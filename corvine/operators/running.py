@@ -16,10 +16,11 @@ from pyspark.sql.window import Window as W
 from ..sources.spool import Spool
 
 
-def _scan(df: DataFrame, keys: list[str], order: list[str], spool: Spool, local: Callable[[W], Column], end: Column, carry: Callable[[W], Column], join: Callable[[Column, Column], Column], into: str) -> DataFrame:
+def _scan(df: DataFrame, keys: list[str], order: list[str], spool: Spool, local: Callable[[W], Column], end: Column, carry: Callable[[W], Column], join: Callable[[Column, Column], Column], into: str, ranges: int | None = None) -> DataFrame:
     """`local` gives a row's value from the rows before it in its range, `end` a range's aggregate of a group, `carry`
     the scan of ends over earlier ranges, and `join` the value of a row with a carry."""
-    held = spool.keep(df.repartitionByRange(*keys, *order).withColumn("_range", F.spark_partition_id()), "ranges")
+    dealt = df.repartitionByRange(*[ranges] * (ranges is not None), *keys, *order)
+    held = spool.keep(dealt.withColumn("_range", F.spark_partition_id()), "ranges")
     ends = held.groupBy("_range", *keys).agg(end.alias("_end"))
     wide = ends.groupBy(*keys).agg(F.min("_range").alias("_a"), F.max("_range").alias("_b")).where("_a < _b").drop("_a", "_b")
     on = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]
@@ -32,10 +33,10 @@ def _scan(df: DataFrame, keys: list[str], order: list[str], spool: Spool, local:
     return out.withColumn(into, join(F.col("_own"), F.col("_carry"))).drop("_own", "_carry", "_range")
 
 
-def running_count(df: DataFrame, keys: list[str], order: list[str], into: str, spool: Spool) -> DataFrame:
+def running_count(df: DataFrame, keys: list[str], order: list[str], into: str, spool: Spool, ranges: int | None = None) -> DataFrame:
     """A row's place in its group, from 0. Without keys: in the whole table. Ties of `order` are numbered anyhow."""
     before = lambda w: F.sum("_end").over(w)
-    return _scan(df, keys, order, spool, lambda w: F.row_number().over(w) - 1, F.count("*"), before, lambda x, c: (x + F.coalesce(c, F.lit(0))).cast("long"), into)
+    return _scan(df, keys, order, spool, lambda w: F.row_number().over(w) - 1, F.count("*"), before, lambda x, c: (x + F.coalesce(c, F.lit(0))).cast("long"), into, ranges)
 
 
 def running_sum(df: DataFrame, keys: list[str], order: list[str], column: str, into: str, spool: Spool) -> DataFrame:

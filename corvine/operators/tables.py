@@ -42,10 +42,10 @@ def numbered(keys: list[str], *order: str | Column) -> Column:
     return F.row_number().over(W.partitionBy(*keys).orderBy(*order)) - 1
 
 
-def row_ids(df: DataFrame, ordinal: str, into: str = "id") -> DataFrame:
-    """Consecutive ids from 0 in the order of `ordinal`, without gathering all rows in one task. A table without
-    rows stays so."""
-    return running_count(df, [], [ordinal], into, Spool(df.sparkSession, "ids"))
+def row_ids(df: DataFrame, ordinal: str, into: str = "id", buckets: int | None = None) -> DataFrame:
+    """Consecutive ids from 0 in the order of `ordinal`, without gathering all rows in one task: in `buckets` ranges,
+    else in as many as a shuffle has. A table without rows stays so."""
+    return running_count(df, [], [ordinal], into, Spool(df.sparkSession, "ids"), buckets)
 
 
 def ordered(df: DataFrame, order: list[str], into: str, spool: Spool) -> DataFrame:

@@ -121,7 +121,7 @@ def sync(spark: SparkSession, new: dict[str, DataFrame], warehouse: io.Warehouse
     for t in config.LOAD_ORDER:
         if t in new and t in config.PRIMARY_KEYS and t in bare:
             found, ranges = diff.digest_diff(bare[t], new[t], config.PRIMARY_KEYS[t])
-            diffs[t] = spool.keep(found, t)
+            diffs[t] = spool.keep(found, t) if ranges else found
             same |= set() if ranges else {t}
     log = changelog(bare, new, diffs)
     merged = diff.merge_all(old, new, now, diffs)

@@ -1,6 +1,7 @@
 import pytest
 
 from corvine.plans import mechanism_queries as Q
+from corvine.plans import queries
 
 from .twins import rows_of, sql_rows
 
@@ -38,7 +39,7 @@ def test_infix_similar_equals_the_plain_table(spark, sf):
 
 
 def test_same_courses_equal_a_plain_replay(spark, sf):
-    courses, listings, taught = Q.queries._catalog(spark, sf)
+    courses, listings, taught = queries._catalog(spark, sf)
     rows = {r.course_id: (r.season_code, r.title.lower(), r.description or "") for r in courses.collect()}
     code = {r.course_id: r.course_code for r in listings.collect()}
     people = {}
