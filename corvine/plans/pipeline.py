@@ -97,12 +97,14 @@ def sync(spark: SparkSession, new: dict[str, DataFrame], warehouse: io.Warehouse
     rows (at, line) to be read in the order of `at`. Without `evaluations` the evaluation tables stay as they are, and
     in a first version they are absent. Key ranges whose digests are equal are not compared, and tables in which
     nothing differs are carried over unread."""
-    old, now = warehouse.read(), F.current_timestamp()
+    old, now, spool = warehouse.read(), F.current_timestamp(), Spool(spark, "sync")
     if not evaluations:
         new = {t: df for t, df in new.items() if not t.startswith("evaluation_")}
     if not old:
         return warehouse.write(rewritten(spark, new)), in_order(spark, ["## Summary", "", "First version"])
     bare = {t: df.drop(*config.AUDIT_COLUMNS) for t, df in old.items()}
+    # each table is read several times: digests, differences, changelog, merge
+    new = {t: df if hasattr(df, "_spooled_at") else spool.keep(df, t) for t, df in new.items()}
     helpers = ("_building_code", "_room")
     odd = {t: x for t in new if t in bare and (x := diff.schema_violations(bare[t], new[t].drop(*helpers)))} | {t: ["table is missing"] for t in new if t not in bare}
     if odd:
@@ -115,9 +117,10 @@ def sync(spark: SparkSession, new: dict[str, DataFrame], warehouse: io.Warehouse
         gone = bare["buildings"].select("code").join(new["buildings"].select("code"), "code", "left_anti")
         meetings = diff.resolve_locations(new["course_meetings"], places)
         places, meetings = diff.cascade_delete(gone, places, meetings)
-    known = Spool(spark, "sync").keep(new["locations"].select("building_code", "room").join(places, ["building_code", "room"]).select("location_id"), "known")
+    places, meetings = spool.keep(places, "places"), spool.keep(meetings, "meetings")
+    known = spool.keep(new["locations"].select("building_code", "room").join(places, ["building_code", "room"]).select("location_id"), "known")
     new = {**new, "locations": places, "course_meetings": meetings}
-    spool, diffs, same = Spool(spark, "diffs"), {}, set()
+    diffs, same = {}, set()
     for t in config.LOAD_ORDER:
         if t in new and t in config.PRIMARY_KEYS and t in bare:
             found, ranges = diff.digest_diff(bare[t], new[t], config.PRIMARY_KEYS[t])
