@@ -22,22 +22,23 @@ from .repeats import Scheme, flag_runs, split_segments, without_repeats
 WORDS = Scheme("word", 35)
 
 
-def suffix_order(text: np.ndarray) -> np.ndarray:
-    """Suffix array by prefix doubling; the last symbol is the only smallest."""
+def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
+    """Suffixes in the order of their first `depth` symbols or more, by prefix doubling; the last symbol is the only
+    smallest. Backward search for patterns of up to `depth` symbols needs no more."""
     n = len(text)
     rank = np.unique(text, return_inverse=True)[1].astype(np.int64)
     step = 1
-    while True:
+    while True:  # the ranks tell the first `step` symbols
         ahead = np.zeros(n, np.int64)
         ahead[: n - step] = rank[step:] + 1
         key = rank * (n + 2) + ahead
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         sorted_ = key[order]
         new = np.append(0, np.cumsum(sorted_[1:] != sorted_[:-1]))
         rank[order] = new
-        if new[-1] == n - 1:
-            return order
         step *= 2
+        if new[-1] == n - 1 or step >= depth:
+            return order
 
 
 class WaveletMatrix:
@@ -70,8 +71,10 @@ class WaveletMatrix:
 
 
 class FMIndex:
-    def __init__(self, text: np.ndarray, symbols: int):
-        order = suffix_order(text)
+    """Backward search for patterns of up to `depth` symbols."""
+
+    def __init__(self, text: np.ndarray, symbols: int, depth: int):
+        order = suffix_order(text, depth)
         bwt = text[order - 1]
         self.n, self.matrix = len(text), WaveletMatrix(bwt, symbols)
         below = np.append(0, np.cumsum(np.bincount(text, minlength=symbols)))[:-1]
@@ -85,15 +88,15 @@ class FMIndex:
         return both[: len(symbol)], both[len(symbol) :]
 
 
-def fm_kernel(segs: list[bytes], counts: np.ndarray, offs: np.ndarray, scheme: Scheme) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of windows that occur at least twice in the shard: those of segments that occur twice, and those that
-    the index finds in several places. All grams of the latter occur twice, so only stretches of such grams that are
-    long enough for a window are indexed and searched."""
+def fm_kernel(segs: list[bytes], offs: np.ndarray, asked: int, scheme: Scheme) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of windows of the first `asked` segments that the index of all segments finds in several places. All
+    grams of such a window occur twice, so only stretches of such grams that are long enough for a window are indexed
+    and searched."""
     u = split_segments(segs, scheme)
     length, gram = scheme.length, scheme.gram
-    every = np.diff(u.before) - length + 1
+    every = (np.diff(u.before) - length + 1)[:asked]
     place = np.append(0, np.cumsum(every))
-    known = np.repeat(counts >= 2, every)
+    found = np.zeros(int(place[-1]), bool)
     total = int(u.before[-1])
     _, number, often = np.unique(u.grams(gram), return_inverse=True, return_counts=True)
     twice = np.append(often[number] > 1, np.zeros(gram - 1, bool))
@@ -102,7 +105,7 @@ def fm_kernel(segs: list[bytes], counts: np.ndarray, offs: np.ndarray, scheme: S
     good = last - first >= length - gram + 1
     of, first, last = of[good], first[good], last[good] + gram - 1
     if not len(of):
-        return flag_runs(known, place[:-1])
+        return flag_runs(found, place[:-1])
     size = last - first
     stretch, spot = ragged(size)
     _, word = np.unique(hash_spans(u.data, u.starts, u.ends)[u.before[of][stretch] + first[stretch] + spot], return_inverse=True)
@@ -111,12 +114,13 @@ def fm_kernel(segs: list[bytes], counts: np.ndarray, offs: np.ndarray, scheme: S
     text = np.ones(int(size.sum()) + len(size) + 1, np.int64)
     text[np.arange(len(word)) + stretch] = word
     text[-1] = 0
-    index = FMIndex(text, int(word.max()) + 1)
-    flags = _search_all(index, word, before, size, length)
-    windows = size - length + 1
-    row, nth = ragged(windows)
-    known[place[of][row] + first[row] + nth] |= flags
-    return flag_runs(known, place[:-1])
+    index = FMIndex(text, int(word.max()) + 1, int(size.max()))
+    mine = int(np.searchsorted(of, asked))
+    of, first, size = of[:mine], first[:mine], size[:mine]
+    flags = _search_all(index, word, before[:mine], size, length)
+    row, nth = ragged(size - length + 1)
+    found[place[of][row] + first[row] + nth] = flags
+    return flag_runs(found, place[:-1])
 
 
 def _search_all(index: FMIndex, word: np.ndarray, before: np.ndarray, size: np.ndarray, length: int) -> np.ndarray:

@@ -11,6 +11,9 @@ from __future__ import annotations
 
 from collections import Counter
 
+#: A suffix whose previous smaller one is not known yet; -1 stands for none.
+UNKNOWN = -2
+
 
 def suffix_array(text: list[int]) -> list[int]:
     """Order of the suffixes of a sequence of non-negative integers whose last item is its only smallest."""
@@ -31,7 +34,7 @@ def suffix_array(text: list[int]) -> list[int]:
         p = free[s]
         free[s] = p + 1
         order[p], place[i] = i, p
-    before = [-1] * n
+    before = [UNKNOWN] * n
     top = n
     while top > 0:
         g = group[order[top - 1]]
@@ -54,14 +57,22 @@ def suffix_array(text: list[int]) -> list[int]:
                     group[j], size[last] = last, 1
             top = g
             continue
+        # members that meet one another on their way to the left have one previous smaller suffix: each step is taken once
         pointers: dict[int, int] = {}
-        for i in sorted(order[g:top]):
-            j = i - 1
+        for i in order[g:top]:
+            if before[i] != UNKNOWN:
+                continue
+            chain, j = [i], i - 1
             while j >= 0 and group[j] >= g:
-                j = before[j]
-            before[i] = j
+                k = before[j]
+                if k == UNKNOWN:
+                    chain.append(j)
+                    k = j - 1
+                j = k
+            for i in chain:
+                before[i] = j
             if j >= 0:
-                pointers[j] = pointers.get(j, 0) + 1
+                pointers[j] = pointers.get(j, 0) + len(chain)
         by_count: dict[int, list[int]] = {}
         for j, c in pointers.items():
             by_count.setdefault(c, []).append(j)

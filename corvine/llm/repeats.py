@@ -6,12 +6,13 @@ anchors at equal places. Consecutive windows with one anchor form a run, and its
 per window length, so anchors are few. Steps:
 
 1. Count anchors over all documents; one that occurs once has no repeated window.
-2. Give each document its repeated anchors; its segments at these are the candidates. Equal segments are one
-   row with a count from here on, so copies cost nothing.
+2. Give each document its repeated anchors; its segments at these are the candidates. Equal segments travel as one
+   row with a count, so that copies do not swell a shard.
 3. An anchor with many different segments (a common passage in many contexts) is dealt finer: each of its
-   windows goes by its own hash, equal windows again counted into one row.
+   windows goes by its own hash, equal windows again one row with a count.
 4. Shards of bounded size, dealt by anchor, are indexed and searched by a kernel, which reports the runs of
-   windows that occur twice or more. The two operators differ in the kernel only.
+   windows that occur twice or more. A segment with a count of two or more lies in the index twice: what is
+   repeated is found there and nowhere else, the kernel sees no counts. The two operators differ in the kernel only.
 5. Reports go back to the documents that hold the segments.
 
 Documents are told by a 128-bit digest of their text; equal texts have equal results. Nothing is collected to
@@ -228,9 +229,10 @@ def _windows(scheme: Scheme) -> Callable:
     return run
 
 
-#: A kernel gets a shard's segments, their counts and the anchors' places in them, and returns for each run of
-#: windows that occur at least twice: the segment's number, its first window and the window after its last.
-Kernel = Callable[[list[bytes], np.ndarray, np.ndarray, Scheme], tuple[np.ndarray, np.ndarray, np.ndarray]]
+#: A kernel gets a shard's segments, the anchors' places in them and how many of the segments are asked for: the
+#: first so many. It returns for each of their runs of windows that occur at least twice among all segments: the
+#: segment's number, its first window and the window after its last.
+Kernel = Callable[[list[bytes], np.ndarray, int, Scheme], tuple[np.ndarray, np.ndarray, np.ndarray]]
 
 
 def _search(kernel: Kernel, scheme: Scheme) -> Callable:
@@ -239,8 +241,9 @@ def _search(kernel: Kernel, scheme: Scheme) -> Callable:
         if not shard:
             return
         whole = pa.Table.from_batches(shard).combine_chunks()
-        segs, sids = whole.column("seg").to_pylist(), whole.column("sid")
-        seg, lo, hi = kernel(segs, whole.column("n").to_numpy(), whole.column("off").to_numpy().astype(np.int64), scheme)
+        segs, sids, offs = whole.column("seg").to_pylist(), whole.column("sid"), whole.column("off").to_numpy().astype(np.int64)
+        again = np.flatnonzero(whole.column("n").to_numpy() >= 2)  # two occurrences tell as much as a thousand
+        seg, lo, hi = kernel(segs + [segs[i] for i in again.tolist()], np.append(offs, offs[again]), len(segs), scheme)
         yield pa.RecordBatch.from_arrays([sids.take(pa.array(seg)).combine_chunks(), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32))], ["sid", "lo", "hi"])
 
     return run

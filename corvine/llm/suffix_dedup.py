@@ -17,23 +17,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._spark import table
-from ._text import _TAIL, lanes, ragged
+from ._text import _TAIL, lanes, mix, ragged
 from .gsaca import suffix_array
 from .repeats import Scheme, flag_runs, split_segments, without_repeats
 
 BLOCK = 8
 
 
-def sa_kernel(segs: list[bytes], counts: np.ndarray, offs: np.ndarray, scheme: Scheme) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of windows that occur at least twice in the shard: those of segments that occur twice, and those that
-    the suffix array finds in several places. All whole blocks of the latter occur twice, so only stretches of such
-    blocks that are long enough for a window are sorted."""
+def sa_kernel(segs: list[bytes], offs: np.ndarray, asked: int, scheme: Scheme) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of windows of the first `asked` segments that the suffix array of all segments finds in several places.
+    All whole blocks of such a window occur twice, so only stretches of such blocks that are long enough for a window
+    are sorted."""
     u = split_segments(segs, scheme)
     size, base, length = np.diff(u.before), u.before[:-1], scheme.length
     windows = size - length + 1
     bounds = np.append(0, np.cumsum(windows))
     seg, j = ragged(windows)
-    flags = (counts >= 2)[seg]
+    flags = np.zeros(len(seg), bool)
     # blocks that occur twice, in stretches
     lane = lanes(u.data)
     skip = offs % BLOCK
@@ -45,7 +45,7 @@ def sa_kernel(segs: list[bytes], counts: np.ndarray, offs: np.ndarray, scheme: S
     good = end - begin >= (length - BLOCK + 1) // BLOCK
     begin, end = ahead[of[good]] + begin[good], ahead[of[good]] + end[good]
     if not len(begin):
-        return flag_runs(flags, bounds[:-1])
+        return flag_runs(flags[: bounds[asked]], bounds[:asked])
     stretch, nth = ragged(end - begin)
     text = np.ones(len(stretch) + len(begin) + 1, np.int64)
     spot = np.arange(len(stretch)) + stretch
@@ -79,12 +79,27 @@ def sa_kernel(segs: list[bytes], counts: np.ndarray, offs: np.ndarray, scheme: S
         group[own] = number[at[own]]
     left = lane[base[seg] + j] & np.where(head > 0, _TAIL[head], np.uint64(0))
     right = lane[base[seg] + j + head + BLOCK * whole] & np.where(tail > 0, _TAIL[tail], np.uint64(0))
-    group = group * BLOCK + head
-    turn = np.lexsort((right, left, group))
-    new = np.append(True, (np.diff(group[turn]) != 0) | (left[turn][1:] != left[turn][:-1]) | (right[turn][1:] != right[turn][:-1])) if len(turn) else np.zeros(0, bool)
-    label = np.cumsum(new) - 1
-    flags[some[turn]] |= (np.bincount(label) >= 2)[label] if len(turn) else flags[:0]
-    return flag_runs(flags, bounds[:-1])
+    label = _labels(group * BLOCK + head, left, right)
+    flags[some] = np.bincount(label, minlength=1)[label] >= 2
+    return flag_runs(flags[: bounds[asked]], bounds[:asked])
+
+
+def _labels(*keys: np.ndarray) -> np.ndarray:
+    """Equal numbers for equal rows of `keys`. Rows are sorted by a hash of all keys, by the keys themselves only if
+    two different rows share a hash."""
+    hashed = np.zeros(len(keys[0]), np.uint64)
+    for key in keys:
+        hashed = mix(hashed * np.uint64(0x9E3779B97F4A7C15) + key.view(np.uint64))
+    for turn in (np.argsort(hashed), None):
+        if turn is None:
+            turn = np.lexsort(keys)
+        new = np.ones(len(turn), bool)
+        new[1:] = np.any([key[turn][1:] != key[turn][:-1] for key in keys], axis=0)
+        if np.array_equal(new[1:], np.diff(hashed[turn]) != 0):
+            break
+    label = np.empty(len(turn), np.int64)
+    label[turn] = np.cumsum(new) - 1
+    return label
 
 
 def dedup_bytes(docs: DataFrame, text: str = "text", length: int = 200, into: str = "repeats") -> DataFrame:

@@ -69,7 +69,8 @@ def test_kernel_on_all_segments_equals_brute_force(unit, length, kernel, seed):
     cut = (lambda a, b: raw[a:b]) if unit == "byte" else (lambda a, b: b" ".join(items[a:b]))
     segs = Counter((cut(a, b + length), p - a) for a, b, p in zip(first.tolist(), last.tolist(), place.tolist()))
     keys = list(segs)
-    seg, lo, hi = kernel([k for k, _ in keys], np.array([segs[k] for k in keys]), np.array([o for _, o in keys]), scheme)
+    all_ = keys + [k for k in keys if segs[k] > 1]
+    seg, lo, hi = kernel([k for k, _ in all_], np.array([o for _, o in all_], np.int64), len(keys), scheme)
     found = {}
     for s, a, b in zip(seg.tolist(), lo.tolist(), hi.tolist()):
         found.setdefault(keys[s], []).append((a, b))
@@ -81,6 +82,43 @@ def test_kernel_on_all_segments_equals_brute_force(unit, length, kernel, seed):
     assert [int(gone[a:b].sum()) for a, b in zip(u.before, u.before[1:])] == [w[1] for w in want]
 
 
+@pytest.mark.parametrize("unit,length,kernel", [("word", 12, fm_index.fm_kernel), ("byte", 40, suffix_dedup.sa_kernel)])
+def test_kernel_tells_copies_by_the_index_alone(unit, length, kernel):
+    """No counts reach a kernel: a segment is repeated if it lies in the index twice, in any order and neighbourhood."""
+    r, scheme = random.Random(1), Scheme(unit, length)
+    segs = [b" ".join(str(r.randrange(10**6)).encode() for _ in range(r.randint(14, 24))) for _ in range(30)]
+    size = (lambda x: len(x)) if unit == "byte" else (lambda x: len(x.split()))
+    again = list(range(0, 30, 3))
+    for order in (again, again[::-1]):
+        seg, lo, hi = kernel(segs + [segs[i] for i in order], np.zeros(40, np.int64), 30, scheme)
+        assert list(zip(seg.tolist(), lo.tolist(), hi.tolist())) == [(i, 0, size(segs[i]) - length + 1) for i in again]
+    seg, lo, hi = kernel(segs, np.zeros(30, np.int64), 30, scheme)
+    assert not len(seg)
+
+
+def test_labels_of_rows_that_share_a_hash(monkeypatch):
+    r = np.random.default_rng(2)
+    keys = [r.integers(0, 3, 200), r.integers(0, 3, 200).astype(np.uint64)]
+    want = np.unique(keys[0] * 3 + keys[1].astype(np.int64), return_inverse=True)[1]
+    for mix in (suffix_dedup.mix, lambda h: h & np.uint64(0), lambda h: h & np.uint64(3)):
+        monkeypatch.setattr(suffix_dedup, "mix", mix)
+        label = suffix_dedup._labels(*keys)
+        assert len(set(zip(label.tolist(), want.tolist()))) == len(set(want.tolist())) == len(set(label.tolist()))
+
+
+@pytest.mark.parametrize("depth", [1, 3, 8])
+def test_backward_search_within_its_depth(depth):
+    r = np.random.default_rng(depth)
+    text = np.append(r.integers(1, 4, 400), 0)
+    index = fm_index.FMIndex(text, 4, depth)
+    for start in range(0, 380, 7):
+        pattern = text[start : start + depth]
+        lo, hi = np.zeros(1, np.int64), np.full(1, index.n)
+        for symbol in pattern[::-1]:
+            lo, hi = index.back(np.array([symbol]), lo, hi)
+        assert hi[0] - lo[0] == sum((text[i : i + depth] == pattern).all() for i in range(400 - depth + 1))
+
+
 @pytest.mark.parametrize("crowd", [512, 1])
 def test_both_operators(spark, monkeypatch, crowd):
     monkeypatch.setattr(repeats, "CROWD", crowd)
