@@ -1,3 +1,4 @@
+import hashlib
 import math
 import random
 import re
@@ -249,18 +250,39 @@ def test_empty_corpora(spark):
     assert lm_score.score_documents(none)[0].count() == 0
 
 
+def brute(text: str | None, items: list[tuple[str, str | None]], length: int = 10) -> tuple[int, int, int, str, bool]:
+    """The contract's columns for one document, by comparing every window."""
+    find = lambda t: re.findall(r"[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    words, hit, names = find(text), set(), set()
+    for name, item in items:
+        own = find(item)
+        size = min(length, len(own))
+        for k in range(len(own) - size + 1) if own else ():
+            for i in range(len(words) - size + 1):
+                if words[i : i + size] == own[k : k + size]:
+                    hit.update(range(i, i + size))
+                    names.add(str(name))
+    return len(words), len(hit), len(names), hashlib.sha256(",".join(sorted(names)).encode()).hexdigest(), bool(hit)
+
+
 def test_contamination_equals_brute_force(spark, monkeypatch):
     r = random.Random(3)
     voc = "a b c D é".split()
     items = [(i, " ".join(r.choice(voc) for _ in range(r.choice([0, 2, 3, 5, 9, 10, 11, 12, 30])))) for i in range(12)] + [(3, None)]
     docs = [(i, " ".join(r.choice(voc) for _ in range(r.randint(0, 60))) if i else None, "x") for i in range(100)]
-    for size in (4 << 20, 30):
-        monkeypatch.setattr(decontaminate, "BLOCK_BYTES", size)
+    # one block; several in a pass; several passes; short pieces and lanes
+    for size, together, piece, lane in ((4 << 20, 16 << 20, 1 << 14, 128), (30, 16 << 20, 1 << 14, 128), (30, 60, 1 << 14, 128), (60, 120, 3, 4)):
+        for name, value in {"BLOCK_BYTES": size, "PASS_BYTES": together, "PIECE": piece, "LANE": lane}.items():
+            monkeypatch.setattr(decontaminate, name, value)
         found = decontaminate.contamination(spark.createDataFrame(docs, "doc_id long, text string, items string"), spark.createDataFrame(items, "item_id long, text string"))
         for g in found.collect():
             c = g.contamination
-            w = decontaminate.brute(g.text, items)
-            assert (c.n_words, sum(s.stop - s.start for s in c.spans), len(c["items"])) == w[:3]
+            w = brute(g.text, items)
+            digest = hashlib.sha256(",".join(c["items"]).encode()).hexdigest()
+            assert (c.n_words, sum(s.stop - s.start for s in c.spans), len(c["items"]), digest, bool(c.spans)) == w
+            assert all(a.stop < b.start for a, b in zip(c.spans, c.spans[1:]))
+            words = [m.span() for m in re.finditer(rb"[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", (g.text or "").encode())]
+            assert [(b.start, b.stop) for b in c.bytes] == [(words[s.start][0], words[s.stop - 1][1]) for s in c.spans]
 
 
 def test_decontamination_cuts_leaks_only(spark):
@@ -277,4 +299,20 @@ def test_query_finds_planted_passages(spark, sf):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     got = {r.doc_id: tuple(r)[1:] for r in decontaminate.op6_decontaminate(spark, sf).collect()}
     for i in sorted(docs)[:25]:
-        assert got[i] == decontaminate.brute(docs[i], items)
+        assert got[i] == brute(docs[i], items)
+
+
+def test_automaton_equals_all_windows():
+    r = random.Random(5)
+    for case in range(40):
+        length = r.choice([2, 3, 5])
+        items = [" ".join(r.choice("abc") for _ in range(r.randint(0, 12))) for _ in range(r.randint(0, 6))]
+        text = " ".join(r.choice("abcd") for _ in range(r.randint(0, 80)))
+        made = decontaminate.Automaton(items, list(range(len(items))), length)
+        made = decontaminate.Automaton.load(length, made.shortest, made.dump())
+        data, starts, ends, before = decontaminate.normal_words(pa.array([text, "", text]))
+        first, stop, place, item = made.match(decontaminate.hash_spans(data, starts, ends), before)
+        want = brute(text, list(enumerate(items)), length)
+        half = len(text.split())
+        assert len({i for a, b in zip(first.tolist(), stop.tolist()) for i in range(a, b) if i < half}) == want[1]
+        assert len(set(item[place < half].tolist())) == want[2] == len(set(item[place >= half].tolist()))
