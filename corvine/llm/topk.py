@@ -41,8 +41,8 @@ SCALE, K, EVERY = 64, 20, 20
 BLOCK, PAGE = 8192, 128
 #: Blocks that a table has at least, and pivots that are broadcast at most (more rows a pivot beyond that).
 LEAST_BLOCKS, MOST_PIVOTS = 16, 4096
-#: Queries that meet a block at once.
-QUERY_ROWS = 4096
+#: Queries that meet a block at once, and distances that a worker computes at once when it routes.
+QUERY_ROWS, CELLS = 4096, 1 << 22
 
 
 def _distances(points: np.ndarray, pivots: np.ndarray) -> np.ndarray:
@@ -201,6 +201,15 @@ def _matrix(column: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(len(column), dim)
 
 
+def _steps(dims: np.ndarray, wide: dict[int, int]) -> Iterator[tuple[int, np.ndarray]]:
+    """Rows of one length, so many at once that `CELLS` distances to the pivots or blocks of that length hold them."""
+    for dim in np.unique(dims).tolist():
+        some = np.flatnonzero(dims == dim)
+        each = max(1, CELLS // max(1, wide[dim]))
+        for at in range(0, len(some), each):
+            yield dim, some[at : at + each]
+
+
 def _dealt(shared):
     """Rows to their nearest pivot; the number counts pivots over all lengths."""
 
@@ -209,8 +218,7 @@ def _dealt(shared):
         for batch in batches:
             dims = batch.column("dim").to_numpy()
             own = np.zeros(len(dims), np.int32)
-            for dim in np.unique(dims).tolist():
-                some = np.flatnonzero(dims == dim)
+            for dim, some in _steps(dims, {d: len(x[1]) for d, x in pivots.items()}):
                 first, centers = pivots[dim]
                 points = _matrix(batch.column("v").take(pa.array(some)), dim).astype(float)
                 own[some] = first + ((centers**2).sum(axis=1) - 2 * points @ centers.T).argmin(axis=1)
@@ -239,8 +247,7 @@ def _routed(shared, at_home: bool):
             if not at_home:
                 least, met = batch.column("least").to_numpy(zero_copy_only=False), batch.column("block").to_numpy()
             row, to = [], []
-            for dim in np.unique(dims).tolist():
-                some = np.flatnonzero(dims == dim)
+            for dim, some in _steps(dims, {d: len(x[0]) for d, x in router.items()}):
                 blocks, of_pivot, centers, radii, most = router[dim]
                 points = _matrix(batch.column("v").take(pa.array(some)), dim).astype(float)
                 total = (points**2).sum(axis=1)[:, None] + most
@@ -257,7 +264,7 @@ def _routed(shared, at_home: bool):
                     a, b = np.nonzero(go)
                 row.append(some[a])
                 to.append(blocks[b])
-            row, to = np.concatenate(row), np.concatenate(to).astype(np.int32)
+            row, to = np.concatenate(row or [np.zeros(0, np.int64)]), np.concatenate(to or [np.zeros(0)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays([*batch.take(pa.array(row)).columns, pa.array(to)], [*batch.schema.names, "block" if at_home else "to"])
 
     return run
@@ -327,18 +334,20 @@ def top_k(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embeddin
     schema = "vec_id long, v array<long>, dim int, pivot int, block int"
 
     def answers(sent: DataFrame) -> DataFrame:
-        """What blocks answer; the queries of a block are cut into parts of bounded size, each with the block's tree."""
-        parts = max(1, -(-max(1, sum(sizes.values()) // every) // QUERY_ROWS))
-        sent = sent.withColumn("part", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(parts)).cast("int"))
-        each = trees.select("block", "tree", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
-        return each.groupBy("block", "part").cogroup(sent.groupBy("block", "part")).applyInArrow(_searching(k), FOUND)
+        """What blocks answer; the queries of a block are cut into parts of bounded size, each with the block's tree.
+        A tree goes only to parts that have queries."""
+        met = sent.groupBy("block").agg(F.ceil(F.count("*") / QUERY_ROWS).cast("int").alias("parts"))
+        part = F.pmod(F.xxhash64("vec_id", F.lit(1)), F.col("parts")).cast("int")
+        cut = sent.join(met, "block").withColumn("part", part).drop("parts")
+        each = trees.select("block", "tree").join(met, "block").select("block", "tree", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+        return each.groupBy("block", "part").cogroup(cut.groupBy("block", "part")).applyInArrow(_searching(k), FOUND)
 
     home = spool.keep(asked.mapInArrow(_routed(shared, True), schema), "asked")
     at_home = spool.keep(answers(home.withColumn("least", F.lit(None).cast("long"))), "home")
     kth = at_home.groupBy(F.col("query_id").alias("vec_id")).agg(F.when(F.count("*") >= k, F.min("score")).alias("least"))
     seeded = home.join(kth, "vec_id", "left").select("vec_id", "v", "dim", "pivot", "block", F.col("least").cast("double").alias("least"))
     away = seeded.mapInArrow(_routed(shared, False), f"{schema}, least double, to int")
-    away = away.select("vec_id", "v", "dim", F.col("least").cast("long").alias("least"), F.col("to").alias("block"))
+    away = spool.keep(away.select("vec_id", "v", "dim", F.col("least").cast("long").alias("least"), F.col("to").alias("block")), "away")
     found = at_home.union(answers(away))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
