@@ -7,8 +7,9 @@ probability mixes the add-half unigram with the quantised bigram estimate (a low
 mixture does not exceed one but for the filter's false positives); the weight depends on how often the context was
 seen and is fitted on all training documents, with each one's own bigrams taken out.
 
-Counting works on sorted hash arrays: each task packs its distinct hashes by range, and a range's packs are merged
-in one bounded group; ranges are cut by hash, as many as the volume of text asks for, so no word or bigram is hot.
+Counting works on sorted hash arrays: each task packs its distinct hashes by top byte; where the volume of text asks
+for more ranges than 256, packs of a top byte are first dealt into bounded groups, merged there and cut into its
+ranges. A range's packs are merged in one bounded group; ranges are cut by hash, so no word or bigram is hot.
 Unigram counts are exact. The filter has `BITS_PER_KEY` bits for every key at every size. Filter and unigram table
 are broadcast while they keep within `MOST_FILTER` and `MOST_TABLE` bytes, fetched range by range; beyond that each
 hash range keeps its part, and documents in blocks ask the ranges for the counts and levels of their own words and
@@ -115,15 +116,18 @@ def _merge(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return hashes[new], np.add.reduceat(counts[order], new) if len(hashes) else counts
 
 
-def _counting(fine: int):
-    """Texts to packs by kind and range: 256 top bytes, each cut into `fine` equal parts."""
+def _ranged(kind: int, hashes: np.ndarray, counts: np.ndarray, ranges: int, first: int, last: int) -> pa.RecordBatch:
+    """Packs of sorted hashes for the ranges from `first` to before `last`, of `ranges` equal ones."""
+    edges = np.searchsorted(hashes, np.array([((i << 64) + ranges - 1) // ranges for i in range(first, last)], U64)).tolist() + [len(hashes)]
+    rows = [(i, _pack(hashes[a:b], counts[a:b])) for i, (a, b) in enumerate(zip(edges, edges[1:], strict=False), first) if b > a]
+    return pa.RecordBatch.from_arrays([pa.array([kind] * len(rows), pa.int32()), pa.array([r for r, _ in rows], pa.int32()), pa.array([x for _, x in rows], pa.binary())], ["kind", "part", "pack"])
+
+
+def _counting():
+    """Texts to packs by kind and top byte."""
 
     def packs(kind: int, parts: list[np.ndarray]) -> pa.RecordBatch:
-        hashes, counts = np.unique(np.concatenate(parts), return_counts=True)
-        ranges = 256 * fine
-        edges = np.searchsorted(hashes, np.array([((i << 64) + ranges - 1) // ranges for i in range(ranges)], U64)).tolist() + [len(hashes)]
-        rows = [(i, _pack(hashes[a:b], counts[a:b])) for i, (a, b) in enumerate(zip(edges, edges[1:], strict=False)) if b > a]
-        return pa.RecordBatch.from_arrays([pa.array([kind] * len(rows), pa.int32()), pa.array([r for r, _ in rows], pa.int32()), pa.array([x for _, x in rows], pa.binary())], ["kind", "part", "pack"])
+        return _ranged(kind, *np.unique(np.concatenate(parts), return_counts=True), 256, 0, 256)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: tuple[list, list] = ([], [])
@@ -143,6 +147,18 @@ def _counting(fine: int):
     return run
 
 
+def _splitting(fine: int):
+    """Some packs of a top byte, merged and cut into its `fine` ranges."""
+
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        kind, top = key[0].as_py(), key[1].as_py()
+        both = [_unpack(x, top) for x in rows.column("pack").to_pylist()]
+        merged = _merge(np.concatenate([h for h, _ in both]), np.concatenate([c for _, c in both]))
+        return pa.Table.from_batches([_ranged(kind, *merged, 256 * fine, top * fine, (top + 1) * fine)])
+
+    return run
+
+
 def _merging(fine: int):
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         kind, part = (k.as_py() for k in key)
@@ -387,7 +403,10 @@ def train(docs: DataFrame, text: str = "text", bits: float | None = None) -> Mod
     body = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text"))
     size = body.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
     fine = 1 << (int(size.bytes) // (256 * RANGE_BYTES)).bit_length()
-    packs = body.mapInArrow(_counting(fine), "kind int, part int, pack binary")
+    packs = body.mapInArrow(_counting(), "kind int, part int, pack binary")
+    if fine > 1:  # as many deals of a top byte as it has ranges: packs of a deal, and of a range, stay within some RANGE_BYTES
+        deal = F.pmod(F.xxhash64("pack"), F.lit(fine)).alias("deal")
+        packs = packs.groupBy("kind", "part", deal).applyInArrow(_splitting(fine), "kind int, part int, pack binary")
     schema = "kind int, part int, total long, keys long, hashes binary, values binary"
     counts = spool.keep(packs.groupBy("kind", "part").applyInArrow(_merging(fine), schema), "counts")
     return Model(counts, 256 * fine, size.n, spool, bits or BITS_PER_KEY)

@@ -245,6 +245,24 @@ def test_filter_keeps_every_level():
     assert (f.levels(pair + np.uint64(1)) > 0).mean() < 0.03
 
 
+def test_packs_in_two_levels_hold_the_same_counts(spark, monkeypatch):
+    r = random.Random(8)
+    docs = spark.createDataFrame([(i, " ".join(f"w{r.randrange(90)}" for _ in range(30))) for i in range(60)], "doc_id long, text string")
+
+    def counted():
+        m = lm_score.train(docs)
+        words = {}
+        for row in m.words.collect():
+            words.update(zip(np.frombuffer(row.hashes, np.uint64).tolist(), np.frombuffer(row["values"], "<i8").tolist()))
+        return m.ranges, words, m.total, m.distinct
+
+    one = counted()
+    monkeypatch.setattr(lm_score, "RANGE_BYTES", 8)
+    monkeypatch.setattr(lm_score, "FLUSH", 100)
+    two = counted()
+    assert one[0] == 256 and two[0] > 256 and one[1:] == two[1:] and len(one[1]) == 91
+
+
 def test_empty_corpora(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert lm_score.score_documents(none)[0].count() == 0
