@@ -373,7 +373,7 @@ def align_documents(docs: DataFrame, a_path: str, b_path: str, text: str = "text
     doc = plain.select(one.alias("doc")).schema["doc"].dataType
     types = dict.fromkeys(PACKED[1:3], T.LongType()) | dict.fromkeys(PACKED[3:], T.IntegerType()) | {"docs": doc}
     made = T.StructType([T.StructField("block", T.LongType()), *[T.StructField(c, T.ArrayType(types[c])) for c in PACKED]])
-    blocks = spool.keep(plain.mapInArrow(_packing(text, a_path, b_path, block), made), "blocks")
+    blocks = spool.keep(plain.mapInArrow(_packing(text, a_path, b_path, block), made), "blocks", rows=1)
     asked = blocks.select(F.col("block").alias("of"), F.explode("pairs").alias("pair"))
     answers = asked.join(link_counts(blocks, Pieces(b_path).library.vocab_size()), "pair")
     out = T.StructType([*doc.fields, *[T.StructField(c, T.LongType()) for c in SUMS]])

@@ -32,9 +32,15 @@ class Spool:
         self.n += 1
         return f"{self.root}/{self.n}-{name}"
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
+    def keep(self, df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+        """The table, written and read back. Tables of large rows say how many `rows` a row group may hold: a writer
+        holds one, and a reader decodes up to 4,096 rows of one at once; by itself a writer looks at sizes only after
+        a hundred rows."""
         at = self.path(name)
-        df.write.option("compression", "zstd").parquet(at)
+        writer = df.write.option("compression", "zstd")
+        if rows is not None:
+            writer = writer.option("parquet.block.row.count.limit", rows).option("parquet.page.size.row.check.min", 1)
+        writer.parquet(at)
         if not self.marked:
             folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
             self.marked = folder.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(folder)

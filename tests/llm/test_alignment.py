@@ -93,3 +93,23 @@ def test_groups_column_and_long_texts(spark):
     for groups, want in zip(got, plain([long, None, "plain words", "a▁"]), strict=True):
         shown = ";".join(",".join(map(str, g.a)) + "|" + ",".join(map(str, g.b)) for g in groups)
         assert (hashlib.sha256(shown.encode()).hexdigest() if groups else "") == want[4]
+
+
+def test_a_row_group_holds_one_block(spark):
+    """Blocks are large rows: readers decode all rows of a row group at once."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    at = spark.conf.get("spark.checkpoint.dir").removeprefix("file://")
+    before = set(glob.glob(f"{at}/alignment-*"))
+    docs = spark.createDataFrame([(i, f"some words {i} " * 20) for i in range(40)], "doc_id long, text string").coalesce(1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:
+        assert alignment.align_documents(docs, A, B, block=600).count() == 40
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    (new,) = set(glob.glob(f"{at}/alignment-*")) - before
+    files = [pq.ParquetFile(f).metadata for f in glob.glob(f"{new}/*blocks/*.parquet")]
+    assert sum(m.num_rows for m in files) > 5
+    assert all(m.row_group(i).num_rows == 1 for m in files for i in range(m.num_row_groups))
