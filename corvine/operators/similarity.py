@@ -19,6 +19,8 @@ from ..sources.spool import Spool
 
 #: Longer texts that meet a piece in one group.
 CROWD = 512
+#: Pairs that a task compares, and pairs that it lists.
+COMPARED, LISTED = 500_000, 4_000_000
 #: What Python's `strip` takes away.
 BLANKS = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 
@@ -65,3 +67,34 @@ def similar_pairs(texts: DataFrame, keys: list[str], text: str, spool: Spool, mo
     pairs = pairs.where(F.size(F.array_except(two("a"), two("b"))) <= 2 * F.floor(F.lit(float(most)) * F.col("_na")))
     out = pairs.withColumn("distance", infix_similarity(F.col("_ta"), F.col("_tb"), F.lit(float(most))))
     return out.where("distance >= 0").select(*keys, "a", "b", "distance", *ends)
+
+
+def _shares_piece(x: Column, y: Column, most: float) -> Column:
+    """Whether texts can be alike: one of the disjoint pieces of the shorter one occurs in the longer unchanged."""
+    a, b = F.regexp_replace(x, BLANKS, ""), F.regexp_replace(y, BLANKS, "")
+    swap = F.char_length(a) > F.char_length(b)
+    short, long = F.when(swap, b).otherwise(a), F.when(swap, a).otherwise(b)
+    limit = F.floor(F.lit(float(most)) * F.char_length(short)).cast("int")
+    step = F.floor(F.char_length(short) / (limit + 1)).cast("int")
+    return F.exists(F.sequence(F.lit(0), limit), lambda i: F.contains(long, F.substring(short, i * step + 1, step)))
+
+
+def all_distances(rows: DataFrame, keys: list[str], ident: str, text: str, spool: Spool, most: float = config.MAX_TEXT_DISTANCE) -> DataFrame:
+    """(a, b, distance) of all pairs a < b of ids with equal keys, -1 if their texts are not alike. Equal texts of
+    equal keys are one class, named by its smallest id: classes are compared, and pairs of members take the distance
+    of their classes."""
+    named = [F.col(k).eqNullSafe(F.col(f"_{i}")) for i, k in enumerate([*keys, text])]
+    classes = spool.keep(rows.where(" and ".join(f"`{k}` is not null" for k in keys)).groupBy(*keys, text).agg(F.min(ident).alias("_class")), "classes")
+    other = classes.select(*[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate([*keys, text])], F.col("_class").alias("_o"))
+    members = rows.join(other, named).select(F.col("_o").alias("_class"), F.col(ident).alias("_id"))
+    members = spool.keep(members, "members")
+    spark, inside = rows.sparkSession, lambda df: df.groupBy(*keys).agg(F.count("*").alias("c")).agg(F.sum(F.col("c") * F.col("c"))).first()[0] or 0
+    tasks = lambda df, each: max(spark.sparkContext.defaultParallelism, -(-inside(df) // each))
+    side = lambda s: classes.select(*keys, F.col(text).alias(f"_t{s}"), F.col("_class").alias(f"_{s}"))
+    met = side("x").repartition(tasks(classes, COMPARED), "_x").join(side("y"), keys).where("_x <= _y").select("_x", "_y", "_tx", "_ty", F.coalesce(_shares_piece(F.col("_tx"), F.col("_ty"), most), F.lit(False)).alias("_may"))
+    # only pairs that can be alike go to Python
+    near = met.where("_may").select("_x", "_y", infix_similarity(F.col("_tx"), F.col("_ty"), F.lit(float(most))).alias("distance"))
+    pairs = near.unionByName(met.where("not _may").select("_x", "_y", F.lit(-1.0).alias("distance")))
+    a, b = members.select(F.col("_class").alias("_x"), F.col("_id").alias("_a")), members.select(F.col("_class").alias("_y"), F.col("_id").alias("_b"))
+    out = pairs.join(a, "_x").repartition(tasks(rows, LISTED), "_x", "_a").join(b, "_y").where("_x <> _y or _a < _b")
+    return out.select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b"), "distance")

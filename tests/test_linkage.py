@@ -2,6 +2,7 @@ import random
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from corvine.functions.text import text_distance
 from corvine.operators import graph, linkage, merges, similarity
@@ -213,3 +214,41 @@ def test_places_without_room_vanish(spark):
     locations, buildings, bad = linkage.resolve_places(spark.createDataFrame(rows, "location string, location_url string, o long"), "o")
     assert [tuple(r) for r in locations.collect()] == [("SSS", "1", "New Hall", "")]
     assert [r.code for r in buildings.collect()] == ["SSS"] and bad.count() == 1
+
+
+def test_primary_numbers_do_not_meet_all_listings_of_a_code(spark):
+    """Thousands of listings of one code: answers come from one row a code and section, without pairs."""
+    kind = "crn string, code string, section string, primary_code string"
+    rows = [(str(i), "A", str(i % 3), "A") for i in range(30)] + [("x", "B", None, "B"), ("y", "C", "9", "A"), ("z", "C", "1", None), ("v", "C", "1", "B"), ("u", None, "1", "none")]
+    df = spark.createDataFrame(rows, kind)
+    got = {r.crn: r.primary for r in linkage.primary_crn(df).collect()}
+    assert got == {str(i): ("0", "1", "11")[i % 3] for i in range(30)} | {"x": "x", "y": None, "z": "z", "v": "x", "u": None}
+    many = spark.range(6000).selectExpr("cast(id as string) as crn", "'A' as code", "cast(id % 3 as string) as section", "'A' as primary_code")
+    plan = linkage.primary_crn(many)._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert joins and not any("OR" in j for j in joins)
+
+
+def test_all_distances_compare_equal_texts_once(spark, monkeypatch):
+    r = random.Random(5)
+    words = ["alpha beta gamma", "alpha beta gamna", "beta", "something else", "xalpha beta gamma y", "ab", " "]
+    rows = [(i, r.choice("kl"), r.choice(words)) for i in range(120)]
+    df = spark.createDataFrame(rows, "id long, k string, t string")
+    want = {(a, b): text_distance(x, y) for a, k, x in rows for b, m, y in rows if a < b and k == m}
+    out = similarity.all_distances(df, ["k"], "id", "t", Spool(spark, "test"))
+    got = out.collect()
+    assert len(got) == len(want) and {(g.a, g.b): g.distance for g in got} == want
+    # copies do not multiply what Python is asked
+    asked = spark.sparkContext.accumulator(0)
+
+    def counted(a, b, most):
+        @F.udf("double")
+        def one(x, y, m):
+            asked.add(1)
+            return text_distance(x, y, m)
+
+        return one(a, b, most)
+
+    monkeypatch.setattr(similarity, "infix_similarity", counted)
+    similarity.all_distances(df, ["k"], "id", "t", Spool(spark, "test")).collect()
+    assert 0 < asked.value <= 2 * len(words) ** 2
