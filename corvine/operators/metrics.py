@@ -10,6 +10,7 @@ from .. import config
 from ..functions import scalars as S
 from ..sources.spool import Spool
 from .running import running_last
+from .tables import spread
 
 
 def histogram_sum(ratings: DataFrame, keys: list[str], rating: str = "rating") -> DataFrame:
@@ -81,8 +82,15 @@ def professor_ratings(bridge: DataFrame, statistics: DataFrame) -> DataFrame:
     return rated.groupBy("professor_id").agg(F.avg("avg_rating").alias("average_rating"), F.count("avg_rating").alias("average_rating_n"), F.count("*").alias("courses_taught"))
 
 
-def course_professor_rating(bridge: DataFrame, professors: DataFrame) -> DataFrame:
+#: Rows of a task that groups a bridge by course, where their number is known.
+GROUPED = 500_000
+
+
+def course_professor_rating(bridge: DataFrame, professors: DataFrame, n: int | None = None) -> DataFrame:
+    """With the number `n` of the bridge's rows, a task groups a bounded number of them."""
     rows = bridge.join(professors.select("professor_id", "average_rating"), "professor_id", "left")
+    if n is not None:
+        rows = spread(rows, GROUPED, "course_id", rows=n)
     return rows.groupBy("course_id").agg(F.avg("average_rating").alias("average_professor_rating"))
 
 

@@ -30,6 +30,14 @@ def last_non_null(df: DataFrame, keys: list[str], ordinal: str, columns: list[st
     return df.groupBy(*keys).agg(*pick)
 
 
+def spread(df: DataFrame, each: int, *keys: str, rows: int | None = None) -> DataFrame:
+    """The rows by the keys, or anyhow, in as many partitions as hold about `each` of them; Spark counts bytes, and few
+    bytes can be many rows. What groups by the keys or more needs no further shuffle. Small tables stay as they are.
+    The rows are counted if their number is not given."""
+    parts = -(-(df.count() if rows is None else rows) // each)
+    return df.repartition(parts, *keys) if parts > 1 else df
+
+
 def single_or_null(value: str, keys: list[str]) -> Column:
     """The group's value if every row has it, else null; a null beside a value gives null."""
     w = W.partitionBy(*keys)

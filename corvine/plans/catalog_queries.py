@@ -12,7 +12,7 @@ from ..operators import checks, diff, linkage, metrics, running, tables
 from ..sources import crawl, io
 from ..sources.spool import Spool
 from . import evaluations, parse, queries
-from .queries import _OFF, ORACLE, QUERIES, offerings, query, t
+from .queries import _OFF, GROUPED, ORACLE, QUERIES, dealt, offerings, query, t
 
 __all__ = ["ORACLE", "QUERIES", "queries"]
 
@@ -43,7 +43,7 @@ def identical_listings(spark, d):
 @query("""with m as (select l_orderkey as course_id, cast(l_linenumber % 2 as varchar) as start_time, case when l_suppkey % 5 = 0 then null else 'B' || cast(l_suppkey % 4 as varchar) end as code, case when l_suppkey % 5 <> 0 then cast(l_partkey % 3 as varchar) end as room, 1 << cast(l_linenumber % 7 as integer) as d from lineitem)
 select course_id, start_time, code as _building_code, room as _room, cast(bit_or(d) as integer) as days_of_week from m group by 1, 2, 3, 4""")
 def meetings_bridge(spark, d):
-    li = t(spark, d, "lineitem")
+    li = tables.spread(t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey"), GROUPED, "l_orderkey")
     place = F.when(F.col("l_suppkey") % 5 == 0, "TBA").otherwise(F.concat(F.lit("B"), (F.col("l_suppkey") % 4).cast("string"), F.lit(" "), (F.col("l_partkey") % 3).cast("string")))
     one = F.struct(F.call_function("shiftleft", F.lit(1), (F.col("l_linenumber") % 7).cast("int")).alias("days_of_week"), (F.col("l_linenumber") % 2).cast("string").alias("start_time"), F.lit("x").alias("end_time"), place.alias("location"), F.lit("").alias("location_url"))
     courses = li.groupBy(F.col("l_orderkey").alias("course_id")).agg(F.collect_list(one).alias("meetings"))
@@ -102,7 +102,7 @@ def html_people_and_listings(spark, d):
     staff = F.lit('<div class="instructor-detail"><div class="instructor-name">Staff</div></div>')
     key = F.when(F.col("p_size") % 3 == 0, "crn:").otherwise("other:")
     links = F.concat(F.lit('<p><a data-action="result-detail" data-key="'), key, F.col("p_size").cast("string"), F.lit('">x</a><a data-key="crn:9">y</a></p>'))
-    p = t(spark, d, "part").select("p_partkey", H.instructors_of(F.when(F.col("p_size") % 5 == 0, staff).otherwise(both)).alias("i"), H.cross_listings_of(links).alias("c"))
+    p = dealt(spark, d, "part").select("p_partkey", H.instructors_of(F.when(F.col("p_size") % 5 == 0, staff).otherwise(both)).alias("i"), H.cross_listings_of(links).alias("c"))
     return p.select("p_partkey", F.array_join(F.transform("i", lambda x: F.concat(x["name"], F.lit(" <"), x["email"], F.lit(">"))), ",").alias("people"), F.array_join("c", ",").alias("crns"))
 
 
@@ -112,7 +112,7 @@ def html_meetings(spark, d):
     shown = F.concat(F.lit('<div class="meet">MW 1:'), minute, F.lit('pm-2pm in <a href="u">'), F.col("p_brand"), F.lit(" 1</a></div>"))
     page = F.when(k == 0, shown).when(k == 1, '<div class="meet">TTh 9:30am-10:45am</div>').when(k == 2, '<div class="meet">HTBA</div>').otherwise("")
     group = F.when(k == 3, F.array(F.struct(F.lit("M 9am-10:50am").alias("meets"), F.lit('[{"meet_day": "0", "start_time": "900", "end_time": "1050"}]').alias("meetingTimes"))))
-    p = t(spark, d, "part").select("p_partkey", H.meetings_of(page, group)["meetings"].alias("m"))
+    p = dealt(spark, d, "part").select("p_partkey", H.meetings_of(page, group)["meetings"].alias("m"))
     line = F.transform("m", lambda m: F.concat_ws("|", m["days_of_week"].cast("string"), m["start_time"], m["end_time"], m["location"], m["location_url"]))
     return p.select("p_partkey", F.array_join(line, ";").alias("meeting"))
 
@@ -120,7 +120,7 @@ def html_meetings(spark, d):
 @query("""select p_partkey, case when p_size % 2 = 0 then 'Needs ' || p_brand else '' end as requirements, 'About ' || p_name as description, p_type || ' & more' as note from part""")
 def html_descriptions(spark, d):
     needs = F.when(F.col("p_size") % 2 == 0, _fragment('<p class="prerequisites">Needs {p_brand}</p>')).otherwise("")
-    p = t(spark, d, "part").select("p_partkey", H.description_of(F.concat(_fragment("<p>About <b>{p_name}</b>\r</p>"), needs)).alias("x"), H.note_of(_fragment("<i>{p_type}</i>  &amp; more")).alias("note"))
+    p = dealt(spark, d, "part").select("p_partkey", H.description_of(F.concat(_fragment("<p>About <b>{p_name}</b>\r</p>"), needs)).alias("x"), H.note_of(_fragment("<i>{p_type}</i>  &amp; more")).alias("note"))
     return p.select("p_partkey", "x.requirements", "x.description", "note")
 
 
@@ -131,7 +131,7 @@ def _raw(spark, d):
     k = F.col("p_partkey")
     none = F.lit(None).cast("string")
     meets = F.when(k % 19 == 0, '<div class="meet">MW</div>').otherwise('<div class="meet">MW 1pm-2pm</div>')
-    return t(spark, d, "part").select(
+    return dealt(spark, d, "part").select(
         k.cast("string").alias("crn"), F.when(k % 17 == 0, "NOSPACE").otherwise(F.concat(F.lit("AB "), F.col("p_size").cast("string"))).alias("code"), F.concat("p_name", F.lit("\r")).alias("title"),
         _fragment("<p>{p_type}</p>").alias("description"), F.lit("YC").alias("col"), F.lit("").alias("credit_html"), F.col("p_size").cast("string").alias("hours"), F.when(k % 3 == 0, "C").otherwise("A").alias("stat"),
         F.lit("").alias("instructordetail_html"), F.concat(F.lit('<a data-action="result-detail" data-key="crn:'), (k + 1).cast("string"), F.lit('">')).alias("xlist"), F.lit("01").alias("section"), meets.alias("meeting_html"),
@@ -167,7 +167,7 @@ def _pages(spark, d):
     )
     k = F.col("p_partkey")
     page = F.when(k % 7 == 0, "<p>sign in</p>").when(k % 5 == 0, _fragment(head)).otherwise(_fragment(head + body))
-    return t(spark, d, "part").select(k.cast("string").alias("crn"), F.lit("202401").alias("season"), page.alias("page"))
+    return dealt(spark, d, "part").select(k.cast("string").alias("crn"), F.lit("202401").alias("season"), page.alias("page"))
 
 
 @query("""select cast(p_partkey as varchar) as crn, p_size as enrolled, 3 as responses, p_name as title, p_partkey % 5 = 0 as not_viewable, case when p_partkey % 5 = 0 then '' else 'Rate this course of ' || p_brand || ': low=1,high=' || cast(p_size as varchar) end as ratings, case when p_partkey % 5 = 0 then '' else 'Why?: ' || p_type || '/ok' end as narratives from part where p_partkey % 7 <> 0""")

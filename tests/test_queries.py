@@ -88,3 +88,35 @@ def test_entry(spark):
 
     assert set(e.oracle_sql()) <= set(e.queries())
     assert set(Q.QUERIES) <= set(e.queries())
+
+
+@pytest.mark.parametrize("name", ["histogram_sum", "weighted_avg", "meetings_bridge"])
+def test_grouped_rows_are_dealt_by_their_number(spark, sf, name, monkeypatch):
+    """One shuffle by course, into tasks of a bounded number of rows."""
+    from corvine.plans import catalog_queries
+
+    for m in (queries, catalog_queries):
+        monkeypatch.setattr(m, "GROUPED", 500)
+    df = Q.QUERIES[name](spark, sf)
+    rows = spark.read.parquet(f"{sf}/lineitem.parquet").count()
+    shuffles = [x for x in df._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in x]
+    assert len(shuffles) == 1 and f", {-(-rows // 500)})" in shuffles[0]
+    assert rows_of(df) == sql_rows(sf, Q.ORACLE[name])
+
+
+def test_ratings_of_professors_are_grouped_by_their_number(spark, sf, monkeypatch):
+    from corvine.operators import metrics
+
+    monkeypatch.setattr(metrics, "GROUPED", 500)
+    df = queries.course_prof_rating(spark, sf)
+    rows = spark.read.parquet(f"{sf}/lineitem.parquet").count()
+    assert f", {-(-rows // 500)})" in df._jdf.queryExecution().executedPlan().toString()
+    assert rows_of(df) == sql_rows(sf, Q.ORACLE["course_prof_rating"])
+
+
+@pytest.mark.parametrize("name", ["parsed_evaluations", "html_people_and_listings", "accent_fold"])
+def test_rows_for_python_are_dealt_by_their_number(spark, sf, name, monkeypatch):
+    monkeypatch.setattr(queries, "READ", 20)
+    df = Q.QUERIES[name](spark, sf)
+    assert df.rdd.getNumPartitions() >= 5
+    assert rows_of(df) == sql_rows(sf, Q.ORACLE[name])
