@@ -326,9 +326,8 @@ def running_values(spark, d):
     order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
     li = t(spark, d, "lineitem").select("l_returnflag", *order, "l_quantity", F.when(F.col("l_linenumber") == 1, F.col("l_suppkey")).alias("first"))
     spool = Spool(spark, "running")
-    out = running.running_count(li, ["l_returnflag"], order, "place", spool)
-    out = running.running_sum(out, ["l_returnflag"], order, "l_quantity", "before", spool)
-    out = running.running_last(out, ["l_returnflag"], order, "first", "latest", spool)
+    values = {"place": running.count(), "before": running.total("l_quantity"), "latest": running.latest("first", order)}
+    out = running.running_values(li, ["l_returnflag"], order, values, spool)
     return out.select(*order, "place", "before", "latest")
 
 

@@ -87,3 +87,25 @@ def test_a_replacement_that_was_cut_off_is_settled(spark, tmp_path):
     with pytest.raises(OSError):
         replace(spark, f"{at}-absent", at)
     assert io.read_cache(spark, at).count() == 1
+
+
+def test_several_values_need_one_scan(spark):
+    """Rows are written once and shuffled no more often than for one value."""
+    r = random.Random(3)
+    rows = [(r.randrange(2), i, r.choice([None, i % 7])) for i in range(500)]
+    df = spark.createDataFrame(rows, "g long, o long, x long").repartition(4)
+
+    class Counted(Spool):
+        kept = 0
+
+        def keep(self, *a, **k):
+            self.kept += 1
+            return super().keep(*a, **k)
+
+    spool = Counted(spark, "test")
+    got = running.running_values(df, ["g"], ["o"], {"n": running.count(), "s": running.total("x"), "l": running.latest("x", ["o"])}, spool)
+    w = W.partitionBy("g").orderBy("o")
+    before = w.rowsBetween(W.unboundedPreceding, -1)
+    want = df.select("g", "o", "x", (F.row_number().over(w) - 1).alias("n"), F.sum("x").over(before).alias("s"), F.last("x", True).over(before).alias("l"))
+    assert spool.kept == 1 and got.columns == want.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
