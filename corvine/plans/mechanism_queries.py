@@ -3,6 +3,8 @@ functions. Each reads the driver's tables and is compared with SQL over the same
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import functions as F
 
 from .. import sql
@@ -73,15 +75,19 @@ def served_pages(spark, d):
     """Pages of a service, asked by season and school; the rest of the filter is Spark's."""
     at = f"{d}/pages.parquet"
 
-    def fetch(asked: dict) -> list[dict]:
-        """A service that answers from the table."""
+    def fetch(asked: dict) -> Iterator[dict]:
+        """A service that answers from the table, some rows at a time."""
         import pyarrow.compute as pc
         import pyarrow.dataset as ds
-
-        rows = ds.dataset(at).to_table(columns=["page_id", "html"])
-        rows = rows.append_column("size", pc.utf8_length(rows["html"])).select(["page_id", "size"]).to_pylist()
-        mine = lambda r: f"20240{r['page_id'] % 4}" == asked["season"] and asked.get("school") in (None, f"S{r['page_id'] % 3}")
-        return [{**r, "school": f"S{r['page_id'] % 3}"} for r in rows if mine(r)]
+        import pyarrow.parquet as pq
+
+        for part in ds.dataset(at).get_fragments():
+            with part.open() as f:
+                for rows in pq.ParquetFile(f, buffer_size=1 << 20).iter_batches(256, columns=["page_id", "html"], use_threads=False):
+                    for page_id, size in zip(rows["page_id"].to_pylist(), pc.utf8_length(rows["html"]).to_pylist(), strict=True):
+                        season, school = f"20240{page_id % 4}", f"S{page_id % 3}"
+                        if season == asked["season"] and asked.get("school") in (None, school):
+                            yield {"page_id": page_id, "size": size, "school": school}
 
     source = served.course_source(fetch, "season string, school string, page_id long, size long", "served_pages")
     return served.load(spark, source, ["202400", "202401", "202402", "202403"]).where("season in ('202401', '202403') and school = 'S2' and size > 100")

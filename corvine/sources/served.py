@@ -1,7 +1,8 @@
 """Courses of a web service as a Spark data source: seasons are planned as partitions, filters go to the service.
 
 `course_source(fetch)` makes a data source class around a function that asks the service: `fetch(request)` gets a dict
-with season, and, where the query says so, school and first_year, and gives rows as dicts. Equalities and IN lists on
+with season, and, where the query says so, school and first_year, and gives rows as dicts, one after the other if
+they are many. Equalities and IN lists on
 season decide which requests are made at all, equalities on school and first_year go along with them; Spark checks
 what else a query asks. Each request is one partition: it is made by a task, tried again with it, and runs beside the
 others. A request's failure is that of its task.
@@ -12,7 +13,7 @@ them to a later query on the same DataFrame that has no filters.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition
@@ -23,7 +24,7 @@ PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
 ASKED = ("school", "first_year")
 
 
-def course_source(fetch: Callable[[dict], list[dict]], columns: str, name: str = "served_courses") -> type[DataSource]:
+def course_source(fetch: Callable[[dict], Iterable[dict]], columns: str, name: str = "served_courses") -> type[DataSource]:
     """A data source of the rows of `fetch`, of the given columns (a DDL). Options: `seasons`, comma-separated, are all there are."""
 
     class Request(InputPartition):

@@ -97,3 +97,22 @@ def test_components_after_edits_contract_only_what_changed(spark):
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.select("node", "root").collect()))
     assert {tuple(x) for x in now.collect()} == (edges - removed) | added
     assert again.count() < len(edges) / 2
+
+
+def test_served_pages_are_read_some_rows_at_a_time(spark, sf, monkeypatch):
+    """The service hands out rows while it reads."""
+    from corvine.plans import mechanism_queries
+
+    asked = {}
+
+    def kept(fetch, *a, **k):
+        asked["fetch"] = fetch
+        return real(fetch, *a, **k)
+
+    real = served.course_source
+    monkeypatch.setattr(mechanism_queries.served, "course_source", kept)
+    mechanism_queries.served_pages(spark, sf)
+    rows = asked["fetch"]({"season": "202401", "school": "S2"})
+    assert iter(rows) is rows
+    ids = [r["page_id"] for r in rows]
+    assert ids and all(i % 4 == 1 and i % 3 == 2 for i in ids)
