@@ -8,22 +8,29 @@ from pyspark.sql import functions as F
 from ..sources.spool import Spool
 
 
-def components(edges: DataFrame, spool: Spool) -> DataFrame:
+def _apart(df: DataFrame, broadcast: bool = False) -> DataFrame:
+    """One side of a join, which does not go through the driver. A spooled table's files are several times smaller
+    than its rows, so Spark would broadcast tables of millions of nodes."""
+    return df if broadcast else df.hint("merge")
+
+
+def components(edges: DataFrame, spool: Spool, broadcast: bool = True) -> DataFrame:
     """(node, root) for every node of `edges(a, b)`, root the smallest node that can be reached.
 
     Alternating star contraction. Large star: neighbours above a node are linked to the smallest it sees. Small
     star: a node and its smaller neighbours are linked to the smallest of them. All group-bys are minima, which
-    fold before the shuffle, and joins on hot centres can be split. Ends when neither step changes an edge.
+    fold before the shuffle, and joins on hot centres can be split. Ends when neither step changes an edge. Without
+    `broadcast` no table of nodes goes through the driver, however small its files are.
     """
     pairs = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     now, mark = spool.keep(pairs, "edges"), None
     while True:
         both = now.select("a", "b").union(now.select("b", "a"))
         least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        large = both.join(_apart(least, broadcast), "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         large = spool.keep(large, "large")
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a")
+        small = large.join(_apart(low, broadcast), "a")
         small = small.select("a", F.col("m").alias("b")).union(small.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))).distinct()
         small = spool.keep(small, "small")
         spool.drop(now, large)
@@ -36,10 +43,10 @@ def components(edges: DataFrame, spool: Spool) -> DataFrame:
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(roots.select(F.col("b").alias("node"), F.col("b").alias("root")))
 
 
-def labels(nodes: DataFrame, edges: DataFrame, spool: Spool) -> DataFrame:
+def labels(nodes: DataFrame, edges: DataFrame, spool: Spool, broadcast: bool = True) -> DataFrame:
     """(node, root) for all of `nodes(node)`; a node without edges is its own root."""
-    found = components(edges, spool)
-    return nodes.select("node").distinct().join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    found = components(edges, spool, broadcast)
+    return nodes.select("node").distinct().join(_apart(found, broadcast), "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
 def updated_labels(known: DataFrame, edges: DataFrame, added: DataFrame, removed: DataFrame, spool: Spool) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -49,22 +56,22 @@ def updated_labels(known: DataFrame, edges: DataFrame, added: DataFrame, removed
     """
     both = lambda e: e.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
     added, removed = both(added), both(removed)
-    now = spool.keep(both(edges).join(removed, ["a", "b"], "left_anti").unionByName(added).distinct(), "edges")
+    now = spool.keep(both(edges).join(_apart(removed), ["a", "b"], "left_anti").unionByName(added).distinct(), "edges")
     came = added.unionByName(removed)
     ends = spool.keep(came.select(F.col("a").alias("node")).union(came.select(F.col("b").alias("node"))).distinct(), "ends")
-    touched = spool.keep(known.join(ends, "node", "left_semi").select("root").distinct(), "touched")
-    members = known.join(touched, "root", "left_semi").select("node")
-    members = spool.keep(members.union(ends.join(known.select("node"), "node", "left_anti")), "members")
+    touched = spool.keep(known.join(_apart(ends), "node", "left_semi").select("root").distinct(), "touched")
+    members = known.join(_apart(touched), "root", "left_semi").select("node")
+    members = spool.keep(members.union(ends.join(_apart(known.select("node")), "node", "left_anti")), "members")
     # an edge lies in one component, so one end tells
-    again = spool.keep(now.join(members.select(F.col("node").alias("a")), "a", "left_semi").select("a", "b"), "again")
-    found = labels(members, again, spool)
-    return known.join(touched, "root", "left_anti").select("node", "root").unionByName(found.select("node", "root")), now, again
+    again = spool.keep(now.join(_apart(members.select(F.col("node").alias("a"))), "a", "left_semi").select("a", "b"), "again")
+    found = labels(members, again, spool, broadcast=False)
+    return known.join(_apart(touched), "root", "left_anti").select("node", "root").unionByName(found.select("node", "root")), now, again
 
 
-def star_edges(members: DataFrame, node: str, keys: list[str]) -> DataFrame:
+def star_edges(members: DataFrame, node: str, keys: list[str], broadcast: bool = True) -> DataFrame:
     """Edges from each member of a group to the group's smallest: as connected as all pairs, one row a member."""
     least = members.groupBy(*keys).agg(F.min(node).alias("b"))
-    return members.join(least, keys).select(F.col(node).alias("a"), "b").where("a <> b").distinct()
+    return members.join(_apart(least, broadcast), keys).select(F.col(node).alias("a"), "b").where("a <> b").distinct()
 
 
 def partition_diff(old: DataFrame, new: DataFrame, spool: Spool) -> DataFrame:

@@ -25,10 +25,11 @@ def components_after_edits(spark, d):
     p = t(spark, d, "part").select(F.col("p_partkey").alias("node"), "p_brand", "p_size", "p_type")
     spool = Spool(spark, "edits")
     edited = p.withColumn("p_size", F.when(F.col("node") % 100 == 7, F.col("p_size") % 50 + 1).otherwise(F.col("p_size")))
-    stars = lambda x: graph.star_edges(x, "node", ["p_brand", "p_size", "p_type"])
+    stars = lambda x: graph.star_edges(x, "node", ["p_brand", "p_size", "p_type"], broadcast=False)
     edges, new = spool.keep(stars(p), "edges"), spool.keep(stars(edited), "new")
-    known = spool.keep(graph.labels(p.select("node"), edges, spool), "known")
-    found, _, _ = graph.updated_labels(known, edges, new.join(edges, ["a", "b"], "left_anti"), edges.join(new, ["a", "b"], "left_anti"), spool)
+    known = spool.keep(graph.labels(p.select("node"), edges, spool, broadcast=False), "known")
+    without = lambda x, y: x.join(y.hint("merge"), ["a", "b"], "left_anti")
+    found, _, _ = graph.updated_labels(known, edges, without(new, edges), without(edges, new), spool)
     return found
 
 

@@ -116,3 +116,20 @@ def test_served_pages_are_read_some_rows_at_a_time(spark, sf, monkeypatch):
     assert iter(rows) is rows
     ids = [r["page_id"] for r in rows]
     assert ids and all(i % 4 == 1 and i % 3 == 2 for i in ids)
+
+
+def test_components_after_edits_broadcast_nothing(spark, sf, monkeypatch):
+    """No table of nodes goes through the driver, whatever its files' size."""
+    from corvine.plans import mechanism_queries
+
+    plans = []
+
+    class Seen(Spool):
+        def keep(self, df, *a, **k):
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+            return super().keep(df, *a, **k)
+
+    monkeypatch.setattr(mechanism_queries, "Spool", Seen)
+    df = mechanism_queries.components_after_edits(spark, sf)
+    plans.append(df._jdf.queryExecution().executedPlan().toString())
+    assert len(plans) > 5 and not any("Broadcast" in p for p in plans)
