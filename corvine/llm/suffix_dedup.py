@@ -1,10 +1,10 @@
 """Suffix-array dedup of bytes.
 
-A shard's segments are cut into blocks of eight bytes counted from their anchors, and the suffix array of the
-block sequences is built by linear grouping (`gsaca`). A window is its whole blocks and less than a block at
-either end. Windows are equal exactly if their whole blocks are a common prefix of neighbouring suffixes and the
-ends are the same bytes, since equal windows have their anchor at the same place. See `repeats` for how windows
-meet in a shard.
+A shard's segments are cut into blocks of 8, 16 or 32 bytes counted from their anchors, and the suffix array of the
+block sequences is built by linear grouping (`gsaca`), whose time goes by the number of blocks. A window is its whole
+blocks, four of them at least where it is long enough, and less than a block at either end. Windows are equal exactly
+if their whole blocks are a common prefix of neighbouring suffixes and the ends are the same bytes, since equal
+windows have their anchor at the same place. See `repeats` for how windows meet in a shard.
 
 Null and empty texts have no bytes. Matches never cross documents. A repeated row repeats all its windows; an
 empty table gives an empty table; other columns are passed on.
@@ -21,7 +21,13 @@ from ._text import _TAIL, lanes, mix, ragged
 from .gsaca import suffix_array
 from .repeats import Scheme, flag_runs, split_segments, without_repeats
 
-BLOCK = 8
+#: Bytes of a machine word, and of the smallest block.
+LANE = 8
+
+
+def block_of(length: int) -> int:
+    """Bytes of a block: as many as leave every window of `length` bytes four whole blocks, 8 at least and 32 at most."""
+    return next((b for b in (32, 16) if (length - b + 1) // b >= 4), LANE)
 
 
 def sa_kernel(segs: list[bytes], offs: np.ndarray, asked: int, scheme: Scheme) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -30,19 +36,21 @@ def sa_kernel(segs: list[bytes], offs: np.ndarray, asked: int, scheme: Scheme) -
     are sorted."""
     u = split_segments(segs, scheme)
     size, base, length = np.diff(u.before), u.before[:-1], scheme.length
+    wide = block_of(length)
     windows = size - length + 1
     bounds = np.append(0, np.cumsum(windows))
     seg, j = ragged(windows)
     flags = np.zeros(len(seg), bool)
     # blocks that occur twice, in stretches
     lane = lanes(u.data)
-    skip = offs % BLOCK
-    blocks = (size - skip) // BLOCK
+    skip = offs % wide
+    blocks = (size - skip) // wide
     row, nth = ragged(blocks)
     ahead = np.cumsum(blocks) - blocks
-    _, symbol, often = np.unique(lane[base[row] + skip[row] + BLOCK * nth], return_inverse=True, return_counts=True)
-    of, begin, end = flag_runs(often[symbol] > 1, ahead)
-    good = end - begin >= (length - BLOCK + 1) // BLOCK
+    at = base[row] + skip[row] + wide * nth
+    symbol = _labels(*[lane[at + k] for k in range(0, wide, LANE)])
+    of, begin, end = flag_runs(np.bincount(symbol)[symbol] > 1, ahead)
+    good = end - begin >= (length - wide + 1) // wide
     begin, end = ahead[of[good]] + begin[good], ahead[of[good]] + end[good]
     if not len(begin):
         return flag_runs(flags[: bounds[asked]], bounds[:asked])
@@ -57,29 +65,29 @@ def sa_kernel(segs: list[bytes], offs: np.ndarray, asked: int, scheme: Scheme) -
     rank = np.empty(len(order), np.int64)
     rank[order] = np.arange(len(order))
     # neighbours in the order that share `blocks` symbols belong to one class
-    most = length // BLOCK
+    most = length // wide
     padded = np.append(text, np.zeros(most + 1, np.int64))
     same = np.arange(1, len(order))
     classes = {}
     for k in range(most + 1):
-        if k in {(length - e) // BLOCK for e in range(BLOCK)}:
+        if k in {(length - e) // wide for e in range(wide)}:
             differs = np.ones(len(order), bool)
             differs[same] = False
             classes[k] = np.cumsum(differs)
         same = same[padded[order[same] + k] == padded[order[same - 1] + k]]
     # windows whose whole blocks lie in one stretch
-    head = (offs[seg] - j) % BLOCK
-    whole = (length - head) // BLOCK
-    block = ahead[seg] + (j + head - skip[seg]) // BLOCK
+    head = (offs[seg] - j) % wide
+    whole = (length - head) // wide
+    block = ahead[seg] + (j + head - skip[seg]) // wide
     some = np.flatnonzero(room[np.minimum(block, len(room) - 1)] >= whole)
     seg, j, head, whole, block = seg[some], j[some], head[some], whole[some], block[some]
-    tail, at, group = (length - head) % BLOCK, rank[place[block]], np.zeros(len(some), np.int64)
+    tail, at, group = (length - head) % wide, rank[place[block]], np.zeros(len(some), np.int64)
     for k, number in classes.items():
         own = whole == k
         group[own] = number[at[own]]
-    left = lane[base[seg] + j] & np.where(head > 0, _TAIL[head], np.uint64(0))
-    right = lane[base[seg] + j + head + BLOCK * whole] & np.where(tail > 0, _TAIL[tail], np.uint64(0))
-    label = _labels(group * BLOCK + head, left, right)
+    left, right = base[seg] + j, base[seg] + j + head + wide * whole
+    ends = [lane[np.minimum(a + k, len(lane) - 1)] & _TAIL[np.clip(n - k, 0, LANE)] for a, n in ((left, head), (right, tail)) for k in range(0, wide, LANE)]
+    label = _labels(group * wide + head, *ends)
     flags[some] = np.bincount(label, minlength=1)[label] >= 2
     return flag_runs(flags[: bounds[asked]], bounds[:asked])
 
@@ -104,8 +112,8 @@ def _labels(*keys: np.ndarray) -> np.ndarray:
 
 def dedup_bytes(docs: DataFrame, text: str = "text", length: int = 200, into: str = "repeats") -> DataFrame:
     """`docs` with a struct: n_units (bytes), n_removed, n_spans, kept (the remaining bytes)."""
-    if length < 2 * BLOCK:
-        raise ValueError("windows must be at least two blocks long")
+    if length < 2 * LANE:
+        raise ValueError("windows must be at least two blocks of 8 bytes long")
     return without_repeats(docs, text, Scheme("byte", length), sa_kernel, into)
 
 

@@ -57,6 +57,31 @@ def test_suffix_array(seed):
         assert suffix_array(t) == sorted(range(len(t)), key=lambda i: t[i:])
 
 
+@pytest.mark.parametrize("length,block", [(16, 8), (40, 8), (79, 16), (131, 16), (159, 32), (200, 32), (900, 32)])
+def test_sorted_blocks_are_wide_and_ends_are_compared(length, block, monkeypatch):
+    """The suffix array has a symbol for each `block` bytes; windows that differ in one byte of an end are told apart."""
+    r, scheme, sorted_ = random.Random(length), Scheme("byte", length), []
+    monkeypatch.setattr(suffix_dedup, "suffix_array", lambda text: sorted_.append(len(text)) or suffix_array(text))
+    base = bytes(r.randrange(256) for _ in range(length + 70))
+    segs, offs = [base], [length // 2]
+    for spot in [*range(0, 40), *range(length + 30, length + 70)]:
+        segs.append(base[:spot] + bytes([base[spot] ^ 1]) + base[spot + 1 :])
+        offs.append(offs[0])
+    # cut at the front, so that ends of every size occur
+    for cut in range(1, 40):
+        segs.append(segs[cut][cut:])
+        offs.append(offs[0] - cut)
+    keep = [i for i, o in enumerate(offs) if o >= 0]
+    segs, offs = [segs[i] for i in keep], [offs[i] for i in keep]
+    seg, lo, hi = suffix_dedup.sa_kernel(segs, np.array(offs, np.int64), len(segs), scheme)
+    found = {(s, x) for s, a, b in zip(seg.tolist(), lo.tolist(), hi.tolist()) for x in range(a, b)}
+    place = lambda s, x: (segs[s][x : x + length], offs[s] - x)
+    every = [(s, x) for s in range(len(segs)) for x in range(len(segs[s]) - length + 1)]
+    seen = Counter(place(s, x) for s, x in every)
+    assert found == {w for w in every if seen[place(*w)] > 1} and found
+    assert sum(sorted_) <= sum(map(len, segs)) // block + len(segs) + 1
+
+
 @pytest.mark.parametrize("unit,length,kernel", [("word", 12, fm_index.fm_kernel), ("byte", 40, suffix_dedup.sa_kernel), ("byte", 131, suffix_dedup.sa_kernel), ("word", 35, fm_index.fm_kernel)])
 @pytest.mark.parametrize("seed", range(4))
 def test_kernel_on_all_segments_equals_brute_force(unit, length, kernel, seed):
