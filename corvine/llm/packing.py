@@ -6,7 +6,8 @@ two: no sequence crosses documents and nothing is padded. Sequences of equal len
 which batches of one shape are drawn.
 
 Nulls count as empty text (one piece: the end token). Repeated rows are packed each on its own. Word ids are
-remembered per Python worker; nothing is shuffled, so neither hot sources nor long documents matter.
+remembered per Python worker, from one task to the next; nothing is shuffled, so neither hot sources nor long
+documents matter.
 """
 
 from __future__ import annotations
@@ -14,6 +15,9 @@ from __future__ import annotations
 import json
 import os
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -22,23 +26,30 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from ._spark import bounded_batches, fresh, table
-from ._text import HashIndex, column_pieces, flat, hash_spans, ragged, words
+from ._text import LOWER, HashIndex, column_pieces, flat, hash_spans, ragged, words
 
 MOST = 2048
 END = 1
-#: Distinct words, and parts of them, that each Python worker remembers: some 40 and 15 MB.
-REMEMBERED, REMEMBERED_PARTS = 700_000, 50_000
+#: Distinct words, and parts of them, that each Python worker remembers: some 30 MB each.
+REMEMBERED, REMEMBERED_PARTS = 700_000, 700_000
 #: Bytes of text worked on at once.
 STEP = 1 << 20
-#: Marks that end a word of plain letters.
-CLOSING = ".,;:!?"
+#: Marks that end a word of plain letters: any number of them are one more word to the pattern below.
+MARKS = punctuation.replace("'", "")
+CLOSING = np.zeros(256, bool)
+CLOSING[list(MARKS.encode())] = True
+#: Second bytes of the letters U+0080 to U+00BF and U+00C0 to U+00FF, and of the capitals among the latter.
+C2_LETTER, C3_LETTER, C3_CAPITAL = np.zeros(256, bool), np.zeros(256, bool), np.zeros(256, bool)
+C2_LETTER[[0xAA, 0xB5, 0xBA]] = C3_LETTER[0x80:0xC0] = C3_CAPITAL[0x80:0x9F] = True
+C3_LETTER[[0x97, 0xB7]] = C3_CAPITAL[0x97] = False
+ASCII_LETTER = (LOWER >= 0x61) & (LOWER <= 0x7A)
 #: Fixed value: the pattern of vocabularies with word ends. It takes no white space, so no token spans any.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 def by_word(spec: dict) -> bool:
-    """Whether a vocabulary's file says that the ids of a text are those of its words: nothing but letter case, NFC and
-    runs of white space is normalised, the pattern is the one above, and merges begin and end with a word."""
+    """Whether a vocabulary's file says that the ids of a text are those of its words: letters are made small, nothing but
+    NFC and runs of white space is normalised besides, the pattern is the one above, and merges begin and end with a word."""
     n, p, m = spec.get("normalizer") or {}, spec.get("pre_tokenizer") or {}, spec["model"]
     steps = n.get("normalizers", []) if n.get("type") == "Sequence" else [n] if n else []
     blanks = {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}
@@ -47,8 +58,58 @@ def by_word(spec: dict) -> bool:
     split = len(cuts) == 2 and cuts[0] == {"type": "Split", "pattern": {"Regex": PATTERN}, "behavior": "Removed", "invert": True}
     split = split and cuts[1]["type"] == "ByteLevel" and not cuts[1]["add_prefix_space"] and not cuts[1].get("use_regex", True)
     merges = m.get("type") == "BPE" and m.get("end_of_word_suffix") == "</w>" and not m.get("continuing_subword_prefix") and not m.get("ignore_merges") and not m.get("dropout")
-    added = all(not t["lstrip"] and not t["rstrip"] and not t["single_word"] and t["content"].split() == [t["content"]] for t in spec.get("added_tokens", []))
-    return bool(plain and split and merges and added and not spec.get("truncation"))
+    # an added token must not lie inside a word of letters, or across its end
+    apart = lambda t: not t[0].isalpha() or not t.rstrip(MARKS).isalpha()
+    added = all(not t["lstrip"] and not t["rstrip"] and not t["single_word"] and t["content"].split() == [t["content"]] and apart(t["content"]) for t in spec.get("added_tokens", []))
+    small = any(x.get("type") == "Lowercase" for x in steps)
+    return bool(plain and small and split and merges and added and not spec.get("truncation"))
+
+
+class Memory:
+    """Token ids under the 64-bit hashes of what they stand for."""
+
+    def __init__(self):
+        self.forget()
+
+    def forget(self) -> None:
+        self.ids = np.zeros(0, "<u4")
+        self.hashes, self.first, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32)
+        self.met = np.zeros(1, bool)
+        self.index = HashIndex(self.hashes)
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        return self.index.find(h)
+
+    def meet(self, at: np.ndarray) -> None:
+        """Marks what was found, so that it is kept; places of -1 mark nothing that counts."""
+        self.met[at] = True
+
+    def ids_of(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids at places behind one another, and their numbers; there are none at -1."""
+        size = np.where(at >= 0, self.size[at], 0) if len(self.size) else np.zeros(len(at), np.int32)
+        if not size.any():
+            return self.ids[:0], size
+        ends = np.cumsum(size, dtype=np.int64)
+        return self.ids[np.repeat(self.first[at] - (ends - size), size) + np.arange(ends[-1])], size
+
+    def add(self, h: np.ndarray, ids: np.ndarray, size: np.ndarray) -> None:
+        first = (len(self.ids) + np.cumsum(size) - size).astype(np.int32)
+        self.ids = np.append(self.ids, ids)
+        hashes = np.append(self.hashes, h)
+        order = np.argsort(hashes, kind="stable")
+        self.hashes, self.first, self.size = hashes[order], np.append(self.first, first)[order], np.append(self.size, size).astype(np.int32)[order]
+        self.met = np.append(np.append(self.met[:-1], np.zeros(len(h), bool))[order], False)
+        self.index = HashIndex(self.hashes)
+
+    def trim(self, most: int) -> None:
+        """Of more than `most` keeps those that were met since they came or were last kept, if half as many at most."""
+        if len(self.hashes) <= most:
+            return
+        kept = np.flatnonzero(self.met[:-1])
+        h, (ids, size) = self.hashes[kept], self.ids_of(kept)
+        self.forget()
+        if 0 < len(kept) <= most // 2:
+            self.add(h, ids, size)
 
 
 class WordIds:
@@ -56,9 +117,9 @@ class WordIds:
 
     This is exact for a vocabulary whose normaliser and pattern drop white space, write letters small and mark
     word ends: no token spans a blank. Other vocabularies are told by their files; their texts are encoded whole.
-    Closing punctuation after plain letters is a word of its own to the pattern, so it is asked for apart. Plain
-    words are asked for many at once and told apart by their end marks. Remembered words are found by a 64-bit
-    hash of their bytes; beyond `REMEMBERED` of them all are forgotten.
+    ASCII punctuation after plain letters (up to U+00FF) is a word of its own to the pattern, so small letters and
+    marks are remembered apart. Letters are asked for many at once and told apart by their end marks. Remembered words
+    and parts are found by a 64-bit hash of their bytes; beyond `REMEMBERED` those met only once are forgotten.
     """
 
     def __init__(self, path: str, end: int = END):
@@ -71,16 +132,10 @@ class WordIds:
         self.closes = np.zeros(max(vocab.values()) + 1, bool)
         self.closes[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self.end = end
-        self._forget()
+        self.words, self.parts = Memory(), Memory()
         with open(path, encoding="utf-8") as f:
             self.by_word = by_word(json.load(f))
 
-    def _forget(self) -> None:
-        self.parts: dict[str, list[int]] = {}
-        self.ids = np.array([self.end], "<u4")  # the end token lies at 0
-        self.hashes, self.first, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32)
-        self.index = HashIndex(self.hashes)
-
     def rows(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all rows, each with the end token, and where each row begins."""
         if not self.by_word:
@@ -90,67 +145,104 @@ class WordIds:
         data, offsets = flat(column)
         starts, ends, before = words(data, offsets)
         h = hash_spans(data, starts, ends, seed=5)
-        at = self.index.find(h)
-        if len(self.hashes) > REMEMBERED and (at < 0).any():
-            self._forget()
-            at = self.index.find(h)
+        at = self.words.find(h)
+        self.words.meet(at)
+        if len(self.words.hashes) > REMEMBERED and (at < 0).any():
+            self.words.trim(REMEMBERED)
+            at = self.words.find(h)
         lost = np.flatnonzero(at < 0)
         if len(lost):
             _, one = np.unique(h[lost], return_index=True)
             self._learn(data, starts, ends, h, lost[one])
-            at = self.index.find(h)
-        first, size = np.insert(self.first[at], before[1:], 0), np.insert(self.size[at], before[1:], 1)
-        ends = np.cumsum(size, dtype=np.int64)
-        out = self.ids[np.repeat(first - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
-        return out, np.append(0, ends)[before + np.arange(len(before))]
+            at = self.words.find(h)
+        got, size = self.words.ids_of(at)
+        # the end token comes behind each row's last word
+        stop = np.append(0, np.cumsum(size, dtype=np.int64))[before]
+        return np.insert(got, stop[1:], self.end), stop + np.arange(len(stop))
 
     def _learn(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, h: np.ndarray, one: np.ndarray) -> None:
         """Asks for the words numbered `one`, a bounded number at a time, and remembers them."""
-        made, sizes = [self.ids], [self.size]
-        for at in range(0, len(one), 20_000):
-            some = one[at : at + 20_000]
-            ids = self._ask([data[a:b].tobytes().decode() for a, b in zip(starts[some].tolist(), ends[some].tolist(), strict=True)])
-            sizes.append(np.fromiter(map(len, ids), np.int32, len(ids)))
-            made.append(np.fromiter((i for x in ids for i in x), "<u4"))
-        size = np.concatenate(sizes[1:])
-        first = (len(self.ids) + np.cumsum(size) - size).astype(np.int32)
-        self.ids = np.concatenate(made)
-        hashes = np.append(self.hashes, h[one])
-        order = np.argsort(hashes, kind="stable")
-        self.hashes, self.first, self.size = hashes[order], np.append(self.first, first)[order], np.append(self.size, size)[order]
-        self.index = HashIndex(self.hashes)
-
-    def _ask(self, missing: list[str]) -> list[list[int]]:
-        known, plain, other, parts = self.parts, {}, {}, []
-        for w in missing:
-            core = w.rstrip(CLOSING)
-            if core.isalpha() and max(core) < "\u0100":
-                core, mark = core.lower(), w[len(core) :]
-                parts.append((core, mark))
-                plain[core] = None
-                if mark:
-                    other[mark] = None
-            else:
-                parts.append((w, ""))
-                other[w] = None
-        plain = [w for w in plain if w not in known]
-        for at in range(0, len(plain), 5_000):
-            some = plain[at : at + 5_000]
-            lines = [" ".join(some[i : i + 200]) for i in range(0, len(some), 200)]
-            ids = [i for e in self.encode(lines, add_special_tokens=False) for i in e.ids]
-            ends = (np.flatnonzero(self.closes[ids]) + 1).tolist()
-            if len(ends) != len(some):
-                other |= dict.fromkeys(some)
-                continue
-            known.update((w, ids[a:b]) for w, a, b in zip(some, [0, *ends], ends, strict=False))
-        other = [w for w in other if w not in known]
-        for at in range(0, len(other), 5_000):
-            some = other[at : at + 5_000]
-            known.update((w, e.ids) for w, e in zip(some, self.encode(some, add_special_tokens=False), strict=True))
-        out = [known[core] + known[mark] if mark else known[core] for core, mark in parts]
-        if len(known) > REMEMBERED_PARTS:
-            known.clear()
-        return out
+        small, letter, kind = LOWER[data], ASCII_LETTER[data], np.int32 if len(data) < 1 << 31 else np.int64
+        for lead, second in ((0xC2, C2_LETTER), (0xC3, C3_LETTER)):
+            at = np.flatnonzero(data[:-1] == lead)
+            at = at[second[data[at + 1]]]
+            letter[at] = letter[at + 1] = True
+            if lead == 0xC3:
+                small[at + 1] += 0x20 * C3_CAPITAL[data[at + 1]].astype(np.uint8)
+        other = np.zeros(len(data) + 1, kind)
+        np.cumsum(~letter, out=other[1:])
+        inner = np.arange(len(data), dtype=kind)  # the last byte up to here that is no mark
+        inner[CLOSING[data]] = -1
+        np.maximum.accumulate(inner, out=inner)
+        made = []
+        for cut in range(0, len(one), 20_000):
+            some = one[cut : cut + 20_000]
+            s, e = starts[some], ends[some]
+            mid = np.maximum(inner[e - 1] + 1, s)
+            plain = (mid > s) & (other[mid] == other[s])
+            made.append((h[some[~plain]], *self._ask([data[a:b].tobytes() for a, b in zip(s[~plain].tolist(), e[~plain].tolist(), strict=True)])))
+            # letters and marks of a plain word behind one another
+            s, mid, e = s[plain], mid[plain], e[plain]
+            ids, size = self._parts(small, np.stack([s, mid], axis=1).ravel(), np.stack([mid, e], axis=1).ravel())
+            made.append((h[some[plain]], ids, size.reshape(-1, 2).sum(axis=1)))
+        self.words.add(*map(np.concatenate, zip(*made, strict=True)))
+
+    def _parts(self, small: np.ndarray, s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of parts that are letters or marks, and their numbers; an empty part has none."""
+        h = hash_spans(small, s, e, seed=7)
+        at = self.parts.find(h)
+        self.parts.meet(at)
+        lost = np.flatnonzero((at < 0) & (e > s))
+        if len(lost):
+            if len(self.parts.hashes) > REMEMBERED_PARTS:
+                self.parts.trim(REMEMBERED_PARTS)
+                lost = np.flatnonzero((self.parts.find(h) < 0) & (e > s))
+            _, one = np.unique(h[lost], return_index=True)
+            lost = lost[one]
+            s, e = s[lost], e[lost]
+            marks = CLOSING[small[s]]
+            some = lost[marks]
+            asked = [(h[some], *self._ask([small[a:b].tobytes() for a, b in zip(s[marks].tolist(), e[marks].tolist(), strict=True)]))]
+            s, e, some = s[~marks], e[~marks], lost[~marks]
+            for cut in range(0, len(s), 5_000):
+                asked.append((h[some[cut : cut + 5_000]], *self._ask_letters(small, s[cut : cut + 5_000], e[cut : cut + 5_000])))
+            self.parts.add(*map(np.concatenate, zip(*asked, strict=True)))
+            at = self.parts.find(h)
+        return self.parts.ids_of(at)
+
+    def _ask_letters(self, small: np.ndarray, s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of letters, asked for 200 to a line."""
+        word, nth = ragged(e - s + 1)
+        text = small[np.minimum(s[word] + nth, len(small) - 1)]
+        last = np.cumsum(e - s + 1) - 1
+        text[last] = 0x20
+        text[last[199::200]] = 0x0A
+        lines = text[:-1].tobytes().decode().split("\n")
+        found = self.encode(lines, add_special_tokens=False)
+        ids = np.fromiter(chain.from_iterable(x.ids for x in found), "<u4")
+        stop = np.flatnonzero(self.closes[ids]) + 1
+        if len(stop) != len(s):
+            return self._ask([small[a:b].tobytes() for a, b in zip(s.tolist(), e.tolist(), strict=True)])
+        return ids, np.diff(stop, prepend=0)
+
+    def _ask(self, missing: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts, each asked for on its own."""
+        made, size = [np.zeros(0, "<u4")], []
+        for at in range(0, len(missing), 5_000):
+            found = self.encode([w.decode() for w in missing[at : at + 5_000]], add_special_tokens=False)
+            size += [len(x.ids) for x in found]
+            made.append(np.fromiter(chain.from_iterable(x.ids for x in found), "<u4"))
+        return np.concatenate(made), np.array(size, np.int64)
+
+
+@lru_cache(maxsize=1)
+def _word_ids(path: str, end: int, version: int) -> WordIds:
+    return WordIds(path, end)
+
+
+def word_ids(path: str, end: int = END) -> WordIds:
+    """The ids that this process remembers of the vocabulary, as long as its file stays as it is."""
+    return _word_ids(path, end, os.stat(path).st_mtime_ns)
 
 
 def decompose(length: int, most: int = MOST) -> list[tuple[int, int]]:
@@ -183,7 +275,7 @@ def pack(docs: DataFrame, vocab_path: str, text: str = "text", most: int = MOST,
 
     @arrow_udf("array<struct<start:long,length:long,ids:binary,doc_tokens:long>>")
     def cut(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        ids_of, rest = WordIds(vocab_path, end), _digits(most)
+        ids_of, rest = word_ids(vocab_path, end), _digits(most)
         kind = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("doc_tokens", pa.int64())]))
         for batch in batches:
             made = []

@@ -114,3 +114,62 @@ def test_vocabularies_of_another_kind(tmp_path):
     assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == want
     with pytest.raises(ValueError, match="byte-level"):
         token_counts.RankMerger(P.path("word_bpe_49k.json"))
+
+
+@pytest.mark.parametrize("remembered", [1_000_000, 60])
+def test_letters_are_asked_once_whatever_marks_follow(remembered, monkeypatch):
+    """Words of letters (U+00FF at most) and ASCII marks: the library gets small letters once, and marks once."""
+    from string import punctuation
+
+    r = random.Random(5)
+    core = ["".join(r.choice("abzAZàÀßÿÞþµªº×÷") for _ in range(r.randint(1, 6))) for _ in range(60)]
+    mark = ["", "$$$", "&&&", ".%%%", "...", "'", "'s", "<|", "|>", "_", *punctuation]
+    texts = [" ".join(r.choice(core) + r.choice(mark) for _ in range(40)) for _ in range(60)] + ["endoftext|> <|endoftext|> a<|endoftext|> <|ENDOFTEXT|>"]
+    monkeypatch.setattr(packing, "REMEMBERED", remembered)
+    words, asked = packing.WordIds(P.path("word_bpe_49k.json")), []
+    encode = words.encode
+    words.encode = lambda some, **k: asked.extend(w for line in some for w in line.split()) or encode(some, **k)
+    want = [ids + [1] for ids in library("word_bpe_49k.json", texts)]
+    for some in (slice(0, 30), slice(30, None), slice(0, 61)):
+        ids, at = words.rows(pa.array(texts[some]))
+        assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == want[some]
+    letters = [w for w in asked if w.isalpha()]
+    assert len(letters) == len(set(letters)) and not any(w.endswith(("$$$", "&&&")) and w[0].isalpha() and not set("×÷") & set(w) for w in asked)
+
+
+def test_words_met_again_are_kept(monkeypatch):
+    """Of a full memory the words that came again stay; one of a process lasts from task to task."""
+    path = P.path("word_bpe_49k.json")
+    monkeypatch.setattr(packing, "REMEMBERED", 50)
+    words = packing.WordIds(path)
+    common = " ".join(f"c{i}" for i in range(20))
+    for turn in range(4):
+        words.rows(pa.array([common + " " + " ".join(f"{turn}x{i}" for i in range(20))]))
+    asked, encode = [], words.encode
+    words.encode = lambda some, **k: asked.extend(some) or encode(some, **k)
+    words.rows(pa.array([common + " new1"]))
+    assert asked == ["new1"]
+    assert packing.word_ids(path) is packing.word_ids(path)
+
+
+def test_vocabulary_with_capitals(tmp_path):
+    """Without a step that makes letters small, words of one spelling only are alike; added words may lie in a word."""
+    import json
+
+    from tokenizers import Tokenizer
+
+    with open(P.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        spec = json.load(f)
+    texts = ["The cat, THE CAT and the Cat.", "azqzqing Zqzq. zqzq", None]
+    for change in ("capitals", "added"):
+        other = json.loads(json.dumps(spec))
+        if change == "capitals":
+            other["normalizer"]["normalizers"] = [x for x in other["normalizer"]["normalizers"] if x["type"] != "Lowercase"]
+        else:
+            other["added_tokens"].append(other["added_tokens"][0] | {"content": "zqzq", "id": max(spec["model"]["vocab"].values()) + 1})
+        path = str(tmp_path / f"{change}.json")
+        with open(path, "w", encoding="utf-8") as f:
+            json.dump(other, f)
+        tok = Tokenizer.from_file(path)
+        ids, at = packing.WordIds(path).rows(pa.array(texts))
+        assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == [[*tok.encode(t or "", add_special_tokens=False).ids, 1] for t in texts]
