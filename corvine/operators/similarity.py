@@ -80,21 +80,28 @@ def _shares_piece(x: Column, y: Column, most: float) -> Column:
 
 
 def all_distances(rows: DataFrame, keys: list[str], ident: str, text: str, spool: Spool, most: float = config.MAX_TEXT_DISTANCE) -> DataFrame:
-    """(a, b, distance) of all pairs a < b of ids with equal keys, -1 if their texts are not alike. Equal texts of
-    equal keys are one class, named by its smallest id: classes are compared, and pairs of members take the distance
-    of their classes."""
+    """(a, b, distance) of all pairs a < b of ids with equal keys, -1 if their texts are not alike. Of texts of one
+    length that of a is the pattern. Equal texts of equal keys are one class: classes are compared, those of one
+    length both ways, and pairs of members take the distance of their classes."""
     named = [F.col(k).eqNullSafe(F.col(f"_{i}")) for i, k in enumerate([*keys, text])]
-    classes = spool.keep(rows.where(" and ".join(f"`{k}` is not null" for k in keys)).groupBy(*keys, text).agg(F.min(ident).alias("_class")), "classes")
+    distinct = rows.where(" and ".join(f"`{k}` is not null" for k in keys)).select(*keys, text).distinct()
+    classes = spool.keep(distinct.withColumn("_class", F.monotonically_increasing_id()), "classes")
     other = classes.select(*[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate([*keys, text])], F.col("_class").alias("_o"))
     members = rows.join(other, named).select(F.col("_o").alias("_class"), F.col(ident).alias("_id"))
     members = spool.keep(members, "members")
     spark, inside = rows.sparkSession, lambda df: df.groupBy(*keys).agg(F.count("*").alias("c")).agg(F.sum(F.col("c") * F.col("c"))).first()[0] or 0
     tasks = lambda df, each: max(spark.sparkContext.defaultParallelism, -(-inside(df) // each))
     side = lambda s: classes.select(*keys, F.col(text).alias(f"_t{s}"), F.col("_class").alias(f"_{s}"))
-    met = side("x").repartition(tasks(classes, COMPARED), "_x").join(side("y"), keys).where("_x <= _y").select("_x", "_y", "_tx", "_ty", F.coalesce(_shares_piece(F.col("_tx"), F.col("_ty"), most), F.lit(False)).alias("_may"))
+    x, y, size = F.col("_tx"), F.col("_ty"), lambda t: F.char_length(F.regexp_replace(t, BLANKS, ""))
+    both = (F.col("_x") < F.col("_y")) & F.coalesce(size(x) == size(y), F.lit(False))
+    may = F.coalesce(_shares_piece(x, y, most) | (F.col("_both") & _shares_piece(y, x, most)), F.lit(False))
+    met = side("x").repartition(tasks(classes, COMPARED), "_x").join(side("y"), keys).where("_x <= _y").withColumn("_both", both)
+    met = met.select("_x", "_y", "_tx", "_ty", "_both", may.alias("_may"))
     # only pairs that can be alike go to Python
-    near = met.where("_may").select("_x", "_y", infix_similarity(F.col("_tx"), F.col("_ty"), F.lit(float(most))).alias("distance"))
-    pairs = near.unionByName(met.where("not _may").select("_x", "_y", F.lit(-1.0).alias("distance")))
+    back = [F.when(F.col("_both"), t).otherwise("") for t in (y, x)]
+    near = met.where("_may").select("_x", "_y", "_both", infix_similarity(x, y, F.lit(float(most))).alias("_there"), infix_similarity(*back, F.lit(float(most))).alias("_back"))
+    near = near.select("_x", "_y", "_there", F.when(F.col("_both"), F.col("_back")).otherwise(F.col("_there")).alias("_back"))
+    pairs = near.unionByName(met.where("not _may").select("_x", "_y", F.lit(-1.0).alias("_there"), F.lit(-1.0).alias("_back")))
     a, b = members.select(F.col("_class").alias("_x"), F.col("_id").alias("_a")), members.select(F.col("_class").alias("_y"), F.col("_id").alias("_b"))
-    out = pairs.join(a, "_x").repartition(tasks(rows, LISTED), "_x", "_a").join(b, "_y").where("_x <> _y or _a < _b")
-    return out.select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b"), "distance")
+    out = pairs.join(a, "_x").repartition(tasks(rows, LISTED), "_x", "_a").join(b, "_y").where("_a < _b or (_x <> _y and _a > _b)")
+    return out.select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b"), F.when(F.col("_a") < F.col("_b"), F.col("_there")).otherwise(F.col("_back")).alias("distance"))

@@ -315,3 +315,14 @@ def test_all_distances_compare_equal_texts_once(spark, monkeypatch):
     monkeypatch.setattr(similarity, "infix_similarity", counted)
     similarity.all_distances(df, ["k"], "id", "t", Spool(spark, "test")).collect()
     assert 0 < asked.value <= 2 * len(words) ** 2
+
+
+def test_all_distances_take_the_first_of_equal_length_as_pattern(spark):
+    """The distance is not the same both ways; members of two classes meet in both orders."""
+    long, odd = "abcde", "aXbcd"
+    assert text_distance(long, odd, 0.25) != text_distance(odd, long, 0.25)
+    rows = [(1, "k", long), (2, "k", odd), (3, "k", long), (4, "k", " aXbcd "), (5, "k", "abcdef"), (6, "l", odd), (6, "l", odd), (7, "l", long), (7, "k", odd), (None, "k", odd)]
+    df = spark.createDataFrame(rows, "id long, k string, t string")
+    want = sorted((a, b, text_distance(x, y)) for a, k, x in rows for b, m, y in rows if a and b and a < b and k == m)
+    got = similarity.all_distances(df, ["k"], "id", "t", Spool(spark, "test"))
+    assert sorted(tuple(g) for g in got.collect()) == want

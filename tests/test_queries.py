@@ -38,6 +38,13 @@ def test_infix_similar_equals_the_plain_table(spark, sf):
     assert {r.distance >= 0 for r in got} == {True, False}
 
 
+def test_infix_similar_equals_sql_in_both_orders(spark, tmp_path):
+    names = ["old bolt", "hot bolt", None, "", " hot bolt ", "old ring", "hot ring x"]
+    rows = [(i, n, "Brand#1", 1) for i, n in enumerate(names + names[::-1])] + [(1, "old bolt", "Brand#2", 1), (2, "hot bolt", "Brand#2", 1), (None, "hot bolt", "Brand#1", 1)]
+    spark.createDataFrame(rows, "p_partkey long, p_name string, p_brand string, p_size int").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    assert rows_of(Q.QUERIES["infix_similar"](spark, str(tmp_path))) == sql_rows(tmp_path, Q.ORACLE["infix_similar"])
+
+
 def test_same_courses_equal_a_plain_replay(spark, sf):
     courses, listings, taught = queries._catalog(spark, sf)
     rows = {r.course_id: (r.season_code, r.title.lower(), r.description or "") for r in courses.collect()}
